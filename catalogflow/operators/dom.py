@@ -71,7 +71,9 @@ TOKEN = re.compile(
 )
 ATTR = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 UNSAFE = re.compile(r"[^\w-]")
+# What a path token spells out besides tag, id and classes, for selectors on enclosing elements.
 PATH_ATTRS = ("role", "data-cy", "data-component-type", "data-asin")
+PATH_LINKS = ("customerReviews",)
 
 
 def _path_token(tag: str, attrs: dict[str, str], classes: list[str]) -> str:
@@ -85,6 +87,11 @@ def _path_token(tag: str, attrs: dict[str, str], classes: list[str]) -> str:
         for name in PATH_ATTRS:
             if attrs.get(name):
                 out += f"[{name}={UNSAFE.sub('_', attrs[name])}]"
+        href = attrs.get("href")
+        if href:
+            for part in PATH_LINKS:
+                if part in href:
+                    out += f"[link={part}]"
     return out
 
 
@@ -240,7 +247,7 @@ def html_nodes(
 
 
 def token(
-    tag: str | None = None, *, id: str | None = None, cls: str | tuple[str, ...] = (),
+    tag: str | None = None, *, id: str | None = None, id_start: str | None = None, cls: str | tuple[str, ...] = (),
     part: str | None = None, attr: tuple[str, str] | str | None = None,
 ) -> str:
     """Pattern for one element of a path: tag, id, classes, a part of a class name, an attribute."""
@@ -248,6 +255,8 @@ def token(
     ahead = "".join(rf"(?=[^/]*\.{re.escape(c)}(?![\w-]))" for c in classes)
     if id:
         ahead += rf"(?=[^/.]*#{re.escape(id)}(?![\w-]))"
+    if id_start:
+        ahead += rf"(?=[^/.]*#{re.escape(id_start)})"
     if part:
         ahead += rf"(?=[^/\[]*\.[^/\[]*{re.escape(part)})"
     if attr:
@@ -281,6 +290,16 @@ def in_boxes(nodes: DataFrame, box: str, as_name: str = "box_id") -> DataFrame:
     return nodes.filter(F.col("path").rlike(box)).withColumn(as_name, F.explode(boxes_of(box)))
 
 
+def below(*selectors: str) -> Column:
+    """As ``is_at``, for elements inside the box and not the box itself."""
+    return is_at(*selectors) & (F.col("node_id") != F.col("box_id"))
+
+
+def own(value: Column) -> Column:
+    """A value of the box element itself, NULL for the nodes inside."""
+    return F.when(F.col("node_id") == F.col("box_id"), value)
+
+
 def contained(boxes: DataFrame, nodes: DataFrame, key: str = "page_id") -> DataFrame:
     """General containment: each node with each row of ``boxes`` (key, box_id) around it.
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import scalars
+from . import markup, scalars, tables, web
 from .base import Query
 
-MODULES = [scalars]
+MODULES = [scalars, web, tables, markup]
 
 
 def queries() -> dict[str, Query]:
