@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 from html import unescape
 
 import pyarrow as pa
@@ -71,6 +73,11 @@ TOKEN = re.compile(
 )
 ATTR = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 UNSAFE = re.compile(r"[^\w-]")
+NO_BARRIER: frozenset[str] = frozenset()
+P_BARRIER = CELL | {"button"}
+P_ONLY = frozenset(("p",))
+WIDE = frozenset(("html", "head", "body", DOCUMENT))
+SHOWN = frozenset(("body", "main", "article", DOCUMENT))
 # What a path token spells out besides tag, id and classes, for selectors on enclosing elements.
 PATH_ATTRS = ("role", "data-cy", "data-component-type", "data-asin")
 PATH_LINKS = ("customerReviews",)
@@ -79,37 +86,34 @@ PATH_LINKS = ("customerReviews",)
 def _path_token(tag: str, attrs: dict[str, str], classes: list[str]) -> str:
     """``tag#id.class.class[attr=value]`` with other characters as underscores."""
     out = "/" + tag
-    if attrs:
-        if attrs.get("id"):
-            out += "#" + UNSAFE.sub("_", attrs["id"])
-        for name in classes:
-            out += "." + UNSAFE.sub("_", name)
-        for name in PATH_ATTRS:
-            if attrs.get(name):
-                out += f"[{name}={UNSAFE.sub('_', attrs[name])}]"
-        href = attrs.get("href")
-        if href:
-            for part in PATH_LINKS:
-                if part in href:
-                    out += f"[link={part}]"
+    if attrs.get("id"):
+        out += "#" + UNSAFE.sub("_", attrs["id"])
+    for name in classes:
+        out += "." + UNSAFE.sub("_", name)
+    for name in PATH_ATTRS:
+        if attrs.get(name):
+            out += f"[{name}={UNSAFE.sub('_', attrs[name])}]"
+    href = attrs.get("href")
+    if href:
+        for part in PATH_LINKS:
+            if part in href:
+                out += f"[link={part}]"
     return out
 
 
 def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
-    """Rows of one page in document order: the ``NODE_FIELDS`` values."""
-    # open element: id, parent, sib_pos, tag, attrs, classes, path, ancestors, text start, visible start, own, children
+    """Rows of one page: the ``NODE_FIELDS`` values of each element, in the order elements end."""
+    # open element: 0 id, 1 parent, 2 sib_pos, 3 tag, 4 attrs, 5 classes, 6 path, 7 ancestors and itself,
+    # 8 text start, 9 visible start, 10 own text, 11 children so far
     root = [0, None, 0, DOCUMENT, {}, [], "", [], 0, 0, [], 0]
     stack = [root]
     pieces: list[str] = []
     visible: list[str] = []
     rows: list[tuple] = []
     next_id, pos, size, hidden = 1, 0, len(html), 0
+    scan = TOKEN.search
 
-    def add_text(text: str, decode: bool = True) -> None:
-        if not text:
-            return
-        if decode and "&" in text:
-            text = unescape(text)
+    def add_text(text: str) -> None:
         pieces.append(text)
         stack[-1][10].append(text)
         if not hidden:
@@ -124,13 +128,14 @@ def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
             visible.append("\n")
         if tags is not None and tag not in tags:
             return
-        wide = tag in ("html", "head", "body", DOCUMENT)
+        attrs = node[4]
         shown = None
-        if tag in ("body", "main", "article", DOCUMENT) or node[4].get("role") == "main":
+        if tag in SHOWN or (attrs and attrs.get("role") == "main"):
             shown = "".join(visible[node[9]:])
+        text = None if tag in WIDE else "".join(pieces[node[8]:]) if len(pieces) > node[8] else ""
         rows.append((
-            node[0], next_id - 1, node[1], node[2], tag, node[4].get("id"), node[5], list(node[4].items()), node[6],
-            node[7], "".join(node[10]), None if wide else "".join(pieces[node[8]:]), shown,
+            node[0], next_id - 1, node[1], node[2], tag, attrs.get("id"), node[5], list(attrs.items()), node[6],
+            node[7][:-1], "".join(node[10]), text, shown,
         ))
 
     def end_implied(closing: Iterable[str], barrier: Iterable[str]) -> None:
@@ -144,37 +149,47 @@ def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
                 return
 
     while pos < size:
-        match = TOKEN.search(html, pos)
+        match = scan(html, pos)
+        start = match.start() if match else size
+        if start > pos:
+            text = html[pos:start]
+            add_text(unescape(text) if "&" in text else text)
         if match is None:
-            add_text(html[pos:])
             break
-        add_text(html[pos:match.start()])
         pos = match.end()
-        if match.group(1):
-            tag = match.group(1).lower()
-            barrier = frozenset() if tag in IMPLIED_END or tag in CELL else CELL
-            end_implied((tag,), barrier)
+        ended, started, raw_attrs = match.groups()
+        if ended:
+            tag = ended.lower()
+            if stack[-1][3] == tag:
+                close(stack.pop())
+            else:
+                end_implied((tag,), NO_BARRIER if tag in IMPLIED_END or tag in CELL else CELL)
             continue
-        if not match.group(2):
+        if not started:
             continue
-        tag = match.group(2).lower()
+        tag = started.lower()
         attrs: dict[str, str] = {}
-        if match.group(3):
-            for name, double, single, bare in ATTR.findall(match.group(3)):
+        if raw_attrs:
+            for name, double, single, bare in ATTR.findall(raw_attrs):
                 value = double or single or bare
                 attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
         if tag in CLOSES_P:
-            end_implied(("p",), CELL | {"button"})
+            end_implied(P_ONLY, P_BARRIER)
             if tag in HEADINGS and stack[-1][3] in HEADINGS:
                 close(stack.pop())
         if tag in IMPLIED_END:
             end_implied(*IMPLIED_END[tag])
         parent = stack[-1]
         parent[11] += 1
-        classes = attrs["class"].split() if "class" in attrs else []
+        if attrs:
+            classes = attrs["class"].split() if "class" in attrs else []
+            path = parent[6] + _path_token(tag, attrs, classes)
+        else:
+            classes = []
+            path = parent[6] + "/" + tag
         node = [
-            next_id, parent[0], parent[11], tag, attrs, classes, parent[6] + _path_token(tag, attrs, classes),
-            parent[7] + [parent[0]] if parent[0] else [], len(pieces), len(visible), [], 0,
+            next_id, parent[0], parent[11], tag, attrs, classes, path, [*parent[7], next_id],
+            len(pieces), len(visible), [], 0,
         ]
         next_id += 1
         if tag in HIDDEN:
@@ -186,7 +201,9 @@ def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
             close(stack.pop())
         elif tag in RAW:
             end = RAW[tag].search(html, pos)
-            add_text(html[pos:end.start() if end else size], decode=tag in ("title", "textarea"))
+            text = html[pos:end.start() if end else size]
+            if text:
+                add_text(unescape(text) if tag in ("title", "textarea") else text)
             pos = end.end() if end else size
             close(stack.pop())
     while stack:
@@ -246,51 +263,83 @@ def html_nodes(
 # --- selectors as predicates on ``path`` ------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Token:
+    """One element of a selector: its path pattern and the plain words the path must hold."""
+
+    pattern: str
+    words: tuple[str, ...]
+    tag: str | None
+
+
+@dataclass(frozen=True)
+class Chain:
+    """Descendant chain that ends at the node itself."""
+
+    tokens: tuple[Token, ...]
+
+    def test(self) -> Column:
+        """Plain substring checks first; the pattern only runs on the few paths that pass them."""
+        path, last = F.col("path"), self.tokens[-1]
+        ok = F.lit(True) if last.tag is None else F.col("tag") == last.tag
+        for word in dict.fromkeys(w for t in self.tokens for w in t.words):
+            ok = ok & F.contains(path, F.lit(word))
+        if len(self.tokens) == 1 and not last.words:
+            return ok
+        return ok & path.rlike("(?:/[^/]*)*?".join(t.pattern for t in self.tokens) + "$")
+
+
 def token(
     tag: str | None = None, *, id: str | None = None, id_start: str | None = None, cls: str | tuple[str, ...] = (),
     part: str | None = None, attr: tuple[str, str] | str | None = None,
-) -> str:
-    """Pattern for one element of a path: tag, id, classes, a part of a class name, an attribute."""
+) -> Token:
+    """Element by tag, id, classes, a part of a class name, or an attribute that paths spell out."""
     classes = (cls,) if isinstance(cls, str) else cls
+    words = [f".{c}" for c in classes]
     ahead = "".join(rf"(?=[^/]*\.{re.escape(c)}(?![\w-]))" for c in classes)
     if id:
         ahead += rf"(?=[^/.]*#{re.escape(id)}(?![\w-]))"
+        words.append(f"#{id}")
     if id_start:
         ahead += rf"(?=[^/.]*#{re.escape(id_start)})"
+        words.append(f"#{id_start}")
     if part:
         ahead += rf"(?=[^/\[]*\.[^/\[]*{re.escape(part)})"
+        words.append(part)
     if attr:
-        name, value = (attr, r"[^\]]*") if isinstance(attr, str) else (attr[0], re.escape(attr[1]))
-        ahead += rf"(?=[^/]*\[{re.escape(name)}={value}\])"
-    return "/" + ahead + (rf"{tag}(?![\w-])" if tag else "") + "[^/]*"
+        name, value = (attr, None) if isinstance(attr, str) else attr
+        ahead += rf"(?=[^/]*\[{re.escape(name)}={'[^]]*' if value is None else re.escape(value)}\])"
+        words.append(f"[{name}=" if value is None else f"[{name}={value}]")
+    return Token("/" + ahead + (rf"{tag}(?![\w-])" if tag else "") + "[^/]*", tuple(words), tag)
 
 
-def chain(*tokens: str) -> str:
-    """Descendant chain that ends at the node itself."""
-    return "(?:/[^/]*)*?".join(tokens) + "$"
+def chain(*tokens: Token) -> Chain:
+    return Chain(tokens)
 
 
-def is_at(*selectors: str, path: str = "path") -> Column:
+def is_at(*selectors: Chain) -> Column:
     """True for nodes that any of the chains selects."""
-    return F.col(path).rlike("|".join(f"(?:{s})" for s in selectors))
+    return reduce(lambda a, b: a | b, [s.test() for s in selectors])
 
 
-def boxes_of(box: str) -> Column:
+def boxes_of(box: Token) -> Column:
     """Ids of all elements on the node's path, itself included, that are such boxes."""
     steps = F.arrays_zip(
         F.slice(F.split(F.col("path"), "/"), F.lit(2), F.size(F.split(F.col("path"), "/"))).alias("t"),
         F.concat(F.col("ancestors"), F.array(F.col("node_id"))).alias("i"),
     )
-    hits = F.filter(steps, lambda s: F.concat(F.lit("/"), s["t"]).rlike(f"^{box}$"))
+    hits = F.filter(steps, lambda s: F.concat(F.lit("/"), s["t"]).rlike(f"^{box.pattern}$"))
     return F.transform(hits, lambda s: s["i"])
 
 
-def in_boxes(nodes: DataFrame, box: str, as_name: str = "box_id") -> DataFrame:
+def in_boxes(nodes: DataFrame, box: Token, as_name: str = "box_id") -> DataFrame:
     """Nodes inside (or equal to) a box, once per enclosing box. No join, no shuffle."""
-    return nodes.filter(F.col("path").rlike(box)).withColumn(as_name, F.explode(boxes_of(box)))
+    for word in box.words:
+        nodes = nodes.filter(F.contains(F.col("path"), F.lit(word)))
+    return nodes.withColumn(as_name, F.explode(boxes_of(box)))
 
 
-def below(*selectors: str) -> Column:
+def below(*selectors: Chain) -> Column:
     """As ``is_at``, for elements inside the box and not the box itself."""
     return is_at(*selectors) & (F.col("node_id") != F.col("box_id"))
 

@@ -13,11 +13,11 @@ from ..functions.specs import memory_specs_tags, memory_type_label, pick_type_la
 from ..functions.stock import normalize_stock
 from ..functions.text import as_col, blank_to_null, combined_text, compact_spaces, first_text, trim_blank
 from ..functions.urls import absolute_url, image_attr, product_number
-from .dom import Pick, below, chain, in_boxes, pick_fields, token as t
+from .dom import Chain, Pick, below, chain, in_boxes, pick_fields, token as t
 
 ITEM_BOX = t(cls="item_listbox")
 # The page's classes for each field, in the order they are asked.
-FIELD_CHAINS: dict[str, list[str]] = {
+FIELD_CHAINS: dict[str, list[Chain]] = {
     "maker_text": [
         chain(t(cls="manufacturer"), t("a")), chain(t(cls="manufacturer")), chain(t(cls="brand"), t("a")),
         chain(t(cls="brand")), chain(t(cls="brand_series"), t(cls="brand"), t("a")),

@@ -13,7 +13,7 @@ from ..functions.text import (
 )
 from ..functions.urls import absolute_url
 from .curate import keep_identified, rank_after_filter
-from .dom import Pick, below, chain, in_boxes, is_at, own, pick_fields, token as t
+from .dom import Chain, Pick, below, chain, in_boxes, is_at, own, pick_fields, token as t
 from .joins import NO_CODE
 
 # The code meta tag in both attribute orders.
@@ -115,7 +115,7 @@ def extract_mall_items(nodes: DataFrame, carry: Sequence[str] = ("url",)) -> Dat
 
 def extract_merchant_items(nodes: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Merchant list rows; the first box of an item code on a page counts."""
-    inner = in_boxes(nodes, t(attr="data-asin")).filter(F.col("path").rlike(t(cls="s-main-slot") + ".*/"))
+    inner = in_boxes(nodes, t(attr="data-asin"))
     text = F.coalesce(F.col("text"), F.lit(""))
     # A found title counts even when it is empty, hence the mark in front.
     title = F.concat(F.lit("="), trim_blank(text))
@@ -206,7 +206,7 @@ def extract_search_items_b(nodes: DataFrame, n: int = 20, carry: Sequence[str] =
     product = F.contains(attrs["href"], F.lit("/bc/item/")) & below(chain(t("a")))
     srcset = F.get(F.split(F.get(F.split(compact_spaces(attrs["srcset"]), ","), F.lit(0)), BLANK), F.lit(0))
 
-    def any_text(name: str, chains: list[str], where: Column) -> Pick:
+    def any_text(name: str, chains: list[Chain], where: Column) -> Pick:
         return Pick(name).first_of_any([below(c) for c in chains], text, where)
 
     digits = text.rlike("[0-9]")

@@ -9,17 +9,17 @@ from ..operators.listing import memory_items, ssd_items, type_component
 
 
 def memory_table(raw: DataFrame, run_at: Column | str) -> DataFrame:
-    """Raw component rows to the published memory table: first URL wins, typed, sorted.
+    """Raw component rows to the published memory table: typed, first URL wins, sorted.
 
-    Rows are deduplicated before typing: the duplicate rows never reach the pattern work.
+    Typing comes before the dedup shuffle, so the sampling pass of the sort reads typed rows
+    instead of running the patterns again.
     """
-    unique = first_wins(raw, "url", _order(raw))
-    return sort_memory(memory_items(type_component(unique, run_at)))
+    return sort_memory(first_wins(memory_items(type_component(raw, run_at)), "url", _order(raw)))
 
 
 def ssd_table(raw: DataFrame, run_at: Column | str) -> DataFrame:
-    unique = first_wins(raw, "url", _order(raw))
-    return sort_ssd(ssd_items(type_component(unique, run_at)))
+    """As ``memory_table`` for SSD listings."""
+    return sort_ssd(first_wins(ssd_items(type_component(raw, run_at)), "url", _order(raw)))
 
 
 def _order(raw: DataFrame) -> list[str]:

@@ -27,8 +27,14 @@ PER_PAGE = 20
 
 
 def compose(rows: DataFrame, item_html: str, head: str, tail: str, site: str) -> DataFrame:
-    """Pages of ``PER_PAGE`` items each from rows with key ``k``."""
+    """Pages of ``PER_PAGE`` items each from rows with key ``k``.
+
+    The shuffle has the session's partition count, which adaptive execution must not lower:
+    few small pages still mean much parsing.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     items = rows.select(F.expr(f"k div {PER_PAGE}").alias("page_id"), "k", F.expr(item_html).alias("h"))
+    items = items.repartition(partitions, "page_id")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "h"))), lambda x: x["h"]), "\n")
     return items.groupBy("page_id").agg(body.alias("body")).select(
         "page_id", F.concat(F.lit(site), F.col("page_id").cast("string")).alias("url"), (F.col("page_id") % 3).cast("int").alias("source_pos"),
