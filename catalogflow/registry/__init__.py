@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import markup, scalars, tables, web
+from . import markup, records, scalars, tables, web
 from .base import Query
 
-MODULES = [scalars, web, tables, markup]
+MODULES = [scalars, web, tables, markup, records]
 
 
 def queries() -> dict[str, Query]:

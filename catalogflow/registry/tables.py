@@ -116,25 +116,6 @@ add(
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM q)
         SELECT e.* FROM e JOIN w USING (run, idx) WHERE stopped = 0""",
 )
-add(
-    "win5_next_line",
-    lambda s, d: table(s, d, "conversations").select("conv_id", "turn", F.md5(curate.next_value("text", ["conv_id"], "turn"))
-                                                     .alias("next_digest")),
-    "SELECT conv_id, turn, md5(lead(text) OVER (PARTITION BY conv_id ORDER BY turn)) AS next_digest FROM conversations",
-)
-add(
-    "win6_under_heading",
-    lambda s, d: curate.under_heading(table(s, d, "lineitem").select("l_partkey", *[c for c in ORDER if c != "l_partkey"])
-        .withColumn("pos", F.expr("l_orderkey * 1000000000 + l_linenumber * 100000000 + cast(l_extendedprice * 100 AS bigint)")),
-        ["l_partkey"], "pos", F.col("l_linenumber") == 1, 8).select("l_partkey", "pos", "heading_pos", "after_heading"),
-    """WITH p AS (SELECT l_partkey, l_linenumber, l_orderkey * 1000000000 + l_linenumber * 100000000 + cast(trunc(l_extendedprice * 100) AS BIGINT) AS pos
-            FROM lineitem),
-        h AS (SELECT *, max(CASE WHEN l_linenumber = 1 THEN pos END) OVER (PARTITION BY l_partkey ORDER BY pos) AS heading_pos FROM p),
-        n AS (SELECT *, cast(row_number() OVER (PARTITION BY l_partkey, heading_pos ORDER BY pos) AS INTEGER) AS after_heading FROM h
-            WHERE heading_pos IS NOT NULL AND l_linenumber <> 1)
-        SELECT l_partkey, pos, heading_pos, after_heading FROM n WHERE after_heading <= 8""",
-)
-
 # --- sorts ------------------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "catalogflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,6 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written to the checkpoint folder and read from there: lineage is cut, a lost executor costs nothing."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 _SHIPPED: set[str] = set()
 
 
