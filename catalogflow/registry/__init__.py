@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import markup, records, scalars, tables, web
+from . import markup, records, runs, scalars, tables, web
 from .base import Query
 
-MODULES = [scalars, web, tables, markup, records]
+MODULES = [scalars, web, tables, markup, records, runs]
 
 
 def queries() -> dict[str, Query]:

@@ -11,7 +11,8 @@ from ..operators.dom import contained, html_nodes
 from ..plans import jobs
 from ..sources.captures import read_pages
 from ..sources.sinks import component_columns
-from .base import K, LISTING_SQL, Query, RUN_AT, d_compact, d_get, listing, table, with_listing
+from .base import K, LISTING_SQL, NWS, Query, RUN_AT, WS, d_compact, d_get, d_num, listing, table
+from .scalars import D_COUPON_1, D_COUPON_2, D_UNTIL, d_coupon, d_iso, d_price_raw, d_ssd_specs, d_tag_specs, d_type_label
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -216,12 +217,49 @@ add(
 )
 
 # --- whole jobs -------------------------------------------------------------------------
-RUN = f"TIMESTAMP '{RUN_AT}'"
+
+
+def run_at():
+    return F.lit(RUN_AT).cast("timestamp")
+
+
+JOINED = " || ' ' || ".join(RAW_TEXTS.split(", ")[:5] + ["coupon_text", "sale_text", "stock_text", "spec_text"])
+LABEL = f"{WS}*[:：]{WS}*({NWS}+)"
+D_FULL = f"SELECT *, {d_compact(JOINED + " || ' ' || array_to_string(tags, ' ')")} AS full_text FROM ({D_RAW})"
+D_CUT = f"""regexp_replace(regexp_replace(CASE WHEN coupon_text <> '' AND instr(full_text, coupon_text) > 0 THEN
+    concat(substring(full_text, 1, instr(full_text, coupon_text) - 1), ' ', substring(full_text, instr(full_text, coupon_text) + length(coupon_text))) ELSE full_text END,
+    '{D_COUPON_1}', ' ', 'g'), '{D_COUPON_2}', ' ', 'g')"""
+D_BASE = f"""SELECT k, url, source_url, image_url, tags, spec_text, coalesce(nullif(spec_text, ''), full_text) AS spec,
+    coalesce({', '.join(d_get('n', label + LABEL) for label in ('商品番号', '商品コード', '型番', '品番', '(?i)SKU'))},
+        CASE WHEN length(regexp_extract(url, '([^/?]+)/?(?:[?].*)?$', 1)) >= 4 THEN regexp_extract(url, '([^/?]+)/?(?:[?].*)?$', 1) END) AS product_number,
+    nullif({d_compact('maker_text')}, '') AS maker_name, nullif({d_compact('product_name_text')}, '') AS product_name,
+    coalesce(original, price) AS original_price_yen, CASE WHEN price IS NOT NULL AND coupon IS NOT NULL THEN greatest(0, price - coupon) ELSE price END AS final_price_yen,
+    nullif({d_compact('stock_text')}, '') AS in_stock_label, nullif({d_compact("coalesce(nullif(sale_text, ''), full_text)")}, '') AS sale_period_raw,
+    {d_iso(d_compact('sale_text'), D_UNTIL, 1)} AS sale_end_guess_jst
+    FROM (SELECT *, {d_compact("coalesce(nullif(product_number_text, ''), full_text)")} AS n, {d_coupon("coalesce(nullif(coupon_text, ''), full_text)")} AS coupon,
+        {d_num(d_price_raw(d_compact(f"coalesce(nullif(final_price_text, ''), {D_CUT})")))} AS price, {d_num(d_price_raw(d_compact('original_price_text')))} AS original
+        FROM ({D_FULL}))"""
+# The first box of a URL in page and box order; k runs in that order inside a source.
+D_UNIQUE = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY (k // {PER_PAGE}) % 3, k) AS rn FROM ({D_BASE})) WHERE rn = 1"""
+D_HEAD = """product_number AS "商品番号", maker_name AS "メーカー名", product_name AS "商品名", image_url AS "商品画像URL", original_price_yen AS "元価格(円)",
+    final_price_yen AS "最終価格(円)", in_stock_label AS "在庫", sale_period_raw AS "セール期間", sale_end_guess_jst AS "セール終了推定(JST)" """
+
+
+def d_plain(c: str) -> str:
+    return f"CASE WHEN {c} = floor({c}) THEN cast(cast({c} AS BIGINT) AS string) ELSE cast({c} AS string) END"
+
+
 add(
     "job_component_memory_table",
-    lambda s, d: component_columns(jobs.memory_table(component_raw(s, d), F.lit(RUN_AT).cast("timestamp")), "memory"),
+    lambda s, d: component_columns(jobs.memory_table(component_raw(s, d), run_at()), "memory"),
+    f"""WITH u AS MATERIALIZED ({D_UNIQUE}), m AS MATERIALIZED ({d_tag_specs('SELECT k, tags, spec FROM u')})
+        SELECT {D_HEAD}, label AS "メモリ種別", {d_plain('memory_capacity_gb')} AS "容量(GB)", memory_speed AS "速度", sticks AS "枚数", url AS "URL"
+        FROM u JOIN m USING (k) JOIN ({d_type_label('SELECT u.k, tags, spec_text, memory_ddr AS ddr FROM u JOIN m USING (k)')}) l USING (k)""",
 )
 add(
     "job_component_ssd_table",
-    lambda s, d: component_columns(jobs.ssd_table(component_raw(s, d), F.lit(RUN_AT).cast("timestamp")), "ssd"),
+    lambda s, d: component_columns(jobs.ssd_table(component_raw(s, d), run_at()), "ssd"),
+    f"""WITH u AS MATERIALIZED ({D_UNIQUE})
+        SELECT {D_HEAD}, capacity_gb AS "容量(GB)", capacity_text AS "容量(表示)", interface_text AS "インターフェース", form_factor AS "フォームファクタ",
+        tags_text AS "タグ", url AS "URL", source_url AS "取得元URL" FROM u JOIN ({d_ssd_specs('SELECT k, tags, spec FROM u')}) USING (k)""",
 )

@@ -326,41 +326,8 @@ add(
     .select("k", *[F.col(f"p.{c}") for c in SPEC_COLS]),
     with_listing(d_text_specs(f"SELECT k, {d_compact('spec_text')} AS t FROM listing")),
 )
-TAG_ROWS = f"""SELECT k, pos, t FROM (SELECT k, generate_subscripts(a, 1) AS pos, unnest(a) AS raw, {d_compact('raw')} AS t
-    FROM (SELECT k, string_split(tags_text, '|') AS a FROM listing)) WHERE t <> ''"""
 DT = rf"(?i)\bDDR{WS}*([34-6])\b"
 EX = rf"(?i)^({NUM}){WS}*GB$"
-add(
-    "scl13_memory_specs_tags",
-    lambda s, d: listing(s, d).select("k", specs.memory_specs_tags(F.col("tags"), "spec_text").alias("p"))
-    .select("k", *[F.col(f"p.{c}") for c in SPEC_COLS]),
-    with_listing(f""", fb AS ({d_text_specs(f"SELECT k, {d_compact('spec_text')} AS t FROM listing")}),
-    tg AS (SELECT k, min_by('DDR' || {d_get('t', DT)}, pos) FILTER (WHERE {d_get('t', DT)} IS NOT NULL) AS ddr,
-        min_by(coalesce({dbl('t', SP1)}, {dbl('t', SP2)}), pos) FILTER (WHERE coalesce({dbl('t', SP1)}, {dbl('t', SP2)}) IS NOT NULL) AS speed,
-        max_by({dbl('t', G, 1)}, pos) FILTER (WHERE regexp_matches(t, '{G}')) AS g1,
-        max_by({dbl('t', G, 2)}, pos) FILTER (WHERE regexp_matches(t, '{G}')) AS g2,
-        max_by({dbl('t', G, 3)}, pos) FILTER (WHERE regexp_matches(t, '{G}')) AS g3,
-        min_by({dbl('t', EX)}, pos) FILTER (WHERE regexp_matches(t, '{EX}')) AS ex,
-        min_by({dbl('t', MD)}, pos) FILTER (WHERE regexp_matches(t, '{MD}')) AS md,
-        min_by({dbl('t', ST)}, pos) FILTER (WHERE regexp_matches(t, '{ST}')) AS st
-        FROM ({TAG_ROWS}) GROUP BY k),
-    mg AS (SELECT fb.k, coalesce(ddr, memory_ddr) AS ddr, coalesce(speed, memory_speed) AS speed,
-        coalesce(g1, ex, memory_capacity_gb) AS gb, coalesce(g3, st, fb.sticks) AS sticks,
-        coalesce(g2, md, memory_capacity_per_stick_gb) AS per FROM fb LEFT JOIN tg ON fb.k = tg.k)
-    SELECT k, ddr AS memory_ddr, coalesce(gb, per2 * sticks) AS memory_capacity_gb, cast(speed AS INTEGER) AS memory_speed,
-        cast(sticks AS INTEGER) AS sticks, per2 AS memory_capacity_per_stick_gb
-        FROM (SELECT *, coalesce(per, CASE WHEN sticks > 0 THEN gb / sticks END) AS per2 FROM mg)""").replace(") , fb", "), fb"),
-)
-add(
-    "scl11_memory_type_label",
-    lambda s, d: listing(s, d).select("k", specs.memory_type_label(
-        specs.pick_type_label(F.col("tags")), "spec_text", specs.memory_specs_text("spec_text")["memory_ddr"]).alias("v")),
-    with_listing(f""", tg AS (SELECT k, coalesce(min_by(t, pos) FILTER (WHERE {d_get('t', DT)} IS NOT NULL), min_by(t, pos)) AS label
-        FROM ({TAG_ROWS}) GROUP BY k)
-    SELECT l.k, coalesce(label, nullif(upper(regexp_replace(regexp_extract({d_compact('spec_text')},
-        '(?i)(DDR{WS}*[34-6](?:(?:-|{WS})?\\d{{3,5}})?)', 1), '{WS}+', ' ', 'g')), '')) AS v
-        FROM listing l LEFT JOIN tg ON l.k = tg.k""").replace(") , tg", "), tg"),
-)
 SZ = rf"(?i)^({NUM}){WS}*(TB|GB)$"
 RG = rf"(?i)({NUM}){WS}*(TB|GB){WS}*以上[〜~～\-]{WS}*({NUM}){WS}*(TB|GB)"
 LO = rf"(?i)({NUM}){WS}*(TB|GB){WS}*以上"
@@ -368,36 +335,88 @@ UP1, UP2 = rf"(?i)^[〜~～]{WS}*({NUM}){WS}*(TB|GB)$", rf"(?i)[〜~～\-]{WS}*(
 SZT = rf"(?i)({NUM}){WS}*(TB|GB)\b"
 
 
-def d_gb(v: str, u: str) -> str:
-    return f"cast(floor(try_cast({v} AS DOUBLE) * CASE upper({u}) WHEN 'TB' THEN 1000 WHEN 'GB' THEN 1 END + 0.5) AS INTEGER)"
+def d_tag_rows(source: str) -> str:
+    """Check SQL: the filled tags of ``source(k, tags)`` with their place."""
+    return f"""SELECT k, pos, t FROM (SELECT k, generate_subscripts(tags, 1) AS pos, unnest(tags) AS raw, {d_compact('raw')} AS t FROM ({source})) WHERE t <> ''"""
 
 
 def d_first(*patterns: str) -> str:
     return "coalesce(" + ", ".join(f"min_by(t, pos) FILTER (WHERE regexp_matches(t, '{p}'))" for p in patterns) + ")"
 
 
-add(
-    "scl14_ssd_specs",
-    lambda s, d: listing(s, d).select("k", specs.ssd_specs(F.col("tags"), "spec_text").alias("p")).select("k", "p.*"),
-    with_listing(f""", tr AS (SELECT *, regexp_matches(t, '{RG}') AS is_range FROM ({TAG_ROWS})),
-    b AS (SELECT *, CASE WHEN is_range THEN {d_gb(d_get('t', RG, 1), d_get('t', RG, 2))} ELSE {d_gb(d_get('t', LO, 1), d_get('t', LO, 2))} END AS lo,
+def d_tag_specs(source: str) -> str:
+    """Check SQL: memory specifications of ``source(k, tags, spec)``."""
+    def first(pattern: str) -> str:
+        return f"min_by({dbl('t', pattern)}, pos) FILTER (WHERE regexp_matches(t, '{pattern}'))"
+
+    def last(group: int) -> str:
+        return f"max_by({dbl('t', G, group)}, pos) FILTER (WHERE regexp_matches(t, '{G}'))"
+
+    speed = f"coalesce({dbl('t', SP1)}, {dbl('t', SP2)})"
+    return f"""SELECT k, ddr AS memory_ddr, coalesce(gb, per2 * sticks) AS memory_capacity_gb, cast(speed AS INTEGER) AS memory_speed,
+        cast(sticks AS INTEGER) AS sticks, per2 AS memory_capacity_per_stick_gb
+        FROM (SELECT *, coalesce(per, CASE WHEN sticks > 0 THEN gb / sticks END) AS per2 FROM (
+            SELECT fb.k, coalesce(ddr, memory_ddr) AS ddr, coalesce(speed, memory_speed) AS speed, coalesce(g1, ex, memory_capacity_gb) AS gb,
+                coalesce(g3, st, fb.sticks) AS sticks, coalesce(g2, md, memory_capacity_per_stick_gb) AS per
+            FROM ({d_text_specs(f"SELECT k, {d_compact('spec')} AS t FROM ({source})")}) fb LEFT JOIN (
+                SELECT k, min_by('DDR' || {d_get('t', DT)}, pos) FILTER (WHERE {d_get('t', DT)} IS NOT NULL) AS ddr,
+                    min_by({speed}, pos) FILTER (WHERE {speed} IS NOT NULL) AS speed, {last(1)} AS g1, {last(2)} AS g2, {last(3)} AS g3,
+                    {first(EX)} AS ex, {first(MD)} AS md, {first(ST)} AS st FROM ({d_tag_rows(source)}) GROUP BY k) tg ON fb.k = tg.k))"""
+
+
+def d_type_label(source: str) -> str:
+    """Check SQL: type label of ``source(k, tags, spec_text, ddr)``."""
+    written = f"regexp_extract({d_compact('spec_text')}, '(?i)(DDR{WS}*[34-6](?:(?:-|{WS})?\\d{{3,5}})?)', 1)"
+    return f"""SELECT l.k, coalesce(label, nullif(upper(regexp_replace({written}, '{WS}+', ' ', 'g')), ''), ddr) AS label FROM ({source}) l LEFT JOIN (
+        SELECT k, coalesce(min_by(t, pos) FILTER (WHERE {d_get('t', DT)} IS NOT NULL), min_by(t, pos)) AS label
+        FROM ({d_tag_rows(source)}) GROUP BY k) tg ON l.k = tg.k"""
+
+
+def d_gb(v: str, u: str) -> str:
+    return f"cast(floor(try_cast({v} AS DOUBLE) * CASE upper({u}) WHEN 'TB' THEN 1000 WHEN 'GB' THEN 1 END + 0.5) AS INTEGER)"
+
+
+def d_word(w: str) -> str:
+    return f"(?:^|[^A-Za-z0-9_]){w}(?:$|[^A-Za-z0-9_])"
+
+
+def d_ssd_specs(source: str) -> str:
+    """Check SQL: SSD specifications of ``source(k, tags, spec)``."""
+    rows = f"SELECT *, regexp_matches(t, '{RG}') AS is_range FROM ({d_tag_rows(source)})"
+    bounds = f"""SELECT *, CASE WHEN is_range THEN {d_gb(d_get('t', RG, 1), d_get('t', RG, 2))} ELSE {d_gb(d_get('t', LO, 1), d_get('t', LO, 2))} END AS lo,
         CASE WHEN is_range THEN {d_get('t', RG, 3)} ELSE coalesce({d_get('t', UP1, 1)}, {d_get('t', UP2, 1)}) END AS uv,
-        CASE WHEN is_range THEN {d_get('t', RG, 4)} ELSE coalesce({d_get('t', UP1, 2)}, {d_get('t', UP2, 2)}) END AS uu FROM tr),
-    a AS (SELECT k, max(lo) AS lo, max({d_gb('uv', 'uu')}) AS up, max_by(uv || upper(uu), pos) FILTER (WHERE uv IS NOT NULL) AS up_text,
+        CASE WHEN is_range THEN {d_get('t', RG, 4)} ELSE coalesce({d_get('t', UP1, 2)}, {d_get('t', UP2, 2)}) END AS uu FROM ({rows})"""
+    per_item = f"""SELECT k, max(lo) AS lo, max({d_gb('uv', 'uu')}) AS up, max_by(uv || upper(uu), pos) FILTER (WHERE uv IS NOT NULL) AS up_text,
         min_by(t, pos) FILTER (WHERE regexp_matches(t, '{SZ}')) AS exact,
-        {d_first('(?i)M[.]2', '(?:^|[^A-Za-z0-9_])2280(?:$|[^A-Za-z0-9_])', '(?:^|[^A-Za-z0-9_])2242(?:$|[^A-Za-z0-9_])',
-                 '(?:^|[^A-Za-z0-9_])2230(?:$|[^A-Za-z0-9_])', '2[.]5')} AS form_tag,
-        {d_first('(?i)NVMe', '(?i)SATA', '(?i)PCIe', f'(?i)Serial{WS}*ATA')} AS if_tag,
-        string_agg(t, ' | ' ORDER BY pos) AS tags_text FROM b GROUP BY k),
-    j AS (SELECT l.k, {d_compact('l.spec_text')} AS t, a.* EXCLUDE (k), up IS NOT NULL AND (lo IS NULL OR up > lo) AS wins
-        FROM listing l LEFT JOIN a ON l.k = a.k),
-    r AS (SELECT *, CASE WHEN wins THEN up ELSE coalesce({d_gb(d_get('exact', SZ, 1), d_get('exact', SZ, 2))}, lo) END AS gb,
-        CASE WHEN wins THEN up_text ELSE exact END AS cap FROM j)
-    SELECT k, coalesce(gb, CASE WHEN cap IS NULL THEN {d_gb(d_get('t', SZT, 1), d_get('t', SZT, 2))} END) AS capacity_gb,
+        {d_first('(?i)M[.]2', d_word('2280'), d_word('2242'), d_word('2230'), '2[.]5')} AS form_tag,
+        {d_first('(?i)NVMe', '(?i)SATA', '(?i)PCIe', f'(?i)Serial{WS}*ATA')} AS if_tag, string_agg(t, ' | ' ORDER BY pos) AS tags_text FROM ({bounds}) GROUP BY k"""
+    joined = f"""SELECT l.k, {d_compact('l.spec')} AS t, a.* EXCLUDE (k), up IS NOT NULL AND (lo IS NULL OR up > lo) AS wins
+        FROM ({source}) l LEFT JOIN ({per_item}) a ON l.k = a.k"""
+    resolved = f"""SELECT *, CASE WHEN wins THEN up ELSE coalesce({d_gb(d_get('exact', SZ, 1), d_get('exact', SZ, 2))}, lo) END AS gb,
+        CASE WHEN wins THEN up_text ELSE exact END AS cap FROM ({joined})"""
+    return f"""SELECT k, coalesce(gb, CASE WHEN cap IS NULL THEN {d_gb(d_get('t', SZT, 1), d_get('t', SZT, 2))} END) AS capacity_gb,
         coalesce(cap, {d_get('t', SZT, 1)} || upper({d_get('t', SZT, 2)})) AS capacity_text,
         coalesce(if_tag, upper({d_get('t', r'(?i)\b(NVMe|SATA|PCIe)\b')})) AS interface_text,
-        coalesce(form_tag, {d_get('t', r'(?i)\b(M\.2|2280|2242|2230|2\.5)\b')}) AS form_factor, tags_text FROM r""")
-    .replace(") , tr", "), tr"),
+        coalesce(form_tag, {d_get('t', r'(?i)\b(M\.2|2280|2242|2230|2\.5)\b')}) AS form_factor, tags_text FROM ({resolved})"""
+
+
+TAGGED = "SELECT k, string_split(tags_text, '|') AS tags, spec_text AS spec, spec_text, NULL AS ddr FROM listing"
+add(
+    "scl13_memory_specs_tags",
+    lambda s, d: listing(s, d).select("k", specs.memory_specs_tags(F.col("tags"), "spec_text").alias("p"))
+    .select("k", *[F.col(f"p.{c}") for c in SPEC_COLS]),
+    with_listing(d_tag_specs(TAGGED)),
+)
+add(
+    "scl11_memory_type_label",
+    lambda s, d: listing(s, d).select("k", specs.memory_type_label(
+        specs.pick_type_label(F.col("tags")), "spec_text", specs.memory_specs_text("spec_text")["memory_ddr"]).alias("label")),
+    with_listing(d_type_label(TAGGED)),
+)
+add(
+    "scl14_ssd_specs",
+    lambda s, d: listing(s, d).select("k", specs.ssd_specs(F.col("tags"), "spec_text").alias("p")).select("k", "p.*"),
+    with_listing(d_ssd_specs(TAGGED)),
 )
 add(
     "scl15_to_gb",

@@ -48,13 +48,18 @@ def read_captures(spark: SparkSession, root: str) -> DataFrame:
     return located.select(F.xxhash64("path").alias("page_id"), "path", *capture_path_fields("path"), "html")
 
 
+def parse_capture_meta(text: Column | str) -> Column:
+    """Capture metadata of one JSON text; NULL fields for text that is no JSON."""
+    return F.from_json(F.col(text) if isinstance(text, str) else text, CAPTURE_META)
+
+
 def read_capture_meta(spark: SparkSession, root: str) -> DataFrame:
     """Capture metadata files with their directory, which joins them to the captured page."""
-    meta = (
-        spark.read.schema(CAPTURE_META).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*metadata.json").json(root, multiLine=True)
+    files = (
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*metadata.json").text(root, wholetext=True)
     )
-    return meta.select("*", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("capture_dir"))
+    meta = files.select(parse_capture_meta("value").alias("m"), F.col("_metadata.file_path").alias("path"))
+    return meta.select("m.*", F.regexp_replace("path", "/[^/]*$", "").alias("capture_dir"))
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

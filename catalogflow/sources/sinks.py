@@ -25,6 +25,10 @@ SSD_COLUMNS = {
     "タグ": "tags_text", "URL": "url", "取得元URL": "source_url",
 }
 FORMATS = ("csv", "jsonl")
+# Without these Spark trims cells, and the sold-out cell ends in a blank.
+CSV_CELLS = {
+    "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 SOLD_OUT_CELL = "売り切れ "
 VARIATION_CELL = "バリエーション有り"
 
@@ -44,7 +48,8 @@ def _number_text(df: DataFrame, name: str) -> Column:
 
 
 def write_component_csv(df: DataFrame, kind: str, path: str) -> None:
-    component_columns(df, kind).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="")
+    """Cells quoted only where needed, under the fixed header."""
+    component_columns(df, kind).write.mode("overwrite").options(header="true", nullValue="", **CSV_CELLS).csv(path)
 
 
 def snapshot_cells(df: DataFrame) -> DataFrame:
@@ -52,7 +57,7 @@ def snapshot_cells(df: DataFrame) -> DataFrame:
     cells = []
     for field in df.schema.fields:
         c = F.col(field.name)
-        text = iso_utc(c) if isinstance(field.dataType, T.TimestampType) else c.cast("string")
+        text = iso_utc(c) if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)) else c.cast("string")
         cells.append(F.coalesce(text, F.lit("")).alias(field.name))
     return df.select(*cells)
 
@@ -68,7 +73,7 @@ def mall_snapshot(df: DataFrame) -> DataFrame:
 
 def write_snapshot_csv(df: DataFrame, path: str) -> None:
     """Headerless CSV with every cell quoted. Spark writes no byte-order mark and ends the last line."""
-    snapshot_cells(df).write.mode("overwrite").option("quoteAll", True).csv(path, quote='"', escape='"', emptyValue="")
+    snapshot_cells(df).write.mode("overwrite").options(quoteAll="true", **CSV_CELLS).csv(path)
 
 
 def flatten_for_csv(df: DataFrame) -> DataFrame:
@@ -78,7 +83,7 @@ def flatten_for_csv(df: DataFrame) -> DataFrame:
         c = F.col(field.name)
         if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
             text = F.to_json(c, {"ignoreNullFields": "false"})
-        elif isinstance(field.dataType, T.TimestampType):
+        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             text = iso_utc(c)
         else:
             text = c.cast("string")
@@ -87,9 +92,7 @@ def flatten_for_csv(df: DataFrame) -> DataFrame:
 
 
 def write_market_csv(df: DataFrame, path: str) -> None:
-    flatten_for_csv(df).write.mode("overwrite").option("quoteAll", True).csv(
-        path, header=True, quote='"', escape='"', emptyValue=""
-    )
+    flatten_for_csv(df).write.mode("overwrite").options(header="true", quoteAll="true", **CSV_CELLS).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
