@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANK, as_col, blank_to_null, compact_spaces, extract, let
+from .text import BLANK, as_col, blank_to_null, compact_spaces, extract_if, let
 
 # Fixed values: "M/D H:MM" and the words between or after two of them.
 STAMP = rf"(\d{{1,2}})/(\d{{1,2}}){BLANK}+(\d{{1,2}}):(\d{{2}})"
@@ -17,8 +17,10 @@ def _two(c: Column) -> Column:
     return F.lpad(c, 2, "0")
 
 
-def _iso(text: Column, pattern: str, first_group: int, run_at: Column) -> Column:
-    month, day, hour, minute = (extract(text, pattern, first_group + i) for i in range(4))
+def _iso(match: Column, first: int, run_at: Column) -> Column:
+    """ISO time of the ``first``-th stamp in a short matched text."""
+    numbers = F.regexp_extract_all(match, F.lit(r"(\d+)"), F.lit(1))
+    month, day, hour, minute = (F.get(numbers, F.lit(first + i)) for i in range(4))
     return F.concat(
         F.date_format(run_at, "yyyy"), F.lit("-"), _two(month), F.lit("-"), _two(day),
         F.lit("T"), _two(hour), F.lit(":"), _two(minute), F.lit(":00+09:00"),
@@ -28,19 +30,26 @@ def _iso(text: Column, pattern: str, first_group: int, run_at: Column) -> Column
 def parse_sale_period(c: Column | str, run_at: Column | str) -> Column:
     """struct(sale_period_raw, sale_start, sale_end)."""
     run_at = as_col(run_at)
-    return let(
-        compact_spaces(c),
-        lambda text: F.struct(
-            blank_to_null(text).alias("sale_period_raw"),
-            _iso(text, SALE_RANGE, 1, run_at).alias("sale_start"),
-            F.coalesce(_iso(text, SALE_RANGE, 5, run_at), _iso(text, SALE_UNTIL, 1, run_at)).alias("sale_end"),
-        ),
-    )
+
+    def found(text: Column) -> Column:
+        return F.struct(
+            text.alias("text"), extract_if(text, ("/",), SALE_RANGE, 0).alias("both"),
+            extract_if(text, ("まで",), SALE_UNTIL, 0).alias("until"),
+        )
+
+    def build(m: Column) -> Column:
+        return F.struct(
+            blank_to_null(m["text"]).alias("sale_period_raw"),
+            _iso(m["both"], 0, run_at).alias("sale_start"),
+            F.coalesce(_iso(m["both"], 4, run_at), _iso(m["until"], 0, run_at)).alias("sale_end"),
+        )
+
+    return let(let(compact_spaces(c), found), build)
 
 
 def parse_sale_end(c: Column | str, run_at: Column | str) -> Column:
     run_at = as_col(run_at)
-    return let(compact_spaces(c), lambda text: _iso(text, SALE_UNTIL, 1, run_at))
+    return _iso(let(compact_spaces(c), lambda text: extract_if(text, ("まで",), SALE_UNTIL, 0)), 0, run_at)
 
 
 def iso_utc(c: Column | str) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANK, EDGE, LEFT, as_col, compact_spaces, extract, let, trim_blank
+from .text import BLANK, EDGE, LEFT, as_col, compact_spaces, contains_any, extract, extract_if, let, trim_blank
 
 # Price and coupon patterns.
 PRICE = rf"(?:¥|￥){BLANK}*([0-9][0-9,]*)|([0-9][0-9,]*){BLANK}*円"
 COUPON_AFTER = rf"(?i)([0-9][0-9,]*){BLANK}*円{BLANK}*(?:引き|OFF|オフ)"
 COUPON_BEFORE = rf"(?i)(?:¥|￥){BLANK}*([0-9][0-9,]*){BLANK}*(?:OFF|オフ)"
+COUPON_WORDS = ("引き", "OFF", "オフ")
 PRICE_DECIMAL = rf"(?:¥|￥){BLANK}*[0-9][0-9,]*(?:\.[0-9]+)?|[0-9][0-9,]*(?:\.[0-9]+)?{BLANK}*円"
 MODEL = rf"{LEFT}[A-Z]{{1,6}}-[A-Z0-9]{{2,}}[A-Z0-9-]*{EDGE}"
 
@@ -23,18 +24,23 @@ def parse_price_yen(c: Column | str) -> Column:
     """struct(price_yen, price_raw) of the first yen amount."""
 
     def build(text: Column) -> Column:
-        raw = F.coalesce(extract(text, PRICE, 1), extract(text, PRICE, 2))
-        return let(raw, lambda r: F.struct(yen_number(r).alias("price_yen"), r.alias("price_raw")))
+        amount = extract_if(text, ("¥", "￥", "円"), PRICE, 0)
+        # The match holds one run of digits and commas; the rest is marks and blanks.
+        return let(
+            F.regexp_extract(amount, "[0-9,]+", 0), lambda r: F.struct(yen_number(r).alias("price_yen"), r.alias("price_raw"))
+        )
 
     return let(compact_spaces(c), build)
 
 
 def parse_coupon_yen(c: Column | str) -> Column:
     """Coupon amount, NULL without one."""
-    return let(
-        compact_spaces(c),
-        lambda text: yen_number(F.coalesce(extract(text, COUPON_AFTER), extract(text, COUPON_BEFORE))),
-    )
+
+    def build(text: Column) -> Column:
+        found = F.coalesce(extract(text, COUPON_AFTER), extract(text, COUPON_BEFORE))
+        return F.when(contains_any(F.upper(text), COUPON_WORDS), yen_number(found))
+
+    return let(compact_spaces(c), build)
 
 
 def remove_coupon_text(c: Column | str, coupon: Column | str) -> Column:

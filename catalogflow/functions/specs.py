@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANK, LEFT, RIGHT, as_col, blank_to_null, compact_spaces, extract, let
+from .text import BLANK, LEFT, RIGHT, as_col, blank_to_null, compact_spaces, extract, extract_if, let
 
 # Specification patterns, in the order they are tried.
 N = r"\d+(?:\.\d+)?"
@@ -96,22 +96,45 @@ def _back_fill(s: Column, total_first: bool) -> Column:
 
 
 def memory_specs_text(c: Column | str) -> Column:
-    """struct(memory_ddr, memory_capacity_gb, memory_speed, sticks, memory_capacity_per_stick_gb)."""
+    """struct(memory_ddr, memory_capacity_gb, memory_speed, sticks, memory_capacity_per_stick_gb).
 
-    def found(text: Column) -> Column:
-        def num(pattern: str, group: int = 1) -> Column:
-            return extract(text, pattern, group).try_cast("double")
+    Each pattern runs once, only where a word it needs occurs; its groups are then read from the
+    short match.
+    """
+
+    def matches(t: Column) -> Column:
+        # Upper-case text and upper-case patterns match the same places, without case-folding each step.
+        def hit(words: tuple[str, ...], pattern: str, group: int) -> Column:
+            return extract_if(t, words, pattern.removeprefix("(?i)").replace("[x×]", "[X×]").replace("kit", "KIT"), group)
+
+        return F.struct(
+            F.coalesce(hit(("LDDR", "LPDDR"), DDR_TEXT[0], 1), hit(("DDR",), DDR_TEXT[1], 1)).alias("ddr"),
+            F.coalesce(hit(("DDR",), SPEED[0], 1), hit(("MT/S", "MHZ"), SPEED[1], 1)).alias("speed"),
+            hit(("(",), GROUPED, 0).alias("grouped"),
+            hit(("X", "×"), PER_STICK, 0).alias("per_stick"),
+            hit(("モジュール",), MODULE, 1).alias("module"),
+            hit(("枚", "KIT", "セット"), STICKS, 1).alias("sticks"),
+            hit(("GB",), TOTAL, 1).alias("total"),
+        )
+
+    def found(m: Column) -> Column:
+        def num(name: str) -> Column:
+            return m[name].try_cast("double")
+
+        def group(name: str, pattern: str, i: int) -> Column:
+            return extract(m[name], pattern, i).try_cast("double")
 
-        per_stick, per_sticks = num(PER_STICK, 1), num(PER_STICK, 2)
+        per_stick, per_sticks = group("per_stick", PER_STICK, 1), group("per_stick", PER_STICK, 2)
         return _memory_struct(
-            _ddr(F.coalesce(*[extract(text, p) for p in DDR_TEXT])),
-            F.coalesce(num(GROUPED, 1), per_stick * per_sticks, num(TOTAL)),
-            F.coalesce(*[num(p) for p in SPEED]),
-            F.coalesce(num(GROUPED, 3), per_sticks, num(STICKS)),
-            F.coalesce(num(GROUPED, 2), per_stick, num(MODULE)),
+            _ddr(m["ddr"]),
+            F.coalesce(group("grouped", GROUPED, 1), per_stick * per_sticks, num("total")),
+            num("speed"),
+            F.coalesce(group("grouped", GROUPED, 3), per_sticks, num("sticks")),
+            F.coalesce(group("grouped", GROUPED, 2), per_stick, num("module")),
         )
 
-    return let(let(compact_spaces(c), found), lambda s: _back_fill(s, total_first=True))
+    found_in = let(let(F.upper(compact_spaces(c)), matches), found)
+    return let(found_in, lambda s: _back_fill(s, total_first=True))
 
 
 def memory_specs_tags(tags: Column, fallback: Column | str) -> Column:

@@ -35,19 +35,35 @@ def extract(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
+# Characters that are surely no blank, or the plain blank; text outside it takes the exact path.
+ORDINARY = r"[^ -~\x{00A1}-\x{167F}\x{3001}-\x{FEFE}\x{FF00}-\x{10FFFF}]"
+
+
+def _unusual(c: Column) -> Column:
+    return c.rlike(ORDINARY)
+
+
 def trim_blank(c: Column | str) -> Column:
-    return F.regexp_replace(as_col(c), f"^{BLANK}+|{BLANK}+$", "")
+    """Trimmed of every kind of blank. Text with plain blanks only needs no pattern."""
+    c = as_col(c)
+    return F.when(_unusual(c), F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")).otherwise(F.trim(c))
+
+
+def _tidy(c: Column, runs: Column) -> Column:
+    unusual = _unusual(c) | F.contains(c, F.lit("  "))
+    return F.when(unusual, F.regexp_replace(runs, f"^{BLANK}+|{BLANK}+$", "")).otherwise(F.trim(c))
 
 
 def compact_spaces(c: Column | str) -> Column:
     """NULL to '', hard blanks and line ends to a blank, runs of blanks to one, trimmed."""
-    plain = F.translate(F.coalesce(as_col(c), F.lit("")), "\u00a0\t\r\n", "    ")
-    return trim_blank(F.regexp_replace(plain, BLANK + "{2,}", " "))
+    text = F.coalesce(as_col(c), F.lit(""))
+    plain = F.translate(text, "\u00a0\t\r\n", "    ")
+    return _tidy(text, F.regexp_replace(plain, BLANK + "{2,}", " "))
 
 
 def normalize_ws(c: Column | str) -> Column:
     """Every run of blanks to one blank, trimmed."""
-    return trim_blank(F.regexp_replace(as_col(c), BLANK + "+", " "))
+    return _tidy(as_col(c), F.regexp_replace(as_col(c), BLANK + "+", " "))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -165,6 +181,11 @@ def error_struct(c: Column | str) -> Column:
     )
 
 
+def extract_if(c: Column, words: list[str] | tuple[str, ...], pattern: str, group: int = 1, within: Column | None = None) -> Column:
+    """``extract`` that runs the pattern only where one of the words it needs occurs (in ``within``)."""
+    return F.when(contains_any(c if within is None else within, words), extract(c, pattern, group))
+
+
 def contains_any(c: Column, words: list[str] | tuple[str, ...]) -> Column:
     """True when any of the words is a substring (false for NULL)."""
     hit = F.lit(False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANK, NOT_BLANK, as_col, blank_to_null, compact_spaces, extract, let, normalize_ws, trim_blank
+from .text import BLANK, NOT_BLANK, as_col, blank_to_null, compact_spaces, extract, extract_if, let, normalize_ws, trim_blank
 
 # The parts of a URL: 1 scheme, 2 authority, 3 path, 4 "?query", 5 "#fragment".
 PARTS = r"^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
@@ -119,11 +119,12 @@ def host_prefixed(host: str, href: Column | str) -> Column:
 def product_number(text: Column | str, url: Column | str) -> Column:
     """The value after a number label, else the last URL path part of four or more characters."""
     # Labels in the order they are tried.
-    labels = ("商品番号", "商品コード", "型番", "品番", "(?i)SKU")
+    labels = {"商品番号": "商品番号", "商品コード": "商品コード", "型番": "型番", "品番": "品番", "SKU": "(?i)SKU"}
     mark = rf"{BLANK}*[:：]{BLANK}*({NOT_BLANK}+)"
 
     def labelled(t: Column) -> Column:
-        return F.coalesce(*[extract(t, label + mark) for label in labels])
+        upper = F.upper(t)
+        return F.coalesce(*[extract_if(t, (word,), label + mark, within=upper) for word, label in labels.items()])
 
     last = F.try_element_at(path_parts(url), F.lit(-1))
     return F.coalesce(let(compact_spaces(text), labelled), F.when(F.length(last) >= 4, last))

@@ -45,13 +45,11 @@ def retention_marks(listing: DataFrame, k: float | None = KEEP_RUNS) -> DataFram
     stamps are reduced per task before each shuffle, so a hot segment stays small.
     """
     n = keep_count(k)
-    named = (
-        listing.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
-        .withColumn("_run", parse_run_name("path", "is_dir"))
-        .withColumns({"segment": F.col("_run.segment"), "stamp": F.col("_run.stamp")})
-        .drop("_run")
-        .filter(F.col("stamp").isNotNull() & F.col("segment").isNotNull())
-    )
+    # A generator is a wall for filters: as a plain column the name pattern would run once per later use.
+    run = F.struct(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), parse_run_name("path", "is_dir").alias("run"))
+    named = listing.select("*", F.explode(F.array(run)).alias("_n")).select(
+        *listing.columns, F.col("_n.folder").alias("folder"), "_n.run.segment", "_n.run.stamp"
+    ).filter(F.col("stamp").isNotNull() & F.col("segment").isNotNull())
     keys = ["folder", "is_dir", "segment"]
     newest = Window.partitionBy(*keys).orderBy(F.desc("stamp"))
     stamps = named.select(*keys, "stamp").distinct()

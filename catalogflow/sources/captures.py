@@ -9,14 +9,19 @@ from pyspark.sql import types as T
 from ..schemas import CAPTURE_META
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table of captured pages, spread over the cluster when it has too few splits.
+def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
+    """A file scan with fewer splits than task slots, spread by key for work that is heavy per row.
 
-    The check looks at the scan's own split count; a large table keeps its splits and is not shuffled.
+    The check reads the scan's own split count; a large table keeps its splits and is not
+    shuffled. Hand in plain scans only.
     """
-    pages = spark.read.parquet(path)
-    wanted = spark.sparkContext.defaultParallelism
-    return pages.repartition(wanted, "page_id") if pages.rdd.getNumPartitions() < wanted else pages
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(slots, *keys) if scan.rdd.getNumPartitions() < slots else scan
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table of captured pages."""
+    return spread_scan(spark.read.parquet(path), "page_id")
 
 
 # ``<root>/<project>/<target>/<stamp>/<label>/page.html`` or ``source-NN-page-NN.html``
