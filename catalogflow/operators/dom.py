@@ -242,8 +242,8 @@ def html_nodes(
             carried = [batch.column(i) for i in range(len(columns))]
             rows: list[tuple] = []
             owner: list[int] = []
-            for i, text in enumerate(batch.column(len(columns)).to_pylist()):
-                found = parse_page(text or "", keep)
+            for i, text in enumerate(batch.column(len(columns))):
+                found = parse_page(text.as_py() or "", keep)
                 rows.extend(found)
                 owner.extend([i] * len(found))
                 if len(rows) >= 20000:
