@@ -12,6 +12,7 @@ from ..functions.text import (
     unique_specs, unique_strings,
 )
 from ..functions.urls import absolute_url, model_from_url
+from ..session import stored
 from .curate import under_heading
 from .dom import DOCUMENT, Pick, chain, is_at, pick_fields, token as t
 from .jsonld import jsonld_nodes, jsonld_record
@@ -128,24 +129,32 @@ def definition_pairs(nodes: DataFrame) -> DataFrame:
     )
 
 
-def heading_entries(nodes: DataFrame, words: tuple[str, ...]) -> DataFrame:
-    """Texts after each heading that names one of the words: page_id, heading_id, entries in order.
+def heading_entries(nodes: DataFrame) -> DataFrame:
+    """Texts after each specification or FAQ heading: page_id, heading_id, is_spec, is_faq, entries in order.
 
     Up to eight sibling elements, ended by the next heading. A table gives ``label: value``
     lines, a dl ``label: value`` pairs, an element with list items its items, any other its text.
     """
+    is_heading = F.col("tag").isin(*HEADINGS)
+
+    def names(text: Column, words: tuple[str, ...]) -> Column:
+        return is_heading & contains_any(F.lower(text), words)
+
     # Only sibling groups with a matching heading matter; they are found before any window runs.
-    mark = (F.col("tag").isin(*HEADINGS)) & contains_any(F.lower(compact_spaces("text")), words)
-    hot = nodes.filter(mark).select("page_id", "parent_id").distinct()
+    mark = names(compact_spaces("text"), SPEC_WORDS + FAQ_WORDS)
+    hot = nodes.filter(is_heading).filter(mark).select("page_id", "parent_id").distinct()
     siblings = nodes.join(hot, ["page_id", "parent_id"], "left_semi").select(
         "page_id", "parent_id", "node_id", "sib_pos", "tag", compact_spaces("text").alias("plain")
     )
-    is_heading = F.col("tag").isin(*HEADINGS)
-    wanted = siblings.withColumn("wanted", is_heading & contains_any(F.lower("plain"), words))
-    named = wanted.filter("wanted").select("page_id", "parent_id", F.col("sib_pos").alias("heading_pos"), F.col("node_id").alias("heading_id"))
-    after = under_heading(wanted, ["page_id", "parent_id"], "sib_pos", is_heading, 8)
+    wanted = siblings.withColumns(
+        {"is_spec": names(F.col("plain"), SPEC_WORDS), "is_faq": names(F.col("plain"), FAQ_WORDS)}
+    )
+    named = wanted.filter(F.col("is_spec") | F.col("is_faq")).select(
+        "page_id", "parent_id", F.col("sib_pos").alias("heading_pos"), F.col("node_id").alias("heading_id"), "is_spec", "is_faq"
+    )
+    after = under_heading(wanted.drop("is_spec", "is_faq"), ["page_id", "parent_id"], "sib_pos", is_heading, 8)
     blocks = after.join(named, ["page_id", "parent_id", "heading_pos"]).select(
-        "page_id", "heading_id", F.col("node_id").alias("block_id"), "after_heading", "tag", "plain"
+        "page_id", "heading_id", "is_spec", "is_faq", F.col("node_id").alias("block_id"), "after_heading", "tag", "plain"
     )
     lines = table_rows(nodes).select(
         "page_id", F.explode("inside").alias("block_id"), F.lit("table").alias("kind"), F.col("row_id").alias("line_id"),
@@ -165,13 +174,17 @@ def heading_entries(nodes: DataFrame, words: tuple[str, ...]) -> DataFrame:
     joined = blocks.join(parts, ["page_id", "block_id", "kind"], "left")
     text = F.coalesce(F.col("line"), F.when(F.col("kind") == "li", F.col("plain")))
     ordered = F.array_sort(F.collect_list(F.struct("after_heading", F.coalesce("line_id", F.lit(0)).alias("n"), text.alias("v"))))
-    return joined.groupBy("page_id", "heading_id").agg(
+    return joined.groupBy("page_id", "heading_id", "is_spec", "is_faq").agg(
         unique_strings(F.transform(ordered, lambda s: s["v"])).alias("entries")
     )
 
 
-def extract_specs(nodes: DataFrame) -> DataFrame:
-    """Specification pairs per page: table rows, then dl pairs, then lines after a specification heading."""
+def extract_specs(nodes: DataFrame, entries: DataFrame | None = None) -> DataFrame:
+    """Specification pairs per page: table rows, then dl pairs, then lines after a specification heading.
+
+    ``entries`` is the result of ``heading_entries`` when the caller has it already.
+    """
+    entries = heading_entries(nodes) if entries is None else entries
     pair = "struct<label:string,value:string>"
 
     def rank(df: DataFrame, group: int, at: str, label: Column, value: Column) -> DataFrame:
@@ -182,7 +195,7 @@ def extract_specs(nodes: DataFrame) -> DataFrame:
 
     tables = rank(table_rows(nodes), 0, "row_id", F.col("label"), F.col("value"))
     pairs = rank(definition_pairs(nodes).filter("next_tag = 'dd'"), 1, "dt_id", blank_to_null("label"), F.col("value"))
-    under = heading_entries(nodes, SPEC_WORDS).select("page_id", "heading_id", F.posexplode("entries").alias("b", "v"))
+    under = entries.filter("is_spec").select("page_id", "heading_id", F.posexplode("entries").alias("b", "v"))
     lines = under.select(
         "page_id", F.lit(2).alias("g"), F.col("heading_id").alias("a"), "b",
         F.struct(F.lit(None).cast("string").alias("label"), F.col("v").alias("value")).cast(pair).alias("s"),
@@ -227,8 +240,9 @@ def qa_entries(entries: Column) -> Column:
     return F.aggregate(index, start, step, lambda acc: acc["out"])
 
 
-def extract_faq(nodes: DataFrame) -> DataFrame:
+def extract_faq(nodes: DataFrame, entries: DataFrame | None = None) -> DataFrame:
     """FAQ pairs per page: details elements, then lines after an FAQ heading."""
+    entries = heading_entries(nodes) if entries is None else entries
     summaries = nodes.filter("tag = 'summary'").select(
         "page_id", F.explode("ancestors").alias("details_id"), F.struct("node_id", "text").alias("s")
     ).groupBy("page_id", "details_id").agg(F.min("s")["text"].alias("summary"))
@@ -240,7 +254,7 @@ def extract_faq(nodes: DataFrame) -> DataFrame:
         "page_id", F.lit(0).alias("g"), F.col("details_id").alias("a"), F.lit(0).alias("b"),
         F.struct(compact_spaces("summary").alias("question"), blank_to_null(compact_spaces(rest)).alias("answer")).alias("s"),
     )
-    under = heading_entries(nodes, FAQ_WORDS).select("page_id", "heading_id", F.posexplode(qa_entries(F.col("entries"))).alias("b", "s"))
+    under = entries.filter("is_faq").select("page_id", "heading_id", F.posexplode(qa_entries(F.col("entries"))).alias("b", "s"))
     lines = under.select("page_id", F.lit(1).alias("g"), F.col("heading_id").alias("a"), "b", "s")
     ordered = F.transform(
         F.array_sort(F.collect_list(F.struct("g", "a", "b", "s"))), lambda x: x["s"]
@@ -254,7 +268,8 @@ def official_records(pages: DataFrame, nodes: DataFrame, url: str = "url") -> Da
     ``nodes`` is read by several branches, so hand in a stored node table (see ``stored``).
     """
     fields = extract_page_fields(nodes, url)
-    specs, faq = extract_specs(nodes), extract_faq(nodes)
+    entries = stored(heading_entries(nodes))
+    specs, faq = extract_specs(nodes, entries), extract_faq(nodes, entries)
     data = jsonld_record(jsonld_nodes(pages, carry=(url,)), url)
     merged = fields.join(specs, "page_id", "left").join(faq, "page_id", "left").join(data, "page_id", "left")
 

@@ -20,6 +20,8 @@ def build_session(app: str = "catalogflow", master: str | None = None, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Pages are fat rows: fewer of them per batch bounds the memory of a Python worker.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         # Call-site capture doubles the time it takes to build long column expressions.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
