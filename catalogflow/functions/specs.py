@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANK, LEFT, RIGHT, as_col, blank_to_null, compact_spaces, extract, extract_if, let
+from .text import BLANK, LEFT, RIGHT, as_col, blank_to_null, compact_spaces, extract, extract_if, let, plain_blanks
 
 # Specification patterns, in the order they are tried.
 N = r"\d+(?:\.\d+)?"
@@ -103,9 +103,11 @@ def memory_specs_text(c: Column | str) -> Column:
     """
 
     def matches(t: Column) -> Column:
-        # Upper-case text and upper-case patterns match the same places, without case-folding each step.
+        # Upper-case text with plain blanks matches upper-case patterns in the same places, without
+        # folding case and testing every kind of blank at each step.
         def hit(words: tuple[str, ...], pattern: str, group: int) -> Column:
-            return extract_if(t, words, pattern.removeprefix("(?i)").replace("[x×]", "[X×]").replace("kit", "KIT"), group)
+            simple = pattern.removeprefix("(?i)").replace("[x×]", "[X×]").replace("kit", "KIT").replace(BLANK, " ")
+            return extract_if(t, words, simple, group)
 
         return F.struct(
             F.coalesce(hit(("LDDR", "LPDDR"), DDR_TEXT[0], 1), hit(("DDR",), DDR_TEXT[1], 1)).alias("ddr"),
@@ -122,7 +124,7 @@ def memory_specs_text(c: Column | str) -> Column:
             return m[name].try_cast("double")
 
         def group(name: str, pattern: str, i: int) -> Column:
-            return extract(m[name], pattern, i).try_cast("double")
+            return extract(m[name], pattern.replace(BLANK, " "), i).try_cast("double")
 
         per_stick, per_sticks = group("per_stick", PER_STICK, 1), group("per_stick", PER_STICK, 2)
         return _memory_struct(
@@ -133,7 +135,7 @@ def memory_specs_text(c: Column | str) -> Column:
             F.coalesce(group("grouped", GROUPED, 2), per_stick, num("module")),
         )
 
-    found_in = let(let(F.upper(compact_spaces(c)), matches), found)
+    found_in = let(let(F.upper(plain_blanks(compact_spaces(c))), matches), found)
     return let(found_in, lambda s: _back_fill(s, total_first=True))
 
 

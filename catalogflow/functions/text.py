@@ -66,6 +66,12 @@ def normalize_ws(c: Column | str) -> Column:
     return _tidy(as_col(c), F.regexp_replace(as_col(c), BLANK + "+", " "))
 
 
+def plain_blanks(c: Column | str) -> Column:
+    """Every kind of blank as a plain one."""
+    c = as_col(c)
+    return F.when(_unusual(c), F.regexp_replace(c, BLANK, " ")).otherwise(c)
+
+
 def blank_to_null(c: Column | str) -> Column:
     return F.nullif(as_col(c), F.lit(""))
 

@@ -81,6 +81,7 @@ def plan_with_results(
 
     Hits are an inner join, which may split a hot query on the item side; the placeholders
     come from the queries that the distinct item keys do not cover. ``plan`` is unique by key.
+    ``items`` is read twice; store it first when it comes straight from page parsing.
     """
     hits = items.join(plan, key).withColumn("status", F.lit(status))
     missing = plan.join(items.select(key).distinct(), key, "left_anti").withColumn("status", F.lit(empty_status))

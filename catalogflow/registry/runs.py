@@ -11,7 +11,7 @@ from ..operators import aggregates as agg, joins, search
 from ..operators.dom import html_nodes
 from ..plans import config, jobs
 from ..schemas import MALL_SNAPSHOT, PROJECT_CONFIG
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stored
 from ..sources import captures, sinks
 from ..streaming import ingest
 from .base import K, Query, RUN_AT, table
@@ -227,7 +227,8 @@ add(
 def search_job(s, d):
     """Plan, result pages and items to one record table with placeholders, as a search run publishes it."""
     pages = search_a_pages(s, d)
-    items = search.extract_search_items_a(html_nodes(pages, carry=("url",)), n=12)
+    # Read twice below, so the page parsing is stored.
+    items = stored(search.extract_search_items_a(html_nodes(pages, carry=("url",)), n=12))
     plan = table(s, d, "part").select(F.col(K).alias("page_id"), F.concat(F.lit("q"), F.col(K).cast("string")).alias("query"))
     return joins.with_run_context(
         joins.plan_with_results(plan, items, "page_id", false_columns=("is_sponsored",)), joins.RunContext("demo", "a", "search-a", "t"))
