@@ -14,6 +14,7 @@ from ..functions.text import (
 from ..functions.urls import absolute_url
 
 SCRIPT = r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script"""
+# Levels of objects inside objects.
 MAX_DEPTH = 8
 
 
@@ -45,20 +46,24 @@ def jsonld_nodes(pages: DataFrame, carry: Sequence[str] = ("url",), max_depth: i
     """Every object inside the blocks, depth first: page_id, carry, block_no, place, node.
 
     ``place`` is the chain of positions from the block down; sorting by (block_no, place) walks
-    the tree depth first. Each level is one explode over the open containers; finished rows
+    the tree depth first. Each level (an object and the lists in it) is one explode over the open containers; finished rows
     pass through, so the pages are read once and nothing is shuffled. Deeper nesting fails.
     Object members come in the order VARIANT keeps them, which is by name.
     """
     rows = jsonld_blocks(pages, carry).withColumn("place", F.array().cast("array<int>")).withColumn("open", F.lit(True))
     keep = ["page_id", *carry, "block_no"]
     for _ in range(max_depth):
+        def entry(v: Column, *at: Column) -> Column:
+            place = F.concat(F.col("place"), F.array(*[i.cast("int") for i in at]))
+            return F.struct(v.alias("node"), place.alias("place"), F.lit(True).alias("open"))
+
+        # A list inside an object opens together with the object, so a level is one object deep.
         def step(m: Column, i: Column) -> Column:
-            return F.struct(
-                m.alias("node"), F.concat(F.col("place"), F.array(i.cast("int"))).alias("place"), F.lit(True).alias("open")
-            )
+            listed = F.transform(F.try_variant_get(m, "$", "array<variant>"), lambda e, j: entry(e, i, j))
+            return F.coalesce(listed, F.array(entry(m, i)))
 
         inner = F.filter(
-            F.transform(members(F.col("node")), step), lambda s: _is_object(s["node"]) | _is_array(s["node"])
+            F.flatten(F.transform(members(F.col("node")), step)), lambda s: _is_object(s["node"]) | _is_array(s["node"])
         )
         own = F.array(F.struct(F.col("node"), F.col("place"), F.lit(False).alias("open")))
         both = F.when(F.col("open"), F.concat(own, F.coalesce(inner, F.array().cast(

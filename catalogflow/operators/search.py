@@ -188,7 +188,7 @@ def extract_search_items_a(nodes: DataFrame, n: int = 20, carry: Sequence[str] =
     ]
     found = pick_fields(inner, ["page_id", *carry, "box_id"], picks).filter(F.col("in_slot") & F.col("asin").isNotNull())
     order = Window.partitionBy("page_id").orderBy("box_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(1, n))
     rows = ranked.select(
         "page_id", *[c for c in carry if c != "url"], "rank", "asin", "title",
         null_if_same("brand_text", "title").alias("brand"), "price", "rating",

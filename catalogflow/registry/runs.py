@@ -15,7 +15,7 @@ from ..session import ensure_checkpoint_dir, stored
 from ..sources import captures, sinks
 from ..streaming import ingest
 from .base import K, Query, RUN_AT, table
-from .markup import D_SEARCH_A, component_raw, search_a_pages
+from .markup import D_SEARCH_A, D_UNIQUE, component_raw, search_a_pages
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -151,7 +151,7 @@ def component_round_trip(s, d):
     return rows.select(F.col("URL").alias("url"), F.col("商品番号").alias("number"))
 
 
-add("snk2_component_csv", component_round_trip)
+add("snk2_component_csv", component_round_trip, f"SELECT url, product_number AS number FROM ({D_UNIQUE})")
 
 
 def jsonl_round_trip(s, d):

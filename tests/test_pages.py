@@ -130,9 +130,12 @@ def test_official_record(spark):
 
 
 def test_structured_data_too_deep_fails(spark):
-    html = '<script type="application/ld+json">' + '{"a":' * 10 + "1" + "}" * 10 + "</script>"
+    def nested(n: int) -> str:
+        return '<script type="application/ld+json">' + '{"a":[0,' * n + "{}" + "]}" * n + "</script>"
+
+    assert jsonld.jsonld_nodes(pages(spark, nested(8))).count() == 9
     with pytest.raises(Exception, match="nested deeper"):
-        jsonld.jsonld_nodes(pages(spark, html)).collect()
+        jsonld.jsonld_nodes(pages(spark, nested(10))).collect()
 
 
 def test_maker_variants_and_feed(spark):
