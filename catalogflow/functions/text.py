@@ -39,37 +39,49 @@ def extract(c: Column, pattern: str, group: int = 1) -> Column:
 ORDINARY = r"[^ -~\x{00A1}-\x{167F}\x{3001}-\x{FEFE}\x{FF00}-\x{10FFFF}]"
 
 
+def _once(c: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once; a named column needs no binding."""
+    return body(F.col(c)) if isinstance(c, str) else let(c, body)
+
+
 def _unusual(c: Column) -> Column:
     return c.rlike(ORDINARY)
 
 
+def _ends(c: Column) -> Column:
+    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+
+
 def trim_blank(c: Column | str) -> Column:
     """Trimmed of every kind of blank. Text with plain blanks only needs no pattern."""
-    c = as_col(c)
-    return F.when(_unusual(c), F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")).otherwise(F.trim(c))
+    return _once(c, lambda v: F.when(_unusual(v), _ends(v)).otherwise(F.trim(v)))
 
 
-def _tidy(c: Column, runs: Column) -> Column:
-    unusual = _unusual(c) | F.contains(c, F.lit("  "))
-    return F.when(unusual, F.regexp_replace(runs, f"^{BLANK}+|{BLANK}+$", "")).otherwise(F.trim(c))
+def _needs_patterns(c: Column) -> Column:
+    return _unusual(c) | F.contains(c, F.lit("  "))
 
 
 def compact_spaces(c: Column | str) -> Column:
     """NULL to '', hard blanks and line ends to a blank, runs of blanks to one, trimmed."""
-    text = F.coalesce(as_col(c), F.lit(""))
-    plain = F.translate(text, "\u00a0\t\r\n", "    ")
-    return _tidy(text, F.regexp_replace(plain, BLANK + "{2,}", " "))
+
+    def build(v: Column) -> Column:
+        plain = F.translate(v, "\u00a0\t\r\n", "    ")
+        exact = _ends(F.regexp_replace(plain, BLANK + "{2,}", " "))
+        return F.when(v.isNull(), "").when(_needs_patterns(v), exact).otherwise(F.trim(v))
+
+    return _once(c, build)
 
 
 def normalize_ws(c: Column | str) -> Column:
     """Every run of blanks to one blank, trimmed."""
-    return _tidy(as_col(c), F.regexp_replace(as_col(c), BLANK + "+", " "))
+    return _once(
+        c, lambda v: F.when(_needs_patterns(v), _ends(F.regexp_replace(v, BLANK + "+", " "))).otherwise(F.trim(v))
+    )
 
 
 def plain_blanks(c: Column | str) -> Column:
     """Every kind of blank as a plain one."""
-    c = as_col(c)
-    return F.when(_unusual(c), F.regexp_replace(c, BLANK, " ")).otherwise(c)
+    return _once(c, lambda v: F.when(_unusual(v), F.regexp_replace(v, BLANK, " ")).otherwise(v))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -194,10 +206,14 @@ def extract_if(c: Column, words: list[str] | tuple[str, ...], pattern: str, grou
 
 def contains_any(c: Column, words: list[str] | tuple[str, ...]) -> Column:
     """True when any of the words is a substring (false for NULL)."""
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | F.contains(c, F.lit(word))
-    return F.coalesce(hit, F.lit(False))
+
+    def test(v: Column) -> Column:
+        hit = F.contains(v, F.lit(words[0]))
+        for word in words[1:]:
+            hit = hit | F.contains(v, F.lit(word))
+        return F.coalesce(hit, F.lit(False))
+
+    return test(c) if len(words) == 1 else let(c, test)
 
 
 def split_list(c: Column | str) -> Column:
