@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chunk_codec import op7_bpe_codec
+from .language import op2_language_id
 from .packing import op5_best_fit_packing
+from .quality import op1_quality_classifier
 from .token_output import op10_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_language_id": op2_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_bpe_codec": op7_bpe_codec,
     "op10_token_output": op10_token_output,
