@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import exact_dedup, sharding
 from .chunk_codec import op7_bpe_codec
+from .exact_dedup import op8_exact_dedup
 from .language import op2_language_id
 from .packing import op5_best_fit_packing
 from .quality import op1_quality_classifier
+from .sharding import op3_sharding
 from .token_output import op10_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
+    "op3_sharding": op3_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_bpe_codec": op7_bpe_codec,
+    "op8_exact_dedup": op8_exact_dedup,
     "op10_token_output": op10_token_output,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_sharding": sharding.ORACLE,
+    "op8_exact_dedup": exact_dedup.ORACLE,
+}
