@@ -10,6 +10,8 @@ from . import exact_dedup, sharding
 from .chunk_codec import op7_bpe_codec
 from .exact_dedup import op8_exact_dedup
 from .language import op2_language_id
+from .near_dedup import op6_near_dedup
+from .neighbours import op4_nearest_neighbours
 from .packing import op5_best_fit_packing
 from .quality import op1_quality_classifier
 from .sharding import op3_sharding
@@ -19,7 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
     "op3_sharding": op3_sharding,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_near_dedup": op6_near_dedup,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_token_output": op10_token_output,
