@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, sharding
@@ -15,6 +16,7 @@ from .neighbours import op4_nearest_neighbours
 from .packing import op5_best_fit_packing
 from .quality import op1_quality_classifier
 from .sharding import op3_sharding
+from .suffix_dedup import op9_suffix_dedup
 from .token_output import op10_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -26,7 +28,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_near_dedup": op6_near_dedup,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_output": op10_token_output,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op3_sharding": sharding.ORACLE,
