@@ -164,9 +164,8 @@ def test_plan_uses_each_piece_once_and_fills_up(seed):
     assert max(level.values(), default=0) <= capacity
     for l, parts in used.items():
         assert [f for f, _ in sorted(parts)] == np.concatenate([[0], np.cumsum([n for _, n in sorted(parts)])[:-1]]).tolist()
-    total = int((counts * np.arange(capacity + 1)).sum())
-    big = int(counts[capacity // 2 + 1:].sum())
-    assert len(level) <= max(-(-total // capacity) + 2, big)
+    lengths = np.repeat(np.arange(capacity + 1), counts).tolist()
+    assert -(-sum(lengths) // capacity) <= len(level) <= 1.01 * best_fit_decreasing(lengths, capacity)
 
 
 def test_plan_prefers_exact_complements():
