@@ -66,14 +66,16 @@ IMPLIED_END = {
     "a": ({"a"}, CELL | {"button", "object"}),
     "body": ({"head"}, frozenset()),
 }
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([A-Za-z][^\s/>]*)[^>]*>"
-    r"|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
-    re.S,
-)
+NAME = re.compile(r"[A-Za-z]")
+NAME_END = re.compile(r"[\s/>]")
+SPECIAL = re.compile(r"[>\"']")
 ATTR = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 UNSAFE = re.compile(r"[^\w-]")
 NO_BARRIER: frozenset[str] = frozenset()
+# Browsers nest elements no deeper than this (public: the usual limit of HTML parsers); what is opened below becomes a sibling.
+DEEPEST = 512
+# Characters of paths and texts that one Arrow batch of nodes holds before it is passed on.
+BATCH_CHARS = 8_000_000
 P_BARRIER = CELL | {"button"}
 P_ONLY = frozenset(("p",))
 WIDE = frozenset(("html", "head", "body", DOCUMENT))
@@ -101,8 +103,87 @@ def _path_token(tag: str, attrs: dict[str, str], classes: list[str]) -> str:
     return out
 
 
+class Tags:
+    """Tags of a page in order, each character looked at a bounded number of times, however broken the page.
+
+    A ``<`` opens a tag only if the tag also ends, which an open quote or a missing ``>`` prevents. What a failed try has
+    learned is kept: the next delimiter of each kind, and the quotes from which no tag end can be reached.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.size = html, len(html)
+        self.ahead: dict[object, tuple[int, int]] = {}
+        self.dead: set[int] = set()
+
+    def _next(self, what, start: int) -> int:
+        """Place of the next match at or after ``start``, the page's size if there is none; starts may only rise per kind."""
+        known = self.ahead.get(what)
+        if known and known[0] <= start <= known[1]:
+            return known[1]
+        if isinstance(what, str):
+            place = self.html.find(what, start)
+        else:
+            match = what.search(self.html, start)
+            place = match.start() if match else -1
+        place = self.size if place < 0 else place
+        self.ahead[what] = (start, place)
+        return place
+
+    def _tag_end(self, start: int) -> int | None:
+        """Place of the ``>`` that ends a start tag, looked for from behind its name: quoted parts are passed over."""
+        passed = []
+        while True:
+            place = self._next(SPECIAL, start)
+            if place < self.size and self.html[place] == ">":
+                return place
+            if place == self.size or place in self.dead:
+                break
+            passed.append(place)
+            close = self._next(self.html[place], place + 1)
+            if close == self.size:
+                break
+            start = close + 1
+        self.dead.update(passed)
+        return None
+
+    def following(self, pos: int) -> tuple[int, int, str | None, str | None, str]:
+        """(start, end, name of an end tag, name of a start tag, its attributes) of the next tag or comment at or after ``pos``."""
+        html, size = self.html, self.size
+        while True:
+            start = self._next("<", pos)
+            if start + 1 >= size:
+                return size, size, None, None, ""
+            pos = start + 1
+            sign = html[pos]
+            if html.startswith("!--", pos):
+                end = html.find("-->", start + 4)
+                return start, size if end < 0 else end + 3, None, None, ""
+            if sign in "!?":
+                end = self._next(">", pos)
+                if end < size:
+                    return start, end + 1, None, None, ""
+                continue
+            name = pos + (sign == "/")
+            if not NAME.match(html, name) or self._next(">", pos) == size:
+                continue
+            stop = self._next(NAME_END, name)
+            if sign == "/":
+                end = self._next(">", stop)
+                if end < size:
+                    return start, end + 1, html[name:stop], None, ""
+                continue
+            end = self._tag_end(stop)
+            if end is not None:
+                return start, end + 1, None, html[name:stop], html[stop:end]
+
+
 def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
     """Rows of one page: the ``NODE_FIELDS`` values of each element, in the order elements end."""
+    return list(page_rows(html, tags))
+
+
+def page_rows(html: str, tags: frozenset[str] | None = None) -> Iterator[tuple]:
+    """As ``parse_page``, row by row: only open elements are held."""
     # open element: 0 id, 1 parent, 2 sib_pos, 3 tag, 4 attrs, 5 classes, 6 path, 7 ancestors and itself,
     # 8 text start, 9 visible start, 10 own text, 11 children so far
     root = [0, None, 0, DOCUMENT, {}, [], "", [], 0, 0, [], 0]
@@ -111,7 +192,7 @@ def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
     visible: list[str] = []
     rows: list[tuple] = []
     next_id, pos, size, hidden = 1, 0, len(html), 0
-    scan = TOKEN.search
+    scan, last_end = Tags(html).following, html.rfind(">") + 1
 
     def add_text(text: str) -> None:
         pieces.append(text)
@@ -149,15 +230,14 @@ def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
                 return
 
     while pos < size:
-        match = scan(html, pos)
-        start = match.start() if match else size
+        if rows:
+            yield from rows
+            rows.clear()
+        start, end, ended, started, raw_attrs = scan(pos)
         if start > pos:
             text = html[pos:start]
             add_text(unescape(text) if "&" in text else text)
-        if match is None:
-            break
-        pos = match.end()
-        ended, started, raw_attrs = match.groups()
+        pos = end
         if ended:
             tag = ended.lower()
             if stack[-1][3] == tag:
@@ -179,6 +259,8 @@ def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
                 close(stack.pop())
         if tag in IMPLIED_END:
             end_implied(*IMPLIED_END[tag])
+        while len(stack) >= DEEPEST:
+            close(stack.pop())
         parent = stack[-1]
         parent[11] += 1
         if attrs:
@@ -200,15 +282,16 @@ def parse_page(html: str, tags: frozenset[str] | None = None) -> list[tuple]:
         if tag in VOID:
             close(stack.pop())
         elif tag in RAW:
-            end = RAW[tag].search(html, pos)
-            text = html[pos:end.start() if end else size]
+            close_tag = RAW[tag].search(html, pos, max(pos, last_end))
+            text = html[pos:close_tag.start() if close_tag else size]
             if text:
                 add_text(unescape(text) if tag in ("title", "textarea") else text)
-            pos = end.end() if end else size
+            pos = close_tag.end() if close_tag else size
             close(stack.pop())
     while stack:
         close(stack.pop())
-    return rows
+        yield from rows
+        rows.clear()
 
 
 def html_nodes(
@@ -242,13 +325,15 @@ def html_nodes(
             carried = [batch.column(i) for i in range(len(columns))]
             rows: list[tuple] = []
             owner: list[int] = []
+            held = 0
             for i, text in enumerate(batch.column(len(columns))):
-                found = parse_page(text.as_py() or "", keep)
-                rows.extend(found)
-                owner.extend([i] * len(found))
-                if len(rows) >= 20000:
-                    yield pack(carried, owner, rows)
-                    rows, owner = [], []
+                for row in page_rows(text.as_py() or "", keep):
+                    rows.append(row)
+                    owner.append(i)
+                    held += len(row[8]) + 8 * len(row[9]) + len(row[11] or "")
+                    if len(rows) >= 20000 or held >= BATCH_CHARS:
+                        yield pack(carried, owner, rows)
+                        rows, owner, held = [], [], 0
             if rows:
                 yield pack(carried, owner, rows)
 

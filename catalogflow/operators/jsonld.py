@@ -12,18 +12,19 @@ from ..functions.text import (
     BLANK, as_col, blank_to_null, strip_tags, trim_blank, unique_faq, unique_specs, unique_strings,
 )
 from ..functions.urls import absolute_url
+from ..session import stored
 
 SCRIPT = r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script"""
-# Levels of objects inside objects.
-MAX_DEPTH = 8
+# Levels of objects inside objects that one pass over the open containers walks; deeper ones take another pass.
+LEVELS = 8
 
 
 def _is_object(v: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
 def _is_array(v: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("ARRAY")), F.lit(False))
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
 def members(v: Column) -> Column:
@@ -42,26 +43,18 @@ def jsonld_blocks(pages: DataFrame, carry: Sequence[str] = ("url",)) -> DataFram
     return parsed.filter(F.col("node").isNotNull())
 
 
-def jsonld_nodes(pages: DataFrame, carry: Sequence[str] = ("url",), max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Every object inside the blocks, depth first: page_id, carry, block_no, place, node.
-
-    ``place`` is the chain of positions from the block down; sorting by (block_no, place) walks
-    the tree depth first. Each level (an object and the lists in it) is one explode over the open containers; finished rows
-    pass through, so the pages are read once and nothing is shuffled. Deeper nesting fails.
-    Object members come in the order VARIANT keeps them, which is by name.
-    """
-    rows = jsonld_blocks(pages, carry).withColumn("place", F.array().cast("array<int>")).withColumn("open", F.lit(True))
-    keep = ["page_id", *carry, "block_no"]
-    for _ in range(max_depth):
-        def entry(v: Column, *at: Column) -> Column:
-            place = F.concat(F.col("place"), F.array(*[i.cast("int") for i in at]))
-            return F.struct(v.alias("node"), place.alias("place"), F.lit(True).alias("open"))
+def _descend(rows: DataFrame, keep: list[str], levels: int) -> DataFrame:
+    """Rows with ``levels`` levels of objects below them opened; what may hold more stays marked ``open``."""
+    def entry(v: Column, *at: Column) -> Column:
+        place = F.concat(F.col("place"), F.array(*[i.cast("int") for i in at]))
+        return F.struct(v.alias("node"), place.alias("place"), F.lit(True).alias("open"))
 
-        # A list inside an object opens together with the object, so a level is one object deep.
-        def step(m: Column, i: Column) -> Column:
-            listed = F.transform(F.try_variant_get(m, "$", "array<variant>"), lambda e, j: entry(e, i, j))
-            return F.coalesce(listed, F.array(entry(m, i)))
+    # A list inside an object opens together with the object, so a level is one object deep.
+    def step(m: Column, i: Column) -> Column:
+        listed = F.transform(F.try_variant_get(m, "$", "array<variant>"), lambda e, j: entry(e, i, j))
+        return F.coalesce(listed, F.array(entry(m, i)))
 
+    for _ in range(levels):
         inner = F.filter(
             F.flatten(F.transform(members(F.col("node")), step)), lambda s: _is_object(s["node"]) | _is_array(s["node"])
         )
@@ -69,12 +62,30 @@ def jsonld_nodes(pages: DataFrame, carry: Sequence[str] = ("url",), max_depth: i
         both = F.when(F.col("open"), F.concat(own, F.coalesce(inner, F.array().cast(
             "array<struct<node:variant,place:array<int>,open:boolean>>")))).otherwise(own)
         rows = rows.select(*keep, F.explode(both).alias("s")).select(*keep, "s.node", "s.place", "s.open")
-    deeper = F.exists(members(F.col("node")), lambda m: _is_object(m) | _is_array(m))
-    message = f"structured data is nested deeper than {max_depth} levels"
-    checked = rows.filter(
-        F.when(F.col("open") & deeper, F.raise_error(F.lit(message)).cast("boolean")).otherwise(True)
-    )
-    return checked.filter(_is_object(F.col("node"))).select(*keep, "place", "node")
+    return rows
+
+
+def jsonld_nodes(pages: DataFrame, carry: Sequence[str] = ("url",), levels: int = LEVELS) -> DataFrame:
+    """Every object inside the blocks, depth first: page_id, carry, block_no, place, node.
+
+    ``place`` is the chain of positions from the block down; sorting by (block_no, place) walks
+    the tree depth first. A pass over the open containers walks ``levels`` levels (an object and the lists in it are one); its
+    rows are stored, and only containers with more inside take another pass, until none is left: any depth is read, the pages
+    once, and nothing is shuffled. Object members come in the order VARIANT keeps them, which is by name.
+    """
+    keep = ["page_id", *carry, "block_no"]
+    rows = jsonld_blocks(pages, carry).withColumn("place", F.array().cast("array<int>")).withColumn("open", F.lit(True))
+    deeper = F.col("open") & F.coalesce(F.exists(members(F.col("node")), lambda m: _is_object(m) | _is_array(m)), F.lit(False))
+    found = None
+    while True:
+        rows = stored(_descend(rows, keep, levels))
+        more = rows.filter(deeper)
+        last = more.isEmpty()
+        done = rows if last else rows.filter(~deeper)
+        found = done if found is None else found.unionByName(done)
+        if last:
+            return found.filter(_is_object(F.col("node"))).select(*keep, "place", "node")
+        rows = more
 
 
 def jsonld_is(node: Column | str, kind: str) -> Column:

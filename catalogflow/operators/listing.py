@@ -65,7 +65,7 @@ def extract_component_items(nodes: DataFrame, carry: Sequence[str] = ("url", "so
     raw = found.select(
         "page_id", *[c for c in carry if c != "url"], F.col("box_id").alias("item_pos"),
         absolute_url("url", F.col("link"), empty_is_base=True).alias("item_url"), F.col("url").alias("source_url"),
-        absolute_url("url", F.substring("image", 2, 1 << 20), empty_is_base=True).alias("image_url"),
+        absolute_url("url", F.substr("image", F.lit(2)), empty_is_base=True).alias("image_url"),
         *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in FIELD_CHAINS], tags.alias("tags"),
     ).withColumnRenamed("item_url", "url")
     order = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_any, trim_blank
+from ..functions.text import trim_blank
 from ..functions.urls import absolute_url
 from ..session import stored
 from .dom import chain, is_at, token as t
@@ -17,14 +17,13 @@ NEXT_CHAINS = [
     chain(t(cls="pagination"), t("a", cls="next")), chain(t(cls="pager"), t("a", cls="next")),
 ]
 NEXT_TEXT = "^(次へ|次|NEXT|Next|›|»|＞|≫|>)$"
-PAGE_LIMIT = 50
 
 
 def next_links(nodes: DataFrame, url: str = "url") -> DataFrame:
     """Next page of each page that has one: page_id, url, next_url.
 
-    One aggregation: the smallest (choice, node) wins. A choice counts by its first node only,
-    as long as that node has a link.
+    One aggregation: the first node of every choice, tested on its own, as a node may answer to several. The first choice whose
+    first node has a link wins; a choice whose first node has none passes on. Links known by their text must have one to count.
     """
     attrs, text = F.col("attrs"), trim_blank(F.coalesce(F.col("text"), F.lit("")))
     link = F.col("tag") == "a"
@@ -32,42 +31,55 @@ def next_links(nodes: DataFrame, url: str = "url") -> DataFrame:
         (attrs["aria-disabled"] == "true") | F.array_contains("classes", "disabled")
         | F.get(F.split(F.col("path"), "/"), F.size(F.split(F.col("path"), "/")) - 2).rlike(r"\.disabled(?![\w-])")
     )
-    in_item = contains_any(F.col("path"), (".item_listbox",))
-    choice = F.when((F.col("tag") == "link") & (attrs["rel"] == "next"), 0).when(link & (attrs["rel"] == "next"), 1)
-    for i, where in enumerate(NEXT_CHAINS, 2):
-        choice = choice.when(where.test(), i)
-    named = link & text.rlike(NEXT_TEXT) & ~F.coalesce(off, F.lit(False)) & ~in_item
-    choice = choice.when(named, len(NEXT_CHAINS) + 2)
-    found = nodes.select("page_id", url, "node_id", choice.alias("choice"), attrs["href"].alias("href"))
-    found = found.filter(F.col("choice").isNotNull() & (F.length("href") > 0))
-    best = found.groupBy("page_id", url).agg(F.min(F.struct("choice", "node_id", "href"))["href"].alias("href"))
-    return best.select("page_id", url, absolute_url(url, "href").alias("next_url"))
+    in_item = F.contains("path", F.lit(".item_listbox")) & F.col("path").rlike(r"\.item_listbox(?![\w-])")
+    relation = attrs["rel"] == "next"
+    named = link & (F.length(attrs["href"]) > 0) & text.rlike(NEXT_TEXT) & ~F.coalesce(off, F.lit(False)) & ~in_item
+    choices = [(F.col("tag") == "link") & relation, link & relation, *[c.test() for c in NEXT_CHAINS], named]
+    wanted = nodes.select("page_id", url, "node_id", attrs["href"].alias("href"), F.array(*choices).alias("hits"))
+    wanted = wanted.filter(F.array_contains("hits", True))
+    first = wanted.groupBy("page_id", url).agg(*[
+        F.min(F.when(F.col("hits")[i], F.struct("node_id", "href"))).alias(f"c{i}") for i in range(len(choices))])
+    href = F.coalesce(*[F.nullif(F.col(f"c{i}")["href"], F.lit("")) for i in range(len(choices))])
+    return first.select("page_id", url, href.alias("href")).filter(F.col("href").isNotNull()).select(
+        "page_id", url, absolute_url(url, "href").alias("next_url"))
 
 
-def page_chain(edges: DataFrame, sources: DataFrame, max_pages: int = 0) -> DataFrame:
-    """Pages reached from each source in order: source_url, page_no, page_url.
+def page_chain(edges: DataFrame, sources: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Pages reached from each source in order: source_url, page_no, page_url, truncated.
 
-    ``edges(url, next_url)`` has one row per page. A chain ends at a revisit or after
-    ``max_pages`` pages, 50 at most. Jumps over 1, 2, 4, … links are joined, so the number of
-    joins grows with the logarithm of the limit and each table keeps one row per page.
+    ``edges(url, next_url)``: of several rows for one URL the smallest next link counts. A chain ends at a page without a link, before a page
+    it has already seen, or after ``max_pages`` pages (None: no limit); ``truncated`` says that this limit cut the source's
+    chain. Jumps over 1, 2, 4, … links are joined, so the number of joins grows with the logarithm of the longest chain. Chains that
+    have met a page twice are cut there at once, so no table holds a page twice for a source.
     """
-    limit = min(max_pages, PAGE_LIMIT) if max_pages > 0 else PAGE_LIMIT
-    jump = edges.filter(F.col("next_url").isNotNull()).select(F.col("url").alias("at"), F.col("next_url").alias("to"))
-    reached = sources.select("source_url", F.lit(1).alias("page_no"), F.col("source_url").alias("page_url"))
-    reached = reached.filter(F.length("source_url") > 0)
-    stride = 1
-    while stride < limit:
-        ahead = reached.join(jump, reached["page_url"] == jump["at"]).select(
-            "source_url", (F.col("page_no") + stride).alias("page_no"), F.col("to").alias("page_url")
-        )
-        # Stored, or each doubling would repeat all joins before it twice.
-        reached = stored(reached.unionByName(ahead.filter(F.col("page_no") <= limit)))
+    limit = max_pages if max_pages and max_pages > 0 else None
+    link = edges.filter(F.length("url") > 0).groupBy(F.col("url").alias("at")).agg(F.min("next_url").alias("to"))
+    link = jump = stored(link.filter(F.length("to") > 0))
+    reached = sources.filter(F.length("source_url") > 0).select("source_url").distinct()
+    reached = stored(reached.select("source_url", F.lit(1).alias("page_no"), F.col("source_url").alias("page_url")))
+    going, stride = reached.select("source_url"), 1
+    while limit is None or stride < limit:
+        ahead = reached.join(going, "source_url", "left_semi").join(jump, F.col("page_url") == F.col("at"))
+        ahead = ahead.select("source_url", (F.col("page_no") + stride).alias("page_no"), F.col("to").alias("page_url"))
+        if limit is not None:
+            ahead = ahead.filter(F.col("page_no") <= limit)
+        ahead = stored(ahead)
+        if ahead.isEmpty():
+            break
+        every = reached.unionByName(ahead)
+        seen = every.groupBy("source_url", "page_url").agg(F.min("page_no").alias("page_no"))
+        again = every.join(seen.select("source_url", "page_url", F.col("page_no").alias("first_no")), ["source_url", "page_url"])
+        stop = again.filter("page_no > first_no").groupBy("source_url").agg(F.min("page_no").alias("stop_no"))
+        stop = stored(stop)
+        reached = stored(seen.join(stop, "source_url", "left").filter("stop_no IS NULL OR page_no < stop_no").select("source_url", "page_no", "page_url"))
+        # a source goes on if it has not met a page twice and its last jump led somewhere
+        going = stored(ahead.select("source_url").distinct().join(stop, "source_url", "left_anti"))
         stride *= 2
-        if stride < limit:
-            left, right = jump.alias("l"), jump.alias("r")
-            jump = stored(left.join(right, F.col("l.to") == F.col("r.at")).select(F.col("l.at").alias("at"), F.col("r.to").alias("to")))
-    first_seen = reached.groupBy("source_url", "page_url").agg(F.min("page_no").alias("page_no"))
-    again = reached.join(first_seen, ["source_url", "page_url", "page_no"], "left_anti")
-    stop = again.groupBy("source_url").agg(F.min("page_no").alias("stop_no"))
-    kept = first_seen.join(stop, "source_url", "left").filter(F.col("stop_no").isNull() | (F.col("page_no") < F.col("stop_no")))
-    return kept.select("source_url", "page_no", "page_url")
+        left, right = jump.alias("l"), jump.alias("r")
+        jump = stored(left.join(right, F.col("l.to") == F.col("r.at")).select(F.col("l.at").alias("at"), F.col("r.to").alias("to")))
+    if limit is None:
+        return reached.withColumn("truncated", F.lit(False))
+    last = reached.filter(F.col("page_no") == limit).select("source_url", F.col("page_url").alias("at"))
+    cut = last.join(link, "at").select("source_url", F.col("to").alias("page_url")).join(reached.select("source_url", "page_url"), ["source_url", "page_url"], "left_anti")
+    return reached.join(cut.select("source_url", F.lit(True).alias("truncated")), "source_url", "left").select(
+        "source_url", "page_no", "page_url", F.coalesce("truncated", F.lit(False)).alias("truncated"))

@@ -135,7 +135,7 @@ def extract_merchant_items(nodes: DataFrame, carry: Sequence[str] = ()) -> DataF
     )
     first = Window.partitionBy("page_id", "asin").orderBy("item_pos")
     unique = rows.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").filter(F.col("_title").isNotNull())
-    return unique.select("page_id", *carry, "item_pos", "asin", F.substring("_title", 2, 1 << 20).alias("title"), "price")
+    return unique.select("page_id", *carry, "item_pos", "asin", F.substr("_title", F.lit(2)).alias("title"), "price")
 
 
 def extract_search_items_a(nodes: DataFrame, n: int = 20, carry: Sequence[str] = ("url",)) -> DataFrame:

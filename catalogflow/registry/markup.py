@@ -183,10 +183,10 @@ D_SEARCH_A = f"""SELECT k, k // {PER_PAGE} AS page_id, cast(k % {PER_PAGE} + 1 A
     '5つ星のうち' || cast(k % 5 AS string) AS rating, CASE k % 3 WHEN 0 THEN cast(k AS string) WHEN 1 THEN '1,' || lpad(cast(k % 1000 AS string), 3, '0')
         ELSE cast(k % 50 AS string) END AS review_count, k % 5 = 0 AS is_sponsored, '明日' || cast(k % 24 AS string) || '時 お届け' AS prime_or_delivery_label,
     CASE WHEN k % 3 = 1 THEN 'クーポン ' || cast(k % 30 AS string) || '%' END AS coupon_label, 'https://a.example.com/i/' || cast(k AS string) || '.jpg' AS image_url,
-    'https://a.example.com/dp/' || cast(k AS string) || '?a=1' AS product_url FROM ({LISTING_SQL}) WHERE k % {PER_PAGE} < 12"""
+    'https://a.example.com/dp/' || cast(k AS string) || '?a=1' AS product_url FROM ({LISTING_SQL})"""
 add(
     "ext08_search_items_a",
-    lambda s, d: search.extract_search_items_a(html_nodes(search_a_pages(s, d), carry=("url",)), n=12),
+    lambda s, d: search.extract_search_items_a(html_nodes(search_a_pages(s, d), carry=("url",))),
     f"SELECT * EXCLUDE (k) FROM ({D_SEARCH_A})",
 )
 
@@ -212,8 +212,8 @@ D_SEARCH_B = f"""WITH r AS (SELECT k, k // {PER_PAGE} AS page_id, CASE WHEN k %
     SELECT *, cast(row_number() OVER (PARTITION BY page_id ORDER BY k) AS INTEGER) AS rank FROM r WHERE rn = 1"""
 add(
     "ext09_search_items_b",
-    lambda s, d: search.extract_search_items_b(html_nodes(search_b_pages(s, d), carry=("url",)), n=10),
-    f"SELECT * EXCLUDE (k, rn) FROM ({D_SEARCH_B}) WHERE rank <= 10",
+    lambda s, d: search.extract_search_items_b(html_nodes(search_b_pages(s, d), carry=("url",))),
+    f"SELECT * EXCLUDE (k, rn) FROM ({D_SEARCH_B})",
 )
 
 # --- whole jobs -------------------------------------------------------------------------

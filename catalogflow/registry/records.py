@@ -227,27 +227,37 @@ add(
 )
 
 # --- paging -----------------------------------------------------------------------------
-NEXT = f"""'<html><head>' || CASE WHEN {K} % 6 = 0 THEN '<link rel="next" href="/l/' || cast({K} + 1 AS string) || '">' ELSE '' END ||
-    '</head><body><div class="item_listbox"><a href="/x">次へ</a></div>' || CASE {K} % 6 WHEN 1 THEN '<ul class="pagination"><li class="next"><a href="' || cast({K} + 1 AS string) || '">go</a></ul>'
+NEXT = f"""'<html><head>' || CASE WHEN {K} % 8 = 0 THEN '<link rel="next" href="/l/' || cast({K} + 1 AS string) || '">' ELSE '' END ||
+    '</head><body><div class="item_listbox"><a href="/x">次へ</a></div>' || CASE {K} % 8 WHEN 6 THEN '<div class="item_listbox_area"><a href="/l/' || cast({K} + 1 AS string) || '">次へ</a></div>'
+    WHEN 7 THEN '<div class="pagination"><p class="next"><a>none</a><a href="/last">l</a></p></div><div class="pager"><a class="next" href="/l/' || cast({K} + 1 AS string) || '">g</a></div>' WHEN 1 THEN '<ul class="pagination"><li class="next"><a href="' || cast({K} + 1 AS string) || '">go</a></ul>'
     WHEN 2 THEN '<a href="/no" aria-disabled="true">次へ</a><li class="disabled"><a href="/no">次へ</a></li><a class="disabled" href="/no">Next</a><a href="/l/' || cast({K} + 1 AS string) || '"> 次へ </a>'
     WHEN 3 THEN '<a class="disabled" href="/no">次へ</a>' WHEN 4 THEN '<a href="/w">次</a><a rel="next" href="/l/' || cast({K} + 1 AS string) || '?p=1">z</a>' ELSE '' END || '</body></html>'"""
 add(
     "ext26_next_links",
     lambda s, d: paging.next_links(html_nodes(part_pages(s, d, NEXT, "https://n.example.com/l/"), carry=("url",), tags=("a", "link"))),
     f"""SELECT {K} AS page_id, 'https://n.example.com/l/' || {KS} AS url, 'https://n.example.com/l/' || cast({K} + 1 AS string) ||
-        CASE WHEN {K} % 6 = 4 THEN '?p=1' ELSE '' END AS next_url FROM part WHERE {K} % 6 IN (0, 1, 2, 4)""",
+        CASE WHEN {K} % 8 = 4 THEN '?p=1' ELSE '' END AS next_url FROM part WHERE {K} % 8 IN (0, 1, 2, 4, 6, 7)""",
 )
-EDGE = f"CASE WHEN {K} % 97 = 96 THEN {K} - 20 WHEN {K} % 41 = 40 THEN NULL ELSE {K} + 1 END"
+# Chains of up to 97 pages, some of which turn back; every third link is captured twice.
+EDGE = f"CASE WHEN {K} % 97 = 96 THEN {K} - 20 WHEN {K} % 241 = 240 THEN NULL ELSE {K} + 1 END"
+D_CHAIN = f"""WITH RECURSIVE e AS (SELECT {K} AS a, {EDGE} AS b FROM part),
+    w AS (SELECT {K} AS s, {K} AS here, 1 AS page_no, [{K}] AS seen FROM part WHERE {K} % 13 = 0
+        UNION ALL SELECT s, b, page_no + 1, list_append(seen, b) FROM w JOIN e ON a = here WHERE b IS NOT NULL AND NOT list_contains(seen, b))
+    SELECT 'u' || cast(s AS string) AS source_url, page_no, 'u' || cast(here AS string) AS page_url, {{truncated}} AS truncated FROM w"""
+
+
+def page_chains(s, d, max_pages=None):
+    part = table(s, d, "part").select(F.col(K).alias("k"), F.concat(F.lit("u"), F.col(K).cast("string")).alias("url"))
+    edges = table(s, d, "part").select(F.col(K).alias("k"), F.concat(F.lit("u"), F.col(K).cast("string")).alias("url"), F.expr(f"'u' || cast({EDGE} AS string)").alias("next_url"))
+    edges = edges.union(edges.filter("k % 3 = 0")).drop("k")
+    return paging.page_chain(edges, part.filter("k % 13 = 0").select(F.col("url").alias("source_url")), max_pages)
+
+
+add("ext27_page_chain", page_chains, D_CHAIN.format(truncated="false"))
 add(
-    "ext27_page_chain",
-    lambda s, d: paging.page_chain(
-        table(s, d, "part").select(F.concat(F.lit("u"), F.col(K).cast("string")).alias("url"), F.expr(f"'u' || cast({EDGE} AS string)").alias("next_url")),
-        table(s, d, "part").filter(f"{K} % 13 = 0").select(F.concat(F.lit("u"), F.col(K).cast("string")).alias("source_url")), 40),
-    f"""WITH RECURSIVE e AS (SELECT {K} AS a, {EDGE} AS b FROM part),
-        w AS (SELECT {K} AS s, {K} AS here, 1 AS page_no, [{K}] AS seen FROM part WHERE {K} % 13 = 0
-            UNION ALL SELECT s, b, page_no + 1, list_append(seen, b) FROM w JOIN e ON a = here
-            WHERE b IS NOT NULL AND page_no < 40 AND NOT list_contains(seen, b))
-        SELECT 'u' || cast(s AS string) AS source_url, page_no, 'u' || cast(here AS string) AS page_url FROM w""",
+    "ext27_page_chain_limited",
+    lambda s, d: page_chains(s, d, 40),
+    D_CHAIN.format(truncated="max(page_no) OVER (PARTITION BY s) > 40") + " QUALIFY page_no <= 40",
 )
 
 # --- windows inside a page --------------------------------------------------------------

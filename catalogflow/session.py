@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -51,9 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows written to the checkpoint folder and read from there: lineage is cut, a lost executor costs nothing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The rows written as Parquet to the shared checkpoint folder and read from there.
+
+    Lineage is cut, so a lost executor costs nothing; later reads are pruned to the columns they use.
+    """
+    spark = df.sparkSession
+    named = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    folder = f"{named.rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 _SHIPPED: set[str] = set()

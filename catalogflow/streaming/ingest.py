@@ -34,19 +34,22 @@ def new_rows(batch: DataFrame, seen: DataFrame | None, key: str, order: Sequence
 
 
 def ingest_first_seen(stream: DataFrame, sink: str, checkpoint: str, key: str, order: Sequence[str]) -> None:
-    """Keep the first row of each key over all increments.
+    """Keep the first row of each key over all increments, those of earlier checkpoints over the same sink included.
 
-    A batch is compared with the batches before it in the sink, so no state grows in memory and
-    a repeated batch rewrites only its own folder.
+    Folders are named by the stream's own id, which its checkpoint keeps, and the batch. A batch is compared with everything
+    else the sink holds, so no state grows in memory; a repeated batch rewrites its own folder only, and a new checkpoint
+    over a filled sink starts folders of its own.
     """
-    schema = stream.schema
+    spark = stream.sparkSession
+    held = T.StructType([*stream.schema.fields, T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())])
+    # a sink that does not exist yet becomes an empty one
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{sink}/run_id=none/batch_id=-1")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        stored_rows = batch.sparkSession.read.schema(
-            T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        )
-        seen = stored_rows.parquet(sink).filter(F.col("batch_id") < batch_id) if batch_id > 0 else None
-        new_rows(batch, seen, key, order).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        session = batch.sparkSession
+        run_id = session.read.schema("id STRING").json(f"{checkpoint}/metadata").first()["id"]
+        others = session.read.schema(held).parquet(sink).filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
+        new_rows(batch, others, key, order).write.mode("overwrite").parquet(f"{sink}/run_id={run_id}/batch_id={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from catalogflow.operators import jsonld, listing, maker, official, paging, search
-from catalogflow.operators.dom import chain, contained, html_nodes, is_at, parse_page, token as t
+from catalogflow.operators.dom import chain, contained, html_nodes, is_at, page_rows, parse_page, token as t
 from catalogflow.operators.joins import with_feed_price
 from catalogflow.plans import jobs
 
@@ -129,13 +131,15 @@ def test_official_record(spark):
     assert [(q.question, q.answer) for q in r.faq] == [("S?", "ans")]
 
 
-def test_structured_data_too_deep_fails(spark):
+def test_structured_data_of_any_depth(spark):
     def nested(n: int) -> str:
         return '<script type="application/ld+json">' + '{"a":[0,' * n + "{}" + "]}" * n + "</script>"
 
     assert jsonld.jsonld_nodes(pages(spark, nested(8))).count() == 9
-    with pytest.raises(Exception, match="nested deeper"):
-        jsonld.jsonld_nodes(pages(spark, nested(10))).collect()
+    deep = jsonld.jsonld_nodes(pages(spark, nested(30), nested(2), "<p>none</p>"))
+    assert {r["page_id"]: r["count"] for r in deep.groupBy("page_id").count().collect()} == {1: 31, 2: 3}
+    longest = deep.filter("page_id = 1").orderBy(F.size("place").desc()).first()
+    assert longest.place == [0, 1] * 30
 
 
 def test_maker_variants_and_feed(spark):
@@ -154,11 +158,35 @@ def test_next_link_choices(spark):
     a = '<div class="pager"><a class="next" href="p2">n</a></div><a href="/t">次へ</a>'
     b = '<li class="disabled"><a href="/no">次</a></li><a href="/yes"> 次 </a>'
     c = '<div class="item_listbox"><a href="/in">Next</a></div>'
-    got = {r.page_id: r.next_url for r in paging.next_links(nodes(spark, a, b, c)).collect()}
-    assert got == {1: URL + "p2", 2: "https://shop.example.com/yes"}
+    d = '<div class="item_listbox_area"><a href="/l/2">次へ</a></div>'
+    e = '<div class="pagination"><p class="next"><a>x</a><a href="/last">l</a></p></div><p class="pager"><a class="next" href="/good">g</a></p>'
+    f = '<a rel="next" class="next">x</a><p class="pagination"><a class="next" href="/second">s</a></p><a href="/t">»</a>'
+    g = '<p class="pagination"><a rel="next" class="next">x</a><a class="next" href="/second">s</a></p><a href="/t">»</a>'
+    site = "https://shop.example.com"
+    got = {r.page_id: r.next_url for r in paging.next_links(nodes(spark, a, b, c, d, e, f, g)).collect()}
+    assert got == {1: URL + "p2", 2: site + "/yes", 4: site + "/l/2", 5: site + "/good", 6: site + "/second", 7: site + "/t"}
+
+
+@pytest.mark.parametrize("unit", ["<p ", '<a href="x ', "<a b='x \" ", "<b>x", "</script ", "<a", '<p "x" '])
+@pytest.mark.parametrize("tail", ["", ">"])
+def test_broken_pages_take_linear_time(unit, tail):
+    def seconds(size: int) -> float:
+        text, start = unit * (size // len(unit)) + tail, time.process_time()
+        assert sum(1 for _ in page_rows(text)) >= 1
+        return time.process_time() - start
+
+    small, large = min(seconds(250_000) for _ in range(2)), seconds(1_000_000)
+    assert large < 10 * small + 1
+
+
+def test_deep_nesting_holds_bounded_rows():
+    rows = parse_page("<b>x" * 4000)
+    assert len(rows) == 4001
+    assert max(len(r[9]) for r in rows) < 512
+    assert rows[-1][11] is None and "".join(r[10] for r in sorted(rows)) == "x" * 4000
 
 
-@pytest.mark.parametrize("limit", [0, 1, 2, 3, 7, 50, 99])
+@pytest.mark.parametrize("limit", [None, 1, 2, 3, 7, 50, 99])
 def test_page_chain_against_walk(spark, limit):
     edge = {f"u{i}": f"u{i + 1}" for i in range(70)} | {"c1": "c2", "c2": "c3", "c3": "c1", "s": "s"}
     edges = spark.createDataFrame(list(edge.items()), "url STRING, next_url STRING")
@@ -167,8 +195,10 @@ def test_page_chain_against_walk(spark, limit):
     want = set()
     for s in starts:
         at, seen = s, []
-        while at and at not in seen and len(seen) < (min(limit, 50) if limit > 0 else 50):
+        while at and at not in seen and len(seen) < (limit or 10_000):
             seen.append(at)
             at = edge.get(at)
-        want |= {(s, i, u) for i, u in enumerate(seen, 1)}
-    assert {(r.source_url, r.page_no, r.page_url) for r in got.collect()} == want
+        cut = bool(at and at not in seen)
+        want |= {(s, i, u, cut) for i, u in enumerate(seen, 1)}
+    rows = [(r.source_url, r.page_no, r.page_url, r.truncated) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
