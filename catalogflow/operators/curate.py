@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import as_col, trim_blank
+from ..session import stored
 
 # The columns that carry input order from extraction on; together they identify a row.
 INPUT_ORDER = ("source_pos", "page_no", "item_pos")
@@ -90,6 +91,21 @@ def block_number(
     return joined.withColumn(name, (F.col("_pos") + F.col("_off")).cast("bigint")).select(*df.columns, name)
 
 
+def range_number(df: DataFrame, ordinal: Column | str, name: str = "row_no") -> DataFrame:
+    """Dense 1..n numbering of all rows by an ordinal of any kind, dense or sparse.
+
+    Rows are dealt into ranges of the ordinal and stored, so that a range stays what it is; they are numbered inside their range, and
+    the sizes of the ranges before are added: only this list of ranges meets in one task.
+    """
+    ranged = df.withColumn("_ord", as_col(ordinal)).repartitionByRange("_ord").withColumn("_range", F.spark_partition_id())
+    ranged = stored(ranged)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy("_ord"))
+    numbered = ranged.withColumn("_own", own).join(sizes.select("_range", before.alias("_before")), "_range")
+    return numbered.withColumn(name, (F.col("_own") + F.col("_before")).cast("bigint")).select(*df.columns, name)
+
+
 def row_window(df: DataFrame, ordinal: Column | str, offset: float | None, limit: float | None) -> DataFrame:
     """Skip ``offset`` rows in order, keep ``limit``; a bad or non-positive setting means none."""
     def whole(v: float | None) -> int:
@@ -98,7 +114,7 @@ def row_window(df: DataFrame, ordinal: Column | str, offset: float | None, limit
     start, size = whole(offset), whole(limit)
     if not start and not size:
         return df
-    numbered = block_number(df, [], ordinal, "_row_no").filter(F.col("_row_no") > start)
+    numbered = range_number(df, ordinal, "_row_no").filter(F.col("_row_no") > start)
     if size:
         numbered = numbered.filter(F.col("_row_no") <= start + size)
     return numbered.drop("_row_no")

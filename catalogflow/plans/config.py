@@ -91,7 +91,18 @@ def query_plan(
     )
 
 
+#: Pages that one row of the first step of a frontier stands for.
+FRONTIER_BLOCK = 10_000
+
+
 def page_frontier(summaries: DataFrame, pages: Column | str = "pages") -> DataFrame:
-    """List pages 1..n of each row with a known page count."""
-    n = F.col(pages) if isinstance(pages, str) else pages
-    return summaries.filter(n > 0).withColumn("page_no", F.explode(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint"))))
+    """List pages 1..n of each row with a known page count, as ``page_no``.
+
+    Made in two steps, blocks and the pages of a block, so that no row holds a list as long as a count read from a page.
+    """
+    n = (F.col(pages) if isinstance(pages, str) else pages).cast("bigint")
+    zero, size = F.lit(0).cast("bigint"), F.lit(FRONTIER_BLOCK).cast("bigint")
+    blocks = summaries.filter(n > 0).withColumn("_pages", n)
+    blocks = blocks.withColumn("_first", F.explode(F.sequence(zero, F.col("_pages") - 1, size)))
+    upto = F.least(F.col("_pages"), F.col("_first") + size)
+    return blocks.withColumn("page_no", F.explode(F.sequence(F.col("_first") + 1, upto))).drop("_pages", "_first")

@@ -103,6 +103,11 @@ add(
     lambda s, d: curate.row_window(table(s, d, "events").select("event_id", "event_type"), "event_id", 777, 0),
     "SELECT event_id, event_type FROM events ORDER BY event_id OFFSET 777",
 )
+add(
+    "srt5_sparse_ordinal",
+    lambda s, d: curate.row_window(table(s, d, "events").select("event_id", "event_type", F.expr("(event_id * 7919 % 1000003) * 1000000007").alias("place")), "place", 50, 9000),
+    "SELECT event_id, event_type, (event_id * 7919 % 1000003) * 1000000007 AS place FROM events ORDER BY place LIMIT 9000 OFFSET 50",
+)
 add(
     "win4_stop_after_blocked",
     lambda s, d: agg.stop_after_blocked(table(s, d, "events").select(

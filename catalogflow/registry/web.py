@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import status as st, urls
 from ..operators import search
+from ..plans.config import page_frontier
 from .base import K, NWS, WS, Query, d_any, d_compact, d_get, d_norm, d_trim, listing, table, with_listing
 
 QUERIES: dict[str, Query] = {}
@@ -117,10 +118,16 @@ add(
     f"""SELECT k, cast(replace(a, ',', '') AS BIGINT) AS total, cast(b AS BIGINT) AS start_no, cast(c AS BIGINT) AS end_no,
         cast(c AS BIGINT) >= cast(b AS BIGINT) AS is_valid FROM ({D_SUM})""",
 )
+def expected_pages(s, d):
+    """Pages of each summary from the frontier; summaries without a page keep one row."""
+    rows = summaries(s, d).select("k", urls.expected_pages(F.col("r")).alias("n"))
+    pages = page_frontier(rows, "n").withColumnRenamed("page_no", "page")
+    return pages.unionByName(rows.filter("n IS NULL OR n <= 0"), allowMissingColumns=True)
+
+
 add(
     "pln12_expected_pages",
-    lambda s, d: summaries(s, d).select("k", urls.expected_pages(F.col("r")).alias("n"))
-    .select("k", "n", F.explode_outer(F.when(F.col("n") > 0, F.sequence(F.lit(1).cast("bigint"), "n"))).alias("page")),
+    expected_pages,
     f"""WITH n AS (SELECT k, CASE WHEN c >= b AND a > 0 THEN (a + c - b) // (c - b + 1) ELSE 0 END AS n FROM (SELECT k,
             cast(replace(a, ',', '') AS BIGINT) AS a, cast(b AS BIGINT) AS b, cast(c AS BIGINT) AS c FROM ({D_SUM})))
         SELECT k, n, page FROM (SELECT k, n, unnest(generate_series(1, n)) AS page FROM n WHERE n > 0)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import iso_utc, run_stamp
+from ..session import stored
 
 # Headers of the published component tables.
 MEMORY_COLUMNS = {
@@ -108,9 +111,10 @@ def output_formats(formats: Sequence[str] | None) -> list[str]:
 
 
 def write_run(df: DataFrame, root: str, target: str, stamp: str, formats: Sequence[str] | None = None) -> list[str]:
-    """Write one run under ``<root>/<target>_<stamp>.<format>``; returns the paths."""
-    paths = []
-    for kind in output_formats(formats):
+    """Write one run under ``<root>/<target>_<stamp>.<format>``; returns the paths. The rows are computed once for all formats."""
+    paths, kinds = [], output_formats(formats)
+    df = stored(df) if len(kinds) > 1 else df
+    for kind in kinds:
         path = f"{root}/{target}_{stamp}.{kind}"
         (write_market_csv if kind == "csv" else write_jsonl)(df, path)
         paths.append(path)
@@ -118,15 +122,30 @@ def write_run(df: DataFrame, root: str, target: str, stamp: str, formats: Sequen
 
 
 def append_run_table(df: DataFrame, root: str, target: Column | str, run_at: Column | str) -> None:
-    """Append a run to a table partitioned by target and run stamp."""
+    """Put a run into a table partitioned by target and run stamp; a repeated run replaces its own partitions.
+
+    Rows of a partition are gathered before the write; a large one is split over several tasks, small ones share a task.
+    """
     target = F.col(target) if isinstance(target, str) else target
-    stamped = df.withColumns({"target": target, "run_ts": run_stamp(run_at)})
-    stamped.write.mode("append").partitionBy("target", "run_ts").parquet(root)
+    stamped = df.withColumns({"target": target, "run_ts": run_stamp(run_at)}).hint("rebalance", "target", "run_ts")
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("target", "run_ts").parquet(root)
 
 
 def publish_latest(df: DataFrame, path: str) -> None:
-    """Replace the table under the fixed key. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Publish the rows as the newest version under ``path``; readers see the old one until the new one is complete.
+
+    Each version has a folder of its own. The list of published versions gets its entry after the write, as one file that
+    appears at once; a failed or repeated run leaves at most a folder that nothing points to. ``df`` may read from ``path``.
+    """
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/versions/{version}")
+    df.sparkSession.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{path}/published")
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the version published last."""
+    version = spark.read.schema("version STRING").parquet(f"{path}/published").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/versions/{version}")
 
 
 def run_manifest(df: DataFrame, scraped_at: Column, source: str = "source_url", keys: Sequence[str] = ()) -> DataFrame:
@@ -138,7 +157,8 @@ def run_manifest(df: DataFrame, scraped_at: Column, source: str = "source_url",
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:
-    """Fail before writing when there is no row."""
-    if df.isEmpty():
+    """The rows, stored; fails when there is none. The plan runs once: a later write reads what was stored."""
+    rows = stored(df)
+    if rows.isEmpty():
         raise ValueError(message)
-    return df
+    return rows

@@ -81,3 +81,39 @@ def test_streams_continue(spark, tmp_path):
         ingest.ingest_first_seen(stream, seen, str(tmp_path / "ck2"), "key", ["id"])
     assert spark.read.parquet(out).count() == 30
     assert sorted((r.id, r.key) for r in spark.read.parquet(seen).collect()) == [(0, "k0"), (1, "k1"), (2, "k2"), (12, "k3"), (22, "k4")]
+
+
+def test_first_seen_survives_a_new_checkpoint(spark, tmp_path):
+    src, seen = str(tmp_path / "in"), str(tmp_path / "seen")
+    for step in range(2):
+        spark.createDataFrame([(step * 10 + i, f"k{i + step}") for i in range(2)], "id BIGINT, key STRING").write.mode("append").parquet(src)
+        stream = ingest.capture_stream(spark, src, "id BIGINT, key STRING")
+        for _ in range(2):  # the second start finds nothing new
+            ingest.ingest_first_seen(stream, seen, str(tmp_path / f"ck{step}"), "key", ["id"])
+    assert sorted((r.id, r.key) for r in spark.read.parquet(seen).collect()) == [(0, "k0"), (1, "k1"), (11, "k2")]
+
+
+def test_writes_can_be_repeated(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", "2024-07-05 01:02:03"), (2, "b", "2024-07-05 01:02:03"), (3, "b", "2024-07-06 01:02:03")], "id INT, kind STRING, at STRING")
+    df = df.withColumn("at", df["at"].cast("timestamp"))
+    table, latest = str(tmp_path / "table"), str(tmp_path / "latest")
+    for _ in range(2):
+        sinks.append_run_table(df, table, "kind", "at")
+        sinks.publish_latest(df, latest)
+        paths = sinks.write_run(df, str(tmp_path), "t", "s")
+    assert spark.read.parquet(table).count() == 3
+    assert sinks.read_latest(spark, latest).count() == 3
+    assert spark.read.csv(paths[0], header=True).count() == spark.read.json(paths[1]).count() == 3
+    sinks.append_run_table(df.filter("id = 3"), table, "kind", "at")
+    assert spark.read.parquet(table).count() == 3
+    sinks.publish_latest(sinks.read_latest(spark, latest).filter("id > 1"), latest)  # reads what it replaces
+    assert sinks.read_latest(spark, latest).count() == 2
+
+
+def test_frontier_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(config, "FRONTIER_BLOCK", 7)
+    rows = spark.createDataFrame([("a", 20), ("b", 7), ("c", 0), ("d", None), ("e", 1)], "k STRING, pages INT")
+    got = {}
+    for r in config.page_frontier(rows).collect():
+        got.setdefault(r.k, []).append(r.page_no)
+    assert {k: sorted(v) for k, v in got.items()} == {"a": list(range(1, 21)), "b": list(range(1, 8)), "e": [1]}
