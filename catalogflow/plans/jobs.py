@@ -3,9 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from ..functions import status as st
+from ..operators import search
+from ..operators.aggregates import stop_after_blocked
 from ..operators.curate import INPUT_ORDER, first_wins, sort_memory, sort_ssd
+from ..operators.dom import html_nodes
 from ..operators.listing import memory_items, ssd_items, type_component
+from ..session import stored
+
+#: What a search job knows of a visit besides its items.
+VISIT = ("search_url", "final_url", "status", "blocked", "crawled_at", "artifact_dir", "error_name", "error_message")
+RECORD_A = (
+    "project", "source", "target", "query", "rank", "asin", "title", "brand", "price", "rating", "review_count", "is_sponsored",
+    "prime_or_delivery_label", "coupon_label", "image_url", "product_url", *VISIT,
+)
+RECORD_B = (
+    "project", "source", "target", "query", "rank", "title", "price", "point_label", "stock_label", "product_url", "image_url",
+    "category_label", *VISIT,
+)
 
 
 def memory_table(raw: DataFrame, run_at: Column | str) -> DataFrame:
@@ -24,3 +41,52 @@ def ssd_table(raw: DataFrame, run_at: Column | str) -> DataFrame:
 
 def _order(raw: DataFrame) -> list[str]:
     return [c for c in INPUT_ORDER if c in raw.columns]
+
+
+def _visits(pages: DataFrame, nodes: DataFrame, shop: str) -> DataFrame:
+    """Each visited query with its status, from the page's title and text, the response and the error of the visit."""
+    title = F.max(F.when(F.col("tag") == "title", F.col("text"))).alias("_title")
+    text = F.max(F.when(F.col("tag") == "body", F.col("visible_text"))).alias("_text")
+    seen = pages.drop("html", "url").join(nodes.groupBy("page_id").agg(title, text), "page_id", "left")
+    if shop == "a":
+        blocked = st.is_blocked_a("http_status", "_title", "_text")
+    else:
+        blocked = st.is_blocked_b("final_url", "http_status", "_title", "_text")
+    failed = F.col("error_message").isNotNull()
+    blocked = F.coalesce(blocked, F.lit(False)) | (failed & F.coalesce(st.is_blocked_error("error_message"), F.lit(False)))
+    seen = seen.withColumn("blocked", blocked)
+    reason = F.when(failed, st.failed_status("blocked", "error_message")).when(F.col("blocked"), "blocked")
+    empty = F.coalesce(st.has_no_results("_text", shop), F.lit(False))
+    return seen.withColumn("status", F.coalesce(reason, F.lit("ok"))).withColumn("_empty", empty).drop("_title", "_text")
+
+
+def _search_records(pages: DataFrame, shop: str, n: int, columns: tuple[str, ...], source: str, target: str) -> DataFrame:
+    nodes = stored(html_nodes(pages, carry=("url",)))
+    visits = _visits(pages, nodes, shop)
+    visits = stored(stop_after_blocked(visits, "run", "query_pos"))
+    extract = search.extract_search_items_a if shop == "a" else search.extract_search_items_b
+    items = stored(extract(nodes, n).drop("url"))
+    if shop == "b":
+        found = items.select("page_id").distinct().withColumn("_items", F.lit(1))
+        visits = visits.join(found, "page_id", "left").withColumn(
+            "status", F.when(F.col("status") == "ok", st.search_status_b("_empty", F.coalesce("_items", F.lit(0)))).otherwise(F.col("status")))
+    hits = visits.filter("status = 'ok'").join(items, "page_id")
+    bare = visits.join(hits.select("page_id").distinct(), "page_id", "left_anti")
+    if shop == "a":
+        bare = bare.withColumn("is_sponsored", F.lit(False))
+    rows = hits.unionByName(bare, allowMissingColumns=True).withColumns({"source": F.lit(source), "target": F.lit(target)})
+    return rows.select(*columns)
+
+
+def search_a_records(pages: DataFrame, n: int = 20) -> DataFrame:
+    """Records of search shop A: the items of every page that shows some, one placeholder with the reason for every other query.
+
+    ``pages``: page_id, run, project, query, query_pos, url, html, search_url, final_url, http_status, crawled_at, artifact_dir, error_name,
+    error_message; one row per visited query. Of each run, queries after the first wholly blocked one are left out.
+    """
+    return _search_records(pages, "a", n, RECORD_A, "amazon", "market-amazon-search")
+
+
+def search_b_records(pages: DataFrame, n: int = 20) -> DataFrame:
+    """As ``search_a_records`` for search shop B, where a page without items is ``no_results``."""
+    return _search_records(pages, "b", n, RECORD_B, "bic", "market-bic-search")

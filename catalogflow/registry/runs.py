@@ -6,16 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.status import STATUS_A
-from ..operators import aggregates as agg, joins, search
-from ..operators.dom import html_nodes
+from ..functions.status import STATUS_A, STATUS_B
+from ..operators import aggregates as agg, joins
 from ..plans import config, jobs
 from ..schemas import MALL_SNAPSHOT, PROJECT_CONFIG
-from ..session import ensure_checkpoint_dir, stored
+from ..session import ensure_checkpoint_dir
 from ..sources import captures, sinks
 from ..streaming import ingest
 from .base import K, Query, RUN_AT, table
-from .markup import D_SEARCH_A, D_UNIQUE, component_raw, search_a_pages
+from .markup import D_SEARCH_A, D_SEARCH_B, D_UNIQUE, component_raw, search_a_pages, search_b_pages
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -223,29 +222,60 @@ add(
 )
 
 # --- jobs -------------------------------------------------------------------------------
+# Visits of composed result pages: page ids say what went wrong. Runs are the tens of pages; in every third run of shop A the fifth query is blocked.
+PAGE = "page_id"
+GOES = f"""CASE WHEN {PAGE} % 30 = 5 THEN 'blocked' WHEN {PAGE} % 10 = 7 THEN 'transport_error' WHEN {PAGE} % 10 = 2 THEN 'error'
+    WHEN {PAGE} % 10 = 3 THEN 'empty' ELSE 'ok' END"""
 
 
-def search_job(s, d):
-    """Plan, result pages and items to one record table with placeholders, as a search run publishes it."""
-    pages = search_a_pages(s, d)
-    # Read twice below, so the page parsing is stored.
-    items = stored(search.extract_search_items_a(html_nodes(pages, carry=("url",)), n=20))
-    plan = table(s, d, "part").select(F.col(K).alias("page_id"), F.concat(F.lit("q"), F.col(K).cast("string")).alias("query"))
-    return joins.with_run_context(
-        joins.plan_with_results(plan, items, "page_id", false_columns=("is_sponsored",)), joins.RunContext("demo", "a", "search-a", "t"))
+def search_visits(pages):
+    """One visited query per page, with the page, response or error that the visit met."""
+    goes = F.expr(GOES)
+    html = F.when(goes == "blocked", "<html><head><title>x</title></head><body><p>入力された文字を下に表示 powered and protected by</p></body></html>")
+    html = html.when(goes.isin("transport_error", "error"), F.lit("")).when(goes == "empty", "<html><head><title>y</title></head><body><p>nothing</p></body></html>")
+    return pages.select(
+        "page_id", F.expr(f"{PAGE} div 10").alias("run"), F.lit("demo").alias("project"), F.expr(f"concat('q', {PAGE})").alias("query"),
+        F.expr(f"cast({PAGE} % 10 AS int)").alias("query_pos"), "url", html.otherwise(F.col("html")).alias("html"), F.col("url").alias("search_url"),
+        F.concat("url", F.lit("&f")).alias("final_url"), F.when(goes == "ok", 200).alias("http_status"), F.lit("t").alias("crawled_at"),
+        F.expr(f"concat('dir/', {PAGE})").alias("artifact_dir"), F.when(goes.isin("transport_error", "error"), "Error").alias("error_name"),
+        F.when(goes == "transport_error", "net::ERR_FAILED").when(goes == "error", "boom").alias("error_message"))
+
+
+def d_visits(site, empty):
+    """The visits that count, in DuckDB: those of a run up to its first query without any page, blocked or not reached."""
+    return f"""SELECT * FROM (SELECT *, min(CASE WHEN status IN ('blocked', 'transport_error') THEN {PAGE} % 10 END) OVER (PARTITION BY {PAGE} // 10) AS stop FROM (
+        SELECT {PAGE}, 'demo' AS project, 'q' || cast({PAGE} AS string) AS query, '{site}' || cast({PAGE} AS string) AS search_url,
+            '{site}' || cast({PAGE} AS string) || '&f' AS final_url, replace({GOES}, 'empty', '{empty}') AS status, {GOES} = 'blocked' AS blocked, 't' AS crawled_at,
+            'dir/' || cast({PAGE} AS string) AS artifact_dir, CASE WHEN {GOES} IN ('transport_error', 'error') THEN 'Error' END AS error_name,
+            CASE {GOES} WHEN 'transport_error' THEN 'net::ERR_FAILED' WHEN 'error' THEN 'boom' END AS error_message, {GOES} = 'ok' AS shown
+        FROM (SELECT DISTINCT {K} // 20 AS {PAGE} FROM part))) WHERE stop IS NULL OR {PAGE} % 10 <= stop"""
+
+
+def d_records(columns, items, site, empty, source, target):
+    made = {"source": f"'{source}'", "target": f"'{target}'", "is_sponsored": "coalesce(is_sponsored, false)"}
+    listed = ", ".join(f"{made[c]} AS {c}" if c in made else c for c in columns)
+    return f"SELECT {listed} FROM ({d_visits(site, empty)}) v LEFT JOIN ({items}) r ON r.page_id = v.page_id AND v.shown"
+
+
+D_RECORDS_A = d_records(jobs.RECORD_A, D_SEARCH_A, "https://a.example.com/s?k=", "ok", "amazon", "market-amazon-search")
+D_RECORDS_B = d_records(jobs.RECORD_B, D_SEARCH_B, "https://b.example.com/s?q=", "no_results", "bic", "market-bic-search")
+add("job_search_a_records", lambda s, d: jobs.search_a_records(search_visits(search_a_pages(s, d))), D_RECORDS_A)
+add("job_search_b_records", lambda s, d: jobs.search_b_records(search_visits(search_b_pages(s, d))), D_RECORDS_B)
+
+
+def d_rollup(records, statuses):
+    return f"SELECT project, target, {', '.join(f'count(*) FILTER (status = {chr(39)}{x}{chr(39)}) AS {x}' for x in statuses)} FROM ({records}) GROUP BY ALL"
 
 
 add(
-    "job_search_a_records",
-    lambda s, d: search_job(s, d).select("project", "query", "rank", "asin", "title", "status", "is_sponsored", "product_url"),
-    f"""SELECT 'demo' AS project, 'q' || cast({K} AS string) AS query, rank, asin, title, 'ok' AS status, coalesce(is_sponsored, false) AS is_sponsored, product_url
-        FROM part LEFT JOIN ({D_SEARCH_A}) r ON r.page_id = {K}""",
+    "job_search_a_summary",
+    lambda s, d: agg.status_rollup(jobs.search_a_records(search_visits(search_a_pages(s, d))), ["project", "target"], STATUS_A),
+    d_rollup(D_RECORDS_A, STATUS_A),
 )
 add(
-    "job_search_a_summary",
-    lambda s, d: agg.status_rollup(search_job(s, d), ["project", "target"], STATUS_A),
-    f"""SELECT 'demo' AS project, 'search-a' AS target, count(*) AS ok, 0::BIGINT AS blocked, 0::BIGINT AS transport_error, 0::BIGINT AS error
-        FROM part LEFT JOIN ({D_SEARCH_A}) r ON r.page_id = {K}""",
+    "job_search_b_summary",
+    lambda s, d: agg.status_rollup(jobs.search_b_records(search_visits(search_b_pages(s, d))), ["project", "target"], STATUS_B),
+    d_rollup(D_RECORDS_B, STATUS_B),
 )
 
 # --- streams ----------------------------------------------------------------------------
