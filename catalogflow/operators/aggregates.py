@@ -57,3 +57,11 @@ def stop_after_blocked(df: DataFrame, run: str, index: str, status: str = "statu
     stop = verdict.filter("query_blocked").groupBy(run).agg(F.min(index).alias("_stop"))
     joined = df.join(stop, run, "left")
     return joined.filter(F.col("_stop").isNull() | (F.col(index) <= F.col("_stop"))).drop("_stop")
+
+
+def capacity_bounds(df: DataFrame, keys: Sequence[str], tags: Column | str = "tags") -> DataFrame:
+    """Per key the largest and smallest of the rows' largest capacity tag in GB: upper_gb, lower_gb."""
+    tags = F.col(tags) if isinstance(tags, str) else tags
+    sizes = F.transform(tags, lambda t: F.regexp_extract(t, "([0-9]+)GB", 1).try_cast("int"))
+    rows = df.select(*keys, F.array_max(sizes).alias("gb"))
+    return rows.groupBy(*keys).agg(F.max("gb").alias("upper_gb"), F.min("gb").alias("lower_gb"))

@@ -14,7 +14,8 @@ from ..session import ensure_checkpoint_dir
 from ..sources import captures, sinks
 from ..streaming import ingest
 from .base import K, Query, RUN_AT, table
-from .markup import D_SEARCH_A, D_SEARCH_B, D_UNIQUE, component_raw, search_a_pages, search_b_pages
+from .markup import ORACLES as MARKUP
+from .markup import D_SEARCH_A, D_SEARCH_B, component_raw, search_a_pages, search_b_pages
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -143,14 +144,20 @@ D_SNAP = """SELECT lpad(cast(l_partkey AS string), 13, '0') AS jan, 'a "q", ' ||
 add("snk1_src3_snapshot_csv", snapshot_round_trip, D_SNAP)
 
 
-def component_round_trip(s, d):
-    path = scratch(s)
-    sinks.write_component_csv(jobs.memory_table(component_raw(s, d), F.lit(RUN_AT).cast("timestamp")), "memory", path)
-    rows = s.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
-    return rows.select(F.col("URL").alias("url"), F.col("商品番号").alias("number"))
+def component_round_trip(kind):
+    """The published table of one kind, written and read back: every cell of every column as text."""
+    def query(s, d):
+        path = scratch(s)
+        make = jobs.memory_table if kind == "memory" else jobs.ssd_table
+        sinks.write_component_csv(make(component_raw(s, d), F.lit(RUN_AT).cast("timestamp")), kind, path)
+        rows = s.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+        return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
+    return query
 
 
-add("snk2_component_csv", component_round_trip, f"SELECT url, product_number AS number FROM ({D_UNIQUE})")
+for component in ("memory", "ssd"):
+    add("snk2_component_csv" + ("_ssd" if component == "ssd" else ""), component_round_trip(component),
+        f"SELECT coalesce(cast(COLUMNS(*) AS VARCHAR), '') FROM ({MARKUP[f'job_component_{component}_table']})")
 
 
 def jsonl_round_trip(s, d):

@@ -303,9 +303,7 @@ add(
 )
 add(
     "agg7_capacity_bounds",
-    lambda s, d: listing(s, d).select("source_pos", F.expr(r"""array_max(transform(filter(tags, t -> t rlike '[0-9]+GB'),
-        t -> try_cast(regexp_extract(t, '([0-9]+)GB', 1) AS int)))""").alias("gb")).groupBy("source_pos").agg(
-            F.max("gb").alias("upper_gb"), F.min("gb").alias("lower_gb")),
+    lambda s, d: agg.capacity_bounds(listing(s, d), ["source_pos"]),
     with_listing("""SELECT source_pos, max(gb) AS upper_gb, min(gb) AS lower_gb FROM (SELECT k, source_pos, max(try_cast(nullif(
         regexp_extract(t, '([0-9]+)GB', 1), '') AS INTEGER)) AS gb FROM (SELECT k, source_pos, unnest(string_split(tags_text, '|')) AS t
         FROM listing) GROUP BY 1, 2) GROUP BY 1"""),

@@ -45,12 +45,12 @@ def capture_path_fields(path: Column | str) -> list[Column]:
 
 
 def read_captures(spark: SparkSession, root: str) -> DataFrame:
-    """Saved HTML files, one row per file: page_id (hash of the path), path fields, html."""
+    """Saved HTML files, one row per file: page_id (128-bit hash of the path), path fields, html."""
     files = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").text(root, wholetext=True)
     )
     located = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
-    return located.select(F.xxhash64("path").alias("page_id"), "path", *capture_path_fields("path"), "html")
+    return located.select(F.md5(F.col("path").cast("binary")).alias("page_id"), "path", *capture_path_fields("path"), "html")
 
 
 def parse_capture_meta(text: Column | str) -> Column:
