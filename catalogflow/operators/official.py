@@ -129,7 +129,7 @@ def definition_pairs(nodes: DataFrame) -> DataFrame:
     )
 
 
-def heading_entries(nodes: DataFrame) -> DataFrame:
+def heading_entries(nodes: DataFrame, rows: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """Texts after each specification or FAQ heading: page_id, heading_id, is_spec, is_faq, entries in order.
 
     Up to eight sibling elements, ended by the next heading. A table gives ``label: value``
@@ -140,9 +140,11 @@ def heading_entries(nodes: DataFrame) -> DataFrame:
     def names(text: Column, words: tuple[str, ...]) -> Column:
         return is_heading & contains_any(F.lower(text), words)
 
-    # Only sibling groups with a matching heading matter; they are found before any window runs.
+    # Only sibling groups with a matching heading matter; they are found before any window runs, and lines of other pages are
+    # left out before they meet their ancestors.
     mark = names(compact_spaces("text"), SPEC_WORDS + FAQ_WORDS)
     hot = nodes.filter(is_heading).filter(mark).select("page_id", "parent_id").distinct()
+    headed = hot.select("page_id").distinct()
     siblings = nodes.join(hot, ["page_id", "parent_id"], "left_semi").select(
         "page_id", "parent_id", "node_id", "sib_pos", "tag", compact_spaces("text").alias("plain")
     )
@@ -156,15 +158,17 @@ def heading_entries(nodes: DataFrame) -> DataFrame:
     blocks = after.join(named, ["page_id", "parent_id", "heading_pos"]).select(
         "page_id", "heading_id", "is_spec", "is_faq", F.col("node_id").alias("block_id"), "after_heading", "tag", "plain"
     )
-    lines = table_rows(nodes).select(
+    rows = table_rows(nodes) if rows is None else rows
+    pairs = definition_pairs(nodes) if pairs is None else pairs
+    lines = rows.join(headed, "page_id", "left_semi").select(
         "page_id", F.explode("inside").alias("block_id"), F.lit("table").alias("kind"), F.col("row_id").alias("line_id"),
         F.concat_ws(": ", "label", "value").alias("line"),
     )
-    pairs = definition_pairs(nodes).filter((F.col("label") != "") & (F.col("value") != "")).select(
+    pairs = pairs.join(headed, "page_id", "left_semi").filter((F.col("label") != "") & (F.col("value") != "")).select(
         "page_id", F.explode("inside").alias("block_id"), F.lit("dl").alias("kind"), F.col("dt_id").alias("line_id"),
         F.concat_ws(": ", "label", "value").alias("line"),
     )
-    items = nodes.filter("tag = 'li'").select(
+    items = nodes.filter("tag = 'li'").join(headed, "page_id", "left_semi").select(
         "page_id", F.explode("ancestors").alias("block_id"), F.lit("li").alias("kind"), F.col("node_id").alias("line_id"),
         compact_spaces("text").alias("line"),
     ).filter(F.col("line") != "")
@@ -179,12 +183,17 @@ def heading_entries(nodes: DataFrame) -> DataFrame:
     )
 
 
-def extract_specs(nodes: DataFrame, entries: DataFrame | None = None) -> DataFrame:
+def extract_specs(
+    nodes: DataFrame, entries: DataFrame | None = None, rows: DataFrame | None = None, pairs: DataFrame | None = None
+) -> DataFrame:
     """Specification pairs per page: table rows, then dl pairs, then lines after a specification heading.
 
-    ``entries`` is the result of ``heading_entries`` when the caller has it already.
+    ``entries``, ``rows`` and ``pairs`` are the results of ``heading_entries``, ``table_rows`` and ``definition_pairs`` when the caller has
+    them already.
     """
-    entries = heading_entries(nodes) if entries is None else entries
+    rows = table_rows(nodes) if rows is None else rows
+    pairs = definition_pairs(nodes) if pairs is None else pairs
+    entries = heading_entries(nodes, rows, pairs) if entries is None else entries
     pair = "struct<label:string,value:string>"
 
     def rank(df: DataFrame, group: int, at: str, label: Column, value: Column) -> DataFrame:
@@ -193,8 +202,8 @@ def extract_specs(nodes: DataFrame, entries: DataFrame | None = None) -> DataFra
             F.struct(label.alias("label"), value.alias("value")).cast(pair).alias("s"),
         )
 
-    tables = rank(table_rows(nodes), 0, "row_id", F.col("label"), F.col("value"))
-    pairs = rank(definition_pairs(nodes).filter("next_tag = 'dd'"), 1, "dt_id", blank_to_null("label"), F.col("value"))
+    tables = rank(rows, 0, "row_id", F.col("label"), F.col("value"))
+    pairs = rank(pairs.filter("next_tag = 'dd'"), 1, "dt_id", blank_to_null("label"), F.col("value"))
     under = entries.filter("is_spec").select("page_id", "heading_id", F.posexplode("entries").alias("b", "v"))
     lines = under.select(
         "page_id", F.lit(2).alias("g"), F.col("heading_id").alias("a"), "b",
@@ -268,8 +277,9 @@ def official_records(pages: DataFrame, nodes: DataFrame, url: str = "url") -> Da
     ``nodes`` is read by several branches, so hand in a stored node table (see ``stored``).
     """
     fields = extract_page_fields(nodes, url)
-    entries = stored(heading_entries(nodes))
-    specs, faq = extract_specs(nodes, entries), extract_faq(nodes, entries)
+    rows, pairs = stored(table_rows(nodes)), stored(definition_pairs(nodes))
+    entries = stored(heading_entries(nodes, rows, pairs))
+    specs, faq = extract_specs(nodes, entries, rows, pairs), extract_faq(nodes, entries)
     data = jsonld_record(jsonld_nodes(pages, carry=(url,)), url)
     merged = fields.join(specs, "page_id", "left").join(faq, "page_id", "left").join(data, "page_id", "left")
 
