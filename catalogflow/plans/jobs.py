@@ -10,8 +10,10 @@ from ..operators import search
 from ..operators.aggregates import stop_after_blocked
 from ..operators.curate import INPUT_ORDER, first_wins, sort_memory, sort_ssd
 from ..operators.dom import html_nodes
+from ..operators.joins import skip_done, with_detail_code
 from ..operators.listing import memory_items, ssd_items, type_component
 from ..session import stored
+from ..sources.sinks import mall_snapshot
 
 #: What a search job knows of a visit besides its items.
 VISIT = ("search_url", "final_url", "status", "blocked", "crawled_at", "artifact_dir", "error_name", "error_message")
@@ -90,3 +92,27 @@ def search_a_records(pages: DataFrame, n: int = 20) -> DataFrame:
 def search_b_records(pages: DataFrame, n: int = 20) -> DataFrame:
     """As ``search_a_records`` for search shop B, where a page without items is ``no_results``."""
     return _search_records(pages, "b", n, RECORD_B, "bic", "market-bic-search")
+
+
+def mall_snapshot_rows(pages: DataFrame, details: DataFrame, crawled_at: Column) -> DataFrame:
+    """The snapshot of a mall shop: list items, first by URL (items without one all stay), with the code of their detail page.
+
+    ``pages``: page_id, url, html of the list pages in page order; ``details``: url, html of saved detail pages, of which
+    one per URL counts, the one with the smallest html.
+    """
+    items = search.extract_mall_items(html_nodes(pages, carry=("url",)))
+    items = first_wins(items, "url", ("page_id", "item_pos"), blank_keys="keep")
+    codes = details.select("url", search.jan_from_html("html").alias("jan"), "html")
+    codes = first_wins(codes, "url", ("html",)).select("url", "jan")
+    return mall_snapshot(with_detail_code(items, codes).withColumn("crawled_at", crawled_at))
+
+
+def merchant_snapshot_rows(pages: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """New rows of a merchant's snapshot: items of the pages whose code it does not hold yet, the first of each code.
+
+    ``pages``: page_id, html; ``snapshot``: the rows so far (blank, title, price, asin). The result has the same four columns.
+    """
+    items = search.extract_merchant_items(html_nodes(pages))
+    fresh = skip_done(items, snapshot.select(F.trim("asin").alias("asin")), "asin")
+    rows = first_wins(fresh, "asin", ("page_id", "item_pos"))
+    return rows.select(F.lit("").alias("blank"), "title", "price", "asin")

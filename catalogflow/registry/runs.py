@@ -15,7 +15,8 @@ from ..sources import captures, sinks
 from ..streaming import ingest
 from .base import K, Query, RUN_AT, table
 from .markup import ORACLES as MARKUP
-from .markup import D_SEARCH_A, D_SEARCH_B, component_raw, search_a_pages, search_b_pages
+from .markup import D_MALL, D_SEARCH_A, D_SEARCH_B, component_raw, mall_pages, merchant_pages, search_a_pages, search_b_pages
+from .web import META
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -285,6 +286,43 @@ add(
     d_rollup(D_RECORDS_B, STATUS_B),
 )
 
+def twice(pages):
+    """List pages of which each was captured again later."""
+    return pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 1_000_000))
+
+
+def mall_job(s, d):
+    """List pages and saved detail pages (some twice, every ninth missing) to the mall snapshot."""
+    details = table(s, d, "part").filter(f"{K} % 9 <> 0").select(
+        F.concat(F.lit("https://mall.example.com/item/"), F.col(K).cast("string")).alias("url"), F.expr(META).alias("html"))
+    details = details.union(details.filter(F.length("html") % 2 == 0))
+    rows = jobs.mall_snapshot_rows(twice(mall_pages(s, d)), details, F.lit(RUN_AT).cast("timestamp"))
+    return rows.withColumn("title", F.regexp_replace("title", "[ ]{2,}", " ")).withColumn("crawled_at", F.col("crawled_at").cast("string"))
+
+
+add(
+    "job_mall_snapshot",
+    mall_job,
+    f"""SELECT CASE WHEN k % 9 <> 0 AND k % 4 < 2 THEN '49' || lpad(cast(k AS string), 11, '0') ELSE '未セット' END AS jan, title, price, points, '{RUN_AT}' AS crawled_at,
+        CASE WHEN soldout THEN '売り切れ ' END AS soldout_label, CASE WHEN has_variation THEN 'バリエーション有り' END AS variation_label FROM ({D_MALL})""",
+)
+
+
+def merchant_job(s, d):
+    """List pages, captured twice, to the rows that a snapshot with every fifth code lacks."""
+    snapshot = table(s, d, "part").filter(f"{K} % 5 = 0").select(
+        F.lit("").alias("blank"), F.lit("t").alias("title"), F.lit("1").alias("price"), F.expr(f"concat(' B0', lpad(cast({K} AS string), 6, '0'), ' ')").alias("asin"))
+    rows = jobs.merchant_snapshot_rows(twice(merchant_pages(s, d)), snapshot)
+    return rows.withColumn("title", F.regexp_replace("title", "[ ]{2,}", " "))
+
+
+add(
+    "job_merchant_snapshot",
+    merchant_job,
+    f"""SELECT '' AS blank, title, price, asin FROM ({MARKUP['ext07_merchant_items']}) WHERE asin NOT IN
+        (SELECT 'B0' || lpad(cast({K} AS string), 6, '0') FROM part WHERE {K} % 5 = 0)""",
+)
+
 # --- streams ----------------------------------------------------------------------------
 
 
