@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding
+from . import exact_dedup, sharding, suffix_dedup
 from .chunk_codec import op7_bpe_codec
 from .exact_dedup import op8_exact_dedup
 from .language import op2_language_id
@@ -35,4 +35,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_sharding": sharding.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op9_suffix_dedup": suffix_dedup.ORACLE,
 }

@@ -277,3 +277,18 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = without_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     return rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_bytes").alias("n_bytes"), F.col("_removed").alias("n_removed"),
                        F.col("_spans").alias("n_spans"), F.col("_sha256").alias("kept_sha256"))
+
+
+#: Strings of 100 bytes as hexadecimal text, told apart by their 128-bit digest.
+ORACLE = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+places AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte, CASE WHEN i + 100 <= n THEN substr(h, 2 * i + 1, 200) END AS str
+    FROM (SELECT *, unnest(range(n)) AS i FROM texts)),
+judged AS (SELECT doc_id, i, byte, str IS NOT NULL AND row_number() OVER (PARTITION BY md5_number(str) ORDER BY doc_id, i) > 1 AS again FROM places),
+covered AS (SELECT doc_id, i, byte, max(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM covered),
+cut AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS kept FROM runs GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM texts LEFT JOIN cut USING (doc_id)
+"""
