@@ -14,10 +14,11 @@ rows get equal scores. Columns besides doc_id and text are not read by the score
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytenet import Adam, Filters, lay_out, spread_spans
@@ -99,15 +100,17 @@ def _spread(spans: int, span: int):
 
 
 def labelled_sample(rows: DataFrame, docs: DataFrame, per_class: int, spans: int, span: int) -> tuple[list[bytes], list]:
-    """Texts and labels of at most ``per_class`` rows (doc_id, y) of each class; the class holds no shuffle up."""
+    """Texts and labels of at most ``per_class`` rows (doc_id, y) of each class, a top-n of ids for each class."""
     python_ready(docs.sparkSession)
-    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).drop("n")
+    classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
+    if not classes:
+        return [], []
+    rows = reduce(DataFrame.union, [rows.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in classes])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text"))
     # at most per_class rows of two numbers for each class: small by its bound
     sample = texts.join(F.broadcast(rows), "doc_id").select("text", "y")
     kind = sample.schema["y"].dataType.simpleString()
-    found = sample.mapInArrow(_spread(spans, span), f"text binary, y {kind}").orderBy(F.xxhash64("text"), "y").limit(per_class * 64).collect()
+    found = sample.mapInArrow(_spread(spans, span), f"text binary, y {kind}").orderBy(F.xxhash64("text"), "y").collect()
     return [bytes(r["text"]) for r in found], [r["y"] for r in found]
 
 
