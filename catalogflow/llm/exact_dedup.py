@@ -22,6 +22,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # Small stores in many partitions: no disk space set aside ahead of their logs.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Groups of copies are compared in this many parts before the parts meet.
 _SALTS = 16
