@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +27,45 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored_table(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as Parquet to the shared folder and read from there: lineage ends here."""
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored_table(df: DataFrame, name: str, folders: list[str] | None = None) -> DataFrame:
+    """The rows written as Parquet to the shared folder and read from there: lineage ends here.
+
+    Shuffle files of the write are of no use after it, so they are removed as it ends. The table's folder is added to ``folders``, for
+    ``drop_tables``.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark, name)
-    df.write.parquet(folder)
+    folder, before = shared_folder(spark, name), spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    if folders is not None:
+        folders.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def drop_tables(spark: SparkSession, folders: list[str]) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def located(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The columns given and ``_at``, the place (file and row) of each row; rows that come from no file are stored first."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_at")
+    try:
+        return docs.select(*columns, at)
+    except AnalysisException as error:
+        if "_metadata" not in str(error):
+            raise
+        return stored_table(docs, "located").select(*columns, at)
+
+
 def python_ready(spark: SparkSession) -> None:
     """Send the package to the executors, so that Python stages can import it there."""
     ship_package(spark)

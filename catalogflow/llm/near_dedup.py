@@ -11,7 +11,7 @@
 
 Null texts count as empty. Texts without a word count as one word, their own bytes; texts of fewer than five
 words have one k-mer, all their words. Of a group the smallest id stays, null ids last; of rows that share it, the smallest locator.
-Repeated rows fall into one group. An empty folder of files gives no rows. Other columns are carried along unread.
+Repeated rows fall into one group. An empty table gives no rows. Other columns are carried along unread.
 Words are runs of ASCII letters and digits, ``_`` and all bytes beyond ASCII. Texts of any length are read whole.
 """
 
@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pack_row, python_ready, shared_folder, slices, stored_table, text_bytes, unpack_row, whole_text
+from .common import (
+    drop_tables, located, pack_row, python_ready, read_table, slices, stored_table, text_bytes, unpack_row, whole_text,
+)
 from .components import components
 
 K, TABLES, LEVELS, SIMILARITY = 5, 10, (2, 3, 4), 0.8
@@ -171,6 +173,48 @@ def edit_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     return None
 
 
+def _rising(values: np.ndarray) -> np.ndarray:
+    """Places of a longest strictly rising part."""
+    if len(values) < 2 or (np.diff(values) > 0).all():
+        return np.arange(len(values))
+    tails, last, before = [], [], []
+    for k, v in enumerate(values.tolist()):
+        at = bisect_left(tails, v)
+        before.append(last[at - 1] if at else -1)
+        if at == len(tails):
+            tails.append(v)
+            last.append(k)
+        else:
+            tails[at], last[at] = v, k
+    out, k = [], last[-1]
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return np.array(out[::-1])
+
+
+def distance_at_most(a: np.ndarray, b: np.ndarray) -> int:
+    """Edits of one alignment, so never less than the distance: it goes through the three-word runs that occur once in either text."""
+    places = []
+    for x in (a, b):
+        runs = x[:-2] * np.uint64(_BASE) + x[1:-1] * np.uint64(0xD6E8FEB86659FD93) + x[2:]
+        value, first, count = np.unique(runs, return_index=True, return_counts=True)
+        places.append((value[count == 1], first[count == 1]))
+    _, i, j = np.intersect1d(places[0][0], places[1][0], assume_unique=True, return_indices=True)
+    p, q = places[0][1][i], places[1][1][j]
+    order = np.argsort(p)
+    p, q = p[order], q[order]
+    good = (a[p] == b[q])
+    keep = _rising(q[good])
+    p, q = np.concatenate([[-1], p[good][keep], [len(a)]]), np.concatenate([[-1], q[good][keep], [len(b)]])
+    gap_a, gap_b = np.diff(p) - 1, np.diff(q) - 1
+    cost = int(np.maximum(gap_a, gap_b)[gap_a != gap_b].sum())
+    level = np.flatnonzero((gap_a == gap_b) & (gap_a > 0))
+    size = gap_a[level]
+    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return cost + int((a[np.repeat(p[level] + 1, size) + within] != b[np.repeat(q[level] + 1, size) + within]).sum())
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
@@ -183,6 +227,9 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     counts = [np.searchsorted(z, values, "right") - np.searchsorted(z, values, "left") for z in (x, y)]
     if longer - int(np.minimum(*counts).sum()) > most:
         return False
+    # most pairs are settled by one good alignment; the others walk the whole band
+    if min(len(a), len(b)) > 200 and distance_at_most(a.astype(np.uint64), b.astype(np.uint64)) <= most:
+        return True
     return edit_within(a, b, most) is not None
 
 
@@ -195,8 +242,10 @@ def _verify(similarity: float):
     return run
 
 
-def similar_links(sketched: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links (a, b) between nodes with different words."""
+def similar_links(
+    sketched: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY, folders: list[str] | None = None
+) -> DataFrame:
+    """Verified links (a, b) between nodes with different words; the folders of stored steps are added to ``folders``."""
     nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"))
     entries = nodes.select("node", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(tables - 1)), lambda t: F.slice("keys", t * len(LEVELS) + 1, len(LEVELS)))).alias("t", "k"))
@@ -207,18 +256,18 @@ def similar_links(sketched: DataFrame, tables: int = TABLES, similarity: float =
         least = F.min("node").alias("lo"), F.max("node").alias("hi")
         centres = entries.groupBy("t", key).agg(*least).filter("lo != hi")
         centres = centres.select("t", key, F.when(F.col("t") % 2 == 0, F.col("lo")).otherwise(F.col("hi")).alias("centre"))
-        member = stored_table(entries.join(centres, ["t", key]).filter("node != centre"), "candidates")
+        member = stored_table(entries.join(centres, ["t", key]).filter("node != centre"), "candidates", folders)
         pairs = member.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         if found is not None:
             pairs = pairs.join(found, ["a", "b"], "left_anti")
-        pairs = stored_table(pairs, "pairs")
+        pairs = stored_table(pairs, "pairs", folders)
         named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         words = sketched.select("node", "words").join(named, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
-        words = stored_table(words, "words")
+        words = stored_table(words, "words", folders)
         texts = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
         texts = texts.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
-        links = stored_table(texts.select("a", "b", "a_words", "b_words").mapInArrow(_verify(similarity), "a binary, b binary"), "verified")
-        found = links if found is None else stored_table(found.union(links), "verified")
+        links = stored_table(texts.select("a", "b", "a_words", "b_words").mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders)
+        found = links if found is None else stored_table(found.union(links), "verified", folders)
         # members that did not match their centre go on to the finer keys
         ends = found.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
         entries = member.join(ends, (F.least("node", "centre") == F.col("_a")) & (F.greatest("node", "centre") == F.col("_b")), "left_anti")
@@ -228,18 +277,21 @@ def similar_links(sketched: DataFrame, tables: int = TABLES, similarity: float =
     return found
 
 
-def near_groups(spark: SparkSession, source: str, schema, tables: int = TABLES, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, _at (file and row), links, root of every row of the Parquet files; rows of a group share the root."""
+def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, _at (file and row), links, root of every row; rows of a group share the root. Stored; steps on the way are dropped."""
+    spark, folders = docs.sparkSession, []
     python_ready(spark)
-    files = spark.read.schema(schema).parquet(source)
-    rows = files.select(F.col("doc_id").cast("long"), F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_at"), F.lower(whole_text()).alias("text"))
-    sketched = stored_table(rows.mapInArrow(_sketch(tables), SKETCH), "sketches")
-    links = similar_links(sketched, tables, similarity)
+    rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), F.lower(whole_text()).alias("text"))
+    rows = rows.select("doc_id", "_at", "text")
+    sketched = stored_table(rows.mapInArrow(_sketch(tables), SKETCH), "sketches", folders)
+    links = similar_links(sketched, tables, similarity, folders)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    roots = components(links).join(degree, "node")
-    return sketched.select("doc_id", "_at", "node").join(roots, "node", "left").select(
+    roots = components(links, folders).join(degree, "node")
+    groups = sketched.select("doc_id", "_at", "node").join(roots, "node", "left").select(
         "doc_id", "_at", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    groups = stored_table(groups, "groups")
+    drop_tables(spark, folders)
+    return groups
 
 
 def _keepers(groups: DataFrame) -> DataFrame:
@@ -247,23 +299,22 @@ def _keepers(groups: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_at")).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
 
 
-def near_duplicates(spark: SparkSession, source: str, schema, **settings) -> DataFrame:
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """doc_id, group_id (id of the row that stays), group_size, links (of its text to others), kept."""
-    groups = stored_table(near_groups(spark, source, schema, **settings), "groups")
+    groups = near_groups(docs, **settings)
     return groups.join(_keepers(groups), "root").select(
         "doc_id", F.col("keeper.doc_id").alias("group_id"), "group_size", "links", (F.col("keeper._at") == F.col("_at")).alias("kept"))
 
 
-def near_dedup(spark: SparkSession, source: str, schema, **settings) -> DataFrame:
-    """One row of each group, with all columns of the folder's rows."""
-    groups = stored_table(near_groups(spark, source, schema, **settings), "groups")
-    files = spark.read.schema(schema).parquet(source)
-    rows = files.select(pack_row(files), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row_index"))
-    kept = _keepers(groups).select(F.col("keeper._at.file").alias("_file"), F.col("keeper._at.row").alias("_row_index"))
-    return unpack_row(rows.join(kept, ["_file", "_row_index"], "left_semi"), files.columns)
+def near_dedup(docs: DataFrame, **settings) -> DataFrame:
+    """One row of each group, with all columns; rows that come from no file are stored first, so that each has a place."""
+    if not docs.inputFiles():
+        docs = stored_table(docs, "near-input")
+    kept = _keepers(near_groups(docs, **settings)).select("keeper._at")
+    rows = located(docs, pack_row(docs))
+    return unpack_row(rows.join(kept, "_at", "left_semi"), docs.columns)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document."""
-    source = f"{sf_dir}/documents.parquet"
-    return near_duplicates(spark, source, spark.read.parquet(source).select("doc_id", "text").schema)
+    return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -25,7 +25,7 @@ CAPACITY, END_ID = 4096, 1
 
 
 def _as_folder(docs: DataFrame, name: str) -> str:
-    """The rows as Parquet in the shared folder, for operators whose rows are known by file and place."""
+    """The rows as Parquet in the shared folder, for the operator that streams over files."""
     folder = shared_folder(docs.sparkSession, name)
     docs.write.parquet(folder)
     return folder
@@ -40,7 +40,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup(spark, _as_folder(docs, "near-input"), docs.schema)
+    return near_dedup(docs)
 
 
 def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

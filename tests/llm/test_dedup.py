@@ -89,6 +89,23 @@ def test_banded_alignment():
             assert near_dedup.similar(x, y, 0.8) == (1 - true / max(len(a), len(b)) >= 0.8 - 1e-12)
 
 
+def test_alignment_through_anchors():
+    rng = random.Random(6)
+    for _ in range(300):
+        a = [rng.randrange(rng.choice([6, 400])) for _ in range(rng.randrange(3, 60))]
+        b = list(a)
+        for _ in range(rng.randrange(8)):
+            k = rng.randrange(len(b))
+            b[k:k + rng.randrange(2)] = [rng.randrange(400) for _ in range(rng.randrange(2))]
+        if len(b) >= 3:
+            x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+            assert distance(a, b) <= near_dedup.distance_at_most(x, y) <= max(len(a), len(b))
+    long = np.arange(5000, dtype=np.uint64)
+    other = np.concatenate([long[:1000] , long[1001:3000], np.arange(9000, 9100, dtype=np.uint64), long[3100:]])
+    assert 101 <= near_dedup.distance_at_most(long, other) <= 110
+    assert near_dedup.similar(long.astype(np.uint32), other.astype(np.uint32))
+
+
 def words_of(texts):
     raw = [(t or "").lower().encode() for t in texts]
     words, counts = near_dedup.word_hashes(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
@@ -130,16 +147,20 @@ def brute_groups(rows):
 
 
 def test_near_groups(spark, docs, rows, no_docs):
-    found = near_dedup.near_groups(spark, source_of(docs), docs.schema).collect()
+    found = near_dedup.near_groups(docs).collect()
     groups = defaultdict(list)
     for r in found:
         groups[bytes(r["root"])].append(r["doc_id"])
     assert Counter(tuple(sorted(g, key=order)) for g in groups.values()) == brute_groups(rows)
-    rows_found = near_dedup.near_duplicates(spark, source_of(docs), docs.schema).collect()
+    rows_found = near_dedup.near_duplicates(docs).collect()
     assert len(rows_found) == len(rows) and sum(r["kept"] for r in rows_found) == len(groups)
-    kept = near_dedup.near_dedup(spark, source_of(docs), docs.schema)
+    kept = near_dedup.near_dedup(docs)
     assert kept.schema == docs.schema and kept.count() == len(groups)
-    assert near_dedup.near_duplicates(spark, source_of(no_docs), no_docs.schema).count() == 0
+    # rows from no file are stored first
+    made = spark.createDataFrame([(1, "a b c d e f g"), (2, "A b c, d e f g"), (3, None)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_dedup.near_dedup(made).collect()) == [1, 3]
+    assert sum(r["kept"] for r in near_dedup.near_duplicates(made).collect()) == 2
+    assert near_dedup.near_duplicates(no_docs).count() == 0
 
 
 def test_near_recall_on_given_documents(spark):
@@ -147,7 +168,7 @@ def test_near_recall_on_given_documents(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(path).collect()]
     groups = defaultdict(list)
-    for r in near_dedup.near_duplicates(spark, path, spark.read.parquet(path).schema).collect():
+    for r in near_dedup.near_duplicates(spark.read.parquet(path)).collect():
         groups[r["group_id"]].append(r["doc_id"])
     assert Counter(tuple(sorted(g)) for g in groups.values()) == brute_groups(rows)
 
