@@ -243,7 +243,7 @@ def repeated_runs(docs: DataFrame, length: int = 100, queue_bytes: int = 128 <<
     cuts = docs.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "units").mapInArrow(_cut_units(length), CUTS)
     shards = max(1, -(-size // SHARD_BYTES))
     cuts = cuts.repartition(shards, "key").sortWithinPartitions("doc", "tie", "start")
-    runs = cuts.mapInArrow(_sort_shard(length, queue_bytes), "doc long, tie long, start long, windows int")
+    runs = stored_table(cuts.mapInArrow(_sort_shard(length, queue_bytes), "doc long, tie long, start long, windows int"), "runs")
     return marks.filter("settled").select("doc", "tie", "start", "windows").union(runs)
 
 
