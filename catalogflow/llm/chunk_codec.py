@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import python_ready, read_table, slices, text_bytes, whole_text
+from .common import WORKER_CACHES, python_ready, read_table, slices, text_bytes, whole_text
 from .pieces import PieceEncoder, encoder
 
 _SAFE = {"word": re.compile(r"[ \n\t]"), "byte": re.compile(r"(?<=\S)(?= \S)")}
 _WINDOW = 24
 _CODECS: dict[tuple[str, str, int, int], ChunkCodec] = {}
+WORKER_CACHES.append(_CODECS)
 
 
 def chunk_ends(raw: np.ndarray, offsets: np.ndarray, bits: int) -> np.ndarray:

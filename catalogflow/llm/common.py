@@ -17,6 +17,18 @@ from catalogflow.session import ensure_checkpoint_dir, ship_package
 SLICE_BYTES = 2 << 20
 
 
+#: Bytes of text that a stage holds at a time whose arrays are many times as large as its text.
+LEAN_BYTES = 1 << 19
+#: Caches that Python workers keep from task to task; each module adds its own.
+WORKER_CACHES: list[dict] = []
+
+
+def release_caches() -> None:
+    """Called as a task of another operator starts: the worker gives up what earlier operators kept in memory."""
+    for cache in WORKER_CACHES:
+        cache.clear()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
-    drop_tables, located, pack_row, python_ready, read_table, slices, stored_table, text_bytes, unpack_row, whole_text,
+    LEAN_BYTES, drop_tables, located, pack_row, python_ready, read_table, release_caches, slices, stored_table, text_bytes, unpack_row, whole_text,
 )
 from .components import components
 
@@ -123,9 +123,10 @@ def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES) -> np.
 
 def _sketch(tables: int):
     def run(batches):
+        release_caches()
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
-            for lo, hi in slices(offsets):
+            for lo, hi in slices(offsets, LEAN_BYTES):
                 part = raw[offsets[lo]:offsets[hi]]
                 words, counts = word_hashes(part, offsets[lo:hi + 1] - offsets[lo])
                 keys = sketches(words, counts, tables)

@@ -21,6 +21,8 @@ from array import array
 
 import numpy as np
 
+from .common import WORKER_CACHES
+
 _ALONE = re.compile(r"(?<=\S)(?= \S)")
 #: How each style cuts a piece into the units that merges work on.
 _UNITS = {
@@ -30,6 +32,7 @@ _UNITS = {
 #: Visible ASCII and Latin-1 letters: every Unicode version cuts, composes and lower-cases these alike.
 _PLAIN = re.compile(r"[ \n]?[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
+WORKER_CACHES.append(_ENCODERS)
 
 
 class PieceEncoder:

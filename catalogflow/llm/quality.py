@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytenet import Adam, Filters, lay_out, spread_spans
-from .common import held_out, pack_row, python_ready, read_table, slices, text_bytes, unpack_row, whole_text
+from .common import held_out, pack_row, python_ready, read_table, release_caches, slices, text_bytes, unpack_row, whole_text
 
 THRESHOLD = 0.3
 
@@ -125,6 +125,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1200, spa
 
 def _score(model: QualityModel):
     def run(batches):
+        release_caches()
         for batch in batches:
             raw, offsets = text_bytes(batch.column("_text"))
             for lo, hi in slices(offsets):

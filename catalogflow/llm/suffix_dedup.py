@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pack_row, python_ready, read_table, slices, stored_table, text_bytes, whole_text
+from .common import LEAN_BYTES, pack_row, python_ready, read_table, release_caches, slices, stored_table, text_bytes, whole_text
 from .induced import repeats
 from .near_dedup import _BASE, _mix, _powers
 
@@ -80,7 +80,7 @@ def units_of(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
 
 def _pieces(offsets: np.ndarray, length: int):
     """(rows lo and hi, byte from, byte to) of parts of at most PIECE bytes; parts of one long text overlap by length - 1."""
-    for lo, hi in slices(offsets):
+    for lo, hi in slices(offsets, LEAN_BYTES):
         a, b = int(offsets[lo]), int(offsets[hi])
         if b - a <= PIECE:
             yield lo, hi, a, b
@@ -94,6 +94,7 @@ def _pieces(offsets: np.ndarray, length: int):
 
 def _units(length: int):
     def run(batches):
+        release_caches()
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
