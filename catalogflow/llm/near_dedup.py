@@ -1,10 +1,11 @@
 """Near-duplicate groups by order MinHash over five-word k-mers, verified by banded alignment of words.
 
 1. One pass reads every text: lower-cased words, their digest, and for each of ``TABLES`` tables the k-mers (labelled
-   by occurrence) with the smallest hashes, kept in text order, as keys of two, three and four k-mers.
-2. Texts with equal words are one node. Nodes with an equal two-k-mer key are candidates: each is aligned with
-   one centre of its bucket (the smallest node in half of the tables, the largest in the others), never with all members.
-   What does not match its centre moves on to the finer keys and gets a centre there.
+   by occurrence) with the smallest hashes, kept in text order, as a key of two k-mers.
+2. Texts with equal words are one node. Nodes with an equal key form a bucket: each is aligned with one centre of
+   its bucket (the smallest node under half of the keys, the largest under the others). A bucket whose members are not all connected by then is
+   gone through pair by pair (``_settle``), matched members included; only pairs that are connected already, or that a bound on their
+   lengths or words in common rules out, are not aligned. Large buckets are dealt as pairs of blocks over many tasks.
 3. A link needs an edit similarity of ``SIMILARITY`` or more: 1 - edit distance in words / length of the longer text.
    The alignment walks diagonals inside the band that this allows, after a bound from the words in common.
 4. Groups are the connected components of the links.
@@ -31,6 +32,8 @@ from .common import (
 from .components import components
 
 K, TABLES, LEVELS, SIMILARITY = 5, 10, (2, 3, 4), 0.8
+#: Members, and bytes of their words, that a task holds of a bucket to compare with as many others.
+BLOCK, BLOCK_BYTES = 1024, 4 << 20
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -76,7 +79,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return _mix((sums[ends] - sums[starts]) * back[starts]), np.bincount(rows, minlength=len(offsets) - 1)
 
 
-def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES) -> np.ndarray:
+def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES, levels: tuple[int, ...] = LEVELS) -> np.ndarray:
     """Keys of every text, an array of (texts, tables * levels); the levels of a table lie side by side."""
     texts = len(counts)
     first = np.cumsum(counts) - counts
@@ -99,25 +102,25 @@ def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES) -> np.
     labels[order] = (np.arange(len(order)) - np.repeat(heads, np.diff(heads, append=len(order)))).astype(np.uint64)
     labelled = _mix(kmers + labels * np.uint64(0xD6E8FEB86659FD93))
     starts = np.cumsum(number) - number
-    keys = np.empty((texts, tables * len(LEVELS)), np.uint64)
+    keys = np.empty((texts, tables * len(levels)), np.uint64)
     none = np.uint64(0xFFFFFFFFFFFFFFFF)
     for t in range(tables):
         value = (labelled ^ np.uint64((t + 1) * 0xA0761D6478BD642F & (1 << 64) - 1)) * _MIX[1]
         value ^= value >> np.uint64(32)
-        chosen = np.empty((texts, LEVELS[-1]), np.int64)
-        for j in range(LEVELS[-1]):
+        chosen = np.empty((texts, levels[-1]), np.int64)
+        for j in range(levels[-1]):
             least = np.minimum.reduceat(value, starts)
             hit = np.flatnonzero(value == np.repeat(least, number))
             hit = hit[np.concatenate([[True], text[hit][1:] != text[hit][:-1]])]
             chosen[:, j] = np.where(least == none, len(kmers), hit)
             value[hit] = none
         shown = np.concatenate([kmers, np.zeros(1, np.uint64)])
-        for level, size in enumerate(LEVELS):
+        for level, size in enumerate(levels):
             places = np.sort(chosen[:, :size], axis=1)
             key = np.full(texts, np.uint64(t + 1))
             for j in range(size):
                 key = _mix(key * np.uint64(_BASE) + shown[places[:, j]])
-            keys[:, t * len(LEVELS) + level] = key
+            keys[:, t * len(levels) + level] = key
     return keys
 
 
@@ -129,7 +132,7 @@ def _sketch(tables: int):
             for lo, hi in slices(offsets, LEAN_BYTES):
                 part = raw[offsets[lo]:offsets[hi]]
                 words, counts = word_hashes(part, offsets[lo:hi + 1] - offsets[lo])
-                keys = sketches(words, counts, tables)
+                keys = sketches(words, counts, tables, LEVELS[:1])
                 ends = np.cumsum(counts)
                 short = (words >> np.uint64(32)).astype("<u4")
                 rows = [(a, b) for a, b in zip((ends - counts).tolist(), ends.tolist())]
@@ -243,49 +246,162 @@ def _verify(similarity: float):
     return run
 
 
-def similar_links(
-    sketched: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY, folders: list[str] | None = None
-) -> DataFrame:
-    """Verified links (a, b) between nodes with different words; the folders of stored steps are added to ``folders``."""
+def _shared(batches):
+    """From (key, node) in order: the rows whose key another row has too."""
+    last, waiting = None, None  # key of the last row; that row, if it is the first of its key
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column("key").to_numpy()
+        prior = np.concatenate([[keys[0] if last is None else last], keys[:-1]])
+        again = keys == prior
+        if last is None:
+            again[0] = False
+        if waiting is not None and again[0]:
+            yield waiting
+        wanted = again.copy()
+        wanted[:-1] |= again[1:]
+        waiting = None if again[-1] else batch.slice(batch.num_rows - 1)
+        last = keys[-1]
+        yield batch.filter(pa.array(wanted))
+
+
+def _links_inside(key: int, crossing: bool, side: np.ndarray, up: np.ndarray, roots: list, keys: list, words: list, similarity: float) -> list[tuple[int, int]]:
+    """Links between members of a block (``crossing``: between its two sides) that connect what was not connected.
+
+    Pairs of which both are ``up`` belong to the next size class, pairs that share a smaller key to that key's bucket.
+    """
+    sizes = np.array([len(w) for w in words])
+    most = int(sizes.max())
+    bins = 1 << min(12, max(6, int(np.median(sizes)).bit_length() + 1))
+    histogram = np.zeros((len(words), bins), np.uint16 if most < 1 << 16 else np.uint32)
+    for k, w in enumerate(words):
+        histogram[k] = np.bincount(w & (bins - 1), minlength=bins)
+    _, part = np.unique(np.array(roots, object), return_inverse=True)
+    # members that share most keys with others come first: the middle of a group connects it with the fewest alignments
+    flat, of = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(x) for x in keys])
+    _, which, count = np.unique(flat, return_inverse=True, return_counts=True)
+    order = np.argsort(-np.bincount(of, count[which], len(keys)), kind="stable")
+    smaller = [frozenset(x[x < key].tolist()) for x in keys]
+    links = []
+    for at, i in enumerate(order[:-1].tolist()):
+        rest = order[at + 1:]
+        good = (part[rest] != part[i]) & ~(up[rest] & up[i])
+        if crossing:
+            good &= side[rest] != side[i]
+        rest = rest[good]
+        longer = np.maximum(sizes[rest], sizes[i])
+        edits = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+        near = np.abs(sizes[rest] - sizes[i]) <= edits
+        rest, longer, edits = rest[near], longer[near], edits[near]
+        if not len(rest):
+            continue
+        rest = rest[longer - np.minimum(histogram[rest], histogram[i]).sum(axis=1, dtype=np.int64) <= edits]
+        for j in rest.tolist():
+            if part[j] != part[i] and smaller[i].isdisjoint(smaller[j]) and similar(words[i], words[j], similarity):
+                links.append((i, j))
+                part[part == part[j]] = part[i]
+    return links
+
+
+def _settle(similarity: float):
+    """From members in order of their blocks: links between members that are not connected yet."""
+    names = ("key", "size", "p", "q")
+
+    def links(parts):
+        table = pa.Table.from_batches(parts)
+        node, root, keys, words = (table.column(c).to_pylist() for c in ("node", "root", "keys", "words"))
+        key, p, q = (table.column(c)[0].as_py() for c in ("key", "p", "q"))
+        found = _links_inside(
+            key, p != q, table.column("side").to_numpy(), table.column("up").to_numpy(), root,
+            [np.array(x, np.int64) for x in keys], [np.frombuffer(x, "<u4") for x in words], similarity)
+        ends = [sorted((node[i], node[j])) for i, j in found]
+        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    def run(batches):
+        held, block = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(c).to_numpy() for c in names]
+            new = np.zeros(batch.num_rows, bool)
+            for c in cols:
+                new[1:] |= c[1:] != c[:-1]
+            cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                now = tuple(c[lo] for c in cols)
+                if block is not None and now != block:
+                    yield links(held)
+                    held = []
+                block = now
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield links(held)
+    return run
+
+
+def _verified(sketched: DataFrame, pairs: DataFrame, similarity: float, folders: list[str] | None) -> DataFrame:
+    """The pairs (a, b) that are similar, stored."""
+    pairs = stored_table(pairs, "pairs", folders)
+    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    words = sketched.select("node", "words").join(named, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
+    words = stored_table(words, "words", folders)
+    texts = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
+    texts = texts.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
+    return stored_table(texts.select("a", "b", "a_words", "b_words").mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders)
+
+
+def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK) -> DataFrame:
+    """Verified links (a, b) between nodes with different words, which connect all that similar nodes with a common key connect.
+
+    The folders of stored steps are added to ``folders``; ``block`` is the number of members that a task compares with as many others.
+    """
     nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"))
-    entries = nodes.select("node", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(tables - 1)), lambda t: F.slice("keys", t * len(LEVELS) + 1, len(LEVELS)))).alias("t", "k"))
-    entries = entries.select("node", "t", *[F.col("k")[j].alias(f"k{j}") for j in range(len(LEVELS))])
-    found = None
-    for level in range(len(LEVELS)):
-        key = f"k{level}"
-        least = F.min("node").alias("lo"), F.max("node").alias("hi")
-        centres = entries.groupBy("t", key).agg(*least).filter("lo != hi")
-        centres = centres.select("t", key, F.when(F.col("t") % 2 == 0, F.col("lo")).otherwise(F.col("hi")).alias("centre"))
-        member = stored_table(entries.join(centres, ["t", key]).filter("node != centre"), "candidates", folders)
-        pairs = member.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        if found is not None:
-            pairs = pairs.join(found, ["a", "b"], "left_anti")
-        pairs = stored_table(pairs, "pairs", folders)
-        named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        words = sketched.select("node", "words").join(named, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
-        words = stored_table(words, "words", folders)
-        texts = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
-        texts = texts.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
-        links = stored_table(texts.select("a", "b", "a_words", "b_words").mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders)
-        found = links if found is None else stored_table(found.union(links), "verified", folders)
-        # members that did not match their centre go on to the finer keys
-        ends = found.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-        entries = member.join(ends, (F.least("node", "centre") == F.col("_a")) & (F.greatest("node", "centre") == F.col("_b")), "left_anti")
-        entries = entries.drop("centre")
-        if level + 1 == len(LEVELS) or entries.isEmpty():
-            break
-    return found
-
-
-def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY) -> DataFrame:
+    entries = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
+    entries = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, node binary")
+    members = stored_table(entries, "members", folders)
+    centres = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    centres = centres.select("key", F.when(F.col("key") % 2 == 0, F.col("lo")).otherwise(F.col("hi")).alias("centre"))
+    pairs = members.join(centres, "key").filter("node != centre")
+    pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    links = _verified(sketched, pairs, similarity, folders)
+    # buckets that are not connected yet; of those with the same members the one with the smallest key
+    rooted = members.join(components(links, folders), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    marks = F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y")
+    apart = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *marks, F.min("root").alias("lo"), F.max("root").alias("hi"))
+    apart = apart.filter("m > 2 AND lo != hi").groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
+    rooted = stored_table(rooted.join(apart, "key"), "apart", folders)
+    if rooted.isEmpty():
+        return links
+    words = sketched.join(rooted.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.first("words").alias("words"), F.first("keys").alias("keys"))
+    words = stored_table(words.withColumn("bytes", F.octet_length("words")), "words", folders)
+    # similar texts are in the same or in neighbouring size classes: a member joins its own and the class below (``up``)
+    size = F.floor(F.log(F.col("bytes") / 4) / F.log(F.lit(1.001 / similarity))).cast("int")
+    sized = rooted.join(words.select("node", "bytes", size.alias("own")), "node")
+    sized = sized.select("key", "node", "root", "bytes", "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
+    blocks = sized.groupBy("key", "size").agg(
+        F.min("own").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("g"))
+    blocks = blocks.filter("lo != hi AND least = size").select("key", "size", "g")
+    dealt = sized.join(blocks, ["key", "size"]).withColumn("at", F.expr("cast(pmod(xxhash64(node), g) AS int)"))
+    dealt = dealt.join(words.select("node", "words", "keys"), "node")
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
+        "key", "size", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
+        (F.col("own") != F.col("size")).alias("up"), "node", "root", "keys", "words")
+    dealt = dealt.repartition("key", "size", "p", "q").sortWithinPartitions("key", "size", "p", "q")
+    more = stored_table(dealt.mapInArrow(_settle(similarity), "a binary, b binary").distinct(), "verified", folders)
+    return links.union(more)
+
+
+def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """doc_id, _at (file and row), links, root of every row; rows of a group share the root. Stored; steps on the way are dropped."""
     spark, folders = docs.sparkSession, []
     python_ready(spark)
     rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), F.lower(whole_text()).alias("text"))
     rows = rows.select("doc_id", "_at", "text")
     sketched = stored_table(rows.mapInArrow(_sketch(tables), SKETCH), "sketches", folders)
-    links = similar_links(sketched, tables, similarity, folders)
+    links = similar_links(sketched, similarity, folders, block)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     roots = components(links, folders).join(degree, "node")
     groups = sketched.select("doc_id", "_at", "node").join(roots, "node", "left").select(

@@ -173,6 +173,34 @@ def test_near_recall_on_given_documents(spark):
     assert Counter(tuple(sorted(g)) for g in groups.values()) == brute_groups(rows)
 
 
+@pytest.mark.parametrize("settings", [{}, {"block": 40}])
+def test_near_pairs_among_many_with_one_passage(spark, settings):
+    """Strangers that share a long passage: the near pairs among them have no other five words in common."""
+    rng = random.Random(12)
+
+    def own(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    passage, texts = own(300), []
+    for k in range(220):
+        words = own(90)
+        texts.append(words + passage)
+        if k % 11 == 0:  # every fifth word is another; the copy of the copy is too far from the first
+            for start in (0, 1, 2):
+                words = [f"c{rng.randrange(10 ** 9)}" if j % 5 == start else w for j, w in enumerate(words)]
+                texts.append(words + passage)
+            words = [w if j % 5 else "x" for j, w in enumerate(words)]
+            texts.append(words + passage + own(40))
+    rng.shuffle(texts)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    expected = brute_groups(rows)
+    assert sum(len(g) > 2 for g in expected) == 20
+    groups = defaultdict(list)
+    for r in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), **settings).collect():
+        groups[bytes(r["root"])].append(r["doc_id"])
+    assert Counter(tuple(sorted(g)) for g in groups.values()) == expected
+
+
 def test_components(spark):
     rng = random.Random(8)
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
