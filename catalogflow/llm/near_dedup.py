@@ -1,7 +1,8 @@
 """Near-duplicate groups by order MinHash over five-word k-mers, verified by banded alignment of words.
 
 1. One pass reads every text: lower-cased words, their digest, and for each of ``TABLES`` tables the k-mers (labelled
-   by occurrence) with the smallest hashes, kept in text order, as a key of two k-mers.
+   by occurrence) with the smallest hashes, kept in text order, as a key of two k-mers. ``SINGLE`` more tables have the one smallest
+   three-word k-mer as a key; texts of at most ``SHORT`` words also have the smallest two-word k-mers.
 2. Texts with equal words are one node. Nodes with an equal key form a bucket: each is aligned with one centre of
    its bucket (the smallest node under half of the keys, the largest under the others). A bucket whose members are not all connected by then is
    gone through pair by pair (``_settle``), matched members included; only pairs that are connected already, or that a bound on their
@@ -32,6 +33,8 @@ from .common import (
 from .components import components
 
 K, TABLES, LEVELS, SIMILARITY = 5, 10, (2, 3, 4), 0.8
+#: Keys of one k-mer: their number of words, their tables, and the most words of a text that has keys of two words too.
+SINGLE_K, SINGLE, SHORT_K, SHORT = 3, 20, 2, 48
 #: Members, and bytes of their words, that a task holds of a bucket to compare with as many others.
 BLOCK, BLOCK_BYTES = 1024, 4 << 20
 _WORD = np.zeros(256, bool)
@@ -79,17 +82,16 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return _mix((sums[ends] - sums[starts]) * back[starts]), np.bincount(rows, minlength=len(offsets) - 1)
 
 
-def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES, levels: tuple[int, ...] = LEVELS) -> np.ndarray:
-    """Keys of every text, an array of (texts, tables * levels); the levels of a table lie side by side."""
-    texts = len(counts)
+def _kmers(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(text, hash, hash with occurrence label) of every k-mer, number of k-mers per text."""
     first = np.cumsum(counts) - counts
-    number = np.maximum(1, counts - K + 1)
-    text = np.repeat(np.arange(texts), number)
+    number = np.maximum(1, counts - k + 1)
+    text = np.repeat(np.arange(len(counts)), number)
     place = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)
     at = first[text] + place
-    padded = np.concatenate([words, np.zeros(K, np.uint64)])
+    padded = np.concatenate([words, np.zeros(k, np.uint64)])
     kmers = np.zeros(len(text), np.uint64)
-    for j in range(K):
+    for j in range(k):
         part = padded[at + j] * np.uint64((2 * j + 3) * 0x2545F4914F6CDD1D & (1 << 64) - 1)
         kmers += np.where(place + j < counts[text], part, np.uint64(j + 1))
     kmers = _mix(kmers)
@@ -101,6 +103,41 @@ def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES, levels
     labels = np.empty(len(order), np.uint64)
     labels[order] = (np.arange(len(order)) - np.repeat(heads, np.diff(heads, append=len(order)))).astype(np.uint64)
     labelled = _mix(kmers + labels * np.uint64(0xD6E8FEB86659FD93))
+    return text, kmers, labelled, number
+
+
+def single_keys(words: np.ndarray, counts: np.ndarray, k: int, tables: int) -> np.ndarray:
+    """Keys of every text, an array of (texts, tables): the smallest labelled k-mer under as many hashes."""
+    *_, labelled, number = _kmers(words, counts, k)
+    starts = np.cumsum(number) - number
+    keys = np.empty((len(counts), tables), np.uint64)
+    for t in range(tables):
+        salt = np.uint64((64 * k + t + 1) * 0xA0761D6478BD642F & (1 << 64) - 1)
+        value = (labelled ^ salt) * _MIX[1]
+        value ^= value >> np.uint64(32)
+        keys[:, t] = _mix(np.minimum.reduceat(value, starts) + salt)
+    return keys
+
+
+def text_keys(words: np.ndarray, counts: np.ndarray, tables: int = TABLES) -> tuple[np.ndarray, np.ndarray]:
+    """(all keys of one text after the other, number of keys per text)."""
+    keys = np.concatenate([sketches(words, counts, tables, LEVELS[:1]), single_keys(words, counts, SINGLE_K, SINGLE)], axis=1)
+    short = np.flatnonzero(counts <= SHORT)
+    number = np.full(len(counts), keys.shape[1])
+    if not len(short):
+        return keys.ravel(), number
+    more = single_keys(words[np.repeat(counts <= SHORT, counts)], counts[short], SHORT_K, SINGLE)
+    number[short] += SINGLE
+    wide = np.zeros((len(counts), keys.shape[1] + SINGLE), np.uint64)
+    wide[:, :keys.shape[1]] = keys
+    wide[short, keys.shape[1]:] = more
+    return wide[np.arange(wide.shape[1]) < number[:, None]], number
+
+
+def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES, levels: tuple[int, ...] = LEVELS) -> np.ndarray:
+    """Keys of every text, an array of (texts, tables * levels); the levels of a table lie side by side."""
+    texts = len(counts)
+    text, kmers, labelled, number = _kmers(words, counts, K)
     starts = np.cumsum(number) - number
     keys = np.empty((texts, tables * len(levels)), np.uint64)
     none = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -132,7 +169,7 @@ def _sketch(tables: int):
             for lo, hi in slices(offsets, LEAN_BYTES):
                 part = raw[offsets[lo]:offsets[hi]]
                 words, counts = word_hashes(part, offsets[lo:hi + 1] - offsets[lo])
-                keys = sketches(words, counts, tables, LEVELS[:1])
+                keys, number = text_keys(words, counts, tables)
                 ends = np.cumsum(counts)
                 short = (words >> np.uint64(32)).astype("<u4")
                 rows = [(a, b) for a, b in zip((ends - counts).tolist(), ends.tolist())]
@@ -140,7 +177,7 @@ def _sketch(tables: int):
                     [batch.column("doc_id").slice(lo, hi - lo), batch.column("_at").slice(lo, hi - lo),
                      pa.array([hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in rows], pa.binary()),
                      pa.array([short[a:b].tobytes() for a, b in rows], pa.binary()),
-                     pa.ListArray.from_arrays(np.arange(0, keys.size + 1, keys.shape[1]).astype(np.int32), pa.array(keys.view(np.int64).ravel()))],
+                     pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(number)]).astype(np.int32), pa.array(keys.view(np.int64)))],
                     ["doc_id", "_at", "node", "words", "keys"])
     return run
 

@@ -201,6 +201,33 @@ def test_near_pairs_among_many_with_one_passage(spark, settings):
     assert Counter(tuple(sorted(g)) for g in groups.values()) == expected
 
 
+def test_recall_of_planted_copies(spark):
+    """Copies with words replaced all over the text, at the given similarity; short texts with one word changed in the middle."""
+    rng = random.Random(21)
+    texts, expected = [], {}
+    for percent in (80, 85, 90, 95):
+        for k in range(300):
+            words = [f"w{rng.randrange(10 ** 9)}" for _ in range(rng.choice([20, 60, 100, 240]))]
+            copy = list(words)
+            for j in rng.sample(range(len(words)), len(words) * (100 - percent) // 100):
+                copy[j] = f"c{rng.randrange(10 ** 9)}"
+            expected[(len(texts), len(texts) + 1)] = percent
+            texts += [words, copy]
+    for k in range(300):
+        words = [f"w{rng.randrange(10 ** 9)}" for _ in range(5 + k % 5)]
+        expected[(len(texts), len(texts) + 1)] = 0
+        texts += [words, [*words[:len(words) // 2], "changed", *words[len(words) // 2 + 1:]]]
+    groups = defaultdict(list)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    for r in near_dedup.near_groups(frame).collect():
+        groups[bytes(r["root"])].append(r["doc_id"])
+    pairs = [tuple(sorted(g)) for g in groups.values() if len(g) > 1]
+    assert all(p in expected for p in pairs)
+    recall = {p: n / 300 for p, n in Counter(expected[p] for p in pairs).items()}
+    print("recall", recall)
+    assert min(recall[p] for p in (0, 80, 85, 90, 95)) >= 0.99
+
+
 def test_components(spark):
     rng = random.Random(8)
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
