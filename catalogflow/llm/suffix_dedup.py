@@ -6,7 +6,8 @@ A byte goes if a string of ``length`` bytes that covers it also starts earlier (
    a unit. Equal windows have equal k-mers, so they lie in units of one k-mer. Units with equal bytes (a 64-bit hash besides
    the k-mer's) are settled at once: all but the earliest go. A task settles its own copies before anything is shuffled.
 2. A k-mer that is left with one unit repeats nothing. The bytes of all other units are cut from their texts and dealt into shards by
-   k-mer; a k-mer with more than ``hot`` different units is dealt window by window, by the window's hash, so that no k-mer meets in one task.
+   k-mer. Units of a k-mer with more than ``hot`` different units are settled window by window, by 128 bits of hash: equal windows have equal
+   k-mers, so their earliest is known without sorting. A task settles its own copies first; no bytes of such windows are shuffled.
 3. Each shard sorts the suffixes of its units (see ``induced``): its queues go to a scratch file of the task beyond ``queue_bytes``. Runs of
    suffixes with ``length`` bytes in common keep their earliest member.
 4. Removed runs meet their document again, which is cut by them.
@@ -35,6 +36,9 @@ SHARD_BYTES, HOT_UNITS = 4 << 20, 50_000
 _SECOND = 0xC2B2AE3D27D4EB4F
 UNITS = "settled boolean, kmer long, content long, doc long, tie long, start long, windows int"
 MARKS = "settled boolean, kmer long, doc long, tie long, start long, windows int"
+WINDOWS = "settled boolean, high long, low long, doc long, tie long, start long, windows int"
+#: Windows of hot k-mers that a task holds at a time.
+HOT_WINDOWS = 1 << 18
 CUTS = "key long, doc long, tie long, start long, body binary"
 
 
@@ -161,18 +165,9 @@ def _cut_units(length: int):
             lists = batch.column("units")
             of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
             inner = lists.flatten()
-            start, windows, kmer, hot = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-            if hot.any():  # one unit per window, under the hash of its bytes
-                times = np.where(hot, windows, 1)
-                shift = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                of, start, windows, kmer, hot = (np.repeat(x, times) for x in (of, start, windows, kmer, hot))
-                start, windows = start + shift, np.where(hot, 1, windows)
+            start, windows, kmer = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             a = offsets[of] + start
             b = a + windows + length - 1
-            if hot.any():
-                kmer = kmer.copy()
-                at = np.flatnonzero(hot)
-                kmer[at] = [int.from_bytes(hashlib.blake2b(raw[x:y].tobytes(), digest_size=8).digest(), "little", signed=True) for x, y in zip(a[at].tolist(), b[at].tolist())]
             data = raw.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(kmer), batch.column("doc").take(pa.array(of)), batch.column("tie").take(pa.array(of)), pa.array(start),
@@ -181,6 +176,56 @@ def _cut_units(length: int):
     return run
 
 
+def _hot_windows(length: int):
+    """Windows of hot k-mers with their digests: later copies among those held (settled, as runs), and the first of each."""
+    def run(batches):
+        for batch in batches:
+            raw, offsets = text_bytes(batch.column("text"))
+            data = raw.tobytes()
+            docs, ties = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tie"))
+            lists = batch.column("units")
+            unit_of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+            inner = lists.flatten()
+            unit_start, unit_windows = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            bounds = np.concatenate([[0], np.cumsum(unit_windows, dtype=np.int64)])
+            for lo, hi in slices(bounds, HOT_WINDOWS):
+                times = unit_windows[lo:hi]
+                of = np.repeat(unit_of[lo:hi], times)
+                start = np.repeat(unit_start[lo:hi] - bounds[lo:hi], times) + np.arange(bounds[lo], bounds[hi])
+                at = offsets[of] + start
+                digest = np.frombuffer(b"".join(hashlib.blake2b(data[x:x + length], digest_size=16).digest() for x in at.tolist()), np.int64).reshape(-1, 2)
+                high, low = digest[:, 0], digest[:, 1]
+                doc, tie = docs[of], ties[of]
+                order = np.lexsort((start, tie, doc, low, high))
+                settled = np.zeros(len(order), bool)
+                settled[order[1:]] = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
+                first = np.flatnonzero(~settled)
+                # settled windows side by side are one run
+                opens = settled.copy()
+                opens[1:] &= ~(settled[:-1] & (of[1:] == of[:-1]) & (start[1:] == start[:-1] + 1))
+                head = np.flatnonzero(opens)
+                number = np.add.reduceat(settled.astype(np.int32), head) if len(head) else np.empty(0, np.int32)
+                for flag, rows, count in ((True, head, number), (False, first, np.ones(len(first), np.int32))):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rows), flag)), *[pa.array(x[rows]) for x in (high, low, doc, tie, start)], pa.array(count.astype(np.int32))],
+                        ["settled", "high", "low", "doc", "tie", "start", "windows"])
+    return run
+
+
+def _later(batches):
+    """From windows in order of digest and place: all but the first of each digest."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        high, low = (batch.column(c).to_numpy() for c in ("high", "low"))
+        same = np.zeros(batch.num_rows, bool)
+        same[1:] = (high[1:] == high[:-1]) & (low[1:] == low[:-1])
+        same[0] = last == (high[0], low[0])
+        last = (high[-1], low[-1])
+        yield batch.select(["doc", "tie", "start", "windows"]).filter(pa.array(same))
+
+
 def _sort_shard(length: int, queue_bytes: int):
     def run(batches):
         parts = [b for b in batches if b.num_rows]
@@ -237,15 +282,25 @@ def repeated_runs(docs: DataFrame, length: int = 100, queue_bytes: int = 128 <<
     units = units.repartition("kmer").sortWithinPartitions("settled", "kmer", "content", "windows", "doc", "tie", "start")
     marks = stored_table(units.mapInArrow(_marks, MARKS), "marks")
     asked = marks.filter("NOT settled")
-    size = asked.agg(F.coalesce(F.sum(F.col("windows") + length - 1), F.lit(0))).first()[0]
-    crowded = asked.groupBy("kmer").count().filter(F.col("count") > hot).select("kmer", F.lit(True).alias("hot"))
-    asked = asked.join(crowded, "kmer", "left").groupBy("doc", "tie").agg(
-        F.collect_list(F.struct("start", "windows", "kmer", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("units"))
-    cuts = docs.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "units").mapInArrow(_cut_units(length), CUTS)
+    crowded = stored_table(asked.groupBy("kmer").count().filter(F.col("count") > hot).select("kmer"), "crowded")
+    rest = asked.join(crowded, "kmer", "left_anti")
+    size = rest.agg(F.coalesce(F.sum(F.col("windows") + length - 1), F.lit(0))).first()[0]
+
+    def texts_of(units: DataFrame) -> DataFrame:
+        units = units.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows", "kmer")).alias("units"))
+        return docs.join(units, ["doc", "tie"]).select("doc", "tie", "text", "units")
+
+    found = marks.filter("settled").select("doc", "tie", "start", "windows")
+    if not crowded.isEmpty():
+        windows = stored_table(texts_of(asked.join(crowded, "kmer", "left_semi")).mapInArrow(_hot_windows(length), WINDOWS), "windows")
+        found = found.union(windows.filter("settled").select("doc", "tie", "start", "windows"))
+        later = windows.filter("NOT settled").repartition("high", "low").sortWithinPartitions("high", "low", "doc", "tie", "start")
+        found = found.union(stored_table(later.mapInArrow(_later, "doc long, tie long, start long, windows int"), "later"))
+    cuts = texts_of(rest).mapInArrow(_cut_units(length), CUTS)
     shards = max(1, -(-size // SHARD_BYTES))
     cuts = cuts.repartition(shards, "key").sortWithinPartitions("doc", "tie", "start")
     runs = stored_table(cuts.mapInArrow(_sort_shard(length, queue_bytes), "doc long, tie long, start long, windows int"), "runs")
-    return marks.filter("settled").select("doc", "tie", "start", "windows").union(runs)
+    return found.union(runs)
 
 
 def without_repeats(docs: DataFrame, columns: list[str], length: int = 100, **settings) -> DataFrame:

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from corpus_rows import DOC, source_of
+from corpus_rows import DOC, prose, source_of
 from pyspark.sql import functions as F
 
 from catalogflow.llm import exact_dedup, induced, near_dedup, suffix_dedup
@@ -336,6 +336,28 @@ def test_shared_ids_and_long_texts(spark, docs, rows, no_docs, monkeypatch):
     assert found == [(1, 290), (1, 290), (2, 300)]
 
 
+def test_windows_of_hot_kmers_do_not_fill_a_shard(spark, monkeypatch):
+    """400 texts around one passage: equal windows at its edges are settled before the shards are sorted."""
+    rng = random.Random(15)
+    passage = prose(rng, 60)
+    rows = [(k, "".join(rng.choices("abcdefgh", k=150)) + passage + "".join(rng.choices("abcdefgh", k=150))) for k in range(400)]
+    sort = suffix_dedup._sort_shard
+
+    def watched(length, queue_bytes):
+        def run(batches):
+            batches = list(batches)
+            assert sum(b.num_rows for b in batches) < 5000, "a shard holds equal windows"
+            yield from sort(length, queue_bytes)(batches)
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_sort_shard", watched)
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"], hot=50).collect()
+    expected = brute_removed(rows, 100)
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r["_bytes"], r["_removed"], r["_spans"], r["_sha256"]) == expected[(r["_row"]["doc_id"], r["_row"]["text"])]
+
+
 def test_a_long_text_in_parts_gives_the_same_windows(monkeypatch):
     rng = np.random.default_rng(3)
     raw = rng.integers(97, 101, 30_000).astype(np.uint8)
