@@ -21,10 +21,11 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
@@ -37,12 +38,14 @@ K, TABLES, LEVELS, SIMILARITY = 5, 10, (2, 3, 4), 0.8
 SINGLE_K, SINGLE, SHORT_K, SHORT = 3, 20, 2, 48
 #: Members, and bytes of their words, that a task holds of a bucket to compare with as many others.
 BLOCK, BLOCK_BYTES = 1024, 4 << 20
+#: Bytes of words that are moved before shuffle files go, as long as that takes no more than MOST_PARTS parts.
+PART_BYTES, MOST_PARTS = 256 << 20, 6
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, words binary, keys array<long>"
+SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, n int, words binary, keys array<long>"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -176,9 +179,9 @@ def _sketch(tables: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), batch.column("_at").slice(lo, hi - lo),
                      pa.array([hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in rows], pa.binary()),
-                     pa.array([short[a:b].tobytes() for a, b in rows], pa.binary()),
+                     pa.array(counts.astype(np.int32)), pa.array([short[a:b].tobytes() for a, b in rows], pa.binary()),
                      pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(number)]).astype(np.int32), pa.array(keys.view(np.int64)))],
-                    ["doc_id", "_at", "node", "words", "keys"])
+                    ["doc_id", "_at", "node", "n", "words", "keys"])
     return run
 
 
@@ -377,15 +380,26 @@ def _settle(similarity: float):
     return run
 
 
+def _parts(rows: DataFrame, moved: Column, by: str) -> list[DataFrame]:
+    """The rows in parts by the hash of a column, as many as the bytes ``moved`` ask for."""
+    total = rows.agg(F.coalesce(F.sum(moved), F.lit(0))).first()[0]
+    number = min(MOST_PARTS, max(1, -(-int(total) // PART_BYTES)))
+    return [rows.filter(F.expr(f"pmod(xxhash64({by}, 7), {number}) = {k}")) for k in range(number)]
+
+
 def _verified(sketched: DataFrame, pairs: DataFrame, similarity: float, folders: list[str] | None) -> DataFrame:
-    """The pairs (a, b) that are similar, stored."""
-    pairs = stored_table(pairs, "pairs", folders)
+    """The pairs (a, b; n words in both) that are similar, stored."""
+    pairs, own, found = stored_table(pairs, "pairs", folders), [], []
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     words = sketched.select("node", "words").join(named, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
-    words = stored_table(words, "words", folders)
-    texts = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
-    texts = texts.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
-    return stored_table(texts.select("a", "b", "a_words", "b_words").mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders)
+    words = stored_table(words, "words", own)
+    for part in _parts(pairs, F.col("n") * 4, "a"):
+        texts = part.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
+        texts = texts.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
+        texts = texts.select("a", "b", "a_words", "b_words")
+        found.append(stored_table(texts.mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders))
+    drop_tables(sketched.sparkSession, own)
+    return reduce(DataFrame.union, found)
 
 
 def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK) -> DataFrame:
@@ -393,14 +407,18 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders:
 
     The folders of stored steps are added to ``folders``; ``block`` is the number of members that a task compares with as many others.
     """
-    nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"))
-    entries = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
-    entries = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, node binary")
+    nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("n").alias("n"))
+    entries = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n")
+    entries = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, node binary, n int")
     members = stored_table(entries, "members", folders)
-    centres = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    centres = centres.select("key", F.when(F.col("key") % 2 == 0, F.col("lo")).otherwise(F.col("hi")).alias("centre"))
-    pairs = members.join(centres, "key").filter("node != centre")
-    pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    centres = members.groupBy("key").agg(
+        F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("n", "node").alias("lo_n"), F.max_by("n", "node").alias("hi_n"))
+    even = F.col("key") % 2 == 0
+    centres = centres.select("key", F.when(even, F.col("lo")).otherwise(F.col("hi")).alias("centre"), F.when(even, F.col("lo_n")).otherwise(F.col("hi_n")).alias("m"))
+    # texts whose lengths differ by more than the edits allowed are not similar
+    edits = F.floor((1 - similarity) * F.greatest("n", "m") + 1e-9)
+    pairs = members.join(centres, "key").filter((F.col("node") != F.col("centre")) & (F.abs(F.col("n") - F.col("m")) <= edits))
+    pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"), (F.col("n") + F.col("m")).alias("n")).distinct()
     links = _verified(sketched, pairs, similarity, folders)
     # buckets that are not connected yet; of those with the same members the one with the smallest key
     rooted = members.join(components(links, folders), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -412,23 +430,23 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders:
         return links
     words = sketched.join(rooted.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.first("words").alias("words"), F.first("keys").alias("keys"))
-    words = stored_table(words.withColumn("bytes", F.octet_length("words")), "words", folders)
+    words = stored_table(words, "words", folders)
     # similar texts are in the same or in neighbouring size classes: a member joins its own and the class below (``up``)
-    size = F.floor(F.log(F.col("bytes") / 4) / F.log(F.lit(1.001 / similarity))).cast("int")
-    sized = rooted.join(words.select("node", "bytes", size.alias("own")), "node")
-    sized = sized.select("key", "node", "root", "bytes", "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
+    size = F.floor(F.log("n") / F.log(F.lit(1.001 / similarity))).cast("int")
+    sized = rooted.withColumn("own", size)
+    sized = sized.select("key", "node", "root", (F.col("n") * 4).alias("bytes"), "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
     blocks = sized.groupBy("key", "size").agg(
         F.min("own").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"),
         F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("g"))
     blocks = blocks.filter("lo != hi AND least = size").select("key", "size", "g")
-    dealt = sized.join(blocks, ["key", "size"]).withColumn("at", F.expr("cast(pmod(xxhash64(node), g) AS int)"))
-    dealt = dealt.join(words.select("node", "words", "keys"), "node")
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
-        "key", "size", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
-        (F.col("own") != F.col("size")).alias("up"), "node", "root", "keys", "words")
-    dealt = dealt.repartition("key", "size", "p", "q").sortWithinPartitions("key", "size", "p", "q")
-    more = stored_table(dealt.mapInArrow(_settle(similarity), "a binary, b binary").distinct(), "verified", folders)
-    return links.union(more)
+    sized = stored_table(sized.join(blocks, ["key", "size"]).withColumn("at", F.expr("cast(pmod(xxhash64(node), g) AS int)")), "blocks", folders)
+    for part in _parts(sized, F.col("bytes") * F.col("g"), "key"):
+        dealt = part.join(words, "node").select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
+            "key", "size", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
+            (F.col("own") != F.col("size")).alias("up"), "node", "root", "keys", "words")
+        dealt = dealt.repartition("key", "size", "p", "q").sortWithinPartitions("key", "size", "p", "q")
+        links = links.union(stored_table(dealt.mapInArrow(_settle(similarity), "a binary, b binary").distinct(), "verified", folders))
+    return links.distinct()
 
 
 def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
