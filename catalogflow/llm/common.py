@@ -69,13 +69,14 @@ def drop_tables(spark: SparkSession, folders: list[str]) -> None:
 
 def located(docs: DataFrame, *columns: Column) -> DataFrame:
     """The columns given and ``_at``, the place (file and row) of each row; rows that come from no file are stored first."""
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_at")
     try:
+        place = docs.metadataColumn("_metadata")  # the reader's, also where the table has a column of this name
+        at = F.struct(place["file_path"].alias("file"), place["row_index"].alias("row")).alias("_at")
         return docs.select(*columns, at)
     except AnalysisException as error:
         if "_metadata" not in str(error):
             raise
-        return stored_table(docs, "located").select(*columns, at)
+        return located(stored_table(docs, "located"), *columns)
 
 
 def python_ready(spark: SparkSession) -> None:

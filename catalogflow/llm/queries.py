@@ -7,9 +7,10 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding, suffix_dedup
+from . import exact_dedup, jaccard_join, sharding, suffix_dedup
 from .chunk_codec import op7_bpe_codec
 from .exact_dedup import op8_exact_dedup
+from .jaccard_join import op11_jaccard_join
 from .language import op2_language_id
 from .near_dedup import op6_near_dedup
 from .neighbours import op4_nearest_neighbours
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_output": op10_token_output,
+    "op11_jaccard_join": op11_jaccard_join,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op3_sharding": sharding.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
+    "op11_jaccard_join": jaccard_join.ORACLE,
 }
