@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, sharding, suffix_dedup
+from . import exact_dedup, jaccard_join, sharding, suffix_dedup, vector_codes
 from .chunk_codec import op7_bpe_codec
 from .exact_dedup import op8_exact_dedup
 from .jaccard_join import op11_jaccard_join
@@ -19,6 +19,7 @@ from .quality import op1_quality_classifier
 from .sharding import op3_sharding
 from .suffix_dedup import op9_suffix_dedup
 from .token_output import op10_token_output
+from .vector_codes import op12_vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_output": op10_token_output,
     "op11_jaccard_join": op11_jaccard_join,
+    "op12_vector_codes": op12_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
@@ -39,4 +41,5 @@ ORACLES: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op11_jaccard_join": jaccard_join.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }
