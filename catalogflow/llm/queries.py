@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, jaccard_join, sharding, suffix_dedup, vector_codes
 from .chunk_codec import op7_bpe_codec
+from .conversation_repair import op13_conversation_repair
 from .exact_dedup import op8_exact_dedup
 from .jaccard_join import op11_jaccard_join
 from .language import op2_language_id
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_output": op10_token_output,
     "op11_jaccard_join": op11_jaccard_join,
     "op12_vector_codes": op12_vector_codes,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
