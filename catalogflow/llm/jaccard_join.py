@@ -10,7 +10,7 @@
    once for the pair and intersected.
 4. Classes are the connected components of the links. ``every=True`` gives every link between different sets, not only those that connect.
 
-Nothing is capped. Work that is not proportional to the data: strangers that share a signature (about twelve features, or two thirds of a
+Nothing is capped. Work that is not proportional to the data: strangers that share a signature (ten features or more, or two thirds of a
 small set) are compared by their counts with each other.
 
 Words are runs of bytes other than blank, tab, line feed, vertical tab, form feed and carriage return, with A to Z lower-cased. Texts of
@@ -36,7 +36,7 @@ from .components import components
 
 WORDS, PERCENT = 3, 90
 #: Features that a signature should cover, or this share of a smaller set.
-COVERED, SHARE = 12, 0.66
+COVERED, SHARE = 10, 0.66
 #: Members that a task compares with as many others.
 BLOCK = 1024
 _SPACE = np.zeros(256, bool)
@@ -306,11 +306,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int, folders: list[str])
     return stored_table(whole.mapInArrow(_intersect(percent), "a binary, b binary, joint long"), "linked", folders)
 
 
-def _links(docs: DataFrame, sketched: DataFrame, percent: int, size: int, every: bool, block: int, folders: list[str]) -> DataFrame:
-    spark = sketched.sparkSession
-    nodes = sketched.filter("n > 0").groupBy("node").agg(
-        F.first("h").alias("h"), F.first("n").alias("n"), F.min("_at").alias("_at"), F.first("signatures").alias("signatures"))
-    nodes = stored_table(nodes, "nodes", folders)
+def _links(docs: DataFrame, nodes: DataFrame, percent: int, size: int, every: bool, block: int, folders: list[str]) -> DataFrame:
+    spark = nodes.sparkSession
     entries = nodes.select(F.explode("signatures").alias("key"), "h", "n")
     shared = entries.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo != hi")
     shared = stored_table(shared, "shared", folders)
@@ -345,19 +342,26 @@ def _links(docs: DataFrame, sketched: DataFrame, percent: int, size: int, every:
     return more if links is None else links.union(more)
 
 
-def _sketched(docs: DataFrame, percent: int, size: int, folders: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with their place, their sketches)."""
-    python_ready(docs.sparkSession)
-    rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", "_at", "text")
-    return rows, stored_table(rows.mapInArrow(_sketch(size, percent), SKETCH), "sketches", folders)
+def _sketched(docs: DataFrame, percent: int, size: int, folders: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with their place; doc_id, node and n of every row; one row per node with its signatures). Sketches go as soon as both are stored."""
+    spark, own = docs.sparkSession, []
+    python_ready(spark)
+    placed = located(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", "_at", "text")
+    sketched = stored_table(placed.mapInArrow(_sketch(size, percent), SKETCH), "sketches", own)
+    rows = stored_table(sketched.select("doc_id", "node", "n"), "rows", folders)
+    nodes = sketched.filter("n > 0").groupBy("node").agg(
+        F.first("h").alias("h"), F.first("n").alias("n"), F.min("_at").alias("_at"), F.first("signatures").alias("signatures"))
+    nodes = stored_table(nodes, "nodes", folders)
+    drop_tables(spark, own)
+    return placed, rows, nodes
 
 
 def jaccard_join(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(every link between different sets, documents with their set): (a, b, joint) and (doc_id, node, n); documents without a word have no node."""
     folders: list[str] = []
-    placed, sketched = _sketched(docs, percent, size, folders)
-    links = stored_table(_links(placed, sketched, percent, size, True, block, folders).distinct(), "links")
-    rows = stored_table(sketched.select("doc_id", F.when(F.col("n") > 0, F.col("node")).alias("node"), "n"), "documents")
+    placed, rows, nodes = _sketched(docs, percent, size, folders)
+    links = stored_table(_links(placed, nodes, percent, size, True, block, folders).distinct(), "links")
+    rows = stored_table(rows.select("doc_id", F.when(F.col("n") > 0, F.col("node")).alias("node"), "n"), "documents")
     drop_tables(docs.sparkSession, folders)
     return links, rows
 
@@ -365,10 +369,10 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, blo
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id that links lead to) of every row. Stored; steps on the way are dropped."""
     folders: list[str] = []
-    placed, sketched = _sketched(docs, percent, size, folders)
-    links = _links(placed, sketched, percent, size, False, block, folders)
+    placed, rows, nodes = _sketched(docs, percent, size, folders)
+    links = _links(placed, nodes, percent, size, False, block, folders)
     roots = components(links.select("a", "b"), folders)
-    rows = sketched.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "node")
+    rows = rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "node")
     some = rows.filter("n_shingles > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = some.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = some.join(named, "root").select("doc_id", "n_shingles", "component_id")
