@@ -24,7 +24,6 @@ without a row left have zeros, an empty audit and the digest of nothing. Texts o
 from __future__ import annotations
 
 import hashlib
-from functools import partial
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -267,7 +266,7 @@ def _walked(signatures: DataFrame) -> DataFrame:
     return signatures.distinct().repartitionByRange("kind", back).sortWithinPartitions("kind", back).mapInArrow(walk, WALKED)
 
 
-def _combined(key, table: pa.Table) -> pa.Table:
+def _combined(key, table):
     """Neighbouring pieces of a conversation as one: for every kind on the right the kind on the left and the state behind each state."""
     rows = sorted(table.to_pylist(), key=lambda r: (r["part"], r["seg"]))
     onward, states = rows[-1]["onward"], rows[-1]["states"]
@@ -283,7 +282,7 @@ def _combined(key, table: pa.Table) -> pa.Table:
         "onward": pa.array([onward], pa.list_(pa.int32())), "states": pa.array([states], pa.list_(pa.list_(pa.int32())))})
 
 
-def _dealt(key, table: pa.Table) -> pa.Table:
+def _dealt(key, table):
     """The kind on the right and the state on the left of every piece, from those of the whole."""
     rows = sorted(table.to_pylist(), key=lambda r: (r["part"], r["seg"]))
     kind, kinds = rows[0]["kind"], []
@@ -318,14 +317,14 @@ def _chained(segments: DataFrame, kind: T.DataType, fan: int, folders: list[str]
         up = (F.col("part"), (F.col("seg") / fan).cast("long")) if seg else ((F.col("part") / fan).cast("int"), F.col("seg"))
         ups.append(up)
         grouped = levels[-1].withColumns({"part_up": up[0], "seg_up": up[1]}).groupBy("conv_id", "part_up", "seg_up")
-        levels.append(stored_table(grouped.applyInArrow(partial(_combined), piece), "level", folders))
+        levels.append(stored_table(grouped.applyInArrow(_combined, piece), "level", folders))
     illegal = levels[-1].select("conv_id", "illegal")
     places = levels[-1].select("conv_id", "part", "seg", F.lit(0).alias("kind"), F.lit(START).alias("state"))
     names = ["conv_id", "part_up", "seg_up"]
     for level, up in zip(levels[-2::-1], ups[::-1]):
         above = _side(places.withColumnsRenamed({"part": "part_up", "seg": "seg_up"}), names)
         below = _same(level.withColumns({"part_up": up[0], "seg_up": up[1]}), above, names)
-        places = stored_table(below.groupBy(*names).applyInArrow(partial(_dealt), given), "places", folders)
+        places = stored_table(below.groupBy(*names).applyInArrow(_dealt, given), "places", folders)
     return places, illegal
 
 
