@@ -1,22 +1,31 @@
-"""Structured data in pages: every nested object as a row, products, FAQ, prices."""
+"""Structured data in pages: every nested object in the order it is written, products, FAQ, prices.
+
+A block's text is walked once for its token positions: each object gets its written place and its interval of the text, at any depth. Spark parses
+the interval into VARIANT where the object is used; VARIANT itself keeps members by name.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.money import format_price, format_yen
 from ..functions.text import (
-    BLANK, as_col, blank_to_null, strip_tags, trim_blank, unique_faq, unique_specs, unique_strings,
+    BLANK, as_col, blank_to_null, let, strip_tags, trim_blank, unique_faq, unique_specs, unique_strings,
 )
 from ..functions.urls import absolute_url
-from ..session import stored
+from ..session import ship_package
 
 SCRIPT = r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script"""
-# Levels of objects inside objects that one pass over the open containers walks; deeper ones take another pass.
-LEVELS = 8
+#: Of JSON text: a string, or what opens, closes or separates.
+MARK = re.compile(rb'"(?:[^"\\]|\\.)*"|[{}\[\],:]', re.S)
+OBJECT = T.StructType([T.StructField("block_no", T.IntegerType()), T.StructField("place", T.ArrayType(T.IntegerType())),
+                       T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType())])
 
 
 def _is_object(v: Column) -> Column:
@@ -27,65 +36,103 @@ def _is_array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
-def members(v: Column) -> Column:
-    """Array entries or object values as array<variant>; NULL for a plain value."""
-    return F.coalesce(
-        F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
-    )
+def _by_key(names: list[bytes]) -> list[int]:
+    """Rank of every member: written order, but names that are whole numbers come first by number, as in a script's objects."""
+    def key(k: int):
+        text = names[k][1:-1]
+        whole = text.isdigit() and (text == b"0" or text[:1] != b"0") and len(text) < 10
+        return (0, int(text)) if whole else (1, k)
 
+    order = [0] * len(names)
+    for rank, k in enumerate(sorted(range(len(names)), key=key)):
+        order[k] = rank
+    return order
 
-def jsonld_blocks(pages: DataFrame, carry: Sequence[str] = ("url",)) -> DataFrame:
-    """One row per parsed block; text that is no JSON is dropped."""
-    blocks = pages.select(
-        "page_id", *carry, F.posexplode(F.regexp_extract_all("html", F.lit(SCRIPT), F.lit(1))).alias("block_no", "body")
-    )
-    parsed = blocks.withColumn("node", F.try_parse_json(trim_blank("body"))).drop("body")
-    return parsed.filter(F.col("node").isNotNull())
-
-
-def _descend(rows: DataFrame, keep: list[str], levels: int) -> DataFrame:
-    """Rows with ``levels`` levels of objects below them opened; what may hold more stays marked ``open``."""
-    def entry(v: Column, *at: Column) -> Column:
-        place = F.concat(F.col("place"), F.array(*[i.cast("int") for i in at]))
-        return F.struct(v.alias("node"), place.alias("place"), F.lit(True).alias("open"))
-
-    # A list inside an object opens together with the object, so a level is one object deep.
-    def step(m: Column, i: Column) -> Column:
-        listed = F.transform(F.try_variant_get(m, "$", "array<variant>"), lambda e, j: entry(e, i, j))
-        return F.coalesce(listed, F.array(entry(m, i)))
-
-    for _ in range(levels):
-        inner = F.filter(
-            F.flatten(F.transform(members(F.col("node")), step)), lambda s: _is_object(s["node"]) | _is_array(s["node"])
-        )
-        own = F.array(F.struct(F.col("node"), F.col("place"), F.lit(False).alias("open")))
-        both = F.when(F.col("open"), F.concat(own, F.coalesce(inner, F.array().cast(
-            "array<struct<node:variant,place:array<int>,open:boolean>>")))).otherwise(own)
-        rows = rows.select(*keep, F.explode(both).alias("s")).select(*keep, "s.node", "s.place", "s.open")
-    return rows
-
-
-def jsonld_nodes(pages: DataFrame, carry: Sequence[str] = ("url",), levels: int = LEVELS) -> DataFrame:
-    """Every object inside the blocks, depth first: page_id, carry, block_no, place, node.
-
-    ``place`` is the chain of positions from the block down; sorting by (block_no, place) walks
-    the tree depth first. A pass over the open containers walks ``levels`` levels (an object and the lists in it are one); its
-    rows are stored, and only containers with more inside take another pass, until none is left: any depth is read, the pages
-    once, and nothing is shuffled. Object members come in the order VARIANT keeps them, which is by name.
+
+def written_objects(text: bytes) -> list[tuple[list[int], int, int]]:
+    """(place, start, end) of every object of a JSON text, depth first in written order; places count members and list entries from 0.
+
+    Works on token positions, at any depth; of a text that is no JSON it gives what it finds.
+    """
+    # open container: 0 start, 1 is an object, 2 names so far, 3 entries so far, 4 the container around it, 5 its entry there
+    found, stack = [], []
+    expect_name = False
+    for mark in MARK.finditer(text):
+        sign = mark.group()[:1]
+        if sign in (b"{", b"["):
+            around = stack[-1] if stack else None
+            entry = None if around is None else len(around[2]) - 1 if around[1] else around[3]
+            node = [mark.start(), sign == b"{", [], 0, around, entry, -1, None]
+            if node[1]:
+                found.append(node)
+            stack.append(node)
+            expect_name = node[1]
+        elif sign in (b"}", b"]"):
+            if stack:
+                stack.pop()[6] = mark.end()
+            expect_name = False
+        elif sign == b",":
+            if stack:
+                stack[-1][3] += 1
+                expect_name = stack[-1][1]
+        elif sign == b'"' and expect_name and stack:
+            stack[-1][2].append(mark.group())
+            expect_name = False
+    out = []
+    for node in found:
+        place, at = [], node
+        while at[4] is not None:
+            around = at[4]
+            if around[1]:
+                if around[7] is None:
+                    around[7] = _by_key(around[2])
+                place.append(around[7][at[5]] if 0 <= at[5] < len(around[7]) else 0)
+            else:
+                place.append(at[5])
+            at = around
+        if node[6] >= 0:
+            out.append((place[::-1], node[0], node[6]))
+    # members whose names are numbers move: the order of places is the depth-first order
+    return sorted(out, key=lambda o: o[0])
+
+
+def page_objects(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The pages (without ``html`` unless kept), ``blocks`` (UTF-8 texts) and ``objects``: every object of the blocks as (block_no, place, start, size), in document order.
+
+    Blocks that are no JSON are null. A page is one row of the order of its size; ``object_node`` cuts an object from its block.
+    """
+    ship_package(pages.sparkSession)
+    bodies = F.transform(F.regexp_extract_all("html", F.lit(SCRIPT), F.lit(1)), trim_blank)
+    checked = F.transform(bodies, lambda b: F.when(F.try_parse_json(b).isNotNull(), b.cast("binary")))
+    rest = [c for c in pages.columns if c != "html" or c in keep]
+    source = pages.select(*rest, checked.alias("blocks"))
+    schema = T.StructType([*source.schema, T.StructField("objects", T.ArrayType(OBJECT))])
+    kind = pa.list_(pa.struct([("block_no", pa.int32()), ("place", pa.list_(pa.int32())), ("start", pa.int32()), ("size", pa.int32())]))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for blocks in batch.column(len(rest)).to_pylist():
+                rows.append([{"block_no": number, "place": place, "start": a, "size": b - a}
+                             for number, text in enumerate(blocks or ()) if text is not None for place, a, b in written_objects(text)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], schema.names)
+
+    return source.mapInArrow(read, schema)
+
+
+def object_node(o: Column, blocks: Column | str = "blocks") -> Column:
+    """An object of ``page_objects`` as VARIANT."""
+    return F.parse_json(F.get(as_col(blocks), o["block_no"]).substr(o["start"] + 1, o["size"]).cast("string"))
+
+
+def jsonld_nodes(pages: DataFrame, carry: Sequence[str] = ("url",)) -> DataFrame:
+    """Every object inside the blocks, depth first in written order: page_id, carry, block_no, place, node.
+
+    ``place`` is the chain of positions from the block down; sorting by (block_no, place) walks the tree as it is written.
     """
-    keep = ["page_id", *carry, "block_no"]
-    rows = jsonld_blocks(pages, carry).withColumn("place", F.array().cast("array<int>")).withColumn("open", F.lit(True))
-    deeper = F.col("open") & F.coalesce(F.exists(members(F.col("node")), lambda m: _is_object(m) | _is_array(m)), F.lit(False))
-    found = None
-    while True:
-        rows = stored(_descend(rows, keep, levels))
-        more = rows.filter(deeper)
-        last = more.isEmpty()
-        done = rows if last else rows.filter(~deeper)
-        found = done if found is None else found.unionByName(done)
-        if last:
-            return found.filter(_is_object(F.col("node"))).select(*keep, "place", "node")
-        rows = more
+    keep = ["page_id", *carry]
+    rows = page_objects(pages.select(*keep, "html")).select(*keep, "blocks", F.explode("objects").alias("o"))
+    return rows.select(*keep, "o.block_no", "o.place", object_node(F.col("o")).alias("node"))
 
 
 def jsonld_is(node: Column | str, kind: str) -> Column:
@@ -199,44 +246,34 @@ def jsonld_faq(nodes: DataFrame) -> DataFrame:
     return rows.select("page_id", "block_no", "place", "entry_no", "e.question", "e.answer")
 
 
-def jsonld_record(nodes: DataFrame, base: str = "url") -> DataFrame:
-    """Per page, in document order: all product, FAQ and video values.
-
-    Only the objects that say something are grouped, and a group is one page.
-    """
-    node = F.col("node")
-    clips = url_values(F.array(*[field(node, n) for n in ("contentUrl", "embedUrl", "url")]), F.col(base))
-    product = F.struct(*[c.alias(n) for n, c in product_fields(node, F.col(base)).items()])
-    rows = nodes.select(
-        "page_id", F.struct("block_no", "place").alias("at"),
-        F.when(jsonld_is(node, "Product"), product).alias("p"), faq_entries(node).alias("f"),
-        F.when(jsonld_is(node, "VideoObject"), clips).otherwise(F.array().cast("array<string>")).alias("v"),
-    ).filter(F.col("p").isNotNull() | (F.size("f") > 0) | (F.size("v") > 0))
-    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("at", "p", "f", "v"))).alias("l"))
-    products = F.filter(F.transform("l", lambda x: x["p"]), lambda p: p.isNotNull())
-    pages = pages.withColumn("ps", products)
-
-    def all_of(name: str) -> Column:
-        return F.flatten(F.transform("ps", lambda p: p[name]))
-
-    def one_of(name: str) -> Column:
-        return F.transform("ps", lambda p: p[name])
-
-    seen = F.transform(
-        "l", lambda x: F.concat(F.coalesce(x["p"]["videos"], F.array().cast("array<string>")), x["v"])
-    )
-    return pages.select(
-        "page_id",
-        unique_strings(one_of("name")).alias("ld_names"),
-        unique_strings(all_of("models")).alias("ld_models"),
-        unique_strings(one_of("description")).alias("ld_descriptions"),
-        unique_strings(all_of("images")).alias("ld_images"),
-        unique_strings(all_of("prices")).alias("ld_prices"),
-        unique_strings(all_of("availability")).alias("ld_availability"),
-        unique_specs(all_of("specs")).alias("ld_specs"),
-        unique_faq(F.flatten(F.transform("l", lambda x: x["f"]))).alias("ld_faq"),
-        unique_strings(F.flatten(seen)).alias("ld_videos"),
-    )
+def object_record(base: str = "url") -> Column:
+    """Of a row of ``page_objects``, in document order: all product, FAQ and video values, as a struct."""
+    none = F.array().cast("array<string>")
+    url = F.col(base)
+    nodes = F.transform("objects", lambda o: object_node(o))
+    # objects that say something are few: the others go before any field is read
+    said = F.filter(nodes, lambda n: jsonld_is(n, "Product") | jsonld_is(n, "FAQPage") | jsonld_is(n, "Question") | jsonld_is(n, "VideoObject"))
+
+    def read(n: Column) -> Column:
+        product = F.struct(*[c.alias(name) for name, c in product_fields(n, url).items()])
+        clips = url_values(F.array(*[field(n, name) for name in ("contentUrl", "embedUrl", "url")]), url)
+        return F.struct(F.when(jsonld_is(n, "Product"), product).alias("p"), faq_entries(n).alias("f"), F.when(jsonld_is(n, "VideoObject"), clips).otherwise(none).alias("v"))
+
+    rows = F.transform(said, read)
+
+    def fields(l: Column) -> Column:
+        products = F.filter(F.transform(l, lambda x: x["p"]), lambda p: p.isNotNull())
+        one_of = lambda name: F.transform(products, lambda p: p[name])
+        all_of = lambda name: F.flatten(F.transform(products, lambda p: p[name]))
+        seen = F.flatten(F.transform(l, lambda x: F.concat(F.coalesce(x["p"]["videos"], none), x["v"])))
+        return F.struct(
+            unique_strings(one_of("name")).alias("ld_names"), unique_strings(all_of("models")).alias("ld_models"),
+            unique_strings(one_of("description")).alias("ld_descriptions"), unique_strings(all_of("images")).alias("ld_images"),
+            unique_strings(all_of("prices")).alias("ld_prices"), unique_strings(all_of("availability")).alias("ld_availability"),
+            unique_specs(all_of("specs")).alias("ld_specs"), unique_faq(F.flatten(F.transform(l, lambda x: x["f"]))).alias("ld_faq"),
+            unique_strings(seen).alias("ld_videos"))
+
+    return let(rows, fields)
 
 
 def jsonld_price(nodes: DataFrame, sku: str = "sku", url: str = "url") -> DataFrame:

@@ -13,7 +13,8 @@ from ..functions.specs import memory_specs_tags, memory_type_label, pick_type_la
 from ..functions.stock import normalize_stock
 from ..functions.text import as_col, blank_to_null, combined_text, compact_spaces, first_text, trim_blank
 from ..functions.urls import absolute_url, image_attr, product_number
-from .dom import Chain, Pick, below, chain, in_boxes, pick_fields, token as t
+from .boxes import Box, Find, box_rows, first_of
+from .dom import Chain, chain, token as t
 
 ITEM_BOX = t(cls="item_listbox")
 # The page's classes for each field, in the order they are asked.
@@ -40,33 +41,32 @@ TAG_CHAINS = [chain(t(cls="item-tags"), t("a")), chain(t(cls="itemtag"), t("a"))
 TAG_TEXT = chain(t(cls="itemtag"))
 
 
-def extract_component_items(nodes: DataFrame, carry: Sequence[str] = ("url", "source_pos", "page_no")) -> DataFrame:
-    """Raw text of each listing box. ``nodes`` carries the page URL and its place in the run.
+COMPONENT = Box((chain(ITEM_BOX),), {
+    **{name: Find(tuple(chains)) for name, chains in FIELD_CHAINS.items()},
+    "link": Find((chain(t("a", attr=("href", "starts", "/i/"))),), "attrs"),
+    "image": Find((chain(t("img", cls="item-img")), chain(t("img"))), "attrs"),
+    "tags_1": Find((TAG_CHAINS[0],), every=True), "tags_2": Find((TAG_CHAINS[1],), every=True), "tag_text": Find((TAG_TEXT,)),
+})
 
-    One map-side filter and one aggregation; boxes never meet nodes of other boxes.
+
+def extract_component_items(pages: DataFrame, carry: Sequence[str] = ("url", "source_pos", "page_no")) -> DataFrame:
+    """Raw text of each listing box. ``pages`` carries the page URL and its place in the run.
+
+    The boxes are filled while the page is read; nothing is shuffled.
     """
-    inner = in_boxes(nodes, ITEM_BOX)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    link = F.when(F.startswith(F.col("attrs")["href"], F.lit("/i/")), F.col("attrs")["href"])
+    found = box_rows(pages, COMPONENT, tuple(carry))
     # A found image counts even when it has no address, hence the mark in front.
-    image = F.concat(F.lit("="), F.coalesce(image_attr(F.col("attrs")), F.lit("")))
-    picks = [Pick(name).first_of_each([(below(c), text) for c in chains]) for name, chains in FIELD_CHAINS.items()]
-    picks += [
-        Pick("link").first_of_each([(below(chain(t("a"))) & link.isNotNull(), link)]),
-        Pick("image").first_of_each([(below(chain(t("img", cls="item-img"))), image), (below(chain(t("img"))), image)]),
-        Pick("tags_1").all_values(below(TAG_CHAINS[0]), trim_blank(text)),
-        Pick("tags_2").all_values(below(TAG_CHAINS[1]), trim_blank(text)),
-        Pick("tag_text").first_of_each([(below(TAG_TEXT), trim_blank(text))]),
-    ]
-    found = pick_fields(inner, ["page_id", *carry, "box_id"], picks)
-    filled = [F.filter(F.col(n), lambda v: v != "") for n in ("tags_1", "tags_2")]
-    plain = F.when(F.col("tag_text").isNotNull(), F.array("tag_text")).otherwise(F.array().cast("array<string>"))
+    image = [F.concat(F.lit("="), F.coalesce(image_attr(F.get(F.col("image"), F.lit(i))), F.lit(""))) for i in (0, 1)]
+    image = F.coalesce(*[F.when(F.get(F.col("image"), F.lit(i)).isNotNull(), v) for i, v in enumerate(image)])
+    filled = [F.filter(F.transform(F.col(n), lambda x: trim_blank(x["v"])), lambda v: v != "") for n in ("tags_1", "tags_2")]
+    tag_text = F.nullif(trim_blank(F.get(F.col("tag_text"), F.lit(0))), F.lit(""))
+    plain = F.when(tag_text.isNotNull(), F.array(tag_text)).otherwise(F.array().cast("array<string>"))
     tags = F.when(F.size(filled[0]) > 0, filled[0]).when(F.size(filled[1]) > 0, filled[1]).otherwise(plain)
     raw = found.select(
         "page_id", *[c for c in carry if c != "url"], F.col("box_id").alias("item_pos"),
-        absolute_url("url", F.col("link"), empty_is_base=True).alias("item_url"), F.col("url").alias("source_url"),
-        absolute_url("url", F.substr("image", F.lit(2)), empty_is_base=True).alias("image_url"),
-        *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in FIELD_CHAINS], tags.alias("tags"),
+        absolute_url("url", F.get(F.col("link"), F.lit(0))["href"], empty_is_base=True).alias("item_url"), F.col("url").alias("source_url"),
+        absolute_url("url", F.substr(image, F.lit(2)), empty_is_base=True).alias("image_url"),
+        *[F.coalesce(first_of(n, choices=len(chains)), F.lit("")).alias(n) for n, chains in FIELD_CHAINS.items()], tags.alias("tags"),
     ).withColumnRenamed("item_url", "url")
     order = (
         "maker_text", "product_name_text", "product_number_text", "original_price_text", "final_price_text",

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import format_yen, strip_price_marks
 from ..functions.text import blank_to_null, extract, normalize_ws, trim_blank
 from ..functions.urls import host_prefixed
-from .dom import Pick, chain, is_at, pick_fields, token as t
+from .boxes import DOCUMENT, Box, Find, box_rows, first_of, first_that
+from .dom import chain, token as t
 
 # Page classes in the order they are asked, words of the buy button.
 BUTTON = [
     chain(t("a", cls="pdp-buy-btn-link")), chain(t("button", cls="salesInquiryModal")), chain(t(cls="wtbBtbwWithIcon")),
-    None,  # a link to #buy-btn, told by its href
+    chain(t("a", attr=("href", "#buy-btn"))),
     chain(t("button", part="salesInquiry")),
 ]
 PRICE = [
@@ -39,15 +40,13 @@ def extract_product_links(nodes: DataFrame, host: str, url: str = "url") -> Data
     )
 
 
-def extract_variants(nodes: DataFrame, host: str) -> DataFrame:
-    """Variant links with the code in the text after them: page_id, variant_pos, jan, variant_url."""
-    listed = nodes.filter(F.contains("path", F.lit(".product-sku-list")))
-    after = Window.partitionBy("page_id", "parent_id").orderBy("sib_pos")
-    follow = F.lead("text").over(after)
-    beside = listed.select("page_id", F.col("node_id").alias("parent_id"), follow.alias("beside"))
-    links = listed.filter(is_at(chain(t(cls="product-sku-list"), t(cls="show-for-b2c"), t("a"))))
-    pairs = links.join(beside, ["page_id", "parent_id"]).select(
-        "page_id", F.col("node_id").alias("variant_pos"), extract(F.col("beside"), CODE).alias("jan"),
+VARIANTS = Box((chain(t(cls="product-sku-list"), t(cls="show-for-b2c"), t("a")),), {}, beside=1, of_parent=True)
+
+
+def extract_variants(pages: DataFrame, host: str) -> DataFrame:
+    """Variant links with the code in the text of the element after theirs: page_id, variant_pos, jan, variant_url."""
+    pairs = box_rows(pages, VARIANTS).select(
+        "page_id", F.col("box_id").alias("variant_pos"), extract(F.get(F.col("beside"), F.lit(0))["text"], CODE).alias("jan"),
         blank_to_null(F.col("attrs")["href"]).alias("href"),
     )
     kept = pairs.filter(F.col("jan").isNotNull() & F.col("href").isNotNull())
@@ -60,20 +59,18 @@ def _after_yen(c: Column) -> Column:
     return F.coalesce(trim_blank(F.get(F.split(part, r"[\s\x{00A0}\x{3000}]"), F.lit(0))), F.lit(""))
 
 
-def extract_detail(nodes: DataFrame, url: str = "url") -> DataFrame:
-    """Per detail page: title, button text, price on the page, old price. One aggregation per page."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    trimmed = trim_blank(text)
-    buy = (F.col("tag") == "a") & (F.col("attrs")["href"] == "#buy-btn")
-    has_yen = F.contains(text, F.lit("¥"))
-    picks = [
-        Pick("heading").first_of_each([(F.col("tag") == "h1", normalize_ws(text))]),
-        Pick("button").first_of_any([buy if c is None else c.test() for c in BUTTON], trimmed),
-        Pick("words").first_of_each([(F.col("tag") == "#document", extract(normalize_ws("visible_text"), BUTTON_WORDS))]),
-        Pick("price").first_of_any([c.test() for c in PRICE], _after_yen(text), has_yen),
-        Pick("old").first_of_each([(is_at(*OLD_PRICE), trimmed)]),
-    ]
-    found = pick_fields(nodes, ["page_id", url], picks)
+DETAIL = Box((DOCUMENT,), {"heading": Find((chain(t("h1")),)), "button": Find(tuple(BUTTON), every=True), "price": Find(tuple(PRICE), every=True), "old": Find((tuple(OLD_PRICE),))},
+             text="shown")
+
+
+def extract_detail(pages: DataFrame, url: str = "url") -> DataFrame:
+    """Per detail page: title, button text, price on the page, old price. The page is the box."""
+    found = box_rows(pages, DETAIL, (url,)).select(
+        "page_id", url, first_of("heading", normalize_ws).alias("heading"), first_that("button", trim_blank).alias("button"),
+        extract(normalize_ws("text"), BUTTON_WORDS).alias("words"), first_of("old", trim_blank).alias("old"),
+        _after_yen(F.get(F.filter("price", lambda x: F.contains(x["v"], F.lit("¥")) & (F.length(_after_yen(x["v"])) > 0)), F.lit(0))["v"]).alias("price"),
+    )
+    found = found.withColumn("price", F.nullif("price", F.lit("")))
     title = trim_blank(F.regexp_replace("heading", NUMBER_PREFIX, ""))
     return found.select(
         "page_id", url, F.coalesce(blank_to_null(title), F.col("heading"), F.lit("")).alias("title"),

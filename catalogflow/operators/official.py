@@ -1,21 +1,25 @@
-"""Official product pages: page fields, media, specification pairs, FAQ, the merged record."""
+"""Official product pages: page fields, media, specification pairs, FAQ, the merged record.
+
+A page is read once into one row: its fields, table rows, definition pairs, list items, headings with the elements after them, details elements
+and structured data, each an array in document order. Everything after that is an expression on this row, so no
+branch is shuffled, stored or joined.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import model_in_text, price_in_text
 from ..functions.stock import availability_from_text, normalize_availability
 from ..functions.text import (
-    BLANK, blank_to_null, compact_spaces, contains_any, first_non_empty, let, trim_description, unique_faq,
+    BLANK, blank_to_null, compact_spaces, contains_any, first_non_empty, trim_description, unique_faq,
     unique_specs, unique_strings,
 )
 from ..functions.urls import absolute_url, model_from_url
-from ..session import stored
-from .curate import under_heading
-from .dom import DOCUMENT, Pick, chain, is_at, pick_fields, token as t
-from .jsonld import jsonld_nodes, jsonld_record
+from .boxes import DOCUMENT, Box, Find, page_boxes
+from .dom import chain, token as t
+from .jsonld import object_record, page_objects
 
 # Heading words and hosts of embedded videos.
 SPEC_WORDS = ("仕様", "スペック", "spec", "specification", "specifications")
@@ -33,185 +37,137 @@ def _empty() -> Column:
     return F.array().cast(NO_TEXTS)
 
 
-def extract_page_fields(nodes: DataFrame, url: str = "url") -> DataFrame:
-    """Per page: titles, descriptions, canonical URL, headings, main text, price meta, images and videos.
-
-    One aggregation; list values are collected per page in document order.
-    """
-    plain = nodes.withColumn("plain", compact_spaces("text"))
-    text, attrs = F.col("plain"), F.col("attrs")
-    content = compact_spaces(attrs["content"])
-
-    def meta(key: str, value: str) -> Column:
-        return (F.col("tag") == "meta") & (attrs[key] == value)
-
-    def tag(name: str) -> Column:
-        return F.col("tag") == name
-
-    body = F.col("visible_text")
-    main = tag("main") | tag("article") | (attrs["role"] == "main")
-    in_main = is_at(chain(t("main"), t("p")), chain(t("article"), t("p")), chain(t(attr=("role", "main")), t("p")))
-    sources = F.struct(attrs["src"].alias("src"), attrs["srcset"].alias("srcset"))
-    picks = [
-        Pick("title").first_of_each([(tag("title"), text)]),
-        Pick("og_title").first_of_each([(meta("property", "og:title"), content)]),
-        Pick("meta_description").first_of_each(
-            [(meta("name", "description"), content), (meta("property", "og:description"), content)]
-        ),
-        Pick("canonical").first_of_each([(tag("link") & (attrs["rel"] == "canonical"), attrs["href"])]),
-        Pick("meta_price").first_of_each([(meta("property", "product:price:amount"), content)]),
-        Pick("og_image").first_of_each([(meta("property", "og:image"), content)]),
-        Pick("h1").all_values(tag("h1"), text),
-        Pick("main_text").first_of_each(
-            [(F.coalesce(main, F.lit(False)), body), (tag("body"), body), (tag(DOCUMENT), body)]
-        ),
-        Pick("paragraphs").all_values(in_main, text),
-        Pick("pictures").all_values(tag("img"), sources),
-        Pick("players").all_values(tag("video") | tag("source"), attrs["src"]),
-        Pick("frames").all_values(tag("iframe"), attrs["src"]),
-    ]
-    found = pick_fields(plain, ["page_id", url], picks)
-    base = F.col(url)
+_MAIN = (chain(t("main")), chain(t("article")), chain(t(attr=("role", "main"))))
+PAGE = Box((DOCUMENT,), {
+    "title": Find((chain(t("title")),)),
+    "og_title": Find((chain(t("meta", attr=("property", "is", "og:title"))),), "attrs"),
+    "meta_description": Find((chain(t("meta", attr=("name", "description"))), chain(t("meta", attr=("property", "og:description")))), "attrs"),
+    "canonical": Find((chain(t("link", attr=("rel", "canonical"))),), "attrs"),
+    "meta_price": Find((chain(t("meta", attr=("property", "product:price:amount"))),), "attrs"),
+    "og_image": Find((chain(t("meta", attr=("property", "og:image"))),), "attrs"),
+    "h1": Find((chain(t("h1")),), every=True),
+    "main_text": Find((_MAIN, chain(t("body"))), "shown"),
+    "paragraphs": Find((tuple(chain(*c.tokens, t("p")) for c in _MAIN),), every=True),
+    "pictures": Find((chain(t("img")),), "attrs", every=True),
+    "players": Find(((chain(t("video")), chain(t("source"))),), "attrs", every=True),
+    "frames": Find((chain(t("iframe")),), "attrs", every=True),
+}, text="shown")
+ROWS = Box((chain(t("tr")),), {"cells": Find(((chain(t("table"), t("td")), chain(t("table"), t("th"))),), every=True)})
+PAIRS = Box((chain(t("dl"), t("dt")),), {}, text="text", beside=1)
+ITEMS = Box((chain(t("li")),), {}, text="text")
+HEADED = Box(tuple(chain(t(h)) for h in HEADINGS), {}, text="text", beside=8, until=frozenset(HEADINGS))
+DETAILS = Box((chain(t("details")),), {"summary": Find((chain(t("summary")),))}, text="text")
+#: What the record needs of a page.
+RECORD = {"page": PAGE, "rows": ROWS, "pairs": PAIRS, "items": ITEMS, "headings": HEADED, "details": DETAILS}
+SPECS = {n: RECORD[n] for n in ("rows", "pairs", "items", "headings")}
+FAQ = {n: RECORD[n] for n in ("rows", "pairs", "items", "headings", "details")}
+
+
+def page_fields(url: str = "url") -> dict[str, Column]:
+    """Titles, descriptions, canonical URL, headings, main text, price meta, images and videos of a row with its ``page``."""
+    base, page = F.col(url), F.get(F.col("page"), F.lit(0))
+
+    def content(name: str, choices: int = 1) -> Column:
+        return F.coalesce(*[F.nullif(compact_spaces(F.get(page[name], F.lit(i))["content"]), F.lit("")) for i in range(choices)])
+
+    def texts(name: str) -> Column:
+        return F.transform(page[name], lambda x: compact_spaces(x["v"]))
 
     def srcset_urls(c: Column) -> Column:
         entries = F.filter(F.split(compact_spaces(c), ","), lambda e: e != "")
         first = F.transform(entries, lambda e: F.get(F.split(F.regexp_replace(e, f"^{BLANK}+", ""), BLANK), F.lit(0)))
         return F.transform(first, lambda e: absolute_url(base, e))
 
-    pictures = F.flatten(
-        F.transform("pictures", lambda p: F.concat(F.array(absolute_url(base, p["src"])), srcset_urls(p["srcset"])))
-    )
-    frames = F.filter(
-        F.transform("frames", lambda s: absolute_url(base, s)), lambda s: contains_any(F.lower(s), VIDEO_HOSTS)
-    )
-    players = F.transform("players", lambda s: absolute_url(base, s))
-    return found.select(
-        "page_id", url, "title", "og_title", "meta_description", absolute_url(base, "canonical").alias("canonical_url"),
-        unique_strings(F.col("h1")).alias("h1_texts"), compact_spaces("main_text").alias("body_text"),
-        unique_strings(F.concat(F.array("meta_description"), F.slice("paragraphs", 1, 6))).alias("description_texts"),
-        "meta_price",
-        unique_strings(F.concat(F.array(absolute_url(base, "og_image")), pictures)).alias("image_urls"),
-        unique_strings(F.concat(players, frames)).alias("video_urls"),
-    )
+    pictures = F.flatten(F.transform(page["pictures"], lambda p: F.concat(F.array(absolute_url(base, p["v"]["src"])), srcset_urls(p["v"]["srcset"]))))
+    players = F.transform(page["players"], lambda s: absolute_url(base, s["v"]["src"]))
+    frames = F.filter(F.transform(page["frames"], lambda s: absolute_url(base, s["v"]["src"])), lambda s: contains_any(F.lower(s), VIDEO_HOSTS))
+    body = F.coalesce(*[F.nullif(F.get(page["main_text"], F.lit(i)), F.lit("")) for i in (0, 1)], F.nullif(page["text"], F.lit("")))
+    description = content("meta_description", 2)
+    return {
+        "title": F.nullif(compact_spaces(F.get(page["title"], F.lit(0))), F.lit("")), "og_title": content("og_title"), "meta_description": description,
+        "canonical_url": absolute_url(base, F.nullif(F.get(page["canonical"], F.lit(0))["href"], F.lit(""))),
+        "h1_texts": unique_strings(texts("h1")), "body_text": compact_spaces(body),
+        "description_texts": unique_strings(F.concat(F.array(description), F.slice(texts("paragraphs"), 1, 6))), "meta_price": content("meta_price"),
+        "image_urls": unique_strings(F.concat(F.array(absolute_url(base, content("og_image"))), pictures)),
+        "video_urls": unique_strings(F.concat(players, frames)),
+    }
+
+
+def extract_page_fields(pages: DataFrame, url: str = "url") -> DataFrame:
+    """Page fields of every page; list values are in document order."""
+    read = page_boxes(pages, {"page": PAGE}, (url,))
+    return read.select("page_id", url, *[c.alias(n) for n, c in page_fields(url).items()])
+
+
+def _lines(read: DataFrame) -> DataFrame:
+    """``rows`` as (id, label, value) of table rows with two or more filled cells, ``pairs`` as (id, label, next_tag, value), ``items`` as (id, value)."""
+    cells = F.transform("rows", lambda r: F.struct(r["id"].alias("id"), F.filter(F.transform(r["cells"], lambda c: compact_spaces(c["v"])), lambda v: v != "").alias("v")))
+    rows = F.transform(F.filter(cells, lambda r: F.size(r["v"]) >= 2), lambda r: F.struct(
+        r["id"].alias("id"), F.get(r["v"], F.lit(0)).alias("label"), F.array_join(F.slice(r["v"], F.lit(2), F.size(r["v"])), " ").alias("value")))
+    after = lambda p: F.get(p["beside"], F.lit(0))
+    pairs = F.transform("pairs", lambda p: F.struct(
+        p["id"].alias("id"), compact_spaces(p["text"]).alias("label"), after(p)["tag"].alias("next_tag"), F.when(after(p).isNotNull(), compact_spaces(after(p)["text"])).alias("value")))
+    items = F.filter(F.transform("items", lambda i: F.struct(i["id"].alias("id"), compact_spaces(i["text"]).alias("value"))), lambda i: i["value"] != "")
+    return read.withColumns({"rows": rows, "pairs": pairs, "items": items})
+
+
+def _entries(read: DataFrame) -> DataFrame:
+    """``headings`` as (is_spec, is_faq, entries) of specification and FAQ headings.
+
+    Entries are the texts of up to eight elements beside the heading, ended by the next heading. A table gives ``label: value``
+    lines, a dl ``label: value`` pairs, an element with list items its items, any other its text. Lines are told by their place in the element's interval.
+    """
+    def named(text: Column, words: tuple[str, ...]) -> Column:
+        return contains_any(F.lower(compact_spaces(text)), words)
 
+    def inside(lines: str, b: Column, value) -> Column:
+        return F.transform(F.filter(lines, lambda x: (x["id"] > b["id"]) & (x["id"] <= b["end"])), value)
 
-def table_rows(nodes: DataFrame) -> DataFrame:
-    """Rows of tables with two or more filled cells: page_id, row_id, row path ids, label, value."""
-    cells = nodes.filter(F.col("tag").isin("td", "th") & F.contains("path", F.lit("/table")))
-    plain = cells.withColumn("plain", compact_spaces("text")).filter(F.col("plain") != "")
-    # The enclosing rows of a cell are the ancestors whose path token is tr.
-    steps = F.arrays_zip(
-        F.slice(F.split("path", "/"), F.lit(2), F.size("ancestors")).alias("t"), F.col("ancestors").alias("i")
-    )
-    rows = F.transform(F.filter(steps, lambda s: s["t"].rlike(r"^tr(?![\w-])")), lambda s: s["i"])
-    owned = plain.select("page_id", "node_id", "plain", "ancestors", F.explode(rows).alias("row_id"))
-    above = F.filter("ancestors", lambda i: i <= F.col("row_id"))
-    grouped = owned.groupBy("page_id", "row_id").agg(
-        F.array_sort(F.collect_list(F.struct("node_id", "plain"))).alias("cells"), F.min(above).alias("inside")
-    )
-    values = F.transform("cells", lambda c: c["plain"])
-    return grouped.filter(F.size("cells") >= 2).select(
-        "page_id", "row_id", "inside", F.get(values, F.lit(0)).alias("label"),
-        F.array_join(F.slice(values, F.lit(2), F.size(values)), " ").alias("value"),
-    )
+    def pair(x: Column) -> Column:
+        return F.when((x["label"] != "") & (x["value"] != ""), F.concat_ws(": ", x["label"], x["value"]))
 
+    def block(b: Column) -> Column:
+        items = inside("items", b, lambda x: x["value"])
+        return (F.when(b["tag"] == "table", inside("rows", b, lambda x: F.concat_ws(": ", x["label"], x["value"])))
+                .when(b["tag"] == "dl", inside("pairs", b, pair))
+                .when(F.size(items) > 0, items).otherwise(F.array(compact_spaces(b["text"]))))
 
-def definition_pairs(nodes: DataFrame) -> DataFrame:
-    """Each dt with the text and tag of the element after it: page_id, dt_id, inside, label, next_tag, value."""
-    children = nodes.filter(F.contains(F.col("path"), F.lit("/dl")) & F.col("path").rlike(r"/dl(?![\w-])[^/]*/"))
-    after = Window.partitionBy("page_id", "parent_id").orderBy("sib_pos")
-    follow = F.lead(F.struct("sib_pos", "tag", "text")).over(after)
-    paired = children.select("page_id", "node_id", "tag", "sib_pos", "text", "ancestors", follow.alias("n")).filter("tag = 'dt'")
-    near = F.col("n.sib_pos") == F.col("sib_pos") + 1
-    return paired.select(
-        "page_id", F.col("node_id").alias("dt_id"), F.col("ancestors").alias("inside"), compact_spaces("text").alias("label"),
-        F.when(near, F.col("n.tag")).alias("next_tag"), F.when(near, compact_spaces("n.text")).alias("value"),
-    )
+    wanted = F.filter("headings", lambda h: named(h["text"], SPEC_WORDS + FAQ_WORDS))
+    entries = F.transform(wanted, lambda h: F.struct(
+        named(h["text"], SPEC_WORDS).alias("is_spec"), named(h["text"], FAQ_WORDS).alias("is_faq"),
+        unique_strings(F.flatten(F.transform(h["beside"], block))).alias("entries")))
+    return read.withColumn("headings", entries)
 
 
-def heading_entries(nodes: DataFrame, rows: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
-    """Texts after each specification or FAQ heading: page_id, heading_id, is_spec, is_faq, entries in order.
+def _specs() -> Column:
+    """Specification pairs: table rows, then dl pairs, then lines after a specification heading."""
+    kind = "array<struct<label:string,value:string>>"
+    rows = F.transform("rows", lambda r: F.struct(r["label"].alias("label"), r["value"].alias("value")))
+    pairs = F.transform(F.filter("pairs", lambda p: p["next_tag"] == "dd"), lambda p: F.struct(blank_to_null(p["label"]).alias("label"), p["value"].alias("value")))
+    lines = F.flatten(F.transform(F.filter("headings", lambda h: h["is_spec"]), lambda h: h["entries"]))
+    lines = F.transform(lines, lambda v: F.struct(F.lit(None).cast("string").alias("label"), v.alias("value")))
+    return unique_specs(F.concat(rows.cast(kind), pairs.cast(kind), lines.cast(kind)))
 
-    Up to eight sibling elements, ended by the next heading. A table gives ``label: value``
-    lines, a dl ``label: value`` pairs, an element with list items its items, any other its text.
-    """
-    is_heading = F.col("tag").isin(*HEADINGS)
-
-    def names(text: Column, words: tuple[str, ...]) -> Column:
-        return is_heading & contains_any(F.lower(text), words)
-
-    # Only sibling groups with a matching heading matter; they are found before any window runs, and lines of other pages are
-    # left out before they meet their ancestors.
-    mark = names(compact_spaces("text"), SPEC_WORDS + FAQ_WORDS)
-    hot = nodes.filter(is_heading).filter(mark).select("page_id", "parent_id").distinct()
-    headed = hot.select("page_id").distinct()
-    siblings = nodes.join(hot, ["page_id", "parent_id"], "left_semi").select(
-        "page_id", "parent_id", "node_id", "sib_pos", "tag", compact_spaces("text").alias("plain")
-    )
-    wanted = siblings.withColumns(
-        {"is_spec": names(F.col("plain"), SPEC_WORDS), "is_faq": names(F.col("plain"), FAQ_WORDS)}
-    )
-    named = wanted.filter(F.col("is_spec") | F.col("is_faq")).select(
-        "page_id", "parent_id", F.col("sib_pos").alias("heading_pos"), F.col("node_id").alias("heading_id"), "is_spec", "is_faq"
-    )
-    after = under_heading(wanted.drop("is_spec", "is_faq"), ["page_id", "parent_id"], "sib_pos", is_heading, 8)
-    blocks = after.join(named, ["page_id", "parent_id", "heading_pos"]).select(
-        "page_id", "heading_id", "is_spec", "is_faq", F.col("node_id").alias("block_id"), "after_heading", "tag", "plain"
-    )
-    rows = table_rows(nodes) if rows is None else rows
-    pairs = definition_pairs(nodes) if pairs is None else pairs
-    lines = rows.join(headed, "page_id", "left_semi").select(
-        "page_id", F.explode("inside").alias("block_id"), F.lit("table").alias("kind"), F.col("row_id").alias("line_id"),
-        F.concat_ws(": ", "label", "value").alias("line"),
-    )
-    pairs = pairs.join(headed, "page_id", "left_semi").filter((F.col("label") != "") & (F.col("value") != "")).select(
-        "page_id", F.explode("inside").alias("block_id"), F.lit("dl").alias("kind"), F.col("dt_id").alias("line_id"),
-        F.concat_ws(": ", "label", "value").alias("line"),
-    )
-    items = nodes.filter("tag = 'li'").join(headed, "page_id", "left_semi").select(
-        "page_id", F.explode("ancestors").alias("block_id"), F.lit("li").alias("kind"), F.col("node_id").alias("line_id"),
-        compact_spaces("text").alias("line"),
-    ).filter(F.col("line") != "")
-    parts = lines.unionByName(pairs).unionByName(items)
-    kind = F.when(F.col("tag") == "table", "table").when(F.col("tag") == "dl", "dl").otherwise("li")
-    blocks = blocks.withColumn("kind", kind)
-    joined = blocks.join(parts, ["page_id", "block_id", "kind"], "left")
-    text = F.coalesce(F.col("line"), F.when(F.col("kind") == "li", F.col("plain")))
-    ordered = F.array_sort(F.collect_list(F.struct("after_heading", F.coalesce("line_id", F.lit(0)).alias("n"), text.alias("v"))))
-    return joined.groupBy("page_id", "heading_id", "is_spec", "is_faq").agg(
-        unique_strings(F.transform(ordered, lambda s: s["v"])).alias("entries")
-    )
 
+def _faq() -> Column:
+    """FAQ pairs: details elements, then lines after an FAQ heading."""
+    kind = "array<struct<question:string,answer:string>>"
 
-def extract_specs(
-    nodes: DataFrame, entries: DataFrame | None = None, rows: DataFrame | None = None, pairs: DataFrame | None = None
-) -> DataFrame:
-    """Specification pairs per page: table rows, then dl pairs, then lines after a specification heading.
+    def opened(d: Column) -> Column:
+        summary = F.get(d["summary"], F.lit(0))
+        at = F.instr(d["text"], summary)
+        rest = F.concat(F.substr(d["text"], F.lit(1), at - 1), F.substr(d["text"], at + F.length(summary)))
+        return F.struct(compact_spaces(summary).alias("question"), blank_to_null(compact_spaces(rest)).alias("answer"))
 
-    ``entries``, ``rows`` and ``pairs`` are the results of ``heading_entries``, ``table_rows`` and ``definition_pairs`` when the caller has
-    them already.
-    """
-    rows = table_rows(nodes) if rows is None else rows
-    pairs = definition_pairs(nodes) if pairs is None else pairs
-    entries = heading_entries(nodes, rows, pairs) if entries is None else entries
-    pair = "struct<label:string,value:string>"
-
-    def rank(df: DataFrame, group: int, at: str, label: Column, value: Column) -> DataFrame:
-        return df.select(
-            "page_id", F.lit(group).alias("g"), F.col(at).cast("int").alias("a"), F.lit(0).alias("b"),
-            F.struct(label.alias("label"), value.alias("value")).cast(pair).alias("s"),
-        )
+    details = F.transform(F.filter("details", lambda d: F.get(d["summary"], F.lit(0)).isNotNull()), opened)
+    lines = F.flatten(F.transform(F.filter("headings", lambda h: h["is_faq"]), lambda h: qa_entries(h["entries"])))
+    return unique_faq(F.concat(details.cast(kind), lines.cast(kind)))
 
-    tables = rank(rows, 0, "row_id", F.col("label"), F.col("value"))
-    pairs = rank(pairs.filter("next_tag = 'dd'"), 1, "dt_id", blank_to_null("label"), F.col("value"))
-    under = entries.filter("is_spec").select("page_id", "heading_id", F.posexplode("entries").alias("b", "v"))
-    lines = under.select(
-        "page_id", F.lit(2).alias("g"), F.col("heading_id").alias("a"), "b",
-        F.struct(F.lit(None).cast("string").alias("label"), F.col("v").alias("value")).cast(pair).alias("s"),
-    )
-    every = tables.unionByName(pairs).unionByName(lines)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("g", "a", "b", "s"))), lambda x: x["s"])
-    return every.groupBy("page_id").agg(unique_specs(ordered).alias("specs"))
+
+def extract_specs(pages: DataFrame) -> DataFrame:
+    """Specification pairs per page; pages without one are left out."""
+    read = _entries(_lines(page_boxes(pages, SPECS)))
+    return read.select("page_id", _specs().alias("specs"), F.exists("headings", lambda h: h["is_spec"]).alias("_named")).filter("size(specs) > 0 OR _named").drop("_named")
 
 
 def qa_entries(entries: Column) -> Column:
@@ -249,59 +205,29 @@ def qa_entries(entries: Column) -> Column:
     return F.aggregate(index, start, step, lambda acc: acc["out"])
 
 
-def extract_faq(nodes: DataFrame, entries: DataFrame | None = None) -> DataFrame:
-    """FAQ pairs per page: details elements, then lines after an FAQ heading."""
-    entries = heading_entries(nodes) if entries is None else entries
-    summaries = nodes.filter("tag = 'summary'").select(
-        "page_id", F.explode("ancestors").alias("details_id"), F.struct("node_id", "text").alias("s")
-    ).groupBy("page_id", "details_id").agg(F.min("s")["text"].alias("summary"))
-    details = nodes.filter("tag = 'details'").select("page_id", F.col("node_id").alias("details_id"), "text")
-    both = details.join(summaries, ["page_id", "details_id"])
-    at = F.instr("text", F.col("summary"))
-    rest = F.concat(F.substr("text", F.lit(1), at - 1), F.substr("text", at + F.length("summary")))
-    opened = both.select(
-        "page_id", F.lit(0).alias("g"), F.col("details_id").alias("a"), F.lit(0).alias("b"),
-        F.struct(compact_spaces("summary").alias("question"), blank_to_null(compact_spaces(rest)).alias("answer")).alias("s"),
-    )
-    under = entries.filter("is_faq").select("page_id", "heading_id", F.posexplode(qa_entries(F.col("entries"))).alias("b", "s"))
-    lines = under.select("page_id", F.lit(1).alias("g"), F.col("heading_id").alias("a"), "b", "s")
-    ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct("g", "a", "b", "s"))), lambda x: x["s"]
-    )
-    return opened.unionByName(lines).groupBy("page_id").agg(unique_faq(ordered).alias("faq"))
+def extract_faq(pages: DataFrame) -> DataFrame:
+    """FAQ pairs per page; pages without one are left out."""
+    read = _entries(_lines(page_boxes(pages, FAQ)))
+    return read.select("page_id", _faq().alias("faq")).filter("size(faq) > 0")
 
 
-def official_records(pages: DataFrame, nodes: DataFrame, url: str = "url") -> DataFrame:
-    """Merged record per page: structured data first, page markup second, page text third.
-
-    ``nodes`` is read by several branches, so hand in a stored node table (see ``stored``).
-    """
-    fields = extract_page_fields(nodes, url)
-    rows, pairs = stored(table_rows(nodes)), stored(definition_pairs(nodes))
-    entries = stored(heading_entries(nodes, rows, pairs))
-    specs, faq = extract_specs(nodes, entries, rows, pairs), extract_faq(nodes, entries)
-    data = jsonld_record(jsonld_nodes(pages, carry=(url,)), url)
-    merged = fields.join(specs, "page_id", "left").join(faq, "page_id", "left").join(data, "page_id", "left")
+def official_records(pages: DataFrame, url: str = "url") -> DataFrame:
+    """Merged record per page: structured data first, page markup second, page text third. One pass over the pages, nothing shuffled."""
+    read = page_boxes(page_objects(pages, keep=("html",)), RECORD, (url, "blocks", "objects"))
+    read = _entries(_lines(read)).withColumn("ld", object_record(url))
+    fields = read.select("page_id", url, *[c.alias(n) for n, c in page_fields(url).items()], _specs().alias("specs"), _faq().alias("faq"), "ld.*")
 
     def first(name: str) -> Column:
         return F.get(F.col(name), F.lit(0))
 
-    def both(a: str, b: str, kind: str) -> Column:
-        empty = F.array().cast(kind)
-        return F.concat(F.coalesce(F.col(a), empty), F.coalesce(F.col(b), empty))
-
-    spec_type = "array<struct<label:string,value:string>>"
-    faq_type = "array<struct<question:string,answer:string>>"
-    return merged.select(
+    return fields.select(
         "page_id", F.col(url).alias("product_url"),
         first_non_empty(first("ld_names"), "og_title", first("h1_texts"), "title").alias("product_name"),
         first_non_empty(first("ld_prices"), "meta_price", price_in_text("body_text")).alias("price"),
         first_non_empty(first("ld_models"), model_in_text("body_text"), model_from_url(url)).alias("model_number"),
-        unique_specs(both("ld_specs", "specs", spec_type)).alias("specs"),
-        unique_faq(both("ld_faq", "faq", faq_type)).alias("faq"),
+        unique_specs(F.concat("ld_specs", "specs")).alias("specs"), unique_faq(F.concat("ld_faq", "faq")).alias("faq"),
         trim_description(first_non_empty(first("ld_descriptions"), first("description_texts"), "body_text")).alias("description_text"),
-        unique_strings(both("ld_images", "image_urls", NO_TEXTS)).alias("image_urls"),
-        unique_strings(both("ld_videos", "video_urls", NO_TEXTS)).alias("video_urls"),
+        unique_strings(F.concat("ld_images", "image_urls")).alias("image_urls"), unique_strings(F.concat("ld_videos", "video_urls")).alias("video_urls"),
         first_non_empty(normalize_availability(first("ld_availability")), availability_from_text("body_text")).alias("availability"),
         "title", "meta_description", "canonical_url", "h1_texts",
     )

@@ -12,8 +12,9 @@ from ..functions.text import (
     BLANK, as_col, compact_spaces, contains_any, crop_before, extract, first_text, null_if_same, trim_blank,
 )
 from ..functions.urls import absolute_url
+from .boxes import Box, Find, box_rows, first_of, first_that, found
 from .curate import keep_identified, rank_after_filter
-from .dom import Chain, Pick, below, chain, in_boxes, is_at, own, pick_fields, token as t
+from .dom import chain, token as t
 from .joins import NO_CODE
 
 # The code meta tag in both attribute orders.
@@ -85,158 +86,128 @@ def is_sponsored(text: Column | str) -> Column:
     return contains_any(as_col(text), ("スポンサー",))
 
 
-def extract_mall_items(nodes: DataFrame, carry: Sequence[str] = ("url",)) -> DataFrame:
+_HEADING = (chain(t("h2"), t("a")),)
+MALL = Box((chain(t(cls="searchresultitem")),), {
+    "title": Find(_HEADING), "link": Find(_HEADING, "attrs"), "price_text": Find((chain(t(part="price-wrapper")),)),
+    "data_price": Find((chain(t(attr=("data-price", "given", None))),), "attrs"), "points_text": Find((chain(t(part="points--"), t("span")),)),
+    "gone_class": Find((chain(t(part="soldout")),), "attrs"),
+}, text="text")
+
+
+def extract_mall_items(pages: DataFrame, carry: Sequence[str] = ("url",)) -> DataFrame:
     """Mall list rows; rows without title or link are dropped."""
-    inner = in_boxes(nodes, t(cls="searchresultitem"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    attrs = F.col("attrs")
-    heading = below(chain(t("h2"), t("a")))
-    picks = [
-        Pick("title").first_of_each([(heading, trim_blank(text))]),
-        Pick("link").first_of_each([(heading, F.coalesce(attrs["href"], F.lit("")))]),
-        Pick("price_text").first_of_each([(below(chain(t(part="price-wrapper"))), trim_blank(text))]),
-        Pick("data_price").first_of_each(
-            [(attrs["data-price"].isNotNull() & (F.col("node_id") != F.col("box_id")), trim_blank(attrs["data-price"]))]
-        ),
-        Pick("points_text").first_of_each([(below(chain(t(part="points--"), t("span"))), trim_blank(text))]),
-        Pick("gone_text").any_node(own(contains_any(text, SOLD_OUT_MARKS))),
-        Pick("gone_class").any_node(below(chain(t(part="soldout")))),
-    ]
-    found = pick_fields(inner, ["page_id", *carry, "box_id"], picks)
-    rows = found.select(
-        "page_id", *[c for c in carry if c != "url"], F.col("box_id").alias("item_pos"), F.col("title"),
-        absolute_url("url", "link").alias("url"), mall_price("data_price", "price_text").alias("price"),
-        crop_before(F.coalesce("points_text", F.lit("")), "ポイント").alias("points"),
-        (F.col("gone_text") | F.col("gone_class")).alias("soldout"),
-        contains_any(F.col("price_text"), ("〜",)).alias("has_variation"),
+    boxes = box_rows(pages, MALL, tuple(carry))
+    price = first_of("price_text", trim_blank)
+    data_price = F.nullif(trim_blank(F.get(F.col("data_price"), F.lit(0))["data-price"]), F.lit(""))
+    rows = boxes.select(
+        "page_id", *[c for c in carry if c != "url"], F.col("box_id").alias("item_pos"), first_of("title", trim_blank).alias("title"),
+        absolute_url("url", F.nullif(F.get(F.col("link"), F.lit(0))["href"], F.lit(""))).alias("url"), mall_price(data_price, price).alias("price"),
+        crop_before(F.coalesce(first_of("points_text", trim_blank), F.lit("")), "ポイント").alias("points"),
+        (contains_any(F.col("text"), SOLD_OUT_MARKS) | found("gone_class")).alias("soldout"),
+        contains_any(price, ("〜",)).alias("has_variation"),
     )
     return keep_identified(rows, all_of=("title", "url"))
 
 
-def extract_merchant_items(nodes: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+MERCHANT = Box((chain(t(cls="s-main-slot"), t(attr="data-asin")),), {
+    # Of titles and shown prices the first in the document counts, whichever chain it answers to.
+    "title": Find(((chain(t("h2"), t("a"), t("span")), chain(t("h2"), t("span"))),)),
+    "shown": Find((tuple(PRICE_SHOWN),)), "whole": Find((chain(t(cls="a-price-whole")),)), "fraction": Find((chain(t(cls="a-price-fraction")),)),
+})
+
+
+def extract_merchant_items(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Merchant list rows; the first box of an item code on a page counts."""
-    inner = in_boxes(nodes, t(attr="data-asin"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    # A found title counts even when it is empty, hence the mark in front.
-    title = F.concat(F.lit("="), trim_blank(text))
-    picks = [
-        Pick("asin").first_of_each([(own(F.lit(True)), F.col("attrs")["data-asin"])]),
-        Pick("in_slot").any_node(own(is_at(chain(t(cls="s-main-slot"), t(attr="data-asin"))))),
-        Pick("title").first_of_each([(below(chain(t("h2"), t("a"), t("span")), chain(t("h2"), t("span"))), title)]),
-        Pick("shown").first_of_each([(below(*PRICE_SHOWN), text)]),
-        Pick("whole").first_of_each([(below(chain(t(cls="a-price-whole"))), trim_blank(text))]),
-        Pick("fraction").first_of_each([(below(chain(t(cls="a-price-fraction"))), trim_blank(text))]),
-    ]
-    found = pick_fields(inner, ["page_id", *carry, "box_id"], picks).filter("in_slot")
-    whole = F.when(F.col("whole").isNotNull(), F.concat_ws(".", "whole", "fraction"))
-    rows = found.select(
-        "page_id", *carry, F.col("box_id").alias("item_pos"), "asin", F.col("title").alias("_title"),
-        F.coalesce(strip_price_marks("shown"), whole, F.lit("")).alias("price"),
-    )
+    boxes = box_rows(pages, MERCHANT, tuple(carry))
+    whole = first_of("whole", trim_blank)
+    price = F.coalesce(strip_price_marks(first_of("shown")), F.when(whole.isNotNull(), F.concat_ws(".", whole, first_of("fraction", trim_blank))), F.lit(""))
+    rows = boxes.select("page_id", *carry, F.col("box_id").alias("item_pos"), F.col("attrs")["data-asin"].alias("asin"), trim_blank(F.get(F.col("title"), F.lit(0))).alias("title"), price.alias("price"))
     first = Window.partitionBy("page_id", "asin").orderBy("item_pos")
-    unique = rows.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").filter(F.col("_title").isNotNull())
-    return unique.select("page_id", *carry, "item_pos", "asin", F.substr("_title", F.lit(2)).alias("title"), "price")
+    unique = rows.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").filter(F.col("title").isNotNull())
+    return unique.select("page_id", *carry, "item_pos", "asin", "title", "price")
 
 
-def extract_search_items_a(nodes: DataFrame, n: int = 20, carry: Sequence[str] = ("url",)) -> DataFrame:
+_RESULT = t(attr=("data-component-type", "s-search-result"))
+SEARCH_A = Box((chain(t(cls="s-main-slot"), _RESULT),), {
+    "title": Find(tuple(TITLE_A)), "brand": Find(tuple(BRAND_A)), "price": Find(tuple(PRICE_A)), "rating": Find((chain(t(cls="a-icon-alt")),)),
+    "reviews": Find((chain(t("a", attr=("href", "holds", "customerReviews"))),), "node", every=True),
+    "review_labels": Find((
+        chain(t(attr=("aria-label", "holds", "件の評価"))), chain(t(attr=("aria-label", "holds", "ratings"))),
+        chain(t("a", attr=("href", "holds", "customerReviews")), t("span"))), every=True),
+    "delivery": Find((
+        chain(t(attr=("aria-label", "holds", "Prime"))), chain(t(cls="a-icon-prime")), chain(t(attr=("data-cy", "delivery-recipe")), t("span")),
+        chain(t(cls=("a-color-base", "a-text-bold"))), chain(t(cls=("a-color-base", "a-size-base")))), every=True),
+    "coupons": Find((chain(t(cls="s-coupon-unclipped")), chain(t(part="coupon")), chain(t(attr=("aria-label", "holds", "クーポン"))), chain(t("span"))), every=True),
+    "image": Find((chain(t("img")),), "attrs"),
+    "links": Find(((chain(t("h2"), t("a")), chain(t("a", cls=("a-link-normal", "s-no-outline")))),), "attrs"),
+}, text="text")
+
+
+def extract_search_items_a(pages: DataFrame, n: int = 20, carry: Sequence[str] = ("url",)) -> DataFrame:
+    return search_items_a(box_rows(pages, SEARCH_A, tuple(carry)), n, carry)
+
+
+def search_items_a(boxes: DataFrame, n: int = 20, carry: Sequence[str] = ("url",)) -> DataFrame:
     """Search shop A: the first ``n`` boxes of a page with their rank; rows that name nothing are dropped after."""
-    box = t(attr=("data-component-type", "s-search-result"))
-    inner = in_boxes(nodes, box).withColumn("plain", compact_spaces("text"))
-    text = F.col("plain")
-    attrs = F.col("attrs")
-    label = compact_spaces(attrs["aria-label"])
-    reviews = below(chain(t("a"))) & F.contains(attrs["href"], F.lit("customerReviews"))
-    said = first_text(label, text)
-    number = F.coalesce(extract(said, r"\(([0-9,]+)\)"), extract(said, r"([0-9][0-9,]*)"))
-    counted = F.when(text.rlike("^[0-9,]+$"), text).when(text.rlike("(?i)評価|rating|件"), extract(text, "([0-9,]+)"))
-
-    def labelled(word: str) -> Column:
-        return F.contains(attrs["aria-label"], F.lit(word)) & (F.col("node_id") != F.col("box_id"))
-
-    picks = [
-        Pick("asin").first_of_each([(own(F.lit(True)), F.coalesce(attrs["data-asin"], F.lit("")))], compact=True),
-        Pick("in_slot").any_node(own(is_at(chain(t(cls="s-main-slot"), box)))),
-        Pick("title").first_of_each([(below(c), text) for c in TITLE_A]),
-        Pick("brand_text").first_of_each([(below(c), text) for c in BRAND_A]),
-        Pick("price").first_of_each([(below(c), text) for c in PRICE_A]),
-        Pick("rating").first_of_each([(below(chain(t(cls="a-icon-alt"))), text)]),
-        Pick("review_link").first_of_any([reviews], number),
-        Pick("review_label").first_of_any(
-            [labelled("件の評価"), labelled("ratings"), below(chain(t("a", attr=("link", "customerReviews")), t("span")))],
-            counted,
-        ),
-        Pick("is_sponsored").any_node(own(is_sponsored(text))),
-        Pick("prime_or_delivery_label").first_of_any(
-            [
-                labelled("Prime"), below(chain(t(cls="a-icon-prime"))),
-                below(chain(t(attr=("data-cy", "delivery-recipe")), t("span"))),
-                below(chain(t(cls=("a-color-base", "a-text-bold")))), below(chain(t(cls=("a-color-base", "a-size-base")))),
-            ],
-            text, text.rlike("(?i)prime|お届け|配送|明日|本日"),
-        ),
-        Pick("coupon_label").first_of_any(
-            [
-                below(chain(t(cls="s-coupon-unclipped"))), below(chain(t(part="coupon"))), labelled("クーポン"),
-                below(chain(t("span"))),
-            ],
-            text, F.contains(text, F.lit("クーポン")) & (F.length(text) <= 80),
-        ),
-        Pick("image").first_of_each([(below(chain(t("img"))), F.coalesce(attrs["src"], F.lit("")))]),
-        Pick("link").first_of_each(
-            [(below(chain(t("h2"), t("a")), chain(t("a", cls=("a-link-normal", "s-no-outline")))), F.coalesce(attrs["href"], F.lit("")))]
-        ),
-    ]
-    found = pick_fields(inner, ["page_id", *carry, "box_id"], picks).filter(F.col("in_slot") & F.col("asin").isNotNull())
+    clean = compact_spaces
+
+    def number(x: Column) -> Column:
+        said = F.coalesce(F.nullif(clean(x["attrs"]["aria-label"]), F.lit("")), clean(x["text"]))
+        return F.coalesce(extract(said, r"\(([0-9,]+)\)"), extract(said, r"([0-9][0-9,]*)"))
+
+    def counted(x: Column) -> Column:
+        return F.when(clean(x).rlike("^[0-9,]+$"), clean(x)).when(clean(x).rlike("(?i)評価|rating|件"), extract(clean(x), "([0-9,]+)"))
+
+    boxes = boxes.withColumn("asin", F.nullif(clean(F.col("attrs")["data-asin"]), F.lit(""))).filter(F.col("asin").isNotNull())
+    # Ranks go by the boxes of one page; numbering them cuts each task's rows to ``n`` a page before they meet.
     order = Window.partitionBy("page_id").orderBy("box_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(1, n))
+    found_rows = boxes.select(
+        "page_id", *carry, "box_id", "asin", *[first_of(c, clean, len(chains)).alias(c) for c, chains in {"title": TITLE_A, "brand": BRAND_A, "price": PRICE_A, "rating": (0,)}.items()],
+        F.coalesce(first_that("reviews", number), first_that("review_labels", counted)).alias("review_count"), is_sponsored(clean("text")).alias("is_sponsored"),
+        first_that("delivery", clean, lambda v: v.rlike("(?i)prime|お届け|配送|明日|本日")).alias("prime_or_delivery_label"),
+        first_that("coupons", clean, lambda v: F.contains(v, F.lit("クーポン")) & (F.length(v) <= 80)).alias("coupon_label"),
+        F.nullif(F.get(F.col("image"), F.lit(0))["src"], F.lit("")).alias("image"), F.nullif(F.get(F.col("links"), F.lit(0))["href"], F.lit("")).alias("link"),
+    )
+    ranked = found_rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(1, n))
     rows = ranked.select(
-        "page_id", *[c for c in carry if c != "url"], "rank", "asin", "title",
-        null_if_same("brand_text", "title").alias("brand"), "price", "rating",
-        F.coalesce("review_link", "review_label").alias("review_count"), "is_sponsored", "prime_or_delivery_label",
-        "coupon_label", absolute_url("url", "image").alias("image_url"), absolute_url("url", "link").alias("product_url"),
+        "page_id", *[c for c in carry if c != "url"], "rank", "asin", "title", null_if_same("brand", "title").alias("brand"), "price", "rating",
+        "review_count", "is_sponsored", "prime_or_delivery_label", "coupon_label", absolute_url("url", "image").alias("image_url"),
+        absolute_url("url", "link").alias("product_url"),
     )
     return keep_identified(rows, any_of=("asin", "title", "product_url"))
 
 
-def extract_search_items_b(nodes: DataFrame, n: int = 20, carry: Sequence[str] = ("url",)) -> DataFrame:
+_PRODUCT_B = chain(t("a", attr=("href", "holds", "/bc/item/")))
+SEARCH_B = Box((chain(t("li", cls="prod_box")), chain(t(id="ga_itam_list"), t("li", id_start="bcs_item")), chain(t(cls="bcs_listItem"), t("li"))), {
+    "product": Find((_PRODUCT_B,), "attrs"), "links": Find(((*TITLE_B, _PRODUCT_B),), "attrs"), "title": Find(tuple(TITLE_B)), "image": Find((chain(t("img")),), "attrs"),
+    "price": Find((chain(t(cls="bcs_price"), t(cls="val")), chain(t(cls="bcs_price")), chain(t(part="price")), chain(t("span")), chain(t("p"))), every=True),
+    "points": Find((chain(t(cls="bcs_point"), t("span")), chain(t(cls="bcs_point")), chain(t(part="point")), chain(t("span")), chain(t("p"))), every=True),
+    "stock": Find((chain(t(cls="bcs_zaiko")), chain(t(cls="bcs_nouki")), chain(t(part="zaiko")), chain(t(part="nouki")), chain(t("button")), chain(t("span")),
+                   chain(t("p"))), every=True),
+    "category": Find(tuple(CATEGORY_B)),
+})
+
+
+def extract_search_items_b(pages: DataFrame, n: int = 20, carry: Sequence[str] = ("url",)) -> DataFrame:
+    return search_items_b(box_rows(pages, SEARCH_B, tuple(carry)), n, carry)
+
+
+def search_items_b(boxes: DataFrame, n: int = 20, carry: Sequence[str] = ("url",)) -> DataFrame:
     """Search shop B: boxes with a product link, first per product URL, ranked 1..n per page."""
-    inner = in_boxes(nodes, t("li")).withColumn("plain", compact_spaces("text"))
-    text = F.col("plain")
-    attrs = F.col("attrs")
-    product = F.contains(attrs["href"], F.lit("/bc/item/")) & below(chain(t("a")))
-    srcset = F.get(F.split(F.get(F.split(compact_spaces(attrs["srcset"]), ","), F.lit(0)), BLANK), F.lit(0))
-
-    def any_text(name: str, chains: list[Chain], where: Column) -> Pick:
-        return Pick(name).first_of_any([below(c) for c in chains], text, where)
-
-    digits = text.rlike("[0-9]")
-    picks = [
-        Pick("is_item").any_node(own(is_at(
-            chain(t("li", cls="prod_box")), chain(t(id="ga_itam_list"), t("li", id_start="bcs_item")),
-            chain(t(cls="bcs_listItem"), t("li"))))),
-        Pick("has_link").any_node(product),
-        Pick("link").first_of_each([(below(*TITLE_B) | product, F.coalesce(attrs["href"], F.lit("")))]),
-        Pick("title").first_of_each([(below(c), text) for c in TITLE_B]),
-        Pick("alt").first_of_each([(below(chain(t("img"))), compact_spaces(attrs["alt"]))]),
-        any_text("price", [chain(t(cls="bcs_price"), t(cls="val")), chain(t(cls="bcs_price")), chain(t(part="price")),
-                           chain(t("span")), chain(t("p"))],
-                 (F.length(text) <= 40) & text.rlike("[¥￥]|円|税込") & digits),
-        any_text("point_label", [chain(t(cls="bcs_point"), t("span")), chain(t(cls="bcs_point")), chain(t(part="point")),
-                                 chain(t("span")), chain(t("p"))],
-                 (F.length(text) <= 80) & text.rlike("ポイント|還元|%")),
-        any_text("stock_label", [chain(t(cls="bcs_zaiko")), chain(t(cls="bcs_nouki")), chain(t(part="zaiko")),
-                                 chain(t(part="nouki")), chain(t("button")), chain(t("span")), chain(t("p"))],
-                 (F.length(text) <= 120) & contains_any(text, STOCK_WORDS_B)),
-        Pick("image").first_of_each([(below(chain(t("img"))), first_text(attrs["src"], attrs["data-src"], srcset))]),
-        Pick("category").first_of_each([(below(c), text) for c in CATEGORY_B]),
-    ]
-    found = pick_fields(inner, ["page_id", *carry, "box_id"], picks).filter(F.col("is_item") & F.col("has_link"))
-    rows = found.select(
-        "page_id", *[c for c in carry if c != "url"], "box_id", F.coalesce("title", "alt").alias("title"), "price",
-        "point_label", "stock_label", absolute_url("url", "link").alias("product_url"),
-        absolute_url("url", "image").alias("image_url"),
-        null_if_same("category", F.coalesce("title", "alt")).alias("category_label"),
-    )
+    clean = compact_spaces
+    boxes = boxes.filter(found("product"))
+    image = F.get(F.col("image"), F.lit(0))
+    srcset = F.get(F.split(F.get(F.split(clean(image["srcset"]), ","), F.lit(0)), BLANK), F.lit(0))
+    title = F.coalesce(first_of("title", clean, len(TITLE_B)), F.nullif(clean(image["alt"]), F.lit("")))
+    rows = boxes.select(
+        "page_id", *[c for c in carry if c != "url"], "box_id", title.alias("title"),
+        first_that("price", clean, lambda v: (F.length(v) <= 40) & v.rlike("[¥￥]|円|税込") & v.rlike("[0-9]")).alias("price"),
+        first_that("points", clean, lambda v: (F.length(v) <= 80) & v.rlike("ポイント|還元|%")).alias("point_label"),
+        first_that("stock", clean, lambda v: (F.length(v) <= 120) & contains_any(v, STOCK_WORDS_B)).alias("stock_label"),
+        absolute_url("url", F.nullif(F.get(F.col("links"), F.lit(0))["href"], F.lit(""))).alias("product_url"),
+        absolute_url("url", first_text(image["src"], image["data-src"], srcset)).alias("image_url"),
+        first_of("category", clean, len(CATEGORY_B)).alias("_category"),
+    ).withColumn("category_label", null_if_same("_category", "title")).drop("_category")
     kept = F.coalesce(F.length("title") > 0, F.lit(False)) | F.col("product_url").isNotNull()
     ranked = rank_after_filter(rows, ["page_id"], "product_url", ["box_id"], kept, n)
     return ranked.drop("box_id")

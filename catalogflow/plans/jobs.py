@@ -9,7 +9,8 @@ from ..functions import status as st
 from ..operators import search
 from ..operators.aggregates import stop_after_blocked
 from ..operators.curate import INPUT_ORDER, first_wins, sort_memory, sort_ssd
-from ..operators.dom import html_nodes
+from ..operators.boxes import DOCUMENT, Box, Find, page_boxes, spread
+from ..operators.dom import chain, token
 from ..operators.joins import skip_done, with_detail_code
 from ..operators.listing import memory_items, ssd_items, type_component
 from ..session import stored
@@ -45,11 +46,15 @@ def _order(raw: DataFrame) -> list[str]:
     return [c for c in INPUT_ORDER if c in raw.columns]
 
 
-def _visits(pages: DataFrame, nodes: DataFrame, shop: str) -> DataFrame:
+#: Title and visible text of a page.
+SEEN = Box((DOCUMENT,), {"title": Find((chain(token("title")),)), "body": Find((chain(token("body")),), "shown")})
+
+
+def _visits(pages: DataFrame, read: DataFrame, shop: str) -> DataFrame:
     """Each visited query with its status, from the page's title and text, the response and the error of the visit."""
-    title = F.max(F.when(F.col("tag") == "title", F.col("text"))).alias("_title")
-    text = F.max(F.when(F.col("tag") == "body", F.col("visible_text"))).alias("_text")
-    seen = pages.drop("html", "url").join(nodes.groupBy("page_id").agg(title, text), "page_id", "left")
+    page = F.get(F.col("seen"), F.lit(0))
+    texts = read.select("page_id", F.get(page["title"], F.lit(0)).alias("_title"), F.get(page["body"], F.lit(0)).alias("_text"))
+    seen = pages.drop("html", "url").join(texts, "page_id", "left")
     if shop == "a":
         blocked = st.is_blocked_a("http_status", "_title", "_text")
     else:
@@ -63,11 +68,11 @@ def _visits(pages: DataFrame, nodes: DataFrame, shop: str) -> DataFrame:
 
 
 def _search_records(pages: DataFrame, shop: str, n: int, columns: tuple[str, ...], source: str, target: str) -> DataFrame:
-    nodes = stored(html_nodes(pages, carry=("url",)))
-    visits = _visits(pages, nodes, shop)
+    box, extract = (search.SEARCH_A, search.search_items_a) if shop == "a" else (search.SEARCH_B, search.search_items_b)
+    read = stored(page_boxes(pages, {"seen": SEEN, "items": box}, ("url",)))
+    visits = _visits(pages, read, shop)
     visits = stored(stop_after_blocked(visits, "run", "query_pos"))
-    extract = search.extract_search_items_a if shop == "a" else search.extract_search_items_b
-    items = stored(extract(nodes, n).drop("url"))
+    items = stored(extract(spread(read, "items", box, ("url",)), n).drop("url"))
     if shop == "b":
         found = items.select("page_id").distinct().withColumn("_items", F.lit(1))
         visits = visits.join(found, "page_id", "left").withColumn(
@@ -100,7 +105,7 @@ def mall_snapshot_rows(pages: DataFrame, details: DataFrame, crawled_at: Column)
     ``pages``: page_id, url, html of the list pages in page order; ``details``: url, html of saved detail pages, of which
     one per URL counts, the one with the smallest html.
     """
-    items = search.extract_mall_items(html_nodes(pages, carry=("url",)))
+    items = search.extract_mall_items(pages)
     items = first_wins(items, "url", ("page_id", "item_pos"), blank_keys="keep")
     codes = details.select("url", search.jan_from_html("html").alias("jan"), "html")
     codes = first_wins(codes, "url", ("html",)).select("url", "jan")
@@ -112,7 +117,7 @@ def merchant_snapshot_rows(pages: DataFrame, snapshot: DataFrame) -> DataFrame:
 
     ``pages``: page_id, html; ``snapshot``: the rows so far (blank, title, price, asin). The result has the same four columns.
     """
-    items = search.extract_merchant_items(html_nodes(pages))
+    items = search.extract_merchant_items(pages)
     fresh = skip_done(items, snapshot.select(F.trim("asin").alias("asin")), "asin")
     rows = first_wins(fresh, "asin", ("page_id", "item_pos"))
     return rows.select(F.lit("").alias("blank"), "title", "price", "asin")

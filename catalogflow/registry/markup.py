@@ -66,12 +66,26 @@ add(
     """SELECT page_id, regexp_extract(a, 'href="([^"]*)"', 1) AS href, replace(regexp_extract(a, '>([^<]*)<', 1), '&amp;', '&') AS label
         FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*>[^<]*</a>')) AS a FROM pages)""",
 )
+BOX_TAGS = ("nav", "ul", "article")
+
+
+def containment(s, d):
+    nodes = html_nodes(read_pages(s, f"{d}/pages.parquet"))
+    boxes = nodes.filter(F.col("tag").isin(*BOX_TAGS)).select("page_id", F.col("node_id").alias("box_id"), "end_id")
+    return contained(boxes, nodes.select("page_id", "node_id")).select("page_id", "box_id", "node_id")
+
+
+# Ids count start tags; a box ends at the first end tag of its name.
+D_CONTAINMENT = f"""WITH tags AS (SELECT page_id, unnest(l) AS tag, generate_subscripts(l, 1) AS i FROM (SELECT page_id, regexp_extract_all(
+        regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<script.*?</script>', '<script>', 'g'), '</?[a-z][a-z0-9]*') AS l FROM pages)),
+    numbered AS (SELECT *, cast(count(*) FILTER (NOT starts_with(tag, '</')) OVER (PARTITION BY page_id ORDER BY i) AS INTEGER) AS node_id FROM tags),
+    boxes AS (SELECT a.page_id, a.node_id AS box_id, min(b.node_id) AS end_id FROM numbered a JOIN numbered b ON a.page_id = b.page_id AND b.i > a.i AND b.tag = '</' || substr(a.tag, 2)
+        WHERE a.tag IN ({', '.join(f"'<{t}'" for t in BOX_TAGS)}) GROUP BY a.page_id, a.node_id)
+    SELECT n.page_id, box_id, n.node_id FROM boxes b JOIN numbered n ON n.page_id = b.page_id AND NOT starts_with(n.tag, '</') AND n.node_id BETWEEN b.box_id AND b.end_id"""
 add(
     "j8_containment",
-    lambda s, d: (lambda n: contained(n.filter("tag = 'nav'").select("page_id", F.col("node_id").alias("box_id")), n.filter("tag = 'a'"))
-                  .groupBy("page_id").agg(F.count(F.lit(1)).alias("links_in_nav")))(
-        html_nodes(read_pages(s, f"{d}/pages.parquet"), tags=("nav", "a"))),
-    "SELECT page_id, len(regexp_extract_all(regexp_extract(html, '(?s)<nav>.*?</nav>'), '<a ')) AS links_in_nav FROM pages",
+    containment,
+    D_CONTAINMENT,
 )
 
 # --- component listing ------------------------------------------------------------------
@@ -95,7 +109,7 @@ def component_pages(s, d):
 
 
 def component_raw(s, d):
-    return comp.extract_component_items(html_nodes(component_pages(s, d), carry=("url", "source_pos", "page_no")))
+    return comp.extract_component_items(component_pages(s, d))
 
 
 D_TAGLIST = "list_filter(list_transform(string_split(tags_text, '|'), lambda x: trim(x)), lambda x: x <> '')"
@@ -136,7 +150,7 @@ D_MALL = f"""SELECT k, k // {PER_PAGE} AS page_id, {d_compact('product_name_text
     '1,' || cast(k % 9 AS string) || '0' AS points, k % 7 < 2 AS soldout, k % 3 = 0 AS has_variation FROM ({LISTING_SQL}) WHERE k % 13 <> 0"""
 add(
     "ext05_mall_items",
-    lambda s, d: search.extract_mall_items(html_nodes(mall_pages(s, d), carry=("url",))).withColumn("title", F.regexp_replace("title", "[ ]{2,}", " "))
+    lambda s, d: search.extract_mall_items(mall_pages(s, d)).withColumn("title", F.regexp_replace("title", "[ ]{2,}", " "))
     .select("page_id", "title", "url", "price", "points", "soldout", "has_variation"),
     f"SELECT page_id, title, url, price, points, soldout, has_variation FROM ({D_MALL})",
 )
@@ -154,7 +168,7 @@ def merchant_pages(s, d):
 
 add(
     "ext07_merchant_items",
-    lambda s, d: search.extract_merchant_items(html_nodes(merchant_pages(s, d))).select("page_id", "asin", F.regexp_replace(
+    lambda s, d: search.extract_merchant_items(merchant_pages(s, d)).select("page_id", "asin", F.regexp_replace(
         "title", "[ ]{2,}", " ").alias("title"), "price"),
     f"""SELECT page_id, asin, title, price FROM (SELECT k, k // {PER_PAGE} AS page_id, 'B0' || lpad(cast(k - k % 20 + k % 15 AS string), 6, '0') AS asin,
         CASE WHEN k % 8 <> 3 THEN {d_compact('product_name_text')} END AS title, CASE k % 3 WHEN 0 THEN '1' || lpad(cast(k % 1000 AS string), 3, '0')
@@ -186,7 +200,7 @@ D_SEARCH_A = f"""SELECT k, k // {PER_PAGE} AS page_id, cast(k % {PER_PAGE} + 1 A
     'https://a.example.com/dp/' || cast(k AS string) || '?a=1' AS product_url FROM ({LISTING_SQL})"""
 add(
     "ext08_search_items_a",
-    lambda s, d: search.extract_search_items_a(html_nodes(search_a_pages(s, d), carry=("url",))),
+    lambda s, d: search.extract_search_items_a(search_a_pages(s, d)),
     f"SELECT * EXCLUDE (k) FROM ({D_SEARCH_A})",
 )
 
@@ -212,7 +226,7 @@ D_SEARCH_B = f"""WITH r AS (SELECT k, k // {PER_PAGE} AS page_id, CASE WHEN k %
     SELECT *, cast(row_number() OVER (PARTITION BY page_id ORDER BY k) AS INTEGER) AS rank FROM r WHERE rn = 1"""
 add(
     "ext09_search_items_b",
-    lambda s, d: search.extract_search_items_b(html_nodes(search_b_pages(s, d), carry=("url",))),
+    lambda s, d: search.extract_search_items_b(search_b_pages(s, d)),
     f"SELECT * EXCLUDE (k, rn) FROM ({D_SEARCH_B})",
 )
 

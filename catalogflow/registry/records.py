@@ -8,7 +8,6 @@ from ..operators import jsonld, maker, official, paging
 from ..operators.curate import next_value, under_heading
 from ..operators.dom import html_nodes
 from ..operators.joins import with_feed_price
-from ..session import stored
 from ..sources.captures import read_pages
 from .base import K, Query, d_compact, table
 from .markup import compose
@@ -52,13 +51,9 @@ def official_pages(s, d):
     return part_pages(s, d, OFFICIAL, SITE)
 
 
-def official_nodes(s, d):
-    return html_nodes(official_pages(s, d), carry=("url",))
-
-
 add(
     "ext16_page_fields",
-    lambda s, d: official.extract_page_fields(official_nodes(s, d)).select(
+    lambda s, d: official.extract_page_fields(official_pages(s, d)).select(
         "page_id", "title", "og_title", "meta_description", "canonical_url", F.array_join("h1_texts", "/").alias("h1"),
         F.array_join("description_texts", "/").alias("descriptions")),
     f"""SELECT {K} AS page_id, p_name || ' | shop' AS title, CASE WHEN {K} % 3 <> 0 THEN p_brand || ' & ' || p_name END AS og_title,
@@ -67,19 +62,18 @@ add(
 )
 add(
     "ext16_given_pages",
-    lambda s, d: official.extract_page_fields(html_nodes(read_pages(s, f"{d}/pages.parquet"), carry=("url",), tags=(
-        "title", "h1", "p", "a", "meta", "link", "article", "main"))).select("page_id", "title", F.array_join("h1_texts", "/").alias("h1")),
+    lambda s, d: official.extract_page_fields(read_pages(s, f"{d}/pages.parquet")).select("page_id", "title", F.array_join("h1_texts", "/").alias("h1")),
     f"""SELECT page_id, nullif({d_compact("replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')")}, '') AS title,
         {d_compact("replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')")} AS h1 FROM pages""",
 )
 add(
     "ext17_image_urls",
-    lambda s, d: official.extract_page_fields(official_nodes(s, d)).select("page_id", F.array_join("image_urls", " ").alias("v")),
+    lambda s, d: official.extract_page_fields(official_pages(s, d)).select("page_id", F.array_join("image_urls", " ").alias("v")),
     f"SELECT {K} AS page_id, 'https://o.example.com/og.png https://o.example.com/a' || {KS} || '.png https://o.example.com/b.png https://o.example.com/p/c.png' AS v FROM part",
 )
 add(
     "ext18_video_urls",
-    lambda s, d: official.extract_page_fields(official_nodes(s, d)).select("page_id", F.array_join("video_urls", " ").alias("v")),
+    lambda s, d: official.extract_page_fields(official_pages(s, d)).select("page_id", F.array_join("video_urls", " ").alias("v")),
     f"SELECT {K} AS page_id, 'https://o.example.com/v.mp4 https://www.youtube.com/embed/' || {KS} AS v FROM part",
 )
 D_SPECS = f"""'{{"label":"色","value":"赤' || {KS} || '"}},{{"label":"型","value":"A B"}},{{"label":"奥行","value":"5"}},{{"label":"幅","value":"' || {KS} ||
@@ -89,17 +83,17 @@ D_FAQ = f"""'{{"question":"開閉?","answer":"はい ' || {KS} || '"}},{{"questi
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 add(
     "ext23_specs",
-    lambda s, d: official.extract_specs(stored(official_nodes(s, d))).select("page_id", F.to_json("specs", JSON_OPTIONS).alias("v")),
+    lambda s, d: official.extract_specs(official_pages(s, d)).select("page_id", F.to_json("specs", JSON_OPTIONS).alias("v")),
     f"SELECT {K} AS page_id, '[' || {D_SPECS} AS v FROM part",
 )
 add(
     "ext24_faq",
-    lambda s, d: official.extract_faq(stored(official_nodes(s, d))).select("page_id", F.to_json("faq", JSON_OPTIONS).alias("v")),
+    lambda s, d: official.extract_faq(official_pages(s, d)).select("page_id", F.to_json("faq", JSON_OPTIONS).alias("v")),
     f"SELECT {K} AS page_id, '[' || {D_FAQ} AS v FROM part",
 )
 add(
     "ext25_official_records",
-    lambda s, d: (lambda p: official.official_records(p, stored(html_nodes(p, carry=("url",)))))(official_pages(s, d)).select(
+    lambda s, d: official.official_records(official_pages(s, d)).select(
         "page_id", "product_url", "product_name", "price", "model_number", F.to_json("specs", JSON_OPTIONS).alias("specs"),
         F.to_json("faq", JSON_OPTIONS).alias("faq"), "description_text", F.array_join("image_urls", " ").alias("images"), "availability"),
     f"""SELECT {K} AS page_id, '{SITE}' || {KS} AS product_url, CASE WHEN {K} % 2 = 0 THEN 'LD ' || p_name WHEN {K} % 3 <> 0 THEN p_brand || ' & ' || p_name ELSE p_name || ' x' END AS product_name,
@@ -112,16 +106,25 @@ add(
 )
 
 # --- structured data --------------------------------------------------------------------
+# Twelve objects inside each other, with members out of name order before and behind the inner one.
+DEPTH = 12
+NESTED = """'<script type="application/ld+json">' || array_join(transform(sequence(1, %d), i -> '{"z":"{","name":"n' || cast(i AS string) || '-' || %s || '","a":[' ||
+    cast(i AS string) || ','), '') || '{}' || repeat('],"B":{"@id":"]","name":"b\\\\" }"}}', %d) || '</script><script type="application/ld+json">[{"name":"second"}]</script>'""" % (DEPTH, KS, DEPTH)
 add(
     "ext19_jsonld_nodes",
-    lambda s, d: jsonld.jsonld_nodes(official_pages(s, d)).groupBy("page_id").agg(F.count(F.lit(1)).alias("objects")),
-    f"SELECT {K} AS page_id, 9::BIGINT AS objects FROM part WHERE {K} % 2 = 0",
+    lambda s, d: jsonld.jsonld_nodes(part_pages(s, d, NESTED, SITE)).select(
+        "page_id", "block_no", F.concat_ws(".", F.col("place").cast("array<string>")).alias("place"), jsonld.string_field(F.col("node"), "name").alias("name")),
+    f"""SELECT {K} AS page_id, cast(0 AS INTEGER) AS block_no, array_to_string(list_concat(flatten(list_transform(range(i), lambda x: [2, 1])), t), '.') AS place,
+        CASE WHEN len(t) = 1 THEN 'b" }}' WHEN i < {DEPTH} THEN 'n' || cast(i + 1 AS string) || '-' || {KS} END AS name
+        FROM part, (SELECT i, unnest([[]::INTEGER[], [3]]) AS t FROM range({DEPTH} + 1) r(i)) WHERE i < {DEPTH} OR len(t) = 0
+        UNION ALL SELECT {K}, 1, '0', 'second' FROM part""",
 )
 add(
     "ext20_jsonld_types",
-    lambda s, d: jsonld.jsonld_nodes(official_pages(s, d)).groupBy("page_id").agg(*[
-        F.count_if(jsonld.jsonld_is("node", t)).alias(t.lower()) for t in ("PRODUCT", "Question", "FAQPage")]),
-    f"SELECT {K} AS page_id, 1::BIGINT AS product, 2::BIGINT AS question, 1::BIGINT AS faqpage FROM part WHERE {K} % 2 = 0",
+    lambda s, d: jsonld.jsonld_nodes(official_pages(s, d)).select("page_id", F.concat_ws(".", F.col("place").cast("array<string>")).alias("place"), *[
+        jsonld.jsonld_is("node", t).alias(t.lower()) for t in ("PRODUCT", "Question", "FAQPage")]),
+    f"""SELECT {K} AS page_id, place, place = '1.0' AS product, place IN ('1.0.7.0.0', '1.1.1.0') AS question, place = '1.1' AS faqpage
+        FROM part, unnest(['', '1.0', '1.0.5', '1.0.6.0', '1.0.7', '1.0.7.0.0', '1.1', '1.1.1.0', '1.1.1.0.2']) AS u(place) WHERE {K} % 2 = 0""",
 )
 add(
     "ext21_jsonld_products",
@@ -177,7 +180,7 @@ def variant_pages(s, d):
 
 add(
     "ext12_variants",
-    lambda s, d: maker.extract_variants(html_nodes(variant_pages(s, d)), HOST).select("page_id", "jan", "variant_url"),
+    lambda s, d: maker.extract_variants(variant_pages(s, d), HOST).select("page_id", "jan", "variant_url"),
     f"""SELECT {K} AS page_id, '0' || lpad({KS}, 12, '4') AS jan, '{HOST}/v?sku=A' || {KS} AS variant_url FROM part
         UNION ALL SELECT {K}, '1', '{HOST}/v?sku=B' || {KS} FROM part WHERE {K} % 2 = 0""",
 )
@@ -213,7 +216,7 @@ add(
 
 def details(s, d):
     pages = variant_pages(s, d)
-    detail = maker.extract_detail(html_nodes(pages, carry=("url",)))
+    detail = maker.extract_detail(pages)
     priced = with_feed_price(detail, feed_rows(s, d), url="url").join(data_prices(s, d).withColumnRenamed("price", "data_price"), "page_id", "left")
     return maker.complete_detail(priced, maker.feed_price(F.struct("priceData", "discountPriceData")), "data_price")
 
@@ -234,14 +237,14 @@ NEXT = f"""'<html><head>' || CASE WHEN {K} % 8 = 0 THEN '<link rel="next" href="
     WHEN 3 THEN '<a class="disabled" href="/no">次へ</a>' WHEN 4 THEN '<a href="/w">次</a><a rel="next" href="/l/' || cast({K} + 1 AS string) || '?p=1">z</a>' ELSE '' END || '</body></html>'"""
 add(
     "ext26_next_links",
-    lambda s, d: paging.next_links(html_nodes(part_pages(s, d, NEXT, "https://n.example.com/l/"), carry=("url",), tags=("a", "link"))),
+    lambda s, d: paging.next_links(part_pages(s, d, NEXT, "https://n.example.com/l/")),
     f"""SELECT {K} AS page_id, 'https://n.example.com/l/' || {KS} AS url, 'https://n.example.com/l/' || cast({K} + 1 AS string) ||
         CASE WHEN {K} % 8 = 4 THEN '?p=1' ELSE '' END AS next_url FROM part WHERE {K} % 8 IN (0, 1, 2, 4, 6, 7)""",
 )
 # Chains of up to 97 pages, some of which turn back; every third link is captured twice.
 EDGE = f"CASE WHEN {K} % 97 = 96 THEN {K} - 20 WHEN {K} % 241 = 240 THEN NULL ELSE {K} + 1 END"
 D_CHAIN = f"""WITH RECURSIVE e AS (SELECT {K} AS a, {EDGE} AS b FROM part),
-    w AS (SELECT {K} AS s, {K} AS here, 1 AS page_no, [{K}] AS seen FROM part WHERE {K} % 13 = 0
+    w AS (SELECT {K} AS s, {K} AS here, 1 AS page_no, [{K}] AS seen FROM part
         UNION ALL SELECT s, b, page_no + 1, list_append(seen, b) FROM w JOIN e ON a = here WHERE b IS NOT NULL AND NOT list_contains(seen, b))
     SELECT 'u' || cast(s AS string) AS source_url, page_no, 'u' || cast(here AS string) AS page_url, {{truncated}} AS truncated FROM w"""
 
@@ -250,7 +253,7 @@ def page_chains(s, d, max_pages=None):
     part = table(s, d, "part").select(F.col(K).alias("k"), F.concat(F.lit("u"), F.col(K).cast("string")).alias("url"))
     edges = table(s, d, "part").select(F.col(K).alias("k"), F.concat(F.lit("u"), F.col(K).cast("string")).alias("url"), F.expr(f"'u' || cast({EDGE} AS string)").alias("next_url"))
     edges = edges.union(edges.filter("k % 3 = 0")).drop("k")
-    return paging.page_chain(edges, part.filter("k % 13 = 0").select(F.col("url").alias("source_url")), max_pages)
+    return paging.page_chain(edges, part.select(F.col("url").alias("source_url")), max_pages)
 
 
 add("ext27_page_chain", page_chains, D_CHAIN.format(truncated="false"))
@@ -270,8 +273,9 @@ add(
 )
 add(
     "win6_under_heading",
-    lambda s, d: under_heading(html_nodes(read_pages(s, f"{d}/pages.parquet"), tags=("h1", "p")), ["page_id", "parent_id"], "node_id",
-                               F.col("tag") == "h1", 3).groupBy("page_id").agg(F.max("after_heading").alias("n")),
-    """SELECT page_id, cast(least(3, len(regexp_extract_all(regexp_extract(html, '(?s)</h1>.*'), '<p>'))) AS INTEGER) AS n FROM pages
-        WHERE len(regexp_extract_all(regexp_extract(html, '(?s)</h1>.*'), '<p>')) > 0""",
+    lambda s, d: under_heading(html_nodes(read_pages(s, f"{d}/pages.parquet")).filter(F.col("tag").isin("h1", "p", "ul", "div")), ["page_id", "parent_id"], "node_id",
+                               F.col("tag") == "h1", 8).select("page_id", F.col("after_heading").alias("n"), "tag", "text"),
+    """SELECT page_id, cast(n AS INTEGER) AS n, 'p' AS tag, replace(replace(replace(regexp_replace(l[n + 1], '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'), '&nbsp;', ' ') AS text
+        FROM (SELECT page_id, l, unnest(range(1, least(8, len(l) - 1) + 1)) AS n FROM (
+            SELECT page_id, string_split(regexp_extract(html, '(?s)</h1>(.*)</article>', 1), '<p>') AS l FROM pages))""",
 )
