@@ -3,10 +3,11 @@
 1. One pass reads every text: lower-cased words, their digest, and for each of ``TABLES`` tables the k-mers (labelled
    by occurrence) with the smallest hashes, kept in text order, as a key of two k-mers. ``SINGLE`` more tables have the one smallest
    three-word k-mer as a key; texts of at most ``SHORT`` words also have the smallest two-word k-mers.
-2. Texts with equal words are one node. Nodes with an equal key form a bucket: each is aligned with one centre of
-   its bucket (the smallest node under half of the keys, the largest under the others). A bucket whose members are not all connected by then is
-   gone through pair by pair (``_settle``), matched members included; only pairs that are connected already, or that a bound on their
-   lengths or words in common rules out, are not aligned. Large buckets are dealt as pairs of blocks over many tasks.
+2. Texts with equal words are one node. Nodes with an equal key form a bucket: each is compared with two centres of
+   its bucket, the smallest and the largest node. A bucket whose members are not all connected by then is
+   gone through pair by pair (``_settle``), matched members included. Pairs that are connected already, or that a bound from their
+   lengths or from counts of their words (half a byte a word) rules out, are not aligned; of the others each distinct pair is, and its words are moved
+   once for it. Large buckets are dealt as pairs of blocks over many tasks.
 3. A link needs an edit similarity of ``SIMILARITY`` or more: 1 - edit distance in words / length of the longer text.
    The alignment walks diagonals inside the band that this allows, after a bound from the words in common.
 4. Groups are the connected components of the links.
@@ -21,11 +22,10 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
@@ -36,16 +36,14 @@ from .components import components
 K, TABLES, LEVELS, SIMILARITY = 5, 10, (2, 3, 4), 0.8
 #: Keys of one k-mer: their number of words, their tables, and the most words of a text that has keys of two words too.
 SINGLE_K, SINGLE, SHORT_K, SHORT = 3, 20, 2, 48
-#: Members, and bytes of their words, that a task holds of a bucket to compare with as many others.
-BLOCK, BLOCK_BYTES = 1024, 4 << 20
-#: Bytes of words that are moved before shuffle files go, as long as that takes no more than MOST_PARTS parts.
-PART_BYTES, MOST_PARTS = 256 << 20, 6
+#: Members of a bucket that a task compares with as many others.
+BLOCK = 1024
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, n int, words binary, keys array<long>"
+SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, n int, words binary, counts binary, keys array<long>"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -164,6 +162,16 @@ def sketches(words: np.ndarray, counts: np.ndarray, tables: int = TABLES, levels
     return keys
 
 
+def bin_counts(words: np.ndarray) -> np.ndarray:
+    """How many words fall into each of a power of two of bins, at most 255."""
+    bins = 1 << min(12, max(5, len(words).bit_length() - 1))
+    return np.minimum(np.bincount(words & np.uint32(bins - 1), minlength=bins), 255).astype(np.uint8)
+
+
+def folded(counts: np.ndarray, bins: int) -> np.ndarray:
+    return counts.reshape(-1, bins).sum(axis=0, dtype=np.int32)
+
+
 def _sketch(tables: int):
     def run(batches):
         release_caches()
@@ -180,39 +188,60 @@ def _sketch(tables: int):
                     [batch.column("doc_id").slice(lo, hi - lo), batch.column("_at").slice(lo, hi - lo),
                      pa.array([hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in rows], pa.binary()),
                      pa.array(counts.astype(np.int32)), pa.array([short[a:b].tobytes() for a, b in rows], pa.binary()),
+                     pa.array([bin_counts(short[a:b]).tobytes() for a, b in rows], pa.binary()),
                      pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(number)]).astype(np.int32), pa.array(keys.view(np.int64)))],
-                    ["doc_id", "_at", "node", "n", "words", "keys"])
+                    ["doc_id", "_at", "node", "n", "words", "counts", "keys"])
     return run
 
 
+#: Words of all diagonals that one comparison takes.
+SLIDE = 1 << 15
+
+
+def _slide(a: np.ndarray, b: np.ndarray, k: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """How far equal words lead from place ``i`` in ``a`` on each diagonal ``k``: blocks of words, the longer the longer the run."""
+    n, m = len(a), len(b)
+    going, width = np.flatnonzero((i >= 0) & (i < n) & (i + k < m)), 1
+    while len(going):
+        width = min(width, max(1, SLIDE // len(going)))
+        at = i[going][:, None] + np.arange(width)
+        beside = at + k[going][:, None]
+        same = (at < n) & (beside < m)
+        same &= a[np.minimum(at, n - 1)] == b[np.minimum(beside, m - 1)]
+        whole = same.all(axis=1)
+        i[going] += np.where(whole, width, same.argmin(axis=1))
+        going = going[whole]
+        width *= 4
+    return i
+
+
 def edit_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """Edit distance of two word arrays if it is at most ``most``.
 
-    ``reach[k]`` is the furthest place in ``a`` on diagonal k (place in b minus place in a) that e edits lead to;
-    only diagonals inside the band are walked, and a run of equal words is one search in the diagonal's list of unequal places.
+    ``reach`` holds, for every diagonal k (place in b minus place in a) of the band, the furthest place in ``a`` that e edits lead to; all diagonals
+    go on together. Diagonals from which the ends cannot be met with the edits left are dropped. Memory is that of the band.
     """
     n, m = len(a), len(b)
-    if abs(n - m) > most:
-        return None
-    unequal: dict[int, list[int]] = {}
-
-    def slide(k: int, i: int) -> int:
-        if k not in unequal:
-            lo, hi = max(0, -k), min(n, m - k)
-            unequal[k] = [*(np.flatnonzero(a[lo:hi] != b[lo + k:hi + k]) + lo).tolist(), hi]
-        places = unequal[k]
-        return places[bisect_left(places, i)] if i < places[-1] else i
-
-    reach = {0: slide(0, 0)}
+    apart = m - n
+    if abs(apart) > most or not n or not m:
+        return max(n, m) if max(n, m) <= most else None
+    none, middle = -2, most + 1
+    reach = np.full(2 * most + 3, none, np.int64)
+    reach[middle] = _slide(a, b, np.zeros(1, np.int64), np.zeros(1, np.int64))[0]
     for e in range(most + 1):
-        if reach.get(m - n, -1) >= n:
+        if reach[middle + apart] >= n:
             return e
-        new = {}
-        for k in range(-min(e + 1, n, most), min(e + 1, m, most) + 1):
-            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -1), reach.get(k + 1, -2) + 1)
-            if i < 0 or i < -k:
-                continue
-            new[k] = slide(k, min(i, n, m - k)) if min(n, m - k) >= max(0, -k) else min(n, m - k)
+        left = most - e - 1
+        lo, hi = max(-e - 1, apart - left, -n), min(e + 1, apart + left, m)
+        if left < 0 or lo > hi:
+            return None
+        k = np.arange(lo, hi + 1)
+        here = slice(middle + lo, middle + hi + 1)
+        i = np.maximum(np.maximum(reach[here], reach[middle + lo + 1:middle + hi + 2]) + 1, reach[middle + lo - 1:middle + hi])
+        i = np.minimum(i, np.minimum(n, m - k))
+        i[(i < 0) | (i < -k)] = none
+        new = np.full_like(reach, none)
+        new[here] = _slide(a, b, k, i)
         reach = new
     return None
 
@@ -286,76 +315,58 @@ def _verify(similarity: float):
     return run
 
 
-def _shared(batches):
-    """From (key, node) in order: the rows whose key another row has too."""
-    last, waiting = None, None  # key of the last row; that row, if it is the first of its key
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column("key").to_numpy()
-        prior = np.concatenate([[keys[0] if last is None else last], keys[:-1]])
-        again = keys == prior
-        if last is None:
-            again[0] = False
-        if waiting is not None and again[0]:
-            yield waiting
-        wanted = again.copy()
-        wanted[:-1] |= again[1:]
-        waiting = None if again[-1] else batch.slice(batch.num_rows - 1)
-        last = keys[-1]
-        yield batch.filter(pa.array(wanted))
-
-
-def _links_inside(key: int, crossing: bool, side: np.ndarray, up: np.ndarray, roots: list, keys: list, words: list, similarity: float) -> list[tuple[int, int]]:
-    """Links between members of a block (``crossing``: between its two sides) that connect what was not connected.
-
-    Pairs of which both are ``up`` belong to the next size class, pairs that share a smaller key to that key's bucket.
+def _bounded(similarity: float):
+    """Of pairs (a, b, n, m, their counts) those whose words in common do not rule them out."""
+    def run(batches):
+        for batch in batches:
+            good = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "a_counts", "b_counts"))):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                bins = min(len(x), len(y))
+                # the distance is at least the longer text less the words in common, each as often as both have it
+                least = max(n, m) - (n + m - int(np.abs(folded(x, bins) - folded(y, bins)).sum())) // 2
+                good.append(least <= int((1 - similarity) * max(n, m) + 1e-9))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+    return run
+
+
+def _candidates(crossing: bool, side: np.ndarray, up: np.ndarray, root: np.ndarray, n: np.ndarray, counts: list, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block's members (``crossing``: between its two sides) that are not connected yet and that lengths and words in common do not rule out.
+
+    Pairs of which both are ``up`` belong to the next size class.
     """
-    sizes = np.array([len(w) for w in words])
-    most = int(sizes.max())
-    bins = 1 << min(12, max(6, int(np.median(sizes)).bit_length() + 1))
-    histogram = np.zeros((len(words), bins), np.uint16 if most < 1 << 16 else np.uint32)
-    for k, w in enumerate(words):
-        histogram[k] = np.bincount(w & (bins - 1), minlength=bins)
-    _, part = np.unique(np.array(roots, object), return_inverse=True)
-    # members that share most keys with others come first: the middle of a group connects it with the fewest alignments
-    flat, of = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(x) for x in keys])
-    _, which, count = np.unique(flat, return_inverse=True, return_counts=True)
-    order = np.argsort(-np.bincount(of, count[which], len(keys)), kind="stable")
-    smaller = [frozenset(x[x < key].tolist()) for x in keys]
-    links = []
-    for at, i in enumerate(order[:-1].tolist()):
-        rest = order[at + 1:]
-        good = (part[rest] != part[i]) & ~(up[rest] & up[i])
-        if crossing:
-            good &= side[rest] != side[i]
-        rest = rest[good]
-        longer = np.maximum(sizes[rest], sizes[i])
+    bins = min(map(len, counts))
+    matrix = np.stack([folded(x, bins) for x in counts])
+    left, right = [], []
+    for i in range(len(n) - 1):
+        rest = np.arange(i + 1, len(n))
+        good = (root[rest] != root[i]) & ~(up[rest] & up[i])
+        rest = rest[good & (side[rest] != side[i]) if crossing else good]
+        longer = np.maximum(n[rest], n[i])
         edits = ((1 - similarity) * longer + 1e-9).astype(np.int64)
-        near = np.abs(sizes[rest] - sizes[i]) <= edits
+        near = np.abs(n[rest] - n[i]) <= edits
         rest, longer, edits = rest[near], longer[near], edits[near]
-        if not len(rest):
-            continue
-        rest = rest[longer - np.minimum(histogram[rest], histogram[i]).sum(axis=1, dtype=np.int64) <= edits]
-        for j in rest.tolist():
-            if part[j] != part[i] and smaller[i].isdisjoint(smaller[j]) and similar(words[i], words[j], similarity):
-                links.append((i, j))
-                part[part == part[j]] = part[i]
-    return links
+        if len(rest):
+            common = (n[rest] + n[i] - np.abs(matrix[rest] - matrix[i]).sum(axis=1)) // 2
+            rest = rest[longer - common <= edits]
+            left.append(np.full(len(rest), i))
+            right.append(rest)
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
 
 
 def _settle(similarity: float):
-    """From members in order of their blocks: links between members that are not connected yet."""
+    """From members in order of their blocks: pairs (a, b) to be aligned."""
     names = ("key", "size", "p", "q")
 
-    def links(parts):
+    def pairs(parts):
         table = pa.Table.from_batches(parts)
-        node, root, keys, words = (table.column(c).to_pylist() for c in ("node", "root", "keys", "words"))
-        key, p, q = (table.column(c)[0].as_py() for c in ("key", "p", "q"))
-        found = _links_inside(
-            key, p != q, table.column("side").to_numpy(), table.column("up").to_numpy(), root,
-            [np.array(x, np.int64) for x in keys], [np.frombuffer(x, "<u4") for x in words], similarity)
-        ends = [sorted((node[i], node[j])) for i, j in found]
+        node, root = (np.array(table.column(c).to_pylist(), object) for c in ("node", "root"))
+        p, q = (table.column(c)[0].as_py() for c in ("p", "q"))
+        _, part = np.unique(root, return_inverse=True)
+        i, j = _candidates(
+            p != q, table.column("side").to_numpy(), table.column("up").to_numpy(), part, table.column("n").to_numpy().astype(np.int64),
+            [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()], similarity)
+        ends = [sorted(e) for e in zip(node[i], node[j])]
         return pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     def run(batches):
@@ -371,35 +382,28 @@ def _settle(similarity: float):
             for lo, hi in zip(cuts, cuts[1:]):
                 now = tuple(c[lo] for c in cols)
                 if block is not None and now != block:
-                    yield links(held)
+                    yield pairs(held)
                     held = []
                 block = now
                 held.append(batch.slice(lo, hi - lo))
         if held:
-            yield links(held)
+            yield pairs(held)
     return run
 
 
-def _parts(rows: DataFrame, moved: Column, by: str) -> list[DataFrame]:
-    """The rows in parts by the hash of a column, as many as the bytes ``moved`` ask for."""
-    total = rows.agg(F.coalesce(F.sum(moved), F.lit(0))).first()[0]
-    number = min(MOST_PARTS, max(1, -(-int(total) // PART_BYTES)))
-    return [rows.filter(F.expr(f"pmod(xxhash64({by}, 7), {number}) = {k}")) for k in range(number)]
+def _both(pairs: DataFrame, texts: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The pairs (a, b) with columns of either side's text, ``a_`` and ``b_`` before their names."""
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
+    return pairs
 
 
-def _verified(sketched: DataFrame, pairs: DataFrame, similarity: float, folders: list[str] | None) -> DataFrame:
-    """The pairs (a, b; n words in both) that are similar, stored."""
-    pairs, own, found = stored_table(pairs, "pairs", folders), [], []
-    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    words = sketched.select("node", "words").join(named, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
-    words = stored_table(words, "words", own)
-    for part in _parts(pairs, F.col("n") * 4, "a"):
-        texts = part.join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
-        texts = texts.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
-        texts = texts.select("a", "b", "a_words", "b_words")
-        found.append(stored_table(texts.mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders))
-    drop_tables(sketched.sparkSession, own)
-    return reduce(DataFrame.union, found)
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, folders: list[str]) -> DataFrame:
+    """The distinct pairs (a, b) that are similar, stored. The counts rule most strangers out; words are moved once for each pair that is left."""
+    near = _both(pairs, texts, ("n", "counts")).select("a", "b", F.col("a_n").alias("n"), F.col("b_n").alias("m"), "a_counts", "b_counts")
+    near = stored_table(near.mapInArrow(_bounded(similarity), "a binary, b binary"), "near", folders)
+    whole = _both(near, texts, ("words",)).select("a", "b", "a_words", "b_words")
+    return stored_table(whole.mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders)
 
 
 def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK) -> DataFrame:
@@ -407,46 +411,48 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders:
 
     The folders of stored steps are added to ``folders``; ``block`` is the number of members that a task compares with as many others.
     """
+    folders = [] if folders is None else folders
+    spark = sketched.sparkSession
     nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("n").alias("n"))
-    entries = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n")
-    entries = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, node binary, n int")
-    members = stored_table(entries, "members", folders)
-    centres = members.groupBy("key").agg(
-        F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("n", "node").alias("lo_n"), F.max_by("n", "node").alias("hi_n"))
-    even = F.col("key") % 2 == 0
-    centres = centres.select("key", F.when(even, F.col("lo")).otherwise(F.col("hi")).alias("centre"), F.when(even, F.col("lo_n")).otherwise(F.col("hi_n")).alias("m"))
+    entries = stored_table(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n"), "entries", folders)
+    # buckets are summed up before their members meet: a key that many texts share is one row per task there
+    centres = entries.groupBy("key").agg(
+        F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).filter("lo.node != hi.node")
+    centres = stored_table(centres.select("key", "lo", "hi"), "centres", folders)
+    members = stored_table(entries.join(centres.select("key"), "key"), "members", folders)
+    wanted = members.select("node").distinct()
+    texts = sketched.join(wanted, "node", "left_semi").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("words").alias("words"))
+    texts = stored_table(texts, "texts", folders)
     # texts whose lengths differ by more than the edits allowed are not similar
-    edits = F.floor((1 - similarity) * F.greatest("n", "m") + 1e-9)
-    pairs = members.join(centres, "key").filter((F.col("node") != F.col("centre")) & (F.abs(F.col("n") - F.col("m")) <= edits))
-    pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"), (F.col("n") + F.col("m")).alias("n")).distinct()
-    links = _verified(sketched, pairs, similarity, folders)
+    edits = F.floor((1 - similarity) * F.greatest("n", "c.n") + 1e-9)
+    pairs = members.join(centres, "key").select("node", "n", F.explode(F.array("lo", "hi")).alias("c"))
+    pairs = pairs.filter((F.col("node") != F.col("c.node")) & (F.abs(F.col("n") - F.col("c.n")) <= edits))
+    links = _verified(pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), texts, similarity, folders)
     # buckets that are not connected yet; of those with the same members the one with the smallest key
     rooted = members.join(components(links, folders), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = stored_table(rooted, "rooted", folders)
     marks = F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y")
     apart = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *marks, F.min("root").alias("lo"), F.max("root").alias("hi"))
     apart = apart.filter("m > 2 AND lo != hi").groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
-    rooted = stored_table(rooted.join(apart, "key"), "apart", folders)
-    if rooted.isEmpty():
-        return links
-    words = sketched.join(rooted.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.first("words").alias("words"), F.first("keys").alias("keys"))
-    words = stored_table(words, "words", folders)
     # similar texts are in the same or in neighbouring size classes: a member joins its own and the class below (``up``)
     size = F.floor(F.log("n") / F.log(F.lit(1.001 / similarity))).cast("int")
-    sized = rooted.withColumn("own", size)
-    sized = sized.select("key", "node", "root", (F.col("n") * 4).alias("bytes"), "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
+    sized = rooted.join(apart, "key").withColumn("own", size)
+    sized = sized.select("key", "node", "n", "root", "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
     blocks = sized.groupBy("key", "size").agg(
-        F.min("own").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"),
-        F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("g"))
+        F.min("own").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("g"))
     blocks = blocks.filter("lo != hi AND least = size").select("key", "size", "g")
-    sized = stored_table(sized.join(blocks, ["key", "size"]).withColumn("at", F.expr("cast(pmod(xxhash64(node), g) AS int)")), "blocks", folders)
-    for part in _parts(sized, F.col("bytes") * F.col("g"), "key"):
-        dealt = part.join(words, "node").select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
-            "key", "size", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
-            (F.col("own") != F.col("size")).alias("up"), "node", "root", "keys", "words")
-        dealt = dealt.repartition("key", "size", "p", "q").sortWithinPartitions("key", "size", "p", "q")
-        links = links.union(stored_table(dealt.mapInArrow(_settle(similarity), "a binary, b binary").distinct(), "verified", folders))
-    return links.distinct()
+    sized = sized.join(blocks, ["key", "size"]).join(texts.select("node", "counts"), "node")
+    sized = stored_table(sized.withColumn("at", F.expr("cast(pmod(xxhash64(node), g) AS int)")), "blocks", folders)
+    cost = sized.agg(F.coalesce(F.sum(F.col("g") * F.lit(1.0)), F.lit(0.0))).first()[0]
+    dealt = sized.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
+        "key", "size", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
+        (F.col("own") != F.col("size")).alias("up"), "node", "n", "root", "counts")
+    # a number of partitions that goes with the comparisons, so that small blocks with many of them are not merged by their bytes
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, int(cost / (4 * block))))
+    dealt = dealt.repartition(parts, "key", "size", "p", "q").sortWithinPartitions("key", "size", "p", "q")
+    pairs = stored_table(dealt.mapInArrow(_settle(similarity), "a binary, b binary").distinct(), "pairs", folders)
+    return links.union(_verified(pairs, texts, similarity, folders)).distinct()
 
 
 def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:

@@ -89,6 +89,24 @@ def test_banded_alignment():
             assert near_dedup.similar(x, y, 0.8) == (1 - true / max(len(a), len(b)) >= 0.8 - 1e-12)
 
 
+def test_rotated_texts_take_the_memory_of_the_band():
+    """Words that agree as a bag and not in order pass every bound before the alignment."""
+    import time
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    for words in (rng.integers(0, 1 << 32, 20_000, dtype=np.uint32), rng.integers(0, 300, 20_000, dtype=np.uint32)):
+        turned = np.concatenate([words[10_000:], words[:10_000]])
+        tracemalloc.start()
+        start = time.process_time()
+        assert not near_dedup.similar(words, turned)
+        took, (_, peak) = time.process_time() - start, tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert peak < 100e6 and took < 10
+    near = np.concatenate([words[3000:], words[:3000]])
+    assert near_dedup.edit_within(words, near, 6000) is not None and near_dedup.edit_within(words, words[5:], 5) == 5
+
+
 def test_alignment_through_anchors():
     rng = random.Random(6)
     for _ in range(300):
