@@ -229,5 +229,5 @@ def official_records(pages: DataFrame, url: str = "url") -> DataFrame:
         trim_description(first_non_empty(first("ld_descriptions"), first("description_texts"), "body_text")).alias("description_text"),
         unique_strings(F.concat("ld_images", "image_urls")).alias("image_urls"), unique_strings(F.concat("ld_videos", "video_urls")).alias("video_urls"),
         first_non_empty(normalize_availability(first("ld_availability")), availability_from_text("body_text")).alias("availability"),
-        "title", "meta_description", "canonical_url", "h1_texts",
+        "title", "meta_description", "canonical_url", "h1_texts", "body_text",
     )

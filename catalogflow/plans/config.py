@@ -13,10 +13,6 @@ from ..sources.sinks import FORMATS
 LOCALE, TIMEZONE, LOGIN_LABEL = "ja-JP", "Asia/Tokyo", "anonymous"
 WIDTH, HEIGHT = 1920, 1080
 PENDING = "pending_browsermcp"
-PLAN_NOTES = (
-    "Manual/operator-assisted flow only. Use BrowserMCP under explicit human instruction; "
-    "this target currently emits query-plan records only."
-)
 
 
 def _entries(values: Column) -> Column:
@@ -82,7 +78,7 @@ def first_query(config: DataFrame) -> DataFrame:
 
 
 def query_plan(
-    config: DataFrame, channel: str, source: str, target: str, crawled_at: str, status: str = PENDING, notes: str = PLAN_NOTES
+    config: DataFrame, channel: str, source: str, target: str, crawled_at: str, notes: str, status: str = PENDING
 ) -> DataFrame:
     """One pending row per query of the channel."""
     return channel_queries(config, channel).select(

@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import status as st
-from ..operators import search
+from ..functions import status as st, urls
+from ..operators import maker, search
 from ..operators.aggregates import stop_after_blocked
 from ..operators.curate import INPUT_ORDER, first_wins, sort_memory, sort_ssd
 from ..operators.boxes import DOCUMENT, Box, Find, page_boxes, spread
-from ..operators.dom import chain, token
-from ..operators.joins import skip_done, with_detail_code
+from ..operators.dom import chain, html_nodes, token
+from ..operators.jsonld import jsonld_nodes, jsonld_price
+from ..operators.joins import skip_done, with_detail_code, with_feed_price
+from ..operators.lifecycle import retention_marks, upload_set
 from ..operators.listing import memory_items, ssd_items, type_component
+from ..operators.official import official_records
 from ..session import stored
-from ..sources.sinks import mall_snapshot
+from ..sources.captures import read_listing
+from ..sources.sinks import mall_snapshot, publish_latest, require_rows, write_run
+from .config import page_frontier
 
 #: What a search job knows of a visit besides its items.
 VISIT = ("search_url", "final_url", "status", "blocked", "crawled_at", "artifact_dir", "error_name", "error_message")
@@ -22,6 +27,11 @@ RECORD_A = (
     "project", "source", "target", "query", "rank", "asin", "title", "brand", "price", "rating", "review_count", "is_sponsored",
     "prime_or_delivery_label", "coupon_label", "image_url", "product_url", *VISIT,
 )
+RECORD_OFFICIAL = (
+    "project", "source", "target", "product_url", "final_url", "http_status", "status", "product_name", "price", "model_number", "specs", "faq",
+    "description_text", "image_urls", "video_urls", "availability", "title", "meta_description", "canonical_url", "h1_texts", "blocked", "crawled_at",
+    "artifact_dir", "error_name", "error_message",
+)
 RECORD_B = (
     "project", "source", "target", "query", "rank", "title", "price", "point_label", "stock_label", "product_url", "image_url",
     "category_label", *VISIT,
@@ -121,3 +131,83 @@ def merchant_snapshot_rows(pages: DataFrame, snapshot: DataFrame) -> DataFrame:
     fresh = skip_done(items, snapshot.select(F.trim("asin").alias("asin")), "asin")
     rows = first_wins(fresh, "asin", ("page_id", "item_pos"))
     return rows.select(F.lit("").alias("blank"), "title", "price", "asin")
+
+
+def maker_snapshot_rows(
+    list_pages: DataFrame, product_pages: DataFrame, detail_pages: DataFrame, feed: DataFrame, snapshot: DataFrame, host: str, crawled_at: Column
+) -> DataFrame:
+    """New rows of a maker's snapshot: every variant of the products that the list pages link to whose code the snapshot does not hold yet.
+
+    ``list_pages``, ``product_pages``, ``detail_pages``: page_id, url, html; ``feed``: code, feed_pos and price structs; ``snapshot``: the rows so far. Products
+    go in the order of their first link, variants as they are listed; a variant whose page was not captured leaves its code to the next
+    that has it. Codes that are stored already are left out before any detail page is read.
+    """
+    links = maker.extract_product_links(html_nodes(list_pages, tags=("a",)), host).withColumnsRenamed({"page_id": "list_no", "product_url": "url"})
+    linked = product_pages.join(links, "url").select("page_id", "html", "list_no", "first_pos")
+    variants = maker.extract_variants(linked, host).join(linked.select("page_id", "list_no", "first_pos"), "page_id")
+    fresh = skip_done(variants, snapshot, "jan").withColumnRenamed("page_id", "product_id")
+    # one page per URL counts, and only pages that a fresh variant asks for are read
+    pages = first_wins(detail_pages.join(fresh.select(F.col("variant_url").alias("url")).distinct(), "url", "left_semi"), "url", ("page_id",))
+    pages = stored(pages.withColumn("sku", urls.query_param("url", "sku")))
+    details = with_feed_price(maker.extract_detail(pages), feed, url="url")
+    data = jsonld_price(jsonld_nodes(pages, carry=("url", "sku"))).withColumnRenamed("price", "data_price")
+    details = maker.complete_detail(details.join(data, "page_id", "left"), maker.feed_price(F.struct("priceData", "discountPriceData")), "data_price")
+    rows = fresh.join(details.withColumnRenamed("url", "variant_url").drop("page_id", "sku"), "variant_url")
+    rows = first_wins(rows, "jan", ("list_no", "first_pos", "variant_pos", "product_id"))
+    return rows.select("jan", "title", "price", "button_text", "discount_price", crawled_at.alias("crawled_at"))
+
+
+def official_site_records(visits: DataFrame) -> DataFrame:
+    """One record per visited official URL: what the page says, the status of the visit, and its run columns.
+
+    ``visits``: page_id, project, product_url, final_url, html (null if no page came), http_status, crawled_at, artifact_dir, error_name,
+    error_message. A visit that failed is blocked or an error by its message and the page that came, if any; fields of a page that did not come are null.
+    """
+    failed = F.col("error_message").isNotNull()
+    pages = visits.filter(F.col("html").isNotNull()).withColumn("url", F.coalesce("final_url", "product_url"))
+    carried = [c for c in visits.columns if c not in ("html", "page_id", "product_url")]
+    fields = official_records(pages.select("page_id", "url", "html")).drop("product_url")
+    rows = visits.select("page_id", "product_url", *carried).join(fields, "page_id", "left")
+    text = F.coalesce("body_text", F.lit(""))
+    blocked = st.is_blocked("http_status", text) | (failed & F.coalesce(st.is_blocked_error("error_message"), F.lit(False)))
+    rows = rows.withColumn("blocked", F.coalesce(blocked, F.lit(False)))
+    broken = F.when(F.col("blocked"), "blocked").otherwise("error")
+    status = F.when(failed, broken).otherwise(st.official_status("http_status", "blocked"))
+    lists = {c: F.coalesce(c, F.array().cast(rows.schema[c].dataType)) for c in ("specs", "faq", "image_urls", "video_urls", "h1_texts")}
+    rows = rows.withColumns({"status": status, "source": F.lit("official-site"), "target": F.lit("market-official-site"), **lists})
+    return rows.select(*RECORD_OFFICIAL)
+
+
+def merchant_frontier(summaries: DataFrame, snapshot: DataFrame, per_page: int = 16) -> DataFrame:
+    """List pages that a merchant's run still has to read: merchant, page_no, page_url.
+
+    ``summaries``: merchant, url and the result-count line of its first page; ``snapshot``: merchant and code of the rows so far. A merchant goes on at the page
+    that its stored codes lead to; one without a count reads that page alone.
+    """
+    done = snapshot.filter(F.length(F.trim("asin")) > 0).groupBy("merchant").agg(F.count(F.lit(1)).alias("stored"))
+    rows = summaries.join(done, "merchant", "left").withColumn("start", urls.resume_page(F.coalesce("stored", F.lit(0)), per_page))
+    rows = rows.withColumn("pages", urls.expected_pages(urls.result_summary("summary")))
+    known = page_frontier(rows.filter("pages > 0")).filter("page_no >= start")
+    alone = rows.filter("pages = 0").withColumn("page_no", F.col("start"))
+    every = known.select("merchant", "url", "page_no").union(alone.select("merchant", "url", "page_no"))
+    return every.select("merchant", "page_no", urls.with_page_param("url", F.col("page_no")).alias("page_url"))
+
+
+def run_target(rows: DataFrame, root: str, target: str, stamp: str, keep: int = 3) -> DataFrame:
+    """Gate, write, publish and prune one run of a target; one row per file of its runs: path, segment, stamp, removable, upload.
+
+    An empty run fails before anything is written. Rows are computed once, for the gate, both formats and the published version. Runs beyond the
+    newest ``keep`` are marked removable; the files of this run are to be uploaded. Deleting and uploading stay with the caller.
+    """
+    spark = rows.sparkSession
+    rows = require_rows(rows, f"{target}: no rows")
+    paths = write_run(rows, root, target, stamp)
+    publish_latest(rows, f"{root}/latest/{target}", at_least=1)
+    # a written run is a folder of part files: its name is what is kept or pruned
+    names = read_listing(spark, root).select(F.regexp_extract("path", rf"^(.*/{target}_[^/]*)/[^/]*$", 1).alias("path")).filter("path != ''").distinct()
+    marks = retention_marks(names.withColumn("is_dir", F.lit(False)), keep)
+    ends = F.substring_index("path", "/", -1)
+    wanted = spark.createDataFrame([(p.rpartition("/")[2],) for p in paths], "path string")
+    upload = upload_set(wanted, marks.select(ends.alias("path"))).select(F.col("path").alias("_name"), F.lit(True).alias("_upload"))
+    marks = marks.withColumn("_name", ends).join(upload, "_name", "left")
+    return marks.select(F.col("_name").alias("path"), "segment", "stamp", "removable", F.coalesce("_upload", F.lit(False)).alias("upload"))

@@ -11,7 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.captures import read_pages
+
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def given_pages(s: SparkSession, d: str) -> DataFrame:
+    """The given pages, which lie in one split, dealt out."""
+    return read_pages(s, f"{d}/pages.parquet", int(s.conf.get("spark.sql.shuffle.partitions")))
+
+
 RUN_AT = "2024-07-05 01:02:03"
 
 # Listing fields derived from ``part``; k is the part key.

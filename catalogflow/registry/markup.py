@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import listing as comp, search
 from ..operators.dom import contained, html_nodes
 from ..plans import jobs
-from ..sources.captures import read_pages
 from ..sources.sinks import component_columns
-from .base import K, LISTING_SQL, NWS, Query, RUN_AT, WS, d_compact, d_get, d_num, listing, table
+from .base import LISTING_SQL, NWS, Query, RUN_AT, WS, d_compact, d_get, d_num, given_pages, listing
 from .scalars import D_COUPON_1, D_COUPON_2, D_UNTIL, d_coupon, d_iso, d_price_raw, d_ssd_specs, d_tag_specs, d_type_label
 
 QUERIES: dict[str, Query] = {}
@@ -49,7 +48,7 @@ COUNTED = ("h1", "title", "a", "li", "p")
 
 
 def node_counts(s, d):
-    nodes = html_nodes(read_pages(s, f"{d}/pages.parquet"), tags=COUNTED)
+    nodes = html_nodes(given_pages(s, d), tags=COUNTED)
     return nodes.groupBy("page_id").agg(*[F.count_if(F.col("tag") == t).alias(t) for t in COUNTED])
 
 
@@ -61,7 +60,7 @@ add(
 )
 add(
     "ext00_link_texts",
-    lambda s, d: html_nodes(read_pages(s, f"{d}/pages.parquet"), tags=("a",)).select(
+    lambda s, d: html_nodes(given_pages(s, d), tags=("a",)).select(
         "page_id", F.col("attrs")["href"].alias("href"), F.col("text").alias("label")),
     """SELECT page_id, regexp_extract(a, 'href="([^"]*)"', 1) AS href, replace(regexp_extract(a, '>([^<]*)<', 1), '&amp;', '&') AS label
         FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*>[^<]*</a>')) AS a FROM pages)""",
@@ -70,7 +69,7 @@ BOX_TAGS = ("nav", "ul", "article")
 
 
 def containment(s, d):
-    nodes = html_nodes(read_pages(s, f"{d}/pages.parquet"))
+    nodes = html_nodes(given_pages(s, d))
     boxes = nodes.filter(F.col("tag").isin(*BOX_TAGS)).select("page_id", F.col("node_id").alias("box_id"), "end_id")
     return contained(boxes, nodes.select("page_id", "node_id")).select("page_id", "box_id", "node_id")
 

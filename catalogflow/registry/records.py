@@ -8,8 +8,7 @@ from ..operators import jsonld, maker, official, paging
 from ..operators.curate import next_value, under_heading
 from ..operators.dom import html_nodes
 from ..operators.joins import with_feed_price
-from ..sources.captures import read_pages
-from .base import K, Query, d_compact, table
+from .base import K, Query, d_compact, given_pages, table
 from .markup import compose
 
 QUERIES: dict[str, Query] = {}
@@ -62,7 +61,7 @@ add(
 )
 add(
     "ext16_given_pages",
-    lambda s, d: official.extract_page_fields(read_pages(s, f"{d}/pages.parquet")).select("page_id", "title", F.array_join("h1_texts", "/").alias("h1")),
+    lambda s, d: official.extract_page_fields(given_pages(s, d)).select("page_id", "title", F.array_join("h1_texts", "/").alias("h1")),
     f"""SELECT page_id, nullif({d_compact("replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')")}, '') AS title,
         {d_compact("replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')")} AS h1 FROM pages""",
 )
@@ -266,14 +265,14 @@ add(
 # --- windows inside a page --------------------------------------------------------------
 add(
     "win5_next_sibling",
-    lambda s, d: html_nodes(read_pages(s, f"{d}/pages.parquet"), tags=("li",)).select(
+    lambda s, d: html_nodes(given_pages(s, d), tags=("li",)).select(
         "page_id", F.col("sib_pos").alias("pos"), "text", next_value("text", ["page_id", "parent_id"], "sib_pos").alias("beside")),
     """SELECT page_id, cast(pos AS INTEGER) AS pos, l[pos] AS text, l[pos + 1] AS beside FROM (SELECT page_id, l, unnest(generate_series(1, len(l))) AS pos
         FROM (SELECT page_id, list_transform(regexp_extract_all(html, '<li><a [^>]*>([^<]*)</a>', 1), lambda x: replace(x, '&amp;', '&')) AS l FROM pages))""",
 )
 add(
     "win6_under_heading",
-    lambda s, d: under_heading(html_nodes(read_pages(s, f"{d}/pages.parquet")).filter(F.col("tag").isin("h1", "p", "ul", "div")), ["page_id", "parent_id"], "node_id",
+    lambda s, d: under_heading(html_nodes(given_pages(s, d)).filter(F.col("tag").isin("h1", "p", "ul", "div")), ["page_id", "parent_id"], "node_id",
                                F.col("tag") == "h1", 8).select("page_id", F.col("after_heading").alias("n"), "tag", "text"),
     """SELECT page_id, cast(n AS INTEGER) AS n, 'p' AS tag, replace(replace(replace(regexp_replace(l[n + 1], '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'), '&nbsp;', ' ') AS text
         FROM (SELECT page_id, l, unnest(range(1, least(8, len(l) - 1) + 1)) AS n FROM (

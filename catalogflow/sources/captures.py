@@ -9,21 +9,14 @@ from pyspark.sql import types as T
 from ..schemas import CAPTURE_META
 
 
-def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
-    """A file scan with fewer splits than task slots, spread by key for work that is heavy per row.
-
-    The check reads the scan's own split count; a large table keeps its splits and is not
-    shuffled. Hand in plain scans only.
-    """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(slots, *keys) if scan.rdd.getNumPartitions() < slots else scan
-
-
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table of captured pages."""
-    return spread_scan(spark.read.parquet(path), "page_id")
+def read_pages(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    """A parquet table of captured pages. ``tasks`` deals them out anew by id, for tables that lie in few splits: reading a page is heavy work beside its bytes."""
+    pages = spark.read.parquet(path)
+    return pages.repartition(tasks, "page_id") if tasks else pages
 
 
+#: How run stamps are spelled.
+STAMP_FORMAT = "yyyy-MM-dd_HH-mm-ss"
 # ``<root>/<project>/<target>/<stamp>/<label>/page.html`` or ``source-NN-page-NN.html``
 VISIT_PATH = r"([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})(?:/([^/]+))?/[^/]+$"
 LIST_FILE = r"source-(\d+)-page-(\d+)\.html$"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,15 +131,26 @@ def append_run_table(df: DataFrame, root: str, target: Column | str, run_at: Col
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("target", "run_ts").parquet(root)
 
 
-def publish_latest(df: DataFrame, path: str) -> None:
-    """Publish the rows as the newest version under ``path``; readers see the old one until the new one is complete.
+def publish_latest(df: DataFrame, path: str, at_least: int = 0, message: str = "too few rows to publish") -> int:
+    """Publish the rows as the newest version under ``path``; readers see the old one until the new one is complete. Returns the number of rows.
 
     Each version has a folder of its own. The list of published versions gets its entry after the write, as one file that
     appears at once; a failed or repeated run leaves at most a folder that nothing points to. ``df`` may read from ``path``.
+    The rows are counted while they are written; with fewer than ``at_least`` nothing is published and the run fails.
     """
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(f"{path}/versions/{version}")
+    written = written_rows(df, lambda rows: rows.write.parquet(f"{path}/versions/{version}"))
+    if written < at_least:
+        raise ValueError(f"{message}: {written} of {at_least}")
     df.sparkSession.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{path}/published")
+    return written
+
+
+def written_rows(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write the rows; the number of rows as the write itself has observed it, without another pass."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
@@ -157,8 +168,8 @@ def run_manifest(df: DataFrame, scraped_at: Column, source: str = "source_url",
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:
-    """The rows, stored; fails when there is none. The plan runs once: a later write reads what was stored."""
-    rows = stored(df)
-    if rows.isEmpty():
+    """The rows, stored; fails when there is none. The plan runs once: the write counts them, and a later step reads what was stored."""
+    rows = []
+    if not written_rows(df, lambda d: rows.append(stored(d))):
         raise ValueError(message)
-    return rows
+    return rows[0]
