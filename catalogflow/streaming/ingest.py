@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.captures import STAMP_FORMAT, capture_path_fields, parse_capture_meta
 
@@ -39,14 +40,15 @@ def capture_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
 
-def ingest_captures(stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Append everything that is new since the last run, then stop. Each file counts once."""
+def ingest_captures(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    """Append everything that is new since the last run, then stop. Each file counts once. Returns the ended query."""
     with state_on_disk(stream.sparkSession):
         query = (
             stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start()
         )
     query.awaitTermination()
+    return query
 
 
 def _files(spark: SparkSession, root: str, pattern: str, files_per_batch: int) -> DataFrame:
@@ -79,7 +81,7 @@ def pages_with_meta(pages: DataFrame, meta: DataFrame, wait: str = "1 day") -> D
     return left.join(right, same, "left_outer").drop("meta_dir", "meta_at")
 
 
-def ingest_first_seen(stream: DataFrame, sink: str, checkpoint: str, key: str, order: Sequence[str]) -> None:
+def ingest_first_seen(stream: DataFrame, sink: str, checkpoint: str, key: str, order: Sequence[str]) -> StreamingQuery:
     """Keep the first row of each key over all increments, those of earlier checkpoints over the same sink included.
 
     Keyed state (RocksDB) holds the first row of every key and the time of the last batch that had one; the aggregation combines in the tasks before the
@@ -110,3 +112,4 @@ def ingest_first_seen(stream: DataFrame, sink: str, checkpoint: str, key: str, o
             states.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
     query.awaitTermination()
+    return query

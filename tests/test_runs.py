@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.plans import config
 from catalogflow.schemas import MALL_SNAPSHOT, MERCHANT_SNAPSHOT
-from catalogflow.sources import captures, sinks
+from catalogflow.sources import capture_source, captures, sinks
 from catalogflow.streaming import ingest
 
 
@@ -54,6 +54,52 @@ def test_formats_and_gate(spark, tmp_path):
     assert text == '"a","b","c","d"\n"1","","{""x"":1,""y"":null}","true"\n'
 
 
+def test_empty_run_is_not_published(spark, tmp_path):
+    path = str(tmp_path / "latest")
+    assert sinks.publish_latest(spark.range(5), path, at_least=1) == 5
+    with pytest.raises(ValueError, match="too few"):
+        sinks.publish_latest(spark.range(5).filter("id > 9"), path, at_least=1)
+    assert sinks.read_latest(spark, path).count() == 5
+    assert sinks.publish_latest(spark.range(0), path) == 0 and sinks.read_latest(spark, path).count() == 0
+
+
+def test_capture_source_opens_only_what_a_filter_leaves(spark, tmp_path):
+    rows = [(f"p{i % 2}/t{i % 4 // 2}/2024-07-0{1 + i % 3}_00-00-00/{'' if i % 5 == 0 else f'l{i}/'}{i}.html", f"é{i}") for i in range(24)]
+    assert capture_source.write_capture_files(spark.createDataFrame(rows, "name string, text string").repartition(3), str(tmp_path)) == 24
+    (tmp_path / "p0" / "notes.txt").write_text("x")
+    (tmp_path / "p0" / "t0" / "no-run").mkdir()
+    found = capture_source.read_capture_files(spark, str(tmp_path))
+    assert sorted(r.text for r in found.collect()) == sorted(t for _, t in rows)
+    one = found.filter("run_stamp = '2024-07-02_00-00-00'")
+    want = {(n.split("/")[0], n.split("/")[1], n.split("/")[3] if n.count("/") == 4 else None, t) for n, t in rows if "07-02" in n}
+    for file in [*tmp_path.glob("*/*/2024-07-01*/**/*.html"), *tmp_path.glob("*/*/2024-07-03*/**/*.html")]:
+        file.unlink()
+        file.symlink_to("/nowhere")  # opening one fails
+    assert {(r.project, r.target, r.label, r.text) for r in one.collect()} == want
+    assert found.filter("project IN ('p1') AND run_stamp > '2024-07-01_99' AND run_stamp < '2024-07-03'").count() == len([1 for w in want if w[0] == "p1"])
+    assert found.filter("project = 'none'").isEmpty()
+    with pytest.raises(Exception):
+        found.collect()
+
+
+def test_pages_meet_their_metadata_in_any_order(spark, tmp_path):
+    def deliver(*names):
+        rows = [(n, json.dumps({"url": n}) if n.endswith("json") else n) for n in names]
+        capture_source.write_capture_files(spark.createDataFrame(rows, "name string, text string"), str(tmp_path / "in"))
+        joined = ingest.pages_with_meta(ingest.page_stream(spark, str(tmp_path / "in")), ingest.meta_stream(spark, str(tmp_path / "in")), "2 days")
+        ingest.ingest_captures(joined, str(tmp_path / "out"), str(tmp_path / "ck"))
+        rows = spark.read.parquet(str(tmp_path / "out")).collect()
+        return sorted((r.label, r.meta.url[-20:] if r.meta else None) for r in rows)
+
+    run = "p/t/2024-07-01_00-00-00"
+    assert deliver(f"{run}/a/page.html", f"{run}/b/metadata.json", f"{run}/c/page.html") == []
+    got = deliver(f"{run}/a/metadata.json", f"{run}/b/page.html")
+    assert [g[0] for g in got] == ["a", "b"] and all(g[1].endswith(f"/{g[0]}/metadata.json") for g in got)
+    late = "p/t/2024-07-09_00-00-00"
+    got = deliver(f"{late}/d/page.html", f"{late}/d/metadata.json")
+    assert [g[0] for g in got] == ["a", "b", "c", "d"] and got[2] == ("c", None)
+
+
 def test_config_defaults_and_errors(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"project": " p ", "queries": {"z": [" ", "q1 "], "a": []}, "profileName": None,
                                                  "officialUrls": [" u "], "viewport": {"width": 800.4}, "outputFormats": ["xml"]}, indent=1))
@@ -62,7 +108,7 @@ def test_config_defaults_and_errors(spark, tmp_path):
     assert (row.project, row.locale, row.timezone, row.login_state_label, row.profile_name) == ("p", "ja-JP", "Asia/Tokyo", "anonymous", None)
     assert (row.viewport.width, row.viewport.height, row.queries, row.output_formats) == (800, 1080, {"z": ["q1"]}, ["csv", "jsonl"])
     assert config.first_query(cfg).first().query == "q1" and config.official_urls(cfg).first().url == "u"
-    plan = config.query_plan(cfg, "z", "b", "t", "now").first()
+    plan = config.query_plan(cfg, "z", "b", "t", "now", "by hand").first()
     assert (plan.query, plan.status) == ("q1", "pending_browsermcp")
     with pytest.raises(Exception, match="at least one"):
         config.channel_queries(cfg, "a").collect()
@@ -93,6 +139,24 @@ def test_first_seen_survives_a_new_checkpoint(spark, tmp_path):
     assert sorted((r.id, r.key) for r in spark.read.parquet(seen).collect()) == [(0, "k0"), (1, "k1"), (11, "k2")]
 
 
+def test_first_seen_costs_what_a_batch_brings(spark, tmp_path):
+    """Later runs read the new rows and what the run before has kept, not the sink; state answers for the rest."""
+    src, seen, ck = (str(tmp_path / n) for n in ("in", "seen", "ck"))
+    read = []
+    for step in range(5):
+        spark.createDataFrame([(step * 100 + i, f"k{(step * 20 + i) % 90}", f"v{step}") for i in range(40)], "id BIGINT, key STRING, v STRING").write.mode("append").parquet(src)
+        query = ingest.ingest_first_seen(ingest.capture_stream(spark, src, "id BIGINT, key STRING, v STRING"), seen, ck, "key", ["id"])
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+    rows = spark.read.parquet(seen).collect()
+    assert len(rows) == 90 == len({r.key for r in rows})
+    first = {}
+    for step in range(5):
+        for i in range(40):
+            first.setdefault(f"k{(step * 20 + i) % 90}", step * 100 + i)
+    assert {r.key: r.id for r in rows} == first
+    assert read[0] == 40 and max(read[1:]) <= 40 + 40
+
+
 def test_writes_can_be_repeated(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "2024-07-05 01:02:03"), (2, "b", "2024-07-05 01:02:03"), (3, "b", "2024-07-06 01:02:03")], "id INT, kind STRING, at STRING")
     df = df.withColumn("at", df["at"].cast("timestamp"))
