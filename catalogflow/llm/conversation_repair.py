@@ -426,3 +426,50 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
     return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
                       F.coalesce("repaired_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("repaired_sha256"))
+
+
+def _steps() -> str:
+    """Check SQL of one row more: best option per grammar state (k: cost and rank of the edit, a: audit, l: repaired rows), before inserts."""
+    def option(cost: str, rank: int, edit: str, after: int, line: str) -> str:
+        return f"{{'k': 4 * (v{after}.k // 4 + {cost}) + {rank}, 'a': '{edit}' || v{after}.a, 'l': {f'list_prepend({line}, v{after}.l)' if line else f'v{after}.l'}}}"
+
+    made = []
+    for s in range(4):
+        kept = " ".join(f"WHEN NOT gone AND ini = '{c}' THEN {option('more', 2, 'K', t, 'said')}" for c, t in NEXT[s].items())
+        role = ROLES[FITS[s]]
+        again = option(f"{REROLE} + more", 3, "R", NEXT[s][FITS[s]], f"'{role}:' || text")
+        made.append(f"list_min([{option(str(DELETE), 0, 'D', s, '')}, CASE {kept} END, CASE WHEN NOT gone THEN {again} END]) AS b{s}")
+    return ", ".join(made)
+
+
+def _insert(s: int, own: str, after: str) -> str:
+    return f"list_min([{own}, {{'k': 4 * ({after}.k // 4 + {INSERT}) + 1, 'a': 'I' || {after}.a, 'l': list_prepend('{ROLES[FITS[s]]}:', {after}.l)}}])"
+
+
+ORACLE = rf"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS c FROM range(256) r(i))),
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+judged AS (SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(name, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS how FROM named, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role, CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE how WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM judged),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+faults AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' END AS fault, substr(role, 1, 1) AS ini, lead(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS following FROM placed),
+ready AS MATERIALIZED (SELECT conv_id, i, ini, text, role || ':' || text AS said, coalesce(fault IN ('blank', 'duplicate'), false) AS gone,
+    CASE WHEN fault = 'truncated' THEN {TRUNCATED} ELSE 0 END AS more FROM faults),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (following IS NOT NULL AND ini || following NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM faults GROUP BY conv_id),
+walk AS (
+    SELECT conv_id, n + 1 AS i, {{'k': 0::BIGINT, 'a': '', 'l': []::VARCHAR[]}} AS v0, {{'k': {2 * INSERT * 4}::BIGINT, 'a': 'II', 'l': ['user:', 'assistant:']}} AS v1,
+        {{'k': {INSERT * 4}::BIGINT, 'a': 'I', 'l': ['assistant:']}} AS v2, {{'k': 0::BIGINT, 'a': '', 'l': []::VARCHAR[]}} AS v3 FROM counts
+    UNION ALL
+    SELECT conv_id, i, {_insert(0, 'b0', 'w2')}, {_insert(1, 'b1', 'w2')}, w2, w3 FROM (
+        SELECT *, {_insert(2, 'b2', 'b3')} AS w2, {_insert(3, 'b3', 'b2')} AS w3 FROM (
+            SELECT walk.conv_id, ready.i, {_steps()} FROM walk JOIN ready ON ready.conv_id IS NOT DISTINCT FROM walk.conv_id AND ready.i = walk.i - 1))
+), ended AS (SELECT conv_id, v0.k // 4 AS cost, v0.a AS audit, sha256(array_to_string(v0.l, chr(10))) AS repaired_sha256 FROM walk WHERE i = 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+    coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

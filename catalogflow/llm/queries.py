@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, sharding, suffix_dedup, vector_codes
+from . import conversation_repair, exact_dedup, jaccard_join, sharding, suffix_dedup, vector_codes
 from .chunk_codec import op7_bpe_codec
 from .conversation_repair import op13_conversation_repair
 from .exact_dedup import op8_exact_dedup
@@ -44,4 +44,5 @@ ORACLES: dict[str, str] = {
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op11_jaccard_join": jaccard_join.ORACLE,
     "op12_vector_codes": vector_codes.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
