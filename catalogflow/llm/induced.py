@@ -2,8 +2,8 @@
 
 The strings lie in one array of symbols, each closed by a 0; zeros are ordered by place and equal to none. Sorting goes the
 induced way: suffixes that start a valley (smaller than both neighbours, ``seeds``) are sorted first, by sorting the substrings
-between them with the same induction, naming equal ones and sorting the string of names recursively; then
-one pass up the symbols derives all suffixes larger than their successor and one pass down all smaller ones.
+between them with the same induction and naming equal ones; the string of names, a third as long at most, is sorted in memory by doubling
+(``order_of``), not by another level of induction. Then one pass up the symbols derives all suffixes larger than their successor and one pass down all smaller ones.
 
 A pass is a priority queue whose entries arrive in order: for each symbol a first-in-first-out list of blocks (place, common
 prefix with the entry before it). Blocks go to a scratch file when those in memory pass a limit, so the queues may

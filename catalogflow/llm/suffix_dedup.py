@@ -6,7 +6,7 @@ A byte goes if a string of ``length`` bytes that covers it also starts earlier (
    a unit. Equal windows have equal k-mers, so they lie in units of one k-mer. Units with equal bytes (a 64-bit hash besides
    the k-mer's) are settled at once: all but the earliest go. A task settles its own copies before anything is shuffled.
 2. A k-mer that is left with one unit repeats nothing. The bytes of all other units are cut from their texts and dealt into shards by
-   k-mer. Units of a k-mer with more than ``hot`` different units are settled window by window, by 128 bits of hash: equal windows have equal
+   k-mer. Units of a k-mer that together hold more than ``hot`` bytes are settled window by window, by 128 bits of hash: equal windows have equal
    k-mers, so their earliest is known without sorting. A task settles its own copies first; no bytes of such windows are shuffled.
 3. Each shard sorts the suffixes of its units (see ``induced``): its queues go to a scratch file of the task beyond ``queue_bytes``. Runs of
    suffixes with ``length`` bytes in common keep their earliest member.
@@ -30,9 +30,10 @@ from .common import LEAN_BYTES, pack_row, python_ready, read_table, release_cach
 from .induced import repeats
 from .near_dedup import _BASE, _mix, _powers
 
-K, PIECE = 16, 1 << 22
-#: Bytes of a shard, from which the number of shards follows; about 60 bytes of memory are needed for each.
-SHARD_BYTES, HOT_UNITS = 4 << 20, 50_000
+K, PIECE = 32, 1 << 22
+#: Bytes of a shard, from which the number of shards follows; about 60 bytes of memory are needed for each. A k-mer whose units hold more than
+#: HOT_BYTES would make its shard larger than the others, so its windows are settled by digest.
+SHARD_BYTES, HOT_BYTES = 4 << 20, 512 << 10
 _SECOND = 0xC2B2AE3D27D4EB4F
 UNITS = "settled boolean, kmer long, content long, doc long, tie long, start long, windows int"
 MARKS = "settled boolean, kmer long, doc long, tie long, start long, windows int"
@@ -276,13 +277,13 @@ def _remove(batches):
             ["_row", "_sha256", "_kept", "_bytes", "_removed", "_spans"])
 
 
-def repeated_runs(docs: DataFrame, length: int = 100, queue_bytes: int = 128 << 20, hot: int = HOT_UNITS) -> DataFrame:
+def repeated_runs(docs: DataFrame, length: int = 100, queue_bytes: int = 128 << 20, hot: int = HOT_BYTES) -> DataFrame:
     """doc, tie, start, windows: runs of windows that also start earlier; ``docs`` has doc, tie, text and no pair twice."""
     units = docs.select("doc", "tie", "text").mapInArrow(_units(length), UNITS)
     units = units.repartition("kmer").sortWithinPartitions("settled", "kmer", "content", "windows", "doc", "tie", "start")
     marks = stored_table(units.mapInArrow(_marks, MARKS), "marks")
     asked = marks.filter("NOT settled")
-    crowded = stored_table(asked.groupBy("kmer").count().filter(F.col("count") > hot).select("kmer"), "crowded")
+    crowded = stored_table(asked.groupBy("kmer").agg(F.sum(F.col("windows") + length - 1).alias("bytes")).filter(F.col("bytes") > hot).select("kmer"), "crowded")
     rest = asked.join(crowded, "kmer", "left_anti")
     size = rest.agg(F.coalesce(F.sum(F.col("windows") + length - 1), F.lit(0))).first()[0]
 
