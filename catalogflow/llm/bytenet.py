@@ -26,14 +26,6 @@ def lay_out(raw: np.ndarray, offsets: np.ndarray, window: int, widest: int) -> t
     return out, count
 
 
-def spread_spans(text: bytes, spans: int, span: int) -> bytes:
-    """A text of at most ``spans * span`` bytes whole, a longer one as that many spans spread evenly over it."""
-    if len(text) <= spans * span:
-        return text
-    starts = np.linspace(0, len(text) - span, spans).astype(int)
-    return b"".join(text[s:s + span] for s in starts.tolist())
-
-
 @dataclass
 class Filters:
     """Banks of filters, one per width: tables[k] has shape (width, 257, number)."""

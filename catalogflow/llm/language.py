@@ -3,8 +3,8 @@
 Every window of ``window`` bytes gets log-probabilities of the learned languages; a text's language is the one
 with the largest mean over all its windows, its score that language's share after softmax of the means.
 
-The model is fitted on at most ``per_class`` documents of each language (those with the smallest id hash), long ones by
-spans spread evenly; every text is read whole afterwards. A null text, or one without a letter, is ``und`` with
+The model is fitted on the whole texts of at most ``per_class`` documents of each language (those with the smallest id hash); every
+text is read whole. A null text, or one without a letter, is ``und`` with
 score 0. Rows without a language teach nothing; without any such row every text is ``und``. Ties go to the language that comes first
 by name. Repeated rows get equal answers. Columns besides doc_id and text are not read by a prediction.
 """
@@ -88,11 +88,11 @@ def fit(texts: list[bytes], labels: list[str], *, window: int = 256, widths: tup
     return model
 
 
-def train_language(docs: DataFrame, per_class: int = 400, spans: int = 12, **settings) -> LanguageModel:
+def train_language(docs: DataFrame, per_class: int = 200, **settings) -> LanguageModel:
     """Model from the text and non-null ``lang`` of ``docs``."""
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
     rows = rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("lang").alias("y"))
-    texts, y = labelled_sample(rows, docs.filter(F.col("lang").isNotNull()), per_class, spans, settings.get("window", 256))
+    texts, y = labelled_sample(rows, docs.filter(F.col("lang").isNotNull()), per_class)
     return fit(texts, y, **settings)
 
 

@@ -4,8 +4,8 @@ Segments of ``segment`` bytes are pooled by maximum; a chunk is two neighbouring
 cover the whole text. A document's features are the largest and the mean rectified answer of every filter over
 its chunks; a logistic unit combines them.
 
-The model is fitted on at most ``per_class`` labelled documents of each class (those with the smallest id hash),
-of which a text beyond ``spans * segment`` bytes gives that many spans spread evenly; every document is scored whole.
+The model is fitted on the whole texts of at most ``per_class`` labelled documents of each class (those with the smallest id hash); every document
+is scored whole. Rows that repeat a chosen id teach once.
 Null and empty texts are a chunk of padding and get a score too. Labels that are null, or of documents that do not
 exist, teach nothing; a document labelled twice counts with its larger label. Without labelled rows every score is 0.5. Repeated
 rows get equal scores. Columns besides doc_id and text are not read by the score.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytenet import Adam, Filters, lay_out, spread_spans
+from .bytenet import Adam, Filters, lay_out
 from .common import held_out, pack_row, python_ready, read_table, release_caches, slices, text_bytes, unpack_row, whole_text
 
 THRESHOLD = 0.3
@@ -91,35 +91,27 @@ def fit(texts: list[bytes], labels: np.ndarray, *, segment: int = 256, width: in
     return model
 
 
-def _spread(spans: int, span: int):
-    def run(batches):
-        for b in batches:
-            texts = [spread_spans(t or b"", spans, span) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), b.column("y")], ["text", "y"])
-    return run
+def labelled_sample(rows: DataFrame, docs: DataFrame, per_class: int) -> tuple[list[bytes], list]:
+    """Whole texts and labels of at most ``per_class`` rows (doc_id, y) of each class, a top-n of ids for each class.
 
-
-def labelled_sample(rows: DataFrame, docs: DataFrame, per_class: int, spans: int, span: int) -> tuple[list[bytes], list]:
-    """Texts and labels of at most ``per_class`` rows (doc_id, y) of each class, a top-n of ids for each class."""
-    python_ready(docs.sparkSession)
+    One text of each id: of rows that share a chosen id the one with the smallest hash. What reaches the driver is bounded by classes times ``per_class`` texts.
+    """
     classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
     if not classes:
         return [], []
     rows = reduce(DataFrame.union, [rows.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in classes])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text"))
     # at most per_class rows of two numbers for each class: small by its bound
-    sample = texts.join(F.broadcast(rows), "doc_id").select("text", "y")
-    kind = sample.schema["y"].dataType.simpleString()
-    found = sample.mapInArrow(_spread(spans, span), f"text binary, y {kind}").orderBy(F.xxhash64("text"), "y").collect()
+    sample = texts.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    found = sample.select("text", "y").orderBy(F.xxhash64("text"), "y").collect()
     return [bytes(r["text"]) for r in found], [r["y"] for r in found]
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1200, spans: int = 24, **settings) -> QualityModel:
+def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 800, **settings) -> QualityModel:
     """Model from ``labels`` (doc_id, quality 0 or 1) and their documents."""
-    segment = settings.get("segment", 256)
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     rows = rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("y"))
-    texts, y = labelled_sample(rows, docs, per_class, spans, segment)
+    texts, y = labelled_sample(rows, docs, per_class)
     return fit(texts, np.array(y, np.float64), **settings)
 
 

@@ -54,6 +54,17 @@ def test_a_pattern_late_in_a_long_text_counts():
     assert scores[0] > 0.6 and scores[1] < scores[0]
 
 
+def test_the_sample_is_bounded_by_rows_and_whole_in_text(spark):
+    """Rows that repeat a chosen id teach once; long texts teach whole."""
+    long = "long words all through " * 5000
+    docs = spark.createDataFrame([(k % 40, "a text" + str(k % 40), None) for k in range(4000)] + [(77, long, "x")], "doc_id long, text string, y string")
+    rows = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(77, 1)], "doc_id long, y int")
+    texts, y = quality.labelled_sample(rows, docs, 100)
+    assert len(texts) == 41 and sum(y) == 21 and long.encode() in texts
+    assert len(quality.labelled_sample(rows, docs, 5)[0]) == 10
+    assert quality.labelled_sample(rows.filter("false"), docs, 5) == ([], [])
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     frame = queries.QUERIES["op1_quality_classifier"](spark, SF_DIR).toPandas()
