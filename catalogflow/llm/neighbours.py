@@ -48,7 +48,7 @@ class Shard:
         self.values = np.take_along_axis(values.T, self.order, axis=1)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(places, scores) of the k nearest of each query, its own id left out."""
+        """(places, scores) of the k nearest of each query, its own row left out."""
         n, m = len(self.ids), PROJECTIONS
         norms = np.sqrt((queries * queries).sum(axis=1))
         centres = (queries / norms[:, None]) @ self.axes
@@ -64,7 +64,10 @@ class Shard:
         out = []
         for q in range(len(queries)):
             hits = np.zeros(n, np.int64)
-            verified = self.ids == own[q]
+            # the query's own row is left out, not others that share its id
+            alike = np.flatnonzero(self.ids == own[q])
+            verified = np.zeros(n, bool)
+            verified[alike[(self.vectors[alike] == queries[q]).all(axis=1)][:1]] = True
             places, scores = np.empty(0, np.int64), np.empty(0)
             lo = hi = edges[q, :, 0, 0]
             for r, radius in enumerate(radii):

@@ -53,6 +53,13 @@ def test_odd_vectors(spark, monkeypatch, size):
     assert neighbours.nearest(frame.filter("false"), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_rows_that_share_the_querys_id_are_candidates(spark):
+    rows = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 1.0])]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 50, 5).orderBy("rank").collect()
+    # the query is the smallest vector of its id, [0, 1]; only its own row is left out
+    assert [(r["vec_id"], round(r["score"], 3)) for r in found] == [(1, 0.707), (50, 0.0), (50, 0.0)]
+
+
 def test_fewer_candidates_than_asked(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     found = [tuple(r) for r in neighbours.nearest(frame, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
