@@ -85,25 +85,37 @@ class PieceEncoder:
         body = key[1:] if key.startswith("\n") else key
         return not body or body[0].isspace() or body[-1].isspace()
 
-    def _encode_new(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece as unsigned 32-bit integers; bytes objects cost the garbage collector nothing."""
+    def _merge(self, unit: str) -> bytes:
+        spelt = unit.replace(" ", self.spelt[" "]).replace("\n", self.spelt["\n"]) if unit.isascii() else "".join(map(self.spelt.__getitem__, unit))
+        ids = self.merged[unit] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        return ids
+
+    def _encode_new(self, keys: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """(ids of each piece as unsigned 32-bit integers, whether its text must be cut the careful way); bytes objects cost the garbage collector nothing."""
         if len(self.merged) > self.max_pieces:
             self.merged.clear()
-        word, merged, spell, tokens = self.style == "word", self.merged, self.spelt.__getitem__, self.model.tokenize
+        word, known, merge, cut = self.style == "word", self.merged.get, self._merge, self.units.findall
+        pieces = keys if word else [" " + k if k[:1] != "\n" else self._spell(k) for k in keys]
         found, other = [], []
         for piece, plain in zip(pieces, map(_PLAIN.fullmatch, pieces)):
             if plain is None or "<|" in piece:
                 other.append(len(found))
                 found.append(b"")
                 continue
-            units = self.units.findall(piece.lower() if word else piece)
-            for unit in units:
-                if unit not in merged:
-                    merged[unit] = array("I", [t.id for t in tokens("".join(map(spell, unit)))]).tobytes()
-            found.append(merged[units[0]] if len(units) == 1 else b"".join([merged[u] for u in units]))
+            if word:
+                piece = piece.lower()
+            # letters alone are one unit, in the byte style with the blank before them
+            if (piece if word or piece[0] != " " else piece[1:]).isalpha():
+                found.append(known(piece) or merge(piece))
+                continue
+            units = cut(piece)
+            found.append(b"".join([known(u) or merge(u) for u in units]))
         for k, e in zip(other, self.tokenizer.encode_batch_fast([pieces[k] for k in other], add_special_tokens=False)):
             found[k] = array("I", e.ids).tobytes()
-        return found
+        odd = np.zeros(len(keys), bool)
+        for k in other:  # plain pieces have no white space inside
+            odd[k] = self._is_odd(keys[k])
+        return found, odd
 
     def _learn(self) -> None:
         keys = list(self.pending)
@@ -115,7 +127,7 @@ class PieceEncoder:
             self.first, self.count, self.odd = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count, self.odd))
         for at in range(0, len(keys), 20_000):
             part = keys[at:at + 20_000]
-            found = self._encode_new([self._spell(k) for k in part])
+            found, odd = self._encode_new(part)
             lens = np.fromiter(map(len, found), np.int32, len(found)) // 4
             flat = np.frombuffer(b"".join(found), np.uint32)
             while self.used + len(flat) > len(self.flat):
@@ -124,7 +136,7 @@ class PieceEncoder:
             where = slice(lo + at, lo + at + len(part))
             self.count[where] = lens
             self.first[where] = self.used + np.cumsum(lens) - lens
-            self.odd[where] = np.fromiter(map(self._is_odd, part), bool, len(part))
+            self.odd[where] = odd
             self.used += len(flat)
             self.chars += sum(map(len, part))
         assert hi == lo + len(keys)
@@ -138,31 +150,34 @@ class PieceEncoder:
 
     def places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(places in the cache of all pieces in a row, number of pieces per text)."""
-        if len(self.index) > self.max_pieces or self.chars > self.max_chars:
-            self._clear()
+        self._make_room()
         rows, every = [], []
         for text in texts:
             found = self._pieces(text)
             rows.append(len(found))
             every += found
         at = np.fromiter(map(self.index.__getitem__, every), np.int64, len(every))
+        return self._settled(at, np.array(rows, np.int64), texts.__getitem__)
+
+    def _make_room(self) -> None:
+        if len(self.index) > self.max_pieces or self.chars > self.max_chars:
+            self._clear()
+
+    def _settled(self, at: np.ndarray, rows: np.ndarray, text) -> tuple[np.ndarray, np.ndarray]:
         self._learn()
-        rows = np.array(rows, np.int64)
         if self.style == "byte" and len(at) and (odd := self.odd[at]).any():
             ends = np.cumsum(rows)
             bad = np.unique(np.searchsorted(ends, np.flatnonzero(odd), "right"))
             parts, last = [], 0
-            for k in bad:
-                found = ["\n\n" + x for x in _ALONE.split(texts[k])]
+            for k in bad.tolist():
+                found = ["\n\n" + x for x in _ALONE.split(text(k))]
                 parts += [at[last:ends[k] - rows[k]], np.fromiter(map(self.index.__getitem__, found), np.int64, len(found))]
                 last, rows[k] = ends[k], len(found)
             at = np.concatenate([*parts, at[last:]])
             self._learn()
         return at, rows
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids per text)."""
-        at, rows = self.places(texts)
+    def _ids(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lens = self.count[at].astype(np.int64)
         ends = np.cumsum(lens)
         total = int(ends[-1]) if len(ends) else 0
@@ -170,6 +185,10 @@ class PieceEncoder:
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(rows)])]
         return ids, np.diff(bounds)
 
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids per text)."""
+        return self._ids(*self.places(texts))
+
 
 def encoder(path: str, style: str) -> PieceEncoder:
     """One encoder for each Python worker and vocabulary file; its cache serves all tasks of the worker."""

@@ -6,7 +6,7 @@ a stated size and page indexes. ``read_tokens`` reads the columns and id range a
 the files back and gives every document its place in the whole stream of ids.
 
 Null texts and null ids: a null text is an empty one (only the end id), null ids come first. Rows that share an
-id are told apart by the hash of their text and lie next to each other in that order. An empty table gives files without
+id lie next to each other in the order of their place in the files read. An empty table gives files without
 rows. Columns besides doc_id and text are not read.
 """
 
@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import python_ready, read_table, shared_folder, slices, text_bytes, whole_text
+from .common import located, python_ready, read_table, shared_folder, slices, text_bytes, whole_text
 from .pieces import encoder
 
 ROWS = "part int, doc_id long, start_in_part long, n_tokens long, ids array<int>"
@@ -68,9 +68,10 @@ def _encode(path: str, style: str, end_id: int):
 def write_tokens(docs: DataFrame, folder: str, path: str, style: str, end_id: int, layout: dict[str, str] | None = None) -> None:
     """Encode (doc_id, text) rows in ascending doc_id order and write them below ``folder``."""
     python_ready(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
-    order = ["doc_id", F.xxhash64("text")]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    # ranges are sampled from ids and places, so texts are read once; rows of one id may lie in several ranges
+    order = ["doc_id", F.xxhash64("_at.file"), "_at.row"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     rows.mapInArrow(_encode(path, style, end_id), ROWS).write.options(**(layout or LAYOUT)).parquet(folder)
 
 
