@@ -3,13 +3,13 @@
 1. One pass reads every text: lower-cased words, their digest, and for each of ``TABLES`` tables the k-mers (labelled
    by occurrence) with the smallest hashes, kept in text order, as a key of two k-mers. ``SINGLE`` more tables have the one smallest
    three-word k-mer as a key; texts of at most ``SHORT`` words also have the smallest two-word k-mers.
-2. Texts with equal words are one node. Nodes with an equal key form a bucket: each is compared with two centres of
-   its bucket, the smallest and the largest node. A bucket whose members are not all connected by then is
+2. Texts with equal words are one node. Nodes with an equal key form a bucket: under a third of the keys each is compared with the centre of
+   its bucket, the smallest node, which buckets of the same texts mostly share. A bucket (of any key) whose members are not all connected by then is
    gone through pair by pair (``_settle``), matched members included. Pairs that are connected already, or that a bound from their
    lengths or from counts of their words (half a byte a word) rules out, are not aligned; of the others each distinct pair is, and its words are moved
-   once for it. Large buckets are dealt as pairs of blocks over many tasks.
+   once for it: first a few of each text, then the pairs that those have not connected. Large buckets are dealt as pairs of blocks over many tasks.
 3. A link needs an edit similarity of ``SIMILARITY`` or more: 1 - edit distance in words / length of the longer text.
-   The alignment walks diagonals inside the band that this allows, after a bound from the words in common.
+   The alignment is banded: it keeps to the diagonals that this allows, as bit vectors, after a bound from the words in common.
 4. Groups are the connected components of the links.
 
 Null texts count as empty. Texts without a word count as one word, their own bytes; texts of fewer than five
@@ -25,7 +25,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import (
@@ -38,12 +38,14 @@ K, TABLES, LEVELS, SIMILARITY = 5, 10, (2, 3, 4), 0.8
 SINGLE_K, SINGLE, SHORT_K, SHORT = 3, 20, 2, 48
 #: Members of a bucket that a task compares with as many others.
 BLOCK = 1024
+#: Candidates of a text that are aligned before the others, those with the most words in common.
+NEAREST = 4
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, n int, words binary, counts binary, keys array<long>"
+SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, h long, n int, words binary, counts binary, keys array<long>"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -184,66 +186,52 @@ def _sketch(tables: int):
                 ends = np.cumsum(counts)
                 short = (words >> np.uint64(32)).astype("<u4")
                 rows = [(a, b) for a, b in zip((ends - counts).tolist(), ends.tolist())]
+                nodes = [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("_at").slice(lo, hi - lo),
-                     pa.array([hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in rows], pa.binary()),
+                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("_at").slice(lo, hi - lo), pa.array(nodes, pa.binary()),
+                     pa.array([int.from_bytes(x[:8], "big", signed=True) for x in nodes], pa.int64()),
                      pa.array(counts.astype(np.int32)), pa.array([short[a:b].tobytes() for a, b in rows], pa.binary()),
                      pa.array([bin_counts(short[a:b]).tobytes() for a, b in rows], pa.binary()),
                      pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(number)]).astype(np.int32), pa.array(keys.view(np.int64)))],
-                    ["doc_id", "_at", "node", "n", "words", "counts", "keys"])
+                    ["doc_id", "_at", "node", "h", "n", "words", "counts", "keys"])
     return run
 
 
-#: Words of all diagonals that one comparison takes.
-SLIDE = 1 << 15
-
-
-def _slide(a: np.ndarray, b: np.ndarray, k: np.ndarray, i: np.ndarray) -> np.ndarray:
-    """How far equal words lead from place ``i`` in ``a`` on each diagonal ``k``: blocks of words, the longer the longer the run."""
-    n, m = len(a), len(b)
-    going, width = np.flatnonzero((i >= 0) & (i < n) & (i + k < m)), 1
-    while len(going):
-        width = min(width, max(1, SLIDE // len(going)))
-        at = i[going][:, None] + np.arange(width)
-        beside = at + k[going][:, None]
-        same = (at < n) & (beside < m)
-        same &= a[np.minimum(at, n - 1)] == b[np.minimum(beside, m - 1)]
-        whole = same.all(axis=1)
-        i[going] += np.where(whole, width, same.argmin(axis=1))
-        going = going[whole]
-        width *= 4
-    return i
-
-
 def edit_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """Edit distance of two word arrays if it is at most ``most``.
 
-    ``reach`` holds, for every diagonal k (place in b minus place in a) of the band, the furthest place in ``a`` that e edits lead to; all diagonals
-    go on together. Diagonals from which the ends cannot be met with the edits left are dropped. Memory is that of the band.
+    Bit vectors over the band: along column j (a word of the shorter text) bit p stands for row j + p - most (a word of the longer one), and
+    ``up`` and ``down`` say where a column's distances rise or fall from row to row. A column costs a few operations on whole numbers of
+    2 * most + 1 bits, which is also all the memory besides one number per different word. What lies outside the band counts as one edit
+    more than its neighbour, so distances are never too small, and right where they are at most ``most``. The main diagonal's distance only
+    grows; once the ends cannot be met within ``most`` edits any more, the walk stops.
     """
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
     n, m = len(a), len(b)
-    apart = m - n
-    if abs(apart) > most or not n or not m:
-        return max(n, m) if max(n, m) <= most else None
-    none, middle = -2, most + 1
-    reach = np.full(2 * most + 3, none, np.int64)
-    reach[middle] = _slide(a, b, np.zeros(1, np.int64), np.zeros(1, np.int64))[0]
-    for e in range(most + 1):
-        if reach[middle + apart] >= n:
-            return e
-        left = most - e - 1
-        lo, hi = max(-e - 1, apart - left, -n), min(e + 1, apart + left, m)
-        if left < 0 or lo > hi:
-            return None
-        k = np.arange(lo, hi + 1)
-        here = slice(middle + lo, middle + hi + 1)
-        i = np.maximum(np.maximum(reach[here], reach[middle + lo + 1:middle + hi + 2]) + 1, reach[middle + lo - 1:middle + hi])
-        i = np.minimum(i, np.minimum(n, m - k))
-        i[(i < 0) | (i < -k)] = none
-        new = np.full_like(reach, none)
-        new[here] = _slide(a, b, k, i)
-        reach = new
-    return None
+    if n - m > most or not m:
+        return n if n <= most else None
+    places: dict[int, int] = {}
+    for row, word in enumerate(a.tolist()):
+        places[word] = places.get(word, 0) | 1 << row
+    full = (1 << 2 * most + 1) - 1
+    middle, up, down, score, worst = 1 << most, full >> most << most, 0, 0, most + n - m
+    find = places.get
+    for j, word in enumerate(b.tolist()):
+        equal = find(word, 0)
+        equal = (equal >> j - most if j >= most else equal << most - j) & full
+        level = (((equal & up) + up) ^ up) | equal | down
+        if not level & middle:
+            score += 1
+            if score > worst:
+                return None
+        right = down | full & ~(level | up)
+        left = level & up
+        level = (level & full) >> 1
+        up = left | full & ~(level | right)
+        down = level & right
+    rest = ((1 << n - m) - 1) << most
+    score += (up & rest).bit_count() - (down & rest).bit_count()
+    return score if score <= most else None
 
 
 def _rising(values: np.ndarray) -> np.ndarray:
@@ -288,11 +276,17 @@ def distance_at_most(a: np.ndarray, b: np.ndarray) -> int:
     return cost + int((a[np.repeat(p[level] + 1, size) + within] != b[np.repeat(q[level] + 1, size) + within]).sum())
 
 
+#: Words of a pair that is aligned at once; longer ones are tested by cheaper bounds first.
+SHORT_PAIR = 300
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
+    if longer <= SHORT_PAIR:
+        return edit_within(a, b, most) is not None
     # words in common, each as often as both have it: the distance is at least the rest of the longer text
     x, y = np.sort(a), np.sort(b)
     joint = np.sort(np.concatenate([np.unique(x), np.unique(y)]))
@@ -301,7 +295,7 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     if longer - int(np.minimum(*counts).sum()) > most:
         return False
     # most pairs are settled by one good alignment; the others walk the whole band
-    if min(len(a), len(b)) > 200 and distance_at_most(a.astype(np.uint64), b.astype(np.uint64)) <= most:
+    if distance_at_most(a.astype(np.uint64), b.astype(np.uint64)) <= most:
         return True
     return edit_within(a, b, most) is not None
 
@@ -330,14 +324,15 @@ def _bounded(similarity: float):
     return run
 
 
-def _candidates(crossing: bool, side: np.ndarray, up: np.ndarray, root: np.ndarray, n: np.ndarray, counts: list, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a block's members (``crossing``: between its two sides) that are not connected yet and that lengths and words in common do not rule out.
+def _candidates(crossing: bool, side: np.ndarray, up: np.ndarray, root: np.ndarray, n: np.ndarray, counts: list, similarity: float) -> tuple[np.ndarray, ...]:
+    """Pairs of a block's members (``crossing``: between its two sides) that are not connected yet and that lengths and words in common do not rule out,
+    each with the least share of the longer text's words that edits must take, in thousandths.
 
     Pairs of which both are ``up`` belong to the next size class.
     """
     bins = min(map(len, counts))
     matrix = np.stack([folded(x, bins) for x in counts])
-    left, right = [], []
+    left, right, gaps = [], [], []
     for i in range(len(n) - 1):
         rest = np.arange(i + 1, len(n))
         good = (root[rest] != root[i]) & ~(up[rest] & up[i])
@@ -347,27 +342,24 @@ def _candidates(crossing: bool, side: np.ndarray, up: np.ndarray, root: np.ndarr
         near = np.abs(n[rest] - n[i]) <= edits
         rest, longer, edits = rest[near], longer[near], edits[near]
         if len(rest):
-            common = (n[rest] + n[i] - np.abs(matrix[rest] - matrix[i]).sum(axis=1)) // 2
-            rest = rest[longer - common <= edits]
-            left.append(np.full(len(rest), i))
-            right.append(rest)
-    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
+            least = longer - (n[rest] + n[i] - np.abs(matrix[rest] - matrix[i]).sum(axis=1)) // 2
+            good = least <= edits
+            left.append(np.full(good.sum(), i))
+            right.append(rest[good])
+            gaps.append(1000 * least[good] // longer[good])
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right, gaps))
 
 
 def _settle(similarity: float):
-    """From members in order of their blocks: pairs (a, b) to be aligned."""
+    """From members in order of their blocks: pairs (a, b, gap) to be aligned."""
     names = ("key", "size", "p", "q")
 
     def pairs(parts):
         table = pa.Table.from_batches(parts)
-        node, root = (np.array(table.column(c).to_pylist(), object) for c in ("node", "root"))
+        h, root, n, side, up = (table.column(c).to_numpy() for c in ("h", "root", "n", "side", "up"))
         p, q = (table.column(c)[0].as_py() for c in ("p", "q"))
-        _, part = np.unique(root, return_inverse=True)
-        i, j = _candidates(
-            p != q, table.column("side").to_numpy(), table.column("up").to_numpy(), part, table.column("n").to_numpy().astype(np.int64),
-            [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()], similarity)
-        ends = [sorted(e) for e in zip(node[i], node[j])]
-        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.binary()) for k in (0, 1)], ["a", "b"])
+        i, j, gap = _candidates(p != q, side, up, root, n.astype(np.int64), [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()], similarity)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(h[i], h[j])), pa.array(np.maximum(h[i], h[j])), pa.array(gap, pa.int64())], ["a", "b", "gap"])
 
     def run(batches):
         held, block = [], None
@@ -394,18 +386,21 @@ def _settle(similarity: float):
 def _both(pairs: DataFrame, texts: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """The pairs (a, b) with columns of either side's text, ``a_`` and ``b_`` before their names."""
     for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
+        pairs = pairs.join(texts.select(F.col("h").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
     return pairs
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, folders: list[str]) -> DataFrame:
-    """The distinct pairs (a, b) that are similar, stored. The counts rule most strangers out; words are moved once for each pair that is left."""
-    near = _both(pairs, texts, ("n", "counts")).select("a", "b", F.col("a_n").alias("n"), F.col("b_n").alias("m"), "a_counts", "b_counts")
-    near = stored_table(near.mapInArrow(_bounded(similarity), "a binary, b binary"), "near", folders)
-    whole = _both(near, texts, ("words",)).select("a", "b", "a_words", "b_words")
+def _aligned(pairs: DataFrame, texts: DataFrame, similarity: float, folders: list[str]) -> DataFrame:
+    """Of distinct pairs (a, b) of short names the similar ones as nodes, stored. Words are moved once for each pair."""
+    whole = _both(pairs, texts, ("node", "words")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_words", "b_words")
     return stored_table(whole.mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders)
 
 
+def _short(node: str) -> Column:
+    """A node's short name: the first half of its digest. Texts are told apart by the whole of it; that two of one bucket share a half is as unlikely as one in 2^64."""
+    return F.conv(F.hex(F.substring(node, 1, 8)), 16, -10).cast("long")
+
+
 def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK) -> DataFrame:
     """Verified links (a, b) between nodes with different words, which connect all that similar nodes with a common key connect.
 
@@ -413,46 +408,59 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders:
     """
     folders = [] if folders is None else folders
     spark = sketched.sparkSession
-    nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("n").alias("n"))
-    entries = stored_table(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n"), "entries", folders)
+    nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("n").alias("n"), F.first("h").alias("h"))
+    entries = stored_table(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "h", "n"), "entries", folders)
     # buckets are summed up before their members meet: a key that many texts share is one row per task there
-    centres = entries.groupBy("key").agg(
-        F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).filter("lo.node != hi.node")
-    centres = stored_table(centres.select("key", "lo", "hi"), "centres", folders)
-    members = stored_table(entries.join(centres.select("key"), "key"), "members", folders)
-    wanted = members.select("node").distinct()
-    texts = sketched.join(wanted, "node", "left_semi").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("words").alias("words"))
+    centres = entries.groupBy("key").agg(F.min("h").alias("c"), F.max("h").alias("hi")).filter("c != hi")
+    members = stored_table(entries.join(centres.select("key", "c"), "key"), "members", folders)
+    wanted = members.select("h").distinct()
+    texts = sketched.join(wanted, "h", "left_semi").groupBy("node").agg(
+        F.first("h").alias("h"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("words").alias("words"))
     texts = stored_table(texts, "texts", folders)
-    # texts whose lengths differ by more than the edits allowed are not similar
-    edits = F.floor((1 - similarity) * F.greatest("n", "c.n") + 1e-9)
-    pairs = members.join(centres, "key").select("node", "n", F.explode(F.array("lo", "hi")).alias("c"))
-    pairs = pairs.filter((F.col("node") != F.col("c.node")) & (F.abs(F.col("n") - F.col("c.n")) <= edits))
-    links = _verified(pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), texts, similarity, folders)
+    # near copies share most of their keys, so a third of the buckets connects them; what these leave apart is gone through below, under every key
+    pairs = members.filter("key % 3 = 0 AND h != c").select(F.col("c").alias("a"), F.col("h").alias("b")).distinct()
+    near = _both(pairs, texts, ("n", "counts")).select("a", "b", F.col("a_n").alias("n"), F.col("b_n").alias("m"), "a_counts", "b_counts")
+    near = stored_table(near.mapInArrow(_bounded(similarity), "a long, b long").distinct(), "near", folders)
+    links = _aligned(near, texts, similarity, folders)
     # buckets that are not connected yet; of those with the same members the one with the smallest key
-    rooted = members.join(components(links, folders), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = components(links, folders).select(_short("node").alias("h"), _short("root").alias("root"))
+    rooted = members.select("key", "h", "n").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     rooted = stored_table(rooted, "rooted", folders)
-    marks = F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y")
+    marks = F.expr("bit_xor(xxhash64(h))").alias("x"), F.expr("bit_xor(xxhash64(h, 1))").alias("y")
     apart = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *marks, F.min("root").alias("lo"), F.max("root").alias("hi"))
-    apart = apart.filter("m > 2 AND lo != hi").groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
+    apart = apart.filter("lo != hi").groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
     # similar texts are in the same or in neighbouring size classes: a member joins its own and the class below (``up``)
     size = F.floor(F.log("n") / F.log(F.lit(1.001 / similarity))).cast("int")
     sized = rooted.join(apart, "key").withColumn("own", size)
-    sized = sized.select("key", "node", "n", "root", "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
+    sized = sized.select("key", "h", "n", "root", "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
     blocks = sized.groupBy("key", "size").agg(
         F.min("own").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("g"))
     blocks = blocks.filter("lo != hi AND least = size").select("key", "size", "g")
-    sized = sized.join(blocks, ["key", "size"]).join(texts.select("node", "counts"), "node")
-    sized = stored_table(sized.withColumn("at", F.expr("cast(pmod(xxhash64(node), g) AS int)")), "blocks", folders)
+    sized = sized.join(blocks, ["key", "size"]).join(texts.select("h", "counts"), "h")
+    sized = stored_table(sized.withColumn("at", F.expr("cast(pmod(xxhash64(h), g) AS int)")), "blocks", folders)
     cost = sized.agg(F.coalesce(F.sum(F.col("g") * F.lit(1.0)), F.lit(0.0))).first()[0]
     dealt = sized.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
         "key", "size", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
-        (F.col("own") != F.col("size")).alias("up"), "node", "n", "root", "counts")
+        (F.col("own") != F.col("size")).alias("up"), "h", "n", "root", "counts")
     # a number of partitions that goes with the comparisons, so that small blocks with many of them are not merged by their bytes
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, int(cost / (4 * block))))
     dealt = dealt.repartition(parts, "key", "size", "p", "q").sortWithinPartitions("key", "size", "p", "q")
-    pairs = stored_table(dealt.mapInArrow(_settle(similarity), "a binary, b binary").distinct(), "pairs", folders)
-    return links.union(_verified(pairs, texts, similarity, folders)).distinct()
+    pairs = dealt.mapInArrow(_settle(similarity), "a long, b long, gap long").groupBy("a", "b").agg(F.min("gap").alias("gap"))
+    pairs = stored_table(pairs, "pairs", folders)
+    # first the nearest few of every text, which connect most of a group; then every pair that is not connected by those
+    ends = pairs.select("a", "b", "gap", F.explode(F.array("a", "b")).alias("h"))
+    nearest = Window.partitionBy("h").orderBy("gap", "a", "b")
+    first = ends.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= NEAREST).select("a", "b").distinct()
+    first = stored_table(first, "first", folders)
+    links = links.union(_aligned(first, texts, similarity, folders))
+    if first.isEmpty():
+        return links
+    roots = components(links, folders).select(_short("node").alias("h"), _short("root").alias("root"))
+    rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
+    for side in ("a", "b"):
+        rest = rest.join(roots.select(F.col("h").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+    rest = rest.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    return links.union(_aligned(rest, texts, similarity, folders)).distinct()
 
 
 def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:

