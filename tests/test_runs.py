@@ -181,3 +181,12 @@ def test_frontier_in_blocks(spark, monkeypatch):
     for r in config.page_frontier(rows).collect():
         got.setdefault(r.k, []).append(r.page_no)
     assert {k: sorted(v) for k, v in got.items()} == {"a": list(range(1, 21)), "b": list(range(1, 8)), "e": [1]}
+
+
+def test_frontier_is_dealt_out(spark):
+    """One row with many pages is work for many tasks, and the frontier starts where the merchant goes on."""
+    rows = spark.createDataFrame([("a", 400_000, 7)], "k string, pages bigint, start bigint").coalesce(1)
+    pages = config.page_frontier(rows, "pages", "start")
+    assert (pages.agg(F.min("page_no"), F.max("page_no"), F.count("*")).first()) == (7, 400_000, 399_994)
+    assert pages.select(F.spark_partition_id().alias("p")).distinct().count() == 8
+    assert config.page_frontier(rows, "pages", F.lit(400_001)).count() == 0
