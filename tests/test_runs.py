@@ -7,7 +7,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from catalogflow.plans import config
+from catalogflow.functions import urls
+from catalogflow.plans import config, jobs
 from catalogflow.schemas import MALL_SNAPSHOT, MERCHANT_SNAPSHOT
 from catalogflow.sources import capture_source, captures, sinks
 from catalogflow.streaming import ingest
@@ -190,3 +191,16 @@ def test_frontier_is_dealt_out(spark):
     assert (pages.agg(F.min("page_no"), F.max("page_no"), F.count("*")).first()) == (7, 400_000, 399_994)
     assert pages.select(F.spark_partition_id().alias("p")).distinct().count() == 8
     assert config.page_frontier(rows, "pages", F.lit(400_001)).count() == 0
+
+
+def test_merchant_frontier_urls(spark):
+    """The URL is taken apart once for each merchant: every spelling gives what the page-by-page column gives."""
+    spelled = ["https://h.example.com/a", "https://h.example.com/a?page=1&b=2#x", "https://h.example.com/a?b=2&page#page=4", "https://h.example.com/a?page=1?page&page=2", "text", "text?page=3"]
+    lines = spark.createDataFrame([(i, u, "9 結果の 1-3") for i, u in enumerate(spelled)] + [(9, None, None)], "merchant int, url string, summary string")
+    rows = jobs.merchant_frontier(lines, spark.createDataFrame([(1, "B0")] * 4 + [(1, " ")], "merchant int, asin string"), 4)
+    found = {(r.merchant, r.page_no): r.page_url for r in rows.collect()}
+    assert sorted(found) == sorted([(m, n) for m in range(6) for n in (1, 2, 3) if (m, n) != (1, 1)] + [(9, 1)])
+    assert found[9, 1] is None and "pieces" in str(rows._jdf.queryExecution().analyzed())
+    want = ["https://h.example.com/a?page=2", "https://h.example.com/a?page=2&b=2#x", "https://h.example.com/a?b=2&page=2#page=4", "https://h.example.com/a?page=2&page=2", "text", "text?page=3"]
+    assert [found[m, 2] for m in range(6)] == want
+    assert [r.u for r in lines.orderBy("merchant").select(urls.with_page_param("url", 2).alias("u")).collect()] == [*want, None]
