@@ -15,7 +15,7 @@ from ..schemas import MALL_SNAPSHOT, PROJECT_CONFIG
 from ..session import ensure_checkpoint_dir
 from ..sources import capture_source, captures, sinks
 from ..streaming import ingest
-from .base import K, Query, RUN_AT, table
+from .base import K, Query, RUN_AT, given_pages, table
 from .markup import ORACLES as MARKUP
 from .markup import D_MALL, D_SEARCH_A, D_SEARCH_B, component_raw, mall_pages, merchant_pages, search_a_pages, search_b_pages
 from .records import HOST, KS, SITE, feed_rows, link_pages, official_pages, variant_pages
@@ -127,12 +127,12 @@ VISIT = "concat('p', page_id % 3, '/search/2024-07-', lpad(1 + page_id % 28, 2,
 
 
 def page_files(s, d, root, which="true"):
-    pages = table(s, d, "pages").filter(which)
+    pages = given_pages(s, d).filter(which)
     capture_source.write_capture_files(pages.select(F.expr(f"concat({VISIT}, '/page.html')").alias("name"), F.col("html").alias("text")), root)
 
 
 def meta_files(s, d, root, which="true"):
-    texts = table(s, d, "pages").filter(which).select(F.expr(f"concat({VISIT}, '/metadata.json')").alias("name"), F.to_json(F.struct(
+    texts = given_pages(s, d).filter(which).select(F.expr(f"concat({VISIT}, '/metadata.json')").alias("name"), F.to_json(F.struct(
         F.lit("demo").alias("project"), "url", F.struct(F.lit(1920).alias("width"), F.lit(1080).alias("height")).alias("viewport"),
         (F.col("page_id") % 2 == 0).alias("blocked"),
         F.when(F.col("page_id") % 3 == 0, F.struct(F.lit("E").alias("name"), F.lit("m").alias("message"))).alias("error"))).alias("text"))
@@ -538,7 +538,7 @@ def stream_captures(s, d):
     deliveries = [("page_id % 2 = 0", "page_id % 7 <> 0 AND page_id % 3 = 0"), ("page_id % 2 = 1", "page_id % 7 <> 0 AND page_id % 3 > 0")]
 
     def run():
-        joined = ingest.pages_with_meta(ingest.page_stream(s, f"{root}/in", 100), ingest.meta_stream(s, f"{root}/in", 100), "60 days")
+        joined = ingest.pages_with_meta(ingest.page_stream(s, f"{root}/in"), ingest.meta_stream(s, f"{root}/in"), "60 days")
         ingest.ingest_captures(joined, f"{root}/out", f"{root}/ck")
 
     for pages, metas in deliveries:

@@ -51,23 +51,31 @@ def ingest_captures(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQ
     return query
 
 
-def _files(spark: SparkSession, root: str, pattern: str, files_per_batch: int) -> DataFrame:
+#: Bounds of one batch of capture files, not of a run: bytes of pages, and number of metadata files, which are all small.
+BATCH_BYTES, BATCH_FILES = 256 << 20, 50_000
+
+
+def _files(spark: SparkSession, root: str, pattern: str, bound: tuple[str, int]) -> DataFrame:
     files = (
         spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).load(root)
+        .option("pathGlobFilter", pattern).option(*bound).load(root)
     )
     return files.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def page_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
-    """Saved HTML files as a stream: path fields, html and ``run_at``, the time that the run stamp of the path names."""
-    rows = _files(spark, root, "*.html", files_per_batch).select("path", *capture_path_fields("path"), F.col("value").alias("html"))
+def page_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+    """Saved HTML files as a stream: path fields, html and ``run_at``, the time that the run stamp of the path names.
+
+    A batch is bounded by its bytes, or by the number of files if that is given: each batch has a cost of its own, so few small files a batch add up.
+    """
+    bound = ("maxFilesPerTrigger", files_per_batch) if files_per_batch else ("maxBytesPerTrigger", BATCH_BYTES)
+    rows = _files(spark, root, "*.html", bound).select("path", *capture_path_fields("path"), F.col("value").alias("html"))
     return rows.withColumn("run_at", F.try_to_timestamp("run_stamp", F.lit(STAMP_FORMAT)))
 
 
-def meta_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+def meta_stream(spark: SparkSession, root: str, files_per_batch: int = BATCH_FILES) -> DataFrame:
     """Capture metadata files as a stream: meta_dir, meta_at (the run stamp of the path) and the parsed metadata."""
-    rows = _files(spark, root, "*metadata.json", files_per_batch).select(*capture_path_fields("path")[:4], parse_capture_meta("value").alias("meta"))
+    rows = _files(spark, root, "*metadata.json", ("maxFilesPerTrigger", files_per_batch)).select(*capture_path_fields("path")[:4], parse_capture_meta("value").alias("meta"))
     return rows.select(F.col("capture_dir").alias("meta_dir"), F.try_to_timestamp("run_stamp", F.lit(STAMP_FORMAT)).alias("meta_at"), "meta")
 
 

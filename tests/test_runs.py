@@ -204,3 +204,14 @@ def test_merchant_frontier_urls(spark):
     want = ["https://h.example.com/a?page=2", "https://h.example.com/a?page=2&b=2#x", "https://h.example.com/a?b=2&page=2#page=4", "https://h.example.com/a?page=2&page=2", "text", "text?page=3"]
     assert [found[m, 2] for m in range(6)] == want
     assert [r.u for r in lines.orderBy("merchant").select(urls.with_page_param("url", 2).alias("u")).collect()] == [*want, None]
+
+
+def test_page_batches_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Many small files are one batch; a smaller bound makes more batches of the same rows."""
+    rows = [(f"p/t/2024-07-01_00-00-00/{i}/page.html", f"{i:>100}") for i in range(12)]
+    capture_source.write_capture_files(spark.createDataFrame(rows, "name string, text string"), str(tmp_path / "in"))
+    for bound, batches in ((ingest.BATCH_BYTES, 1), (400, 3)):
+        monkeypatch.setattr(ingest, "BATCH_BYTES", bound)
+        ingest.ingest_captures(ingest.page_stream(spark, str(tmp_path / "in")), str(tmp_path / f"out{bound}"), str(tmp_path / f"ck{bound}"))
+        assert len([f for f in (tmp_path / f"ck{bound}" / "commits").iterdir() if f.name.isdigit()]) == batches
+        assert sorted(r.html for r in spark.read.parquet(str(tmp_path / f"out{bound}")).collect()) == sorted(t for _, t in rows)
