@@ -7,6 +7,8 @@ branch is shuffled, stored or joined.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,17 +213,17 @@ def extract_faq(pages: DataFrame) -> DataFrame:
     return read.select("page_id", _faq().alias("faq")).filter("size(faq) > 0")
 
 
-def official_records(pages: DataFrame, url: str = "url") -> DataFrame:
-    """Merged record per page: structured data first, page markup second, page text third. One pass over the pages, nothing shuffled."""
-    read = page_boxes(page_objects(pages, keep=("html",)), RECORD, (url, "blocks", "objects"))
+def official_records(pages: DataFrame, url: str = "url", carry: Sequence[str] = ()) -> DataFrame:
+    """Merged record per page, with the columns to ``carry``: structured data first, page markup second, page text third. One pass over the pages, nothing shuffled."""
+    read = page_boxes(page_objects(pages, keep=("html",)), RECORD, (url, *carry, "blocks", "objects"))
     read = _entries(_lines(read)).withColumn("ld", object_record(url))
-    fields = read.select("page_id", url, *[c.alias(n) for n, c in page_fields(url).items()], _specs().alias("specs"), _faq().alias("faq"), "ld.*")
+    fields = read.select("page_id", url, *carry, *[c.alias(n) for n, c in page_fields(url).items()], _specs().alias("specs"), _faq().alias("faq"), "ld.*")
 
     def first(name: str) -> Column:
         return F.get(F.col(name), F.lit(0))
 
     return fields.select(
-        "page_id", F.col(url).alias("product_url"),
+        "page_id", F.col(url).alias("product_url"), *carry,
         first_non_empty(first("ld_names"), "og_title", first("h1_texts"), "title").alias("product_name"),
         first_non_empty(first("ld_prices"), "meta_price", price_in_text("body_text")).alias("price"),
         first_non_empty(first("ld_models"), model_in_text("body_text"), model_from_url(url)).alias("model_number"),

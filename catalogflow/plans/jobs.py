@@ -163,11 +163,14 @@ def official_site_records(visits: DataFrame) -> DataFrame:
     ``visits``: page_id, project, product_url, final_url, html (null if no page came), http_status, crawled_at, artifact_dir, error_name,
     error_message. A visit that failed is blocked or an error by its message and the page that came, if any; fields of a page that did not come are null.
     """
-    failed = F.col("error_message").isNotNull()
-    pages = visits.filter(F.col("html").isNotNull()).withColumn("url", F.coalesce("final_url", "product_url"))
-    carried = [c for c in visits.columns if c not in ("html", "page_id", "product_url")]
-    fields = official_records(pages.select("page_id", "url", "html")).drop("product_url")
-    rows = visits.select("page_id", "product_url", *carried).join(fields, "page_id", "left")
+    failed, came = F.col("error_message").isNotNull(), F.col("_visit.came")
+    carried = [c for c in visits.columns if c not in ("html", "page_id")]
+    # what is known of a visit goes through the reader with its page, so that nothing is joined
+    visit = F.struct(*carried, F.col("html").isNotNull().alias("came")).alias("_visit")
+    pages = visits.select("page_id", F.coalesce("final_url", "product_url").alias("url"), visit, "html")
+    fields = official_records(pages, carry=("_visit",)).drop("product_url")
+    said = [F.when(came, F.col(c)).alias(c) for c in fields.columns if c not in ("page_id", "_visit")]
+    rows = fields.select("page_id", *[F.col(f"_visit.{c}").alias(c) for c in carried], *said)
     text = F.coalesce("body_text", F.lit(""))
     blocked = st.is_blocked("http_status", text) | (failed & F.coalesce(st.is_blocked_error("error_message"), F.lit(False)))
     rows = rows.withColumn("blocked", F.coalesce(blocked, F.lit(False)))

@@ -215,3 +215,16 @@ def test_page_batches_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
         ingest.ingest_captures(ingest.page_stream(spark, str(tmp_path / "in")), str(tmp_path / f"out{bound}"), str(tmp_path / f"ck{bound}"))
         assert len([f for f in (tmp_path / f"ck{bound}" / "commits").iterdir() if f.name.isdigit()]) == batches
         assert sorted(r.html for r in spark.read.parquet(str(tmp_path / f"out{bound}")).collect()) == sorted(t for _, t in rows)
+
+
+def test_official_records_join_nothing(spark):
+    """What is known of a visit goes through the reader: no join, so nothing of the pages can be broadcast; a visit without a page keeps nulls."""
+    kinds = "page_id int, project string, product_url string, final_url string, html string, http_status int, crawled_at string, artifact_dir string, error_name string, error_message string"
+    rows = [(1, "p", "u1", "f1", "<title>t</title><p>x</p>", 200, "c", "d", None, None), (2, "p", "u2", None, None, None, "c", "d", "Error", "net::ERR_FAILED"),
+            (3, "p", "u3", None, "", 200, "c", "d", None, None)]
+    records = jobs.official_site_records(spark.createDataFrame(rows, kinds))
+    assert "Join" not in str(records._jdf.queryExecution().optimizedPlan())
+    got = {r.product_url: r for r in records.collect()}
+    assert (got["u1"].title, got["u1"].status, got["u1"].final_url, got["u1"].specs) == ("t", "ok", "f1", [])
+    assert (got["u2"].title, got["u2"].status, got["u2"].model_number, got["u2"].specs, got["u2"].error_name) == (None, "error", None, [], "Error")
+    assert (got["u3"].status, got["u3"].title, got["u3"].h1_texts) == ("ok", None, [])
