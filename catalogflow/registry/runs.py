@@ -56,7 +56,9 @@ def config_files(s, d):
     """One config file per supplier, with line breaks inside, read as files."""
     path = scratch(s)
     text = F.regexp_replace(F.expr(CONFIG_JSON.replace("p_brand", "'s'").replace("p_name", "s_name").replace(K, "s_suppkey")), ',"', ',\n  "')
-    table(s, d, "supplier").select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    # the given table lies in one split, and a file takes far longer to write than its bytes say
+    rows = table(s, d, "supplier").repartition(int(s.conf.get("spark.sql.shuffle.partitions")), "s_suppkey")
+    rows.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return config.read_project_config(s, path)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions import urls
 from catalogflow.plans import config, jobs
+from catalogflow.registry import runs
 from catalogflow.schemas import MALL_SNAPSHOT, MERCHANT_SNAPSHOT
 from catalogflow.sources import capture_source, captures, sinks
 from catalogflow.streaming import ingest
@@ -228,3 +229,11 @@ def test_official_records_join_nothing(spark):
     assert (got["u1"].title, got["u1"].status, got["u1"].final_url, got["u1"].specs) == ("t", "ok", "f1", [])
     assert (got["u2"].title, got["u2"].status, got["u2"].model_number, got["u2"].specs, got["u2"].error_name) == (None, "error", None, [], "Error")
     assert (got["u3"].status, got["u3"].title, got["u3"].h1_texts) == ("ok", None, [])
+
+
+def test_config_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The suppliers lie in one split; one task must not write a file for each of them."""
+    monkeypatch.setattr(runs, "scratch", lambda s: str(tmp_path / "c"))
+    rows = runs.QUERIES["src04_project_config"](spark, "/root/testdata/sf0.01")
+    names = [f.name for f in (tmp_path / "c").glob("part-*")]
+    assert len(names) == rows.count() == 100 and len({n.split("-")[1] for n in names}) == 8
