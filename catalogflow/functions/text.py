@@ -112,33 +112,34 @@ def trim_description(c: Column | str, limit: int = 12000) -> Column:
     return F.when(F.length(as_col(c)) > 0, cut)
 
 
-def unique_strings(values: Column) -> Column:
-    """Trimmed, non-blank, distinct, in order; NULL array to empty."""
-    trimmed = F.transform(values, lambda v: trim_blank(F.coalesce(v, F.lit(""))))
+def _trimmed(v: Column, tidy: bool = False) -> Column:
+    """``trim_blank`` of a value that costs nothing to name again. Ends of ``tidy`` text are trimmed already, but for blanks before a last U+0085."""
+    return F.when(F.contains(v, F.lit("\u0085")) if tidy else _unusual(v), _ends(v)).otherwise(v if tidy else F.trim(v))
+
+
+def unique_strings(values: Column, tidy: bool = False) -> Column:
+    """Trimmed, non-blank, distinct, in order; NULL array to empty. ``tidy`` values come from ``compact_spaces`` or the reader's lines."""
+    # a NULL is left out by the filter
+    trimmed = F.transform(values, lambda v: _trimmed(v, tidy))
     return F.coalesce(F.array_distinct(F.filter(trimmed, lambda v: v != "")), F.array().cast("array<string>"))
 
 
-def unique_specs(values: Column) -> Column:
-    """Distinct ``(label, value)`` pairs, trimmed; pairs without a value go."""
-    clean = F.transform(
-        values,
-        lambda s: F.struct(
-            blank_to_null(trim_blank(s["label"])).alias("label"),
-            trim_blank(F.coalesce(s["value"], F.lit(""))).alias("value"),
-        ),
-    )
+def _or_null(v: Column, tidy: bool) -> Column:
+    """The trimmed value, NULL for ''."""
+    if tidy:
+        return F.when(v != "", _trimmed(v, tidy))
+    return blank_to_null(trim_blank(v))
+
+
+def unique_specs(values: Column, tidy: bool = False) -> Column:
+    """Distinct ``(label, value)`` pairs, trimmed; pairs without a value go. ``tidy`` as in ``unique_strings``."""
+    clean = F.transform(values, lambda s: F.struct(_or_null(s["label"], tidy).alias("label"), _trimmed(s["value"], tidy).alias("value")))
     return F.array_distinct(F.filter(clean, lambda s: s["value"] != ""))
 
 
-def unique_faq(values: Column) -> Column:
-    """Distinct ``(question, answer)`` pairs, trimmed; pairs without a question go."""
-    clean = F.transform(
-        values,
-        lambda s: F.struct(
-            trim_blank(F.coalesce(s["question"], F.lit(""))).alias("question"),
-            blank_to_null(trim_blank(s["answer"])).alias("answer"),
-        ),
-    )
+def unique_faq(values: Column, tidy: bool = False) -> Column:
+    """Distinct ``(question, answer)`` pairs, trimmed; pairs without a question go. ``tidy`` as in ``unique_strings``."""
+    clean = F.transform(values, lambda s: F.struct(_trimmed(s["question"], tidy).alias("question"), _or_null(s["answer"], tidy).alias("answer")))
     return F.array_distinct(F.filter(clean, lambda s: s["question"] != ""))
 
 

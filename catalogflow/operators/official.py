@@ -41,23 +41,23 @@ def _empty() -> Column:
 
 _MAIN = (chain(t("main")), chain(t("article")), chain(t(attr=("role", "main"))))
 PAGE = Box((DOCUMENT,), {
-    "title": Find((chain(t("title")),)),
+    "title": Find((chain(t("title")),), "line"),
     "og_title": Find((chain(t("meta", attr=("property", "is", "og:title"))),), "attrs"),
     "meta_description": Find((chain(t("meta", attr=("name", "description"))), chain(t("meta", attr=("property", "og:description")))), "attrs"),
     "canonical": Find((chain(t("link", attr=("rel", "canonical"))),), "attrs"),
     "meta_price": Find((chain(t("meta", attr=("property", "product:price:amount"))),), "attrs"),
     "og_image": Find((chain(t("meta", attr=("property", "og:image"))),), "attrs"),
-    "h1": Find((chain(t("h1")),), every=True),
+    "h1": Find((chain(t("h1")),), "line", every=True),
     "main_text": Find((_MAIN, chain(t("body"))), "shown"),
-    "paragraphs": Find((tuple(chain(*c.tokens, t("p")) for c in _MAIN),), every=True),
+    "paragraphs": Find((tuple(chain(*c.tokens, t("p")) for c in _MAIN),), "line", every=True),
     "pictures": Find((chain(t("img")),), "attrs", every=True),
     "players": Find(((chain(t("video")), chain(t("source"))),), "attrs", every=True),
     "frames": Find((chain(t("iframe")),), "attrs", every=True),
 }, text="shown")
-ROWS = Box((chain(t("tr")),), {"cells": Find(((chain(t("table"), t("td")), chain(t("table"), t("th"))),), every=True)})
-PAIRS = Box((chain(t("dl"), t("dt")),), {}, text="text", beside=1)
-ITEMS = Box((chain(t("li")),), {}, text="text")
-HEADED = Box(tuple(chain(t(h)) for h in HEADINGS), {}, text="text", beside=8, until=frozenset(HEADINGS))
+ROWS = Box((chain(t("tr")),), {"cells": Find(((chain(t("table"), t("td")), chain(t("table"), t("th"))),), "line", every=True)})
+PAIRS = Box((chain(t("dl"), t("dt")),), {}, text="line", beside=1)
+ITEMS = Box((chain(t("li")),), {}, text="line")
+HEADED = Box(tuple(chain(t(h)) for h in HEADINGS), {}, text="line", beside=8, until=frozenset(HEADINGS))
 DETAILS = Box((chain(t("details")),), {"summary": Find((chain(t("summary")),))}, text="text")
 #: What the record needs of a page.
 RECORD = {"page": PAGE, "rows": ROWS, "pairs": PAIRS, "items": ITEMS, "headings": HEADED, "details": DETAILS}
@@ -73,7 +73,7 @@ def page_fields(url: str = "url") -> dict[str, Column]:
         return F.coalesce(*[F.nullif(compact_spaces(F.get(page[name], F.lit(i))["content"]), F.lit("")) for i in range(choices)])
 
     def texts(name: str) -> Column:
-        return F.transform(page[name], lambda x: compact_spaces(x["v"]))
+        return F.transform(page[name], lambda x: x["v"])
 
     def srcset_urls(c: Column) -> Column:
         entries = F.filter(F.split(compact_spaces(c), ","), lambda e: e != "")
@@ -86,7 +86,7 @@ def page_fields(url: str = "url") -> dict[str, Column]:
     body = F.coalesce(*[F.nullif(F.get(page["main_text"], F.lit(i)), F.lit("")) for i in (0, 1)], F.nullif(page["text"], F.lit("")))
     description = content("meta_description", 2)
     return {
-        "title": F.nullif(compact_spaces(F.get(page["title"], F.lit(0))), F.lit("")), "og_title": content("og_title"), "meta_description": description,
+        "title": F.nullif(F.get(page["title"], F.lit(0)), F.lit("")), "og_title": content("og_title"), "meta_description": description,
         "canonical_url": absolute_url(base, F.nullif(F.get(page["canonical"], F.lit(0))["href"], F.lit(""))),
         "h1_texts": unique_strings(texts("h1")), "body_text": compact_spaces(body),
         "description_texts": unique_strings(F.concat(F.array(description), F.slice(texts("paragraphs"), 1, 6))), "meta_price": content("meta_price"),
@@ -103,13 +103,13 @@ def extract_page_fields(pages: DataFrame, url: str = "url") -> DataFrame:
 
 def _lines(read: DataFrame) -> DataFrame:
     """``rows`` as (id, label, value) of table rows with two or more filled cells, ``pairs`` as (id, label, next_tag, value), ``items`` as (id, value)."""
-    cells = F.transform("rows", lambda r: F.struct(r["id"].alias("id"), F.filter(F.transform(r["cells"], lambda c: compact_spaces(c["v"])), lambda v: v != "").alias("v")))
+    cells = F.transform("rows", lambda r: F.struct(r["id"].alias("id"), F.filter(r["cells"]["v"], lambda v: v != "").alias("v")))
     rows = F.transform(F.filter(cells, lambda r: F.size(r["v"]) >= 2), lambda r: F.struct(
         r["id"].alias("id"), F.get(r["v"], F.lit(0)).alias("label"), F.array_join(F.slice(r["v"], F.lit(2), F.size(r["v"])), " ").alias("value")))
     after = lambda p: F.get(p["beside"], F.lit(0))
     pairs = F.transform("pairs", lambda p: F.struct(
-        p["id"].alias("id"), compact_spaces(p["text"]).alias("label"), after(p)["tag"].alias("next_tag"), F.when(after(p).isNotNull(), compact_spaces(after(p)["text"])).alias("value")))
-    items = F.filter(F.transform("items", lambda i: F.struct(i["id"].alias("id"), compact_spaces(i["text"]).alias("value"))), lambda i: i["value"] != "")
+        p["id"].alias("id"), p["text"].alias("label"), after(p)["tag"].alias("next_tag"), after(p)["text"].alias("value")))
+    items = F.filter(F.transform("items", lambda i: F.struct(i["id"].alias("id"), i["text"].alias("value"))), lambda i: i["value"] != "")
     return read.withColumns({"rows": rows, "pairs": pairs, "items": items})
 
 
@@ -120,7 +120,7 @@ def _entries(read: DataFrame) -> DataFrame:
     lines, a dl ``label: value`` pairs, an element with list items its items, any other its text. Lines are told by their place in the element's interval.
     """
     def named(text: Column, words: tuple[str, ...]) -> Column:
-        return contains_any(F.lower(compact_spaces(text)), words)
+        return contains_any(F.lower(text), words)
 
     def inside(lines: str, b: Column, value) -> Column:
         return F.transform(F.filter(lines, lambda x: (x["id"] > b["id"]) & (x["id"] <= b["end"])), value)
@@ -132,12 +132,12 @@ def _entries(read: DataFrame) -> DataFrame:
         items = inside("items", b, lambda x: x["value"])
         return (F.when(b["tag"] == "table", inside("rows", b, lambda x: F.concat_ws(": ", x["label"], x["value"])))
                 .when(b["tag"] == "dl", inside("pairs", b, pair))
-                .when(F.size(items) > 0, items).otherwise(F.array(compact_spaces(b["text"]))))
+                .when(F.size(items) > 0, items).otherwise(F.array(b["text"])))
 
     wanted = F.filter("headings", lambda h: named(h["text"], SPEC_WORDS + FAQ_WORDS))
     entries = F.transform(wanted, lambda h: F.struct(
         named(h["text"], SPEC_WORDS).alias("is_spec"), named(h["text"], FAQ_WORDS).alias("is_faq"),
-        unique_strings(F.flatten(F.transform(h["beside"], block))).alias("entries")))
+        unique_strings(F.flatten(F.transform(h["beside"], block)), tidy=True).alias("entries")))
     return read.withColumn("headings", entries)
 
 
@@ -148,7 +148,7 @@ def _specs() -> Column:
     pairs = F.transform(F.filter("pairs", lambda p: p["next_tag"] == "dd"), lambda p: F.struct(blank_to_null(p["label"]).alias("label"), p["value"].alias("value")))
     lines = F.flatten(F.transform(F.filter("headings", lambda h: h["is_spec"]), lambda h: h["entries"]))
     lines = F.transform(lines, lambda v: F.struct(F.lit(None).cast("string").alias("label"), v.alias("value")))
-    return unique_specs(F.concat(rows.cast(kind), pairs.cast(kind), lines.cast(kind)))
+    return unique_specs(F.concat(rows.cast(kind), pairs.cast(kind), lines.cast(kind)), tidy=True)
 
 
 def _faq() -> Column:
@@ -227,7 +227,7 @@ def official_records(pages: DataFrame, url: str = "url", carry: Sequence[str] =
         first_non_empty(first("ld_names"), "og_title", first("h1_texts"), "title").alias("product_name"),
         first_non_empty(first("ld_prices"), "meta_price", price_in_text("body_text")).alias("price"),
         first_non_empty(first("ld_models"), model_in_text("body_text"), model_from_url(url)).alias("model_number"),
-        unique_specs(F.concat("ld_specs", "specs")).alias("specs"), unique_faq(F.concat("ld_faq", "faq")).alias("faq"),
+        unique_specs(F.concat("ld_specs", "specs"), tidy=True).alias("specs"), unique_faq(F.concat("ld_faq", "faq"), tidy=True).alias("faq"),
         trim_description(first_non_empty(first("ld_descriptions"), first("description_texts"), "body_text")).alias("description_text"),
         unique_strings(F.concat("ld_images", "image_urls")).alias("image_urls"), unique_strings(F.concat("ld_videos", "video_urls")).alias("video_urls"),
         first_non_empty(normalize_availability(first("ld_availability")), availability_from_text("body_text")).alias("availability"),

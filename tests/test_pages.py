@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import random
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from catalogflow.operators import boxes, jsonld, listing, maker, official, paging, search
+from catalogflow.functions import text
+from catalogflow.operators import boxes, dom, jsonld, listing, maker, official, paging, search
 from catalogflow.operators.dom import Automaton, chain, contained, html_nodes, marked, nodes_of, page_table, parse_page, token as t
 from catalogflow.operators.joins import with_feed_price
 from catalogflow.plans import jobs
@@ -317,3 +319,24 @@ def test_page_chain_against_walk(spark, limit):
         want |= {(s, i, u, cut) for i, u in enumerate(seen, 1)}
     rows = [(r.source_url, r.page_no, r.page_url, r.truncated) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_plain_tags_are_read_in_one_step(monkeypatch):
+    """Only what is no plain tag goes the careful way; both ways read a page alike."""
+    asked, careful = [], dom.Tags.following
+    monkeypatch.setattr(dom.Tags, "following", lambda self, pos: asked.append(pos) or careful(self, pos))
+    html = "<main><p class='a b'>x &amp; y<p title=\"1 > 0\">z<img src=a/></main>" * 50
+    odd = "<!-- c --><a href='x<y'>l</a>< b <a\"b c='>"
+    got = parse_page(html + odd)
+    assert len(asked) <= 6
+    monkeypatch.setattr(dom, "PLAIN", re.compile(r"(?!)()()()()"))
+    asked.clear()
+    assert parse_page(html + odd) == got and len(asked) > 200
+
+
+def test_lines_of_the_reader_equal_tidy_text(spark):
+    rng, signs = random.Random(3), list("ab \t\n\r\x0b\x0c\xa0\x85　 ﻿ é仕\U0001f600\x1c\x00​") + ["  "]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(9))) for _ in range(4000)]
+    c = text.compact_spaces("v")
+    rows = spark.createDataFrame([(v,) for v in texts], "v string").select("v", c.alias("c"), text.unique_strings(F.array(c)).alias("a"), text.unique_strings(F.array(c), tidy=True).alias("b"))
+    assert all(boxes.tidy_line(r.v) == r.c and r.a == r.b for r in rows.collect())
