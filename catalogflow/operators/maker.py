@@ -43,14 +43,14 @@ def extract_product_links(nodes: DataFrame, host: str, url: str = "url") -> Data
 VARIANTS = Box((chain(t(cls="product-sku-list"), t(cls="show-for-b2c"), t("a")),), {}, beside=1, of_parent=True)
 
 
-def extract_variants(pages: DataFrame, host: str) -> DataFrame:
-    """Variant links with the code in the text of the element after theirs: page_id, variant_pos, jan, variant_url."""
-    pairs = box_rows(pages, VARIANTS).select(
-        "page_id", F.col("box_id").alias("variant_pos"), extract(F.get(F.col("beside"), F.lit(0))["text"], CODE).alias("jan"),
+def extract_variants(pages: DataFrame, host: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Variant links with the code in the text of the element after theirs: page_id, carry, variant_pos, jan, variant_url."""
+    pairs = box_rows(pages, VARIANTS, carry).select(
+        "page_id", *carry, F.col("box_id").alias("variant_pos"), extract(F.get(F.col("beside"), F.lit(0))["text"], CODE).alias("jan"),
         blank_to_null(F.col("attrs")["href"]).alias("href"),
     )
     kept = pairs.filter(F.col("jan").isNotNull() & F.col("href").isNotNull())
-    return kept.select("page_id", "variant_pos", "jan", host_prefixed(host, "href").alias("variant_url"))
+    return kept.select("page_id", *carry, "variant_pos", "jan", host_prefixed(host, "href").alias("variant_url"))
 
 
 def _after_yen(c: Column) -> Column:

@@ -143,9 +143,12 @@ def maker_snapshot_rows(
     that has it. Codes that are stored already are left out before any detail page is read.
     """
     links = maker.extract_product_links(html_nodes(list_pages, tags=("a",)), host).withColumnsRenamed({"page_id": "list_no", "product_url": "url"})
-    linked = product_pages.join(links, "url").select("page_id", "html", "list_no", "first_pos")
-    variants = maker.extract_variants(linked, host).join(linked.select("page_id", "list_no", "first_pos"), "page_id")
-    fresh = skip_done(variants, snapshot, "jan").withColumnRenamed("page_id", "product_id")
+    # product pages are few and long: dealt out by page, read once, with their link passing through the reader. A partitioning
+    # by one column could be that of the rows as they come, which adaptive execution may have put into a single task.
+    linked = product_pages.join(links, "url").select("page_id", "url", "html", "list_no", "first_pos")
+    linked = linked.repartition(int(linked.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id", "url")
+    variants = maker.extract_variants(linked, host, ("list_no", "first_pos"))
+    fresh = stored(skip_done(variants, snapshot, "jan").withColumnRenamed("page_id", "product_id"))
     # one page per URL counts, and only pages that a fresh variant asks for are read
     pages = first_wins(detail_pages.join(fresh.select(F.col("variant_url").alias("url")).distinct(), "url", "left_semi"), "url", ("page_id",))
     pages = stored(pages.withColumn("sku", urls.query_param("url", "sku")))

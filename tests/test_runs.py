@@ -237,3 +237,18 @@ def test_config_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     rows = runs.QUERIES["src04_project_config"](spark, "/root/testdata/sf0.01")
     names = [f.name for f in (tmp_path / "c").glob("part-*")]
     assert len(names) == rows.count() == 100 and len({n.split("-")[1] for n in names}) == 8
+
+
+def test_product_pages_are_dealt_out_and_read_once(spark, monkeypatch):
+    """Few long product pages do not meet in one task, and their link goes through the reader."""
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(jobs, "stored", kept)
+    runs.maker_job(spark, "/root/testdata/sf0.001")
+    product = next(p for p in plans if "variant_pos" in p)
+    assert "REPARTITION_BY_NUM" in product.split("MapInArrow")[1].split("Join")[0]
+    assert "first_pos" in product.split("MapInArrow")[1].split("\n")[0]
