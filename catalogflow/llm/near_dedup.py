@@ -8,6 +8,8 @@
    gone through pair by pair (``_settle``), matched members included. Pairs that are connected already, or that a bound from their
    lengths or from counts of their words (half a byte a word) rules out, are not aligned; of the others each distinct pair is, and its words are moved
    once for it: first a few of each text, then the pairs that those have not connected. Large buckets are dealt as pairs of blocks over many tasks.
+   A size class of a bucket with more than ``NEAREST`` such pairs a member gives no pairs: its members' words meet in tasks (``_join``), which align
+   what is not connected yet, nearest first, and give links alone, fewer than members. A pair of several such buckets belongs to one of them.
 3. A link needs an edit similarity of ``SIMILARITY`` or more: 1 - edit distance in words / length of the longer text.
    The alignment is banded: it keeps to the diagonals that this allows, as bit vectors, after a bound from the words in common.
 4. Groups are the connected components of the links.
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,10 @@ K, TABLES, LEVELS, SIMILARITY = 5, 10, (2, 3, 4), 0.8
 SINGLE_K, SINGLE, SHORT_K, SHORT = 3, 20, 2, 48
 #: Members of a bucket that a task compares with as many others.
 BLOCK = 1024
-#: Candidates of a text that are aligned before the others, those with the most words in common.
+#: Candidates of a text that are aligned before the others, those with the most words in common; with more than these a member, words meet instead of pairs.
 NEAREST = 4
+#: Members, and words, of a bucket with many candidates that a task aligns with as many others.
+DENSE_BLOCK, DENSE_WORDS = 512, 4 << 20
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -350,36 +355,78 @@ def _candidates(crossing: bool, side: np.ndarray, up: np.ndarray, root: np.ndarr
     return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right, gaps))
 
 
+def _blocks(batches, names: tuple[str, ...]):
+    """The rows of each block as one table; rows come in order of the columns that name their block."""
+    held, block = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(c).to_numpy() for c in names]
+        new = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            now = tuple(c[lo] for c in cols)
+            if block is not None and now != block:
+                yield pa.Table.from_batches(held)
+                held = []
+            block = now
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+BLOCK_NAMES = ("key", "size", "p", "q")
+
+
+def _block_candidates(table: pa.Table, similarity: float) -> tuple[np.ndarray, ...]:
+    root, n, side, up = (table.column(c).to_numpy() for c in ("root", "n", "side", "up"))
+    p, q = (table.column(c)[0].as_py() for c in ("p", "q"))
+    return _candidates(p != q, side, up, root, n.astype(np.int64), [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()], similarity)
+
+
 def _settle(similarity: float):
-    """From members in order of their blocks: pairs (a, b, gap) to be aligned."""
-    names = ("key", "size", "p", "q")
+    """From members in order of their blocks: pairs (a, b, gap) to be aligned, or, of a block with many, its bucket and size class (a, size)."""
+    def run(batches):
+        for table in _blocks(batches, BLOCK_NAMES):
+            h, (i, j, gap) = table.column("h").to_numpy(), _block_candidates(table, similarity)
+            if len(i) > NEAREST * table.num_rows:
+                a, b, gap, size = [table.column("key")[0].as_py()], [0], [0], [table.column("size")[0].as_py()]
+            else:
+                a, b, size = np.minimum(h[i], h[j]), np.maximum(h[i], h[j]), [None] * len(i)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(gap, pa.int64()), pa.array(size, pa.int32())], ["a", "b", "gap", "size"])
+    return run
+
 
-    def pairs(parts):
-        table = pa.Table.from_batches(parts)
-        h, root, n, side, up = (table.column(c).to_numpy() for c in ("h", "root", "n", "side", "up"))
-        p, q = (table.column(c)[0].as_py() for c in ("p", "q"))
-        i, j, gap = _candidates(p != q, side, up, root, n.astype(np.int64), [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()], similarity)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(h[i], h[j])), pa.array(np.maximum(h[i], h[j])), pa.array(gap, pa.int64())], ["a", "b", "gap"])
+def _join(similarity: float):
+    """From members with their words in order of their blocks: links (a, b) that connect what similar members connect.
 
+    Candidates go nearest first; a pair that links have connected by then is not aligned, nor is one that the first of the units that both
+    are in (``units``: of every unit its number and whether the member is ``up`` there) aligns.
+    """
     def run(batches):
-        held, block = [], None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(c).to_numpy() for c in names]
-            new = np.zeros(batch.num_rows, bool)
-            for c in cols:
-                new[1:] |= c[1:] != c[:-1]
-            cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
-            for lo, hi in zip(cuts, cuts[1:]):
-                now = tuple(c[lo] for c in cols)
-                if block is not None and now != block:
-                    yield pairs(held)
-                    held = []
-                block = now
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            yield pairs(held)
+        for table in _blocks(batches, BLOCK_NAMES):
+            i, j, gap = _block_candidates(table, similarity)
+            order = np.argsort(gap, kind="stable")
+            i, j = i[order], j[order]
+            _, label = np.unique(table.column("root").to_numpy(), return_inverse=True)
+            unit, nodes = table.column("unit")[0].as_py(), table.column("node").to_pylist()
+            units = [{u["unit"]: u["up"] for u in own} for own in table.column("units").to_pylist()]
+            words, links = [np.frombuffer(x, "<u4") for x in table.column("words").to_pylist()], []
+            for lo in range(0, len(i), 4096):
+                x, y = i[lo:lo + 4096], j[lo:lo + 4096]
+                apart = label[x] != label[y]
+                for a, b in zip(x[apart].tolist(), y[apart].tolist()):
+                    if label[a] == label[b]:
+                        continue
+                    there = units[b]
+                    if unit != min(u for u, up in units[a].items() if u in there and not (up and there[u])):
+                        continue
+                    if similar(words[a], words[b], similarity):
+                        links.append((nodes[a], nodes[b]))
+                        label[label == label[b]] = label[a]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
     return run
 
 
@@ -401,22 +448,57 @@ def _short(node: str) -> Column:
     return F.conv(F.hex(F.substring(node, 1, 8)), 16, -10).cast("long")
 
 
-def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK) -> DataFrame:
+def _dealt_rows(sized: DataFrame) -> int:
+    return int(sized.agg(F.coalesce(F.sum(F.col("g").cast("long")), F.lit(0))).first()[0])
+
+
+def _dealt(sized: DataFrame, parts: int) -> DataFrame:
+    """Members of the buckets in order of the pairs of blocks that are compared, dealt over ``parts`` tasks or more.
+
+    The number goes with the comparisons, so that small blocks with many of them are not merged by their bytes.
+    """
+    spark, carried = sized.sparkSession, [c for c in sized.columns if c not in ("own", "g", "at")]
+    dealt = sized.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
+        F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
+        (F.col("own") != F.col("size")).alias("up"), *carried)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, parts))
+    return dealt.repartition(parts, *BLOCK_NAMES).sortWithinPartitions(*BLOCK_NAMES)
+
+
+def _joined(sized: DataFrame, texts: DataFrame, similarity: float, block: int, folders: list[str]) -> DataFrame:
+    """Links of the members of crowded buckets, stored. Their words meet in blocks that are bounded in members and in words."""
+    sized = sized.withColumn("unit", F.xxhash64("key", "size"))
+    most = F.floor(F.lit(DENSE_WORDS) / F.pow(F.lit(1.26), F.col("size") + 2))
+    sizes = sized.groupBy("key", "size").agg(F.count(F.lit(1)).alias("m")).select(
+        "key", "size", F.ceil(F.col("m") / F.greatest(F.lit(1), F.least(F.lit(min(block, DENSE_BLOCK)), most))).cast("int").alias("g"))
+    units = sized.groupBy("h").agg(F.collect_list(F.struct("unit", (F.col("own") != F.col("size")).alias("up"))).alias("units"))
+    members = sized.drop("g", "at").join(sizes, ["key", "size"]).withColumn("at", F.expr("cast(pmod(xxhash64(h), g) AS int)"))
+    parts = _dealt_rows(members) // DENSE_BLOCK
+    members = members.join(units, "h").join(texts.select("h", "node", "words"), "h")
+    return stored_table(_dealt(members, parts).mapInArrow(_join(similarity), "a binary, b binary"), "joined", folders)
+
+
+def similar_links(
+    sketched: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK, done_with: Sequence[str] = (),
+) -> DataFrame:
     """Verified links (a, b) between nodes with different words, which connect all that similar nodes with a common key connect.
 
-    The folders of stored steps are added to ``folders``; ``block`` is the number of members that a task compares with as many others.
+    The folders of stored steps are added to ``folders``; ``block`` is the number of members that a task compares with as many others. Steps are dropped
+    as soon as a later one holds what is still needed of them, and so are the folders ``done_with``, which hold the rows given.
     """
     folders = [] if folders is None else folders
     spark = sketched.sparkSession
     nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("n").alias("n"), F.first("h").alias("h"))
-    entries = stored_table(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "h", "n"), "entries", folders)
+    entries = stored_table(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "h", "n"), "entries", spent := [])
     # buckets are summed up before their members meet: a key that many texts share is one row per task there
     centres = entries.groupBy("key").agg(F.min("h").alias("c"), F.max("h").alias("hi")).filter("c != hi")
-    members = stored_table(entries.join(centres.select("key", "c"), "key"), "members", folders)
+    members = stored_table(entries.join(centres.select("key", "c"), "key"), "members", members_at := [])
+    drop_tables(spark, spent)
     wanted = members.select("h").distinct()
     texts = sketched.join(wanted, "h", "left_semi").groupBy("node").agg(
         F.first("h").alias("h"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("words").alias("words"))
     texts = stored_table(texts, "texts", folders)
+    drop_tables(spark, done_with)
     # near copies share most of their keys, so a third of the buckets connects them; what these leave apart is gone through below, under every key
     pairs = members.filter("key % 3 = 0 AND h != c").select(F.col("c").alias("a"), F.col("h").alias("b")).distinct()
     near = _both(pairs, texts, ("n", "counts")).select("a", "b", F.col("a_n").alias("n"), F.col("b_n").alias("m"), "a_counts", "b_counts")
@@ -425,7 +507,8 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders:
     # buckets that are not connected yet; of those with the same members the one with the smallest key
     roots = components(links, folders).select(_short("node").alias("h"), _short("root").alias("root"))
     rooted = members.select("key", "h", "n").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    rooted = stored_table(rooted, "rooted", folders)
+    rooted = stored_table(rooted, "rooted", rooted_at := [])
+    drop_tables(spark, members_at)
     marks = F.expr("bit_xor(xxhash64(h))").alias("x"), F.expr("bit_xor(xxhash64(h, 1))").alias("y")
     apart = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *marks, F.min("root").alias("lo"), F.max("root").alias("hi"))
     apart = apart.filter("lo != hi").groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
@@ -438,22 +521,21 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, folders:
     blocks = blocks.filter("lo != hi AND least = size").select("key", "size", "g")
     sized = sized.join(blocks, ["key", "size"]).join(texts.select("h", "counts"), "h")
     sized = stored_table(sized.withColumn("at", F.expr("cast(pmod(xxhash64(h), g) AS int)")), "blocks", folders)
-    cost = sized.agg(F.coalesce(F.sum(F.col("g") * F.lit(1.0)), F.lit(0.0))).first()[0]
-    dealt = sized.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
-        "key", "size", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
-        (F.col("own") != F.col("size")).alias("up"), "h", "n", "root", "counts")
-    # a number of partitions that goes with the comparisons, so that small blocks with many of them are not merged by their bytes
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, int(cost / (4 * block))))
-    dealt = dealt.repartition(parts, "key", "size", "p", "q").sortWithinPartitions("key", "size", "p", "q")
-    pairs = dealt.mapInArrow(_settle(similarity), "a long, b long, gap long").groupBy("a", "b").agg(F.min("gap").alias("gap"))
-    pairs = stored_table(pairs, "pairs", folders)
+    drop_tables(spark, rooted_at)
+    pairs = _dealt(sized, _dealt_rows(sized) // (4 * block)).mapInArrow(_settle(similarity), "a long, b long, gap long, size int")
+    pairs = stored_table(pairs.groupBy("a", "b", "size").agg(F.min("gap").alias("gap")), "pairs", folders)
+    many = pairs.filter("size IS NOT NULL").select(F.col("a").alias("key"), "size")
+    pairs = pairs.filter("size IS NULL").drop("size")
+    crowded = not many.isEmpty()
+    if crowded:
+        links = links.union(_joined(sized.join(many, ["key", "size"]), texts, similarity, block, folders))
     # first the nearest few of every text, which connect most of a group; then every pair that is not connected by those
     ends = pairs.select("a", "b", "gap", F.explode(F.array("a", "b")).alias("h"))
     nearest = Window.partitionBy("h").orderBy("gap", "a", "b")
     first = ends.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= NEAREST).select("a", "b").distinct()
     first = stored_table(first, "first", folders)
     links = links.union(_aligned(first, texts, similarity, folders))
-    if first.isEmpty():
+    if not crowded and first.isEmpty():
         return links
     roots = components(links, folders).select(_short("node").alias("h"), _short("root").alias("root"))
     rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
@@ -469,11 +551,12 @@ def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMIL
     python_ready(spark)
     rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), F.lower(whole_text()).alias("text"))
     rows = rows.select("doc_id", "_at", "text")
-    sketched = stored_table(rows.mapInArrow(_sketch(tables), SKETCH), "sketches", folders)
-    links = similar_links(sketched, similarity, folders, block)
+    sketched = stored_table(rows.mapInArrow(_sketch(tables), SKETCH), "sketches", sketches_at := [])
+    placed = stored_table(sketched.select("doc_id", "_at", "node"), "placed", folders)
+    links = similar_links(sketched, similarity, folders, block, sketches_at)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     roots = components(links, folders).join(degree, "node")
-    groups = sketched.select("doc_id", "_at", "node").join(roots, "node", "left").select(
+    groups = placed.join(roots, "node", "left").select(
         "doc_id", "_at", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
     groups = stored_table(groups, "groups")
     drop_tables(spark, folders)

@@ -219,6 +219,33 @@ def test_near_pairs_among_many_with_one_passage(spark, settings):
     assert Counter(tuple(sorted(g)) for g in groups.values()) == expected
 
 
+@pytest.mark.parametrize("settings", [{}, {"block": 60}])
+def test_a_large_group_around_the_threshold_gives_links_not_pairs(spark, monkeypatch, settings):
+    """Copies of one text that are alike by some 0.75 to 0.85: buckets with many candidates align inside and give fewer links than members."""
+    rng = random.Random(31)
+    base = [f"w{rng.randrange(10 ** 9)}" for _ in range(120)]
+    rows = []
+    for k in range(200):
+        words = list(base)
+        for j in rng.sample(range(120), rng.randrange(9, 19)):
+            words[j] = f"c{rng.randrange(10 ** 9)}"
+        rows.append((k, " ".join(words)))
+    made = {}
+    store = near_dedup.stored_table
+
+    def counted(df, name, folders=None):
+        table = store(df, name, folders)
+        made[name] = made.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(near_dedup, "stored_table", counted)
+    groups = defaultdict(list)
+    for r in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), **settings).collect():
+        groups[bytes(r["root"])].append(r["doc_id"])
+    assert Counter(tuple(sorted(g)) for g in groups.values()) == brute_groups(rows)
+    assert made["pairs"] < 10 * len(rows), made
+
+
 def test_recall_of_planted_copies(spark):
     """Copies with words replaced all over the text, at the given similarity; short texts with one word changed in the middle."""
     rng = random.Random(21)
