@@ -494,8 +494,8 @@ def similar_links(
     centres = entries.groupBy("key").agg(F.min("h").alias("c"), F.max("h").alias("hi")).filter("c != hi")
     members = stored_table(entries.join(centres.select("key", "c"), "key"), "members", members_at := [])
     drop_tables(spark, spent)
-    wanted = members.select("h").distinct()
-    texts = sketched.join(wanted, "h", "left_semi").groupBy("node").agg(
+    # nearly every text shares some key: picking those that do would move all words once more
+    texts = sketched.groupBy("node").agg(
         F.first("h").alias("h"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("words").alias("words"))
     texts = stored_table(texts, "texts", folders)
     drop_tables(spark, done_with)
