@@ -20,10 +20,13 @@ from ..functions.text import (
 )
 from ..functions.urls import absolute_url
 from ..session import ship_package
+from .dom import BATCH_CHARS
 
 SCRIPT = r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script"""
 #: Of JSON text: a string, or what opens, closes or separates.
 MARK = re.compile(rb'"(?:[^"\\]|\\.)*"|[{}\[\],:]', re.S)
+#: Characters that a row counts for besides its texts.
+ROW_CHARS = 1_000
 OBJECT = T.StructType([T.StructField("block_no", T.IntegerType()), T.StructField("place", T.ArrayType(T.IntegerType())),
                        T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType())])
 
@@ -107,19 +110,30 @@ def page_objects(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rest = [c for c in pages.columns if c != "html" or c in keep]
     source = pages.select(*rest, checked.alias("blocks"))
     schema = T.StructType([*source.schema, T.StructField("objects", T.ArrayType(OBJECT))])
-    kind = pa.list_(pa.struct([("block_no", pa.int32()), ("place", pa.list_(pa.int32())), ("start", pa.int32()), ("size", pa.int32())]))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for blocks in batch.column(len(rest)).to_pylist():
-                rows.append([{"block_no": number, "place": place, "start": a, "size": b - a}
-                             for number, text in enumerate(blocks or ()) if text is not None for place, a, b in written_objects(text)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], schema.names)
+            yield from with_objects(batch)
 
     return source.mapInArrow(read, schema)
 
 
+def with_objects(batch: pa.RecordBatch, most: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """The rows with the objects of their last column, ``blocks``; passed on so that a batch answers for a bounded amount of text, however many rows came at once."""
+    kind = pa.list_(pa.struct([("block_no", pa.int32()), ("place", pa.list_(pa.int32())), ("start", pa.int32()), ("size", pa.int32())]))
+    rows, lo, held = [], 0, 0
+    for i, blocks in enumerate(batch.column(batch.num_columns - 1)):
+        blocks = blocks.as_py() or ()
+        rows.append([{"block_no": number, "place": place, "start": a, "size": b - a}
+                     for number, text in enumerate(blocks) if text is not None for place, a, b in written_objects(text)])
+        # a row costs something without any text, too
+        held += ROW_CHARS + sum(len(text) for text in blocks if text is not None)
+        if held >= most or i + 1 == batch.num_rows:
+            part = batch.slice(lo, i + 1 - lo)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, kind)], [*part.schema.names, "objects"])
+            rows, lo, held = [], i + 1, 0
+
+
 def object_node(o: Column, blocks: Column | str = "blocks") -> Column:
     """An object of ``page_objects`` as VARIANT."""
     return F.parse_json(F.get(as_col(blocks), o["block_no"]).substr(o["start"] + 1, o["size"]).cast("string"))

@@ -7,6 +7,7 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -340,3 +341,19 @@ def test_lines_of_the_reader_equal_tidy_text(spark):
     c = text.compact_spaces("v")
     rows = spark.createDataFrame([(v,) for v in texts], "v string").select("v", c.alias("c"), text.unique_strings(F.array(c)).alias("a"), text.unique_strings(F.array(c), tidy=True).alias("b"))
     assert all(boxes.tidy_line(r.v) == r.c and r.a == r.b for r in rows.collect())
+
+
+def test_readers_answer_for_bounded_text_however_many_rows_come():
+    """A batch of 10,000 pages is passed on in parts, so that a worker does not hold objects of all of them at once."""
+    body = [b'{"a":[{"b":1},{"b":2}]}', None, b"[]"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array([body, None] * 5_000, pa.list_(pa.binary()))], ["page_id", "blocks"])
+    parts = list(jsonld.with_objects(batch))
+    assert max(p.num_rows for p in parts) <= 500
+    whole = pa.Table.from_batches(parts)
+    assert whole.select(["page_id", "blocks"]).equals(pa.Table.from_batches([batch]))
+    places = [(0, []), (0, [0, 0]), (0, [0, 1])]
+    assert [[(o["block_no"], o["place"]) for o in row] for row in whole["objects"].to_pylist()] == [places, []] * 5_000
+    assert list(jsonld.with_objects(batch.slice(0, 0))) == []
+    pages = pa.RecordBatch.from_arrays([pa.array(range(4_000)), pa.array(["x" * 2_000] * 4_000)], ["page_id", "html"])
+    held = list(dom.batched(pages, 1, len, lambda carried, results: (len(carried[0]), sum(results))))
+    assert max(chars for _, chars in held) <= 1_000_000 and sum(n for n, _ in held) == 4_000
