@@ -67,16 +67,22 @@ def drop_tables(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def located(docs: DataFrame, *columns: Column) -> DataFrame:
-    """The columns given and ``_at``, the place (file and row) of each row; rows that come from no file are stored first."""
+def from_files(docs: DataFrame) -> DataFrame:
+    """The rows themselves where each has its place in a file, else stored, so that each has one."""
     try:
-        place = docs.metadataColumn("_metadata")  # the reader's, also where the table has a column of this name
-        at = F.struct(place["file_path"].alias("file"), place["row_index"].alias("row")).alias("_at")
-        return docs.select(*columns, at)
+        docs.select(docs.metadataColumn("_metadata"))
+        return docs
     except AnalysisException as error:
         if "_metadata" not in str(error):
             raise
-        return located(stored_table(docs, "located"), *columns)
+        return stored_table(docs, "located")
+
+
+def located(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The columns given and ``_at``, the place (file and row) of each row; rows that come from no file are stored first."""
+    docs = from_files(docs)
+    place = docs.metadataColumn("_metadata")  # the reader's, also where the table has a column of this name
+    return docs.select(*columns, F.struct(place["file_path"].alias("file"), place["row_index"].alias("row")).alias("_at"))
 
 
 def python_ready(spark: SparkSession) -> None:

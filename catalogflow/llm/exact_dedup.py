@@ -8,6 +8,7 @@ combines per task; should two texts share a digest, the rows concerned are group
 
 Equal means identical after lower-casing A to Z. Null texts count as empty and are equal to empty ones. Of equal rows the one with the
 largest id stays, a null id is smaller than any; of rows that also share the id, the one with the largest locator.
+``exact_dedup_rows`` takes the rows of any table: its stream reads their digests and places, so that no texts are written again.
 An empty folder of files gives no rows. Texts of any length are digested whole. Other columns are carried along unread.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pack_row, shared_folder, unpack_row, whole_text
+from .common import drop_tables, from_files, located, pack_row, shared_folder, stored_table, unpack_row, whole_text
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -53,6 +54,7 @@ def _keeper() -> list[Column]:
 def stream_groups(spark: SparkSession, source: str, schema, digest=sha256, files_per_trigger: int = 1000) -> DataFrame:
     """(_digest, keeper, group_size) of every digest below ``source``, from a stream that ends when all files are read.
 
+    Without ``digest`` the files hold doc_id, _at and _digest already.
     State and progress lie in the shared folder: a stream that was broken off goes on from there. Each
     micro-batch writes the entries it changed to a folder of its number, so a repeated batch replaces its own.
     """
@@ -64,7 +66,7 @@ def stream_groups(spark: SparkSession, source: str, schema, digest=sha256, files
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
         # as a pattern, so that the source may be one file as well as a folder
         stream = stream.parquet(f"{source[:-1]}[{source[-1]}]")
-        changed = _keyed(stream, digest).groupBy("_digest").agg(*_keeper())
+        changed = (_keyed(stream, digest) if digest else stream).groupBy("_digest").agg(*_keeper())
         kind = changed.schema
         query = (
             changed.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", f"{folder}/progress")
@@ -84,18 +86,23 @@ def stream_groups(spark: SparkSession, source: str, schema, digest=sha256, files
 
 
 def _collided(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Digests that stand for more than one text: full bytes of all rows that hit another one are compared."""
+    """Digests that stand for more than one text, stored: full bytes of all rows that hit another one are compared."""
     hits = groups.filter("group_size > 1").select("_digest", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
     salted = rows.select("_digest", "_norm", F.pmod(F.col("_at.row"), F.lit(_SALTS)).cast("int").alias("_salt"))
     part = salted.join(hits, ["_digest", "_salt"], "left_semi").groupBy("_digest", "_salt")
     part = part.agg(F.min("_norm").alias("lo"), F.max("_norm").alias("hi"))
-    return part.groupBy("_digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo != hi").select("_digest")
+    apart = part.groupBy("_digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo != hi").select("_digest")
+    # stored, so that the shuffle files of the texts are gone before the next step moves them
+    return stored_table(apart, "collided")
 
 
 def exact_groups(spark: SparkSession, source: str, schema, digest=sha256, files_per_trigger: int = 1000) -> tuple[DataFrame, DataFrame]:
     """(rows with their digest and locator, groups of equal texts keyed by ``_key``); ``_key`` is null-safe and exact."""
     groups = stream_groups(spark, source, schema, digest, files_per_trigger)
-    rows = _keyed(spark.read.schema(schema).parquet(source), digest)
+    return _exact_groups(_keyed(spark.read.schema(schema).parquet(source), digest), groups)
+
+
+def _exact_groups(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     collided = [r["_digest"] for r in _collided(rows, groups).take(1000)]
     if not collided:
         return rows.withColumn("_key", F.col("_digest")), groups.withColumnRenamed("_digest", "_key")
@@ -122,10 +129,22 @@ def exact_dedup(spark: SparkSession, source: str, schema, **settings) -> DataFra
     The rows that stay are found by their locator, which no two rows share: copies do not meet anywhere.
     """
     _, groups = exact_groups(spark, source, schema, **settings)
-    files = spark.read.schema(schema).parquet(source)
-    rows = files.select(pack_row(files), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row_index"))
-    kept = groups.select(F.col("keeper._at.file").alias("_file"), F.col("keeper._at.row").alias("_row_index"))
-    return unpack_row(rows.join(kept, ["_file", "_row_index"], "left_semi"), files.columns)
+    return _kept(spark.read.schema(schema).parquet(source), groups)
+
+
+def exact_dedup_rows(docs: DataFrame, digest=sha256, **settings) -> DataFrame:
+    """``exact_dedup`` of the rows given, with all their columns; rows that come from no file are stored first."""
+    spark, docs = docs.sparkSession, from_files(docs)
+    rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("_norm")).withColumn("_digest", digest(F.col("_norm")))
+    digests = stored_table(rows.select("doc_id", "_at", "_digest"), "digests", folders := [])
+    groups = stream_groups(spark, folders[0], digests.schema, None, **settings)
+    drop_tables(spark, folders)
+    return _kept(docs, _exact_groups(rows, groups)[1])
+
+
+def _kept(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    kept = groups.select(F.col("keeper._at").alias("_at"))
+    return unpack_row(located(docs, pack_row(docs)).join(kept, "_at", "left_semi"), docs.columns)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@
 2. Texts with equal words are one node. Nodes with an equal key form a bucket: under a third of the keys each is compared with the centre of
    its bucket, the smallest node, which buckets of the same texts mostly share. A bucket (of any key) whose members are not all connected by then is
    gone through pair by pair (``_settle``), matched members included. Pairs that are connected already, or that a bound from their
-   lengths or from counts of their words (half a byte a word) rules out, are not aligned; of the others each distinct pair is, and its words are moved
+   lengths or from counts of their words (half a byte a word) rules out, are not aligned; of the others each distinct pair is, and its texts are moved
    once for it: first a few of each text, then the pairs that those have not connected. Large buckets are dealt as pairs of blocks over many tasks.
+   Words are not stored: a node keeps the place of one of its rows, and pairs fetch the text there, whose words are hashed again.
    A size class of a bucket with more than ``NEAREST`` such pairs a member gives no pairs: its members' words meet in tasks (``_join``), which align
    what is not connected yet, nearest first, and give links alone, fewer than members. A pair of several such buckets belongs to one of them.
 3. A link needs an edit similarity of ``SIMILARITY`` or more: 1 - edit distance in words / length of the longer text.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import (
-    LEAN_BYTES, drop_tables, located, pack_row, python_ready, read_table, release_caches, slices, stored_table, text_bytes, unpack_row, whole_text,
+    LEAN_BYTES, drop_tables, from_files, located, pack_row, python_ready, read_table, release_caches, slices, stored_table, text_bytes, unpack_row,
+    whole_text,
 )
 from .components import components
 
@@ -50,7 +52,7 @@ _WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] =
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, h long, n int, words binary, counts binary, keys array<long>"
+SKETCH = "doc_id long, _at struct<file:string,row:long>, node binary, h long, n int, counts binary, keys array<long>"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -90,6 +92,19 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return _mix((sums[ends] - sums[starts]) * back[starts]), np.bincount(rows, minlength=len(offsets) - 1)
 
 
+def _stored_form(words: np.ndarray) -> np.ndarray:
+    """Words as texts are compared by them: half of their hashes."""
+    return (words >> np.uint64(32)).astype("<u4")
+
+
+def words_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The words of each text of a column, lower-cased before."""
+    raw, offsets = text_bytes(column)
+    for lo, hi in slices(offsets, LEAN_BYTES):
+        words, counts = word_hashes(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+        yield from np.split(_stored_form(words), np.cumsum(counts)[:-1])
+
+
 def _kmers(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(text, hash, hash with occurrence label) of every k-mer, number of k-mers per text."""
     first = np.cumsum(counts) - counts
@@ -189,16 +204,15 @@ def _sketch(tables: int):
                 words, counts = word_hashes(part, offsets[lo:hi + 1] - offsets[lo])
                 keys, number = text_keys(words, counts, tables)
                 ends = np.cumsum(counts)
-                short = (words >> np.uint64(32)).astype("<u4")
+                short = _stored_form(words)
                 rows = [(a, b) for a, b in zip((ends - counts).tolist(), ends.tolist())]
                 nodes = [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() for a, b in rows]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), batch.column("_at").slice(lo, hi - lo), pa.array(nodes, pa.binary()),
                      pa.array([int.from_bytes(x[:8], "big", signed=True) for x in nodes], pa.int64()),
-                     pa.array(counts.astype(np.int32)), pa.array([short[a:b].tobytes() for a, b in rows], pa.binary()),
-                     pa.array([bin_counts(short[a:b]).tobytes() for a, b in rows], pa.binary()),
+                     pa.array(counts.astype(np.int32)), pa.array([bin_counts(short[a:b]).tobytes() for a, b in rows], pa.binary()),
                      pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(number)]).astype(np.int32), pa.array(keys.view(np.int64)))],
-                    ["doc_id", "_at", "node", "h", "n", "words", "counts", "keys"])
+                    ["doc_id", "_at", "node", "h", "n", "counts", "keys"])
     return run
 
 
@@ -308,9 +322,8 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 def _verify(similarity: float):
     def run(batches):
         for batch in batches:
-            left, right = batch.column("a_words"), batch.column("b_words")
-            good = [similar(np.frombuffer(x.as_py(), "<u4"), np.frombuffer(y.as_py(), "<u4"), similarity) for x, y in zip(left, right)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
+            good = [similar(x, y, similarity) for x, y in zip(words_of(batch.column("a_text")), words_of(batch.column("b_text")))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
     return run
 
 
@@ -437,9 +450,12 @@ def _both(pairs: DataFrame, texts: DataFrame, columns: tuple[str, ...]) -> DataF
     return pairs
 
 
-def _aligned(pairs: DataFrame, texts: DataFrame, similarity: float, folders: list[str]) -> DataFrame:
-    """Of distinct pairs (a, b) of short names the similar ones as nodes, stored. Words are moved once for each pair."""
-    whole = _both(pairs, texts, ("node", "words")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_words", "b_words")
+def _aligned(pairs: DataFrame, texts: DataFrame, rows: DataFrame, similarity: float, folders: list[str]) -> DataFrame:
+    """Of distinct pairs (a, b) of short names the similar ones as nodes, stored. Texts are moved once for each pair, from the ``rows`` given."""
+    whole = _both(pairs, texts, ("node", "_at"))
+    for side in ("a", "b"):
+        whole = whole.join(rows.select(F.col("_at").alias(f"{side}__at"), F.col("text").alias(f"{side}_text")), f"{side}__at")
+    whole = whole.select(*[F.col(f"{x}_node").alias(x) for x in "ab"], *[F.lower(f"{x}_text").alias(f"{x}_text") for x in "ab"])
     return stored_table(whole.mapInArrow(_verify(similarity), "a binary, b binary"), "verified", folders)
 
 
@@ -457,7 +473,7 @@ def _dealt(sized: DataFrame, parts: int) -> DataFrame:
 
     The number goes with the comparisons, so that small blocks with many of them are not merged by their bytes.
     """
-    spark, carried = sized.sparkSession, [c for c in sized.columns if c not in ("own", "g", "at")]
+    spark, carried = sized.sparkSession, [c for c in sized.columns if c not in ("own", "m", "g", "at")]
     dealt = sized.select("*", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")).select(
         F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), (F.col("at") <= F.col("other")).alias("side"),
         (F.col("own") != F.col("size")).alias("up"), *carried)
@@ -465,25 +481,32 @@ def _dealt(sized: DataFrame, parts: int) -> DataFrame:
     return dealt.repartition(parts, *BLOCK_NAMES).sortWithinPartitions(*BLOCK_NAMES)
 
 
-def _joined(sized: DataFrame, texts: DataFrame, similarity: float, block: int, folders: list[str]) -> DataFrame:
+def _worded(batches):
+    """Texts with their words in the place of the text."""
+    for batch in batches:
+        words = pa.array([x.tobytes() for x in words_of(batch.column("text"))], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("node"), batch.column("units"), words], ["h", "node", "units", "words"])
+
+
+def _joined(sized: DataFrame, texts: DataFrame, rows: DataFrame, similarity: float, block: int, folders: list[str]) -> DataFrame:
     """Links of the members of crowded buckets, stored. Their words meet in blocks that are bounded in members and in words."""
     sized = sized.withColumn("unit", F.xxhash64("key", "size"))
-    most = F.floor(F.lit(DENSE_WORDS) / F.pow(F.lit(1.26), F.col("size") + 2))
-    sizes = sized.groupBy("key", "size").agg(F.count(F.lit(1)).alias("m")).select(
-        "key", "size", F.ceil(F.col("m") / F.greatest(F.lit(1), F.least(F.lit(min(block, DENSE_BLOCK)), most))).cast("int").alias("g"))
     units = sized.groupBy("h").agg(F.collect_list(F.struct("unit", (F.col("own") != F.col("size")).alias("up"))).alias("units"))
-    members = sized.drop("g", "at").join(sizes, ["key", "size"]).withColumn("at", F.expr("cast(pmod(xxhash64(h), g) AS int)"))
+    units = units.join(texts.select("h", "node", "_at"), "h").join(rows, "_at").select("h", "node", "units", F.lower("text").alias("text"))
+    units = units.mapInArrow(_worded, "h long, node binary, units array<struct<unit:long,up:boolean>>, words binary")
+    most = F.floor(F.lit(DENSE_WORDS) / F.pow(F.lit(1.26), F.col("size") + 2))
+    blocks = F.ceil(F.col("m") / F.greatest(F.lit(1), F.least(F.lit(min(block, DENSE_BLOCK)), most))).cast("int")
+    members = sized.withColumn("g", blocks).withColumn("at", F.expr("cast(pmod(xxhash64(h), g) AS int)"))
     parts = _dealt_rows(members) // DENSE_BLOCK
-    members = members.join(units, "h").join(texts.select("h", "node", "words"), "h")
-    return stored_table(_dealt(members, parts).mapInArrow(_join(similarity), "a binary, b binary"), "joined", folders)
+    return stored_table(_dealt(members.join(units, "h"), parts).mapInArrow(_join(similarity), "a binary, b binary"), "joined", folders)
 
 
 def similar_links(
-    sketched: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK, done_with: Sequence[str] = (),
+    sketched: DataFrame, rows: DataFrame, similarity: float = SIMILARITY, folders: list[str] | None = None, block: int = BLOCK, done_with: Sequence[str] = (),
 ) -> DataFrame:
     """Verified links (a, b) between nodes with different words, which connect all that similar nodes with a common key connect.
 
-    The folders of stored steps are added to ``folders``; ``block`` is the number of members that a task compares with as many others. Steps are dropped
+    ``rows`` (_at, text) are those that the sketches were made of. The folders of stored steps are added to ``folders``; ``block`` is the number of members that a task compares with as many others. Steps are dropped
     as soon as a later one holds what is still needed of them, and so are the folders ``done_with``, which hold the rows given.
     """
     folders = [] if folders is None else folders
@@ -494,16 +517,16 @@ def similar_links(
     centres = entries.groupBy("key").agg(F.min("h").alias("c"), F.max("h").alias("hi")).filter("c != hi")
     members = stored_table(entries.join(centres.select("key", "c"), "key"), "members", members_at := [])
     drop_tables(spark, spent)
-    # nearly every text shares some key: picking those that do would move all words once more
+    # nearly every text shares some key: picking those that do would move all counts once more
     texts = sketched.groupBy("node").agg(
-        F.first("h").alias("h"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("words").alias("words"))
+        F.first("h").alias("h"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.min("_at").alias("_at"))
     texts = stored_table(texts, "texts", folders)
     drop_tables(spark, done_with)
     # near copies share most of their keys, so a third of the buckets connects them; what these leave apart is gone through below, under every key
     pairs = members.filter("key % 3 = 0 AND h != c").select(F.col("c").alias("a"), F.col("h").alias("b")).distinct()
     near = _both(pairs, texts, ("n", "counts")).select("a", "b", F.col("a_n").alias("n"), F.col("b_n").alias("m"), "a_counts", "b_counts")
     near = stored_table(near.mapInArrow(_bounded(similarity), "a long, b long").distinct(), "near", folders)
-    links = _aligned(near, texts, similarity, folders)
+    links = _aligned(near, texts, rows, similarity, folders)
     # buckets that are not connected yet; of those with the same members the one with the smallest key
     roots = components(links, folders).select(_short("node").alias("h"), _short("root").alias("root"))
     rooted = members.select("key", "h", "n").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
@@ -517,8 +540,8 @@ def similar_links(
     sized = rooted.join(apart, "key").withColumn("own", size)
     sized = sized.select("key", "h", "n", "root", "own", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("size"))
     blocks = sized.groupBy("key", "size").agg(
-        F.min("own").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("g"))
-    blocks = blocks.filter("lo != hi AND least = size").select("key", "size", "g")
+        F.min("own").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"))
+    blocks = blocks.filter("lo != hi AND least = size").select("key", "size", "m", F.ceil(F.col("m") / block).cast("int").alias("g"))
     sized = sized.join(blocks, ["key", "size"]).join(texts.select("h", "counts"), "h")
     sized = stored_table(sized.withColumn("at", F.expr("cast(pmod(xxhash64(h), g) AS int)")), "blocks", folders)
     drop_tables(spark, rooted_at)
@@ -528,13 +551,13 @@ def similar_links(
     pairs = pairs.filter("size IS NULL").drop("size")
     crowded = not many.isEmpty()
     if crowded:
-        links = links.union(_joined(sized.join(many, ["key", "size"]), texts, similarity, block, folders))
+        links = links.union(_joined(sized.join(many, ["key", "size"], "left_semi"), texts, rows, similarity, block, folders))
     # first the nearest few of every text, which connect most of a group; then every pair that is not connected by those
     ends = pairs.select("a", "b", "gap", F.explode(F.array("a", "b")).alias("h"))
     nearest = Window.partitionBy("h").orderBy("gap", "a", "b")
     first = ends.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= NEAREST).select("a", "b").distinct()
     first = stored_table(first, "first", folders)
-    links = links.union(_aligned(first, texts, similarity, folders))
+    links = links.union(_aligned(first, texts, rows, similarity, folders))
     if not crowded and first.isEmpty():
         return links
     roots = components(links, folders).select(_short("node").alias("h"), _short("root").alias("root"))
@@ -542,18 +565,18 @@ def similar_links(
     for side in ("a", "b"):
         rest = rest.join(roots.select(F.col("h").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
     rest = rest.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-    return links.union(_aligned(rest, texts, similarity, folders)).distinct()
+    return links.union(_aligned(rest, texts, rows, similarity, folders)).distinct()
 
 
 def near_groups(docs: DataFrame, tables: int = TABLES, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """doc_id, _at (file and row), links, root of every row; rows of a group share the root. Stored; steps on the way are dropped."""
     spark, folders = docs.sparkSession, []
     python_ready(spark)
-    rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), F.lower(whole_text()).alias("text"))
-    rows = rows.select("doc_id", "_at", "text")
-    sketched = stored_table(rows.mapInArrow(_sketch(tables), SKETCH), "sketches", sketches_at := [])
+    rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    sketched = rows.select("doc_id", "_at", F.lower("text").alias("text")).mapInArrow(_sketch(tables), SKETCH)
+    sketched = stored_table(sketched, "sketches", sketches_at := [])
     placed = stored_table(sketched.select("doc_id", "_at", "node"), "placed", folders)
-    links = similar_links(sketched, similarity, folders, block, sketches_at)
+    links = similar_links(sketched, rows.select("_at", "text"), similarity, folders, block, sketches_at)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     roots = components(links, folders).join(degree, "node")
     groups = placed.join(roots, "node", "left").select(
@@ -577,8 +600,7 @@ def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
 
 def near_dedup(docs: DataFrame, **settings) -> DataFrame:
     """One row of each group, with all columns; rows that come from no file are stored first, so that each has a place."""
-    if not docs.inputFiles():
-        docs = stored_table(docs, "near-input")
+    docs = from_files(docs)
     kept = _keepers(near_groups(docs, **settings)).select("keeper._at")
     rows = located(docs, pack_row(docs))
     return unpack_row(rows.join(kept, "_at", "left_semi"), docs.columns)

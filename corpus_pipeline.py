@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalogflow.llm.common import read_table, shared_folder
-from catalogflow.llm.exact_dedup import exact_dedup
+from catalogflow.llm.exact_dedup import exact_dedup_rows
 from catalogflow.llm.near_dedup import near_dedup
 from catalogflow.llm.packing import pack
 from catalogflow.llm.quality import quality_filter, train_quality
@@ -24,19 +24,12 @@ from catalogflow.llm.suffix_dedup import remove_repeats
 CAPACITY, END_ID = 4096, 1
 
 
-def _as_folder(docs: DataFrame, name: str) -> str:
-    """The rows as Parquet in the shared folder, for the operator that streams over files."""
-    folder = shared_folder(docs.sparkSession, name)
-    docs.write.parquet(folder)
-    return folder
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_filter(docs, train_quality(docs, read_table(spark, sf_dir, "labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup(spark, _as_folder(docs, "exact-input"), docs.schema)
+    return exact_dedup_rows(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -181,6 +181,34 @@ def test_near_groups(spark, docs, rows, no_docs):
     assert near_dedup.near_duplicates(no_docs).count() == 0
 
 
+def test_rows_without_a_place_in_a_file(spark, docs):
+    """An aggregation's rows have files below them, but no place of their own."""
+    made = docs.distinct()
+    assert near_dedup.near_dedup(made).count() == near_dedup.near_dedup(docs).count() > 0
+    assert exact_dedup.exact_dedup_rows(made).count() == exact_dedup.exact_dedup_rows(docs).count() > 0
+
+
+def test_exact_dedup_of_rows(spark, docs, rows):
+    kept = exact_dedup.exact_dedup_rows(docs)
+    assert kept.schema == docs.schema
+    assert Counter(map(tuple, kept.collect())) == Counter(map(tuple, exact_dedup.exact_dedup(spark, source_of(docs), docs.schema).collect()))
+    weak = exact_dedup.exact_dedup_rows(docs, few, files_per_trigger=1)
+    assert Counter(map(tuple, weak.collect())) == Counter(map(tuple, kept.collect()))
+
+
+def test_near_stores_no_words(spark, docs, monkeypatch):
+    made, store = {}, near_dedup.stored_table
+
+    def watched(df, name, folders=None):
+        made[name] = df.columns
+        return store(df, name, folders)
+
+    monkeypatch.setattr(near_dedup, "stored_table", watched)
+    near_dedup.near_groups(docs)
+    assert {"sketches", "texts", "pairs"} <= set(made)
+    assert not any({"words", "text"} & set(columns) for columns in made.values()), made
+
+
 def test_near_recall_on_given_documents(spark):
     """All groups of the given documents, brute force over pairs that share a rare word."""
     path = "/root/testdata/sf0.001/documents.parquet"

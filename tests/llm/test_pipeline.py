@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
 import pytest
 from corpus_rows import SF_DIR
 
 import corpus_pipeline
+from catalogflow.llm import common
 
 
 def test_stages_follow_each_other(spark, tmp_path):
@@ -48,3 +52,12 @@ def test_stages_are_stable(spark, docs, name):
     stage = dict(corpus_pipeline.STAGES)[name]
     a, b = (Counter((r["doc_id"], r["text"]) for r in stage(spark, docs, "").collect()) for _ in range(2))
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["exact", "near"])
+def test_stages_leave_no_copy_of_the_texts(spark, docs, name):
+    root = Path(urlparse(common.shared_folder(spark, "any")).path).parent
+    before = set(root.iterdir()) if root.exists() else set()
+    dict(corpus_pipeline.STAGES)[name](spark, docs, "").count()
+    left = [f for folder in set(root.iterdir()) - before for f in folder.rglob("*.parquet") if f.is_file()]
+    assert left and not any("text" in pq.read_schema(f).names for f in left)
