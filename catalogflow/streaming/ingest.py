@@ -13,18 +13,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.captures import STAMP_FORMAT, capture_path_fields, parse_capture_meta
 
-#: State lives on disk and is uploaded as changes, so its size does not count in a batch.
+#: State lives on disk and is uploaded as changes, so its size does not count in a batch. A join of streams has one store for each partition, not four: opening and
+#: committing stores is what a small batch takes its time for. (A checkpoint that began with four goes on with four.)
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
 
+#: Tasks for each core that list the folders below a folder, or the files of a batch. Spark starts one for each of up to 10,000 of them, which takes far longer
+#: than the listing and lists no sooner: no more than one runs on a core. Folders are dealt out from the first level that has more of them than cores, or than
+#: Spark's own 32: further down, every folder of that level would be a job of its own.
+LISTING_TASKS, LISTING_FOLDERS = 2, 32
+
+
 @contextmanager
-def state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB; the session's settings are put back."""
-    before = {k: spark.conf.get(k, None) for k in STATE}
-    for k, v in STATE.items():
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Streams that are named and run inside keep their state in RocksDB and list files in few tasks; the session's settings are put back."""
+    cores = spark.sparkContext.defaultParallelism
+    settings = STATE | {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(LISTING_TASKS * cores),
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": str(min(LISTING_FOLDERS, cores)),
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -42,12 +55,12 @@ def capture_stream(
 
 def ingest_captures(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """Append everything that is new since the last run, then stop. Each file counts once. Returns the ended query."""
-    with state_on_disk(stream.sparkSession):
+    with stream_settings(stream.sparkSession):
         query = (
             stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start()
         )
-    query.awaitTermination()
+        query.awaitTermination()
     return query
 
 
@@ -56,10 +69,11 @@ BATCH_BYTES, BATCH_FILES = 256 << 20, 50_000
 
 
 def _files(spark: SparkSession, root: str, pattern: str, bound: tuple[str, int]) -> DataFrame:
-    files = (
-        spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern).option(*bound).load(root)
-    )
+    with stream_settings(spark):  # naming a folder lists it, to look for partition columns
+        files = (
+            spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", pattern).option(*bound).load(root)
+        )
     return files.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
@@ -115,9 +129,9 @@ def ingest_first_seen(stream: DataFrame, sink: str, checkpoint: str, key: str, o
         fresh = batch.filter(F.col("first._new") & (F.col("first._at") == F.col("last"))).select("first.row.*")
         fresh.write.mode("overwrite").parquet(f"{sink}/run_id={run_id}/batch_id={batch_id}")
 
-    with state_on_disk(spark):
+    with stream_settings(spark):
         query = (
             states.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
-    query.awaitTermination()
+        query.awaitTermination()
     return query

@@ -218,6 +218,45 @@ def test_page_batches_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
         assert sorted(r.html for r in spark.read.parquet(str(tmp_path / f"out{bound}")).collect()) == sorted(t for _, t in rows)
 
 
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """Neither a job for each run of a target nor a task for each folder or file; the session's settings come back."""
+    rows = [(f"p/t/2024-07-{run:02}_00-00-00/{i}/page.html", str(i)) for run in range(1, 13) for i in range(34)]
+    capture_source.write_capture_files(spark.createDataFrame(rows, "name string, text string"), str(tmp_path / "in"))
+    tracker = spark.sparkContext.statusTracker()
+
+    def tasks(group):
+        return [sum(tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group)]
+
+    spark.sparkContext.setJobGroup("named", "named")
+    try:
+        pages = ingest.page_stream(spark, str(tmp_path / "in"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    query = ingest.ingest_captures(pages, str(tmp_path / "out"), str(tmp_path / "ck"))
+    named, run = tasks("named"), tasks(query.runId)
+    assert len(named) == 1 and len(run) <= 4 and max(named + run) <= 16
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold") == "32"
+
+
+def test_stream_join_has_one_store_a_partition(spark, tmp_path, monkeypatch):
+    """A new checkpoint keeps the state of both sides in one store; one that began with four goes on and loses nothing."""
+    four = {k: v for k, v in ingest.STATE.items() if "stateFormatVersion" not in k}
+
+    def run(case, state, name, text):
+        capture_source.write_capture_files(spark.createDataFrame([(f"p/t/2024-07-01_00-00-00/a/{name}", text)], "name string, text string"), str(tmp_path / case / "in"))
+        monkeypatch.setattr(ingest, "STATE", state)
+        joined = ingest.pages_with_meta(ingest.page_stream(spark, str(tmp_path / case / "in")), ingest.meta_stream(spark, str(tmp_path / case / "in")))
+        ingest.ingest_captures(joined, str(tmp_path / case / "out"), str(tmp_path / case / "ck"))
+
+    new = ingest.STATE
+    for case, first, stores in (("old", four, 8 * 4), ("new", new, 0)):
+        run(case, first, "page.html", "<p>x</p>")
+        run(case, new, "metadata.json", '{"url": "u"}')
+        assert [(r.html, r.meta.url) for r in spark.read.parquet(str(tmp_path / case / "out")).collect()] == [("<p>x</p>", "u")]
+        assert len([f for f in (tmp_path / case / "ck/state/0").glob("[0-9]*/*-key*") if f.is_dir()]) == stores
+
+
 def test_official_records_join_nothing(spark):
     """What is known of a visit goes through the reader: no join, so nothing of the pages can be broadcast; a visit without a page keeps nulls."""
     kinds = "page_id int, project string, product_url string, final_url string, html string, http_status int, crawled_at string, artifact_dir string, error_name string, error_message string"
