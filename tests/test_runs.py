@@ -194,6 +194,20 @@ def test_frontier_is_dealt_out(spark):
     assert config.page_frontier(rows, "pages", F.lit(400_001)).count() == 0
 
 
+def test_frontier_is_small_on_disk(spark, tmp_path, monkeypatch):
+    """Page numbers of the same range lie together in a task, so a file of the frontier takes less than a byte a row; odd sizes and starts lose no page."""
+    rows = spark.range(400).select("id", F.lit(20_000).alias("pages"))
+    config.page_frontier(rows).write.parquet(str(tmp_path / "f"))
+    back = spark.read.parquet(str(tmp_path / "f")).groupBy("id").agg(F.count("*").alias("n"), F.countDistinct("page_no").alias("d"), F.max("page_no").alias("last"))
+    assert [tuple(r) for r in back.groupBy("n", "d", "last").count().collect()] == [(20_000, 20_000, 20_000, 400)]
+    assert sum(f.stat().st_size for f in (tmp_path / "f").glob("*.parquet")) < 400 * 20_000
+    monkeypatch.setattr(config, "FRONTIER_BLOCK", 7)
+    monkeypatch.setattr(config, "FRONTIER_RANGE", 3)
+    some = spark.createDataFrame([(1, 30, 1), (2, 30, 9), (3, 14, 14), (4, 15, 15), (5, 3, 4), (6, 8, None), (7, None, 1), (8, 5, -3)], "k int, pages int, start int")
+    got = sorted((r.k, r.page_no) for r in config.page_frontier(some, "pages", "start").collect())
+    assert got == [(k, n) for k, a, b in ((1, 1, 30), (2, 9, 30), (3, 14, 14), (4, 15, 15), (6, 1, 8), (8, 1, 5)) for n in range(a, b + 1)]
+
+
 def test_merchant_frontier_urls(spark):
     """The URL is taken apart once for each merchant: every spelling gives what the page-by-page column gives."""
     spelled = ["https://h.example.com/a", "https://h.example.com/a?page=1&b=2#x", "https://h.example.com/a?b=2&page#page=4", "https://h.example.com/a?page=1?page&page=2", "text", "text?page=3"]
